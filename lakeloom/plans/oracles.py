@@ -20,3 +20,168 @@ WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM documents),
 words AS (SELECT unnest({_JAVA_SPLIT.format(l='l')}) AS word FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """
+
+ORACLES["split_tokens"] = """
+SELECT conv_id, turn,
+  len(string_split(text, ',')) AS n_comma, string_split(text, ',')[1] AS first_comma,
+  len(string_split(text, ' ')) AS n_space, string_split(text, ' ')[1] AS first_space,
+  len(string_split(text, '-')) AS n_dash, string_split(text, '-')[1] AS first_dash
+FROM conversations
+"""
+
+ORACLES["explode_split"] = """
+SELECT conv_id, turn, unnest(string_split(text, ' ')) AS token FROM conversations
+"""
+
+ORACLES["sum_by_key"] = """
+SELECT l_suppkey,
+  CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price
+FROM lineitem GROUP BY l_suppkey ORDER BY l_suppkey
+"""
+
+ORACLES["count_by_group"] = "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type"
+
+ORACLES["global_count"] = "SELECT count(*) AS n FROM events"
+
+ORACLES["sql_over_view"] = """
+SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type
+"""
+
+ORACLES["set_by_key"] = """
+SELECT user_id % 10 AS user_bucket,
+  array_to_string(list_sort(list(DISTINCT hour(ts))), ',') AS hours
+FROM events GROUP BY 1
+"""
+
+ORACLES["avg_all_numeric"] = """
+SELECT l_returnflag, l_linestatus,
+  round(avg(l_orderkey), 6) AS avg_l_orderkey, round(avg(l_partkey), 6) AS avg_l_partkey,
+  round(avg(l_suppkey), 6) AS avg_l_suppkey, round(avg(l_linenumber), 6) AS avg_l_linenumber,
+  round(avg(l_quantity), 6) AS avg_l_quantity, round(avg(l_extendedprice), 6) AS avg_l_extendedprice,
+  round(avg(l_discount), 6) AS avg_l_discount, round(avg(l_tax), 6) AS avg_l_tax
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+"""
+
+ORACLES["agg_by_spec"] = """
+SELECT l_returnflag, max(l_quantity) AS max_l_quantity, min(l_discount) AS min_l_discount,
+  count(l_tax) AS count_l_tax
+FROM lineitem GROUP BY l_returnflag
+"""
+
+ORACLES["window_partition_total"] = """
+SELECT event_type, event_id, user_id,
+  CAST(sum(user_id) OVER (PARTITION BY event_type) AS BIGINT) AS type_user_sum,
+  count(*) OVER (PARTITION BY event_type) AS type_rows
+FROM events
+"""
+
+ORACLES["top_n_per_group"] = """
+SELECT * FROM (
+  SELECT event_type, user_id, cnt,
+    row_number() OVER (PARTITION BY event_type ORDER BY cnt DESC, user_id) AS rn
+  FROM (SELECT event_type, user_id, count(*) AS cnt FROM events GROUP BY 1, 2)
+) WHERE rn <= 2
+"""
+
+ORACLES["sort_desc_limit"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
+"""
+
+ORACLES["union_many"] = " UNION ALL ".join(
+    f"SELECT event_id, user_id, '{t}' AS source, value FROM events WHERE event_type = '{t}'"
+    for t in ["view", "click", "purchase", "signup", "error"])
+
+ORACLES["cast_all_to_string"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+  CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+FROM orders
+"""
+
+ORACLES["describe_schema"] = """
+SELECT 'event_id' AS col_name, 'bigint' AS data_type, count(event_id) AS non_null FROM events
+UNION ALL SELECT 'ts', 'timestamp_ntz', count(ts) FROM events
+UNION ALL SELECT 'user_id', 'bigint', count(user_id) FROM events
+UNION ALL SELECT 'event_type', 'string', count(event_type) FROM events
+UNION ALL SELECT 'value', 'double', count(value) FROM events
+UNION ALL SELECT 'props', 'string', count(props) FROM events
+"""
+
+ORACLES["project_columns"] = "SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders"
+
+ORACLES["rename_columns"] = """
+SELECT c_custkey AS custkey, c_name AS name, c_mktsegment AS segment FROM customer
+"""
+
+ORACLES["arith_project"] = """
+SELECT l_orderkey, l_linenumber + 1 AS linenumber_plus_one,
+  l_orderkey * 10 + l_linenumber AS line_id, CAST(l_quantity AS BIGINT) // 10 AS qty_div_10
+FROM lineitem
+"""
+
+ORACLES["filter_even"] = "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber % 2 = 0"
+
+ORACLES["filter_expr"] = """
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount FROM lineitem
+WHERE l_quantity > 25 AND l_discount <= 0.05
+"""
+
+ORACLES["filter_compare"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice < 5000"
+
+ORACLES["drop_null_rows"] = """
+SELECT c_custkey, c_mktsegment, n_orders FROM customer
+JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o
+  ON c_custkey = o_custkey
+WHERE c_mktsegment IS NOT NULL
+"""
+
+ORACLES["device_signal_filter"] = "SELECT user_id AS device, event_id FROM events WHERE value > 10"
+
+ORACLES["device_avg"] = """
+SELECT event_type AS device_type, round(avg(value), 6) AS avg_signal FROM events GROUP BY 1
+"""
+
+ORACLES["scan_parquet"] = """
+SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+"""
+
+ORACLES["literal_rows"] = """
+WITH w(event_type, weight) AS (VALUES ('view', 1), ('click', 2), ('purchase', 3),
+  ('signup', 4), ('error', 5))
+SELECT e.event_type, w.weight, count(*) AS n, count(*) * w.weight AS weighted
+FROM events e JOIN w ON e.event_type = w.event_type GROUP BY e.event_type, w.weight
+"""
+
+ORACLES["bitmap_distinct"] = """
+SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type
+"""
+
+ORACLES["dedup_keep_first"] = """
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+_PHONE = "'1' || CAST(c_nationkey + 30 AS VARCHAR) || lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
+
+ORACLES["valid_mobile"] = f"""
+SELECT c_custkey, {_PHONE} AS phone,
+  regexp_full_match({_PHONE}, '(13[0-9]|14[579]|15[0-35-9]|16[6]|17[0135678]|18[0-9]|19[89])[0-9]{{8}}') AS is_valid
+FROM customer
+"""
+
+ORACLES["phone_prefix"] = f"SELECT c_custkey, substr({_PHONE}, 1, 7) AS prefix FROM customer"
+
+ORACLES["exact_decimal_sum"] = """
+SELECT l_returnflag,
+  CAST(sum(CAST(l_discount AS DECIMAL(5,2))) AS VARCHAR) AS sum_discount,
+  CAST(CAST(1 AS DECIMAL(5,2)) * count(*) - sum(CAST(l_discount AS DECIMAL(5,2))) AS VARCHAR) AS rest
+FROM lineitem GROUP BY l_returnflag
+"""
+
+ORACLES["max_by_groups"] = """
+SELECT n_name, max_by(c_custkey, (c_acctbal, c_custkey)) AS top_custkey
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
+"""
