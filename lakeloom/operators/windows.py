@@ -28,8 +28,15 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Colu
     ``max_broadcast_groups``; otherwise it is a shuffle join (AQE splits
     skewed partitions of the row side).
     """
-    totals = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    return df.join(broadcast_if_small(totals, max_broadcast_groups), list(keys), "left")
+    renamed = {k: f"_gk{i}" for i, k in enumerate(keys)}
+    totals = (df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+              .withColumnsRenamed(renamed))
+    totals = broadcast_if_small(totals, max_broadcast_groups)
+    cond = None
+    for k, r in renamed.items():
+        c = df[k].eqNullSafe(totals[r])  # a null key is a group, as in a window
+        cond = c if cond is None else cond & c
+    return df.join(totals, cond, "left").drop(*renamed.values())
 
 
 def window_total(df: DataFrame, keys: Sequence[str], order: str, aggs: dict[str, Column]) -> DataFrame:

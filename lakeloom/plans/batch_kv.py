@@ -1,3 +1,73 @@
-"""Registered queries."""
+"""Registered key-value (cell table) queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators import kv
+from lakeloom.plans import derived
+from lakeloom.plans.registry import query
+from lakeloom.tables import load
+
+INFO = ["name", "nation", "segment", "acctbal_cents"]
+TYPES = {"nation": "int", "acctbal_cents": "bigint", "last_order": "bigint"}
+
+
+def _rows(cells):
+    info = kv.cells_to_rows(cells, "info", INFO, TYPES)
+    orders = kv.cells_to_rows(cells, "orders", ["last_order", "last_status"], TYPES)
+    return info.join(orders, "row_key", "left")
+
+
+@query("cells_to_rows")
+def q_cells_to_rows(spark, sf):
+    return _rows(derived.customer_cells(spark, sf))
+
+
+@query("kv_range_scan")
+def q_kv_range_scan(spark, sf):
+    cells = kv.range_scan(derived.customer_cells(spark, sf), "0000000100", "0000000600")
+    return kv.cells_to_rows(cells, "info", INFO, TYPES).select("row_key", "name", "nation")
+
+
+@query("kv_get")
+def q_kv_get(spark, sf):
+    return kv.latest_cells(kv.get(derived.customer_cells(spark, sf), "0000000042"))
+
+
+@query("kv_scan_family")
+def q_kv_scan_family(spark, sf):
+    return kv.latest_cells(kv.scan_family(derived.customer_cells(spark, sf), "orders"))
+
+
+@query("kv_scan_concat")
+def q_kv_scan_concat(spark, sf):
+    return kv.concat_values(derived.customer_cells(spark, sf))
+
+
+@query("latest_cell")
+def q_latest_cell(spark, sf):
+    return kv.latest_cells(derived.customer_cells(spark, sf))
+
+
+@query("kv_put")
+def q_kv_put(spark, sf):
+    """Append a new version of ``segment`` for customers with a failed
+    order, then read the newest segment."""
+    cells = derived.customer_cells(spark, sf)
+    o = load(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    new = o.groupBy("o_custkey").agg(F.max("o_orderkey").alias("v")).select(
+        derived.row_key("o_custkey").alias("row_key"), F.lit("info").alias("family"),
+        F.lit("segment").alias("qualifier"), (F.col("v") + 1).alias("version"),
+        F.lit("HAS_F_ORDER").alias("value"))
+    merged = kv.put(cells, new)
+    return kv.cells_to_rows(merged, "info", ["segment"])
+
+
+@query("kv_upsert")
+def q_kv_upsert(spark, sf):
+    base = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    changes = base.where(F.col("c_acctbal") < 0).select(
+        "c_custkey", "c_name", F.lit("OVERDRAWN").alias("c_mktsegment"),
+        F.lit(0.0).alias("c_acctbal"))
+    return kv.upsert(base, changes, ["c_custkey"])

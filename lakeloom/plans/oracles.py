@@ -185,3 +185,286 @@ ORACLES["max_by_groups"] = """
 SELECT n_name, max_by(c_custkey, (c_acctbal, c_custkey)) AS top_custkey
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
 """
+
+# ---- JSON and reshaping -------------------------------------------------
+
+_PHONE60 = "'1' || CAST(c_nationkey + 60 AS VARCHAR) || lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
+_CONTACTS = (
+    f"""'[{{"name":"' || c_name || '","phone":"' || {_PHONE} || '"}},{{"name":"' """
+    f"""|| c_mktsegment || '","phone":"' || {_PHONE60} || '"}}]'"""
+)
+_TS6 = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+_CENTS = "CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)"
+_IPNUM = "((user_id * 2654435761) % 4294967296)"
+_IP = (f"concat_ws('.', ({_IPNUM} >> 24) % 256, ({_IPNUM} >> 16) % 256, "
+       f"({_IPNUM} >> 8) % 256, {_IPNUM} % 256)")
+_EVENTS_JSON = (
+    f"""'{{"event_type":"' || event_type || '","event_id":"' || event_id || '","event_ts":"' """
+    f"""|| {_TS6} || '","event_arg1":"' || {_CENTS} || '"}}'"""
+)
+_APP_LOG_JSON = (
+    f"""'{{"create_time":"' || {_TS6} || '","user_uuid":"' || user_id || '","ip":"' || {_IP} """
+    f"""|| '","events":' || {_EVENTS_JSON} || '}}'"""
+)
+
+ORACLES["json_infer"] = "SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events"
+
+ORACLES["json_extract_typed"] = """
+SELECT event_id, event_type, CAST(props->>'k' AS BIGINT) AS k FROM events
+"""
+
+ORACLES["json_tuple_fields"] = "SELECT event_id, props->>'k' AS k FROM events"
+
+ORACLES["json_object_entries"] = f"""
+SELECT phone, key, value FROM (
+  SELECT {_PHONE} AS phone, c_name AS name, c_mktsegment AS segment,
+    CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
+UNPIVOT (value FOR key IN (name, segment, nation))
+"""
+
+ORACLES["json_sorted_keys"] = "SELECT c_custkey, 'name,nation,phone,segment' AS keys FROM customer"
+
+ORACLES["explode_json_text"] = f"""
+SELECT c_custkey, unnest(string_split(replace(
+  string_split(string_split({_CONTACTS}, '[')[-1], ']')[1], '}},', '}}^*^*'), '^*^*')) AS contact
+FROM customer
+"""
+
+ORACLES["explode_json_array"] = f"""
+SELECT c_custkey, c_name AS name, {_PHONE} AS phone FROM customer
+UNION ALL SELECT c_custkey, c_mktsegment, {_PHONE60} FROM customer
+"""
+
+ORACLES["contacts_table"] = f"""
+SELECT c_custkey, c_name AS contacts_name, {_PHONE} AS contacts_phone FROM customer
+UNION ALL SELECT c_custkey, c_mktsegment, {_PHONE60} FROM customer
+"""
+
+ORACLES["kafka_json_parse"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS key, 'app_logs' AS topic, CAST(event_id AS VARCHAR) AS "offset",
+  {_TS6} AS create_time, CAST(user_id AS VARCHAR) AS user_uuid, {_IP} AS ip,
+  CAST(NULL AS VARCHAR) AS imei, {_EVENTS_JSON} AS events
+FROM events
+"""
+
+ORACLES["flatten_struct"] = f"""
+SELECT event_id, {_TS6} AS create_time, event_type, {_CENTS} AS event_arg1 FROM events
+"""
+
+ORACLES["array_struct_project"] = """
+SELECT l_orderkey, l_linenumber, 0 AS pos, l_returnflag AS c2, l_linenumber AS c4 FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, 1, l_linestatus, l_linenumber + 100 FROM lineitem
+"""
+
+ORACLES["rows_to_json"] = """
+SELECT '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":'
+  || c_nationkey || ',"c_mktsegment":"' || c_mktsegment || '"}' AS json FROM customer
+"""
+
+ORACLES["cell_codec"] = """
+SELECT c_custkey, lpad(hex(c_custkey), 16, '0') AS key_hex, c_custkey AS key_back,
+  hex(c_name) AS name_hex, c_name AS name_back FROM customer
+"""
+
+ORACLES["rows_as_map"] = f"""
+SELECT c_custkey, c_name AS name, CAST(NULL AS VARCHAR) AS missing FROM customer
+WHERE {_PHONE} < '1400'
+"""
+
+ORACLES["json_to_cells"] = f"""
+SELECT phone AS row_key, 'cf' AS family, qualifier, value FROM (
+  SELECT {_PHONE} AS phone, c_name AS name, c_mktsegment AS segment,
+    CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
+UNPIVOT (value FOR qualifier IN (name, segment, nation))
+"""
+
+# ---- key-value cells ------------------------------------------------------
+
+_CELLS = """
+WITH info AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'info' AS family, qualifier,
+    CAST(0 AS BIGINT) AS version, value
+  FROM (SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
+          c_mktsegment AS segment,
+          CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) AS acctbal_cents
+        FROM customer)
+  UNPIVOT (value FOR qualifier IN (name, nation, segment, acctbal_cents))),
+ord AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS row_key, 'orders' AS family, qualifier,
+    o_orderkey AS version, value
+  FROM (SELECT o_custkey, o_orderkey, CAST(o_orderkey AS VARCHAR) AS last_order,
+          o_orderstatus AS last_status FROM orders)
+  UNPIVOT (value FOR qualifier IN (last_order, last_status))),
+cells AS (SELECT * FROM info UNION ALL SELECT * FROM ord),
+latest AS (SELECT row_key, family, qualifier, arg_max(value, version) AS value,
+             max(version) AS version FROM cells GROUP BY row_key, family, qualifier)
+"""
+
+_ROWS = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, c_name AS name,
+  c_nationkey AS nation, c_mktsegment AS segment,
+  CAST(round(c_acctbal * 100) AS BIGINT) AS acctbal_cents, o.last_order, o.last_status
+FROM customer LEFT JOIN (
+  SELECT o_custkey, max(o_orderkey) AS last_order, arg_max(o_orderstatus, o_orderkey) AS last_status
+  FROM orders GROUP BY o_custkey) o ON c_custkey = o.o_custkey
+"""
+
+ORACLES["cells_to_rows"] = _ROWS
+
+ORACLES["kv_range_scan"] = f"""
+SELECT row_key, name, nation FROM ({_ROWS})
+WHERE row_key >= '0000000100' AND row_key < '0000000600'
+"""
+
+ORACLES["kv_get"] = _CELLS + "SELECT * FROM latest WHERE row_key = '0000000042'"
+
+ORACLES["kv_scan_family"] = _CELLS + "SELECT * FROM latest WHERE family = 'orders'"
+
+ORACLES["latest_cell"] = _CELLS + "SELECT * FROM latest"
+
+ORACLES["kv_scan_concat"] = _CELLS + """
+SELECT row_key, string_agg(value, '  ' ORDER BY family, qualifier) AS "values"
+FROM latest GROUP BY row_key
+"""
+
+ORACLES["kv_put"] = """
+SELECT lpad(CAST(coalesce(c_custkey, f.o_custkey) AS VARCHAR), 10, '0') AS row_key,
+  CASE WHEN f.o_custkey IS NOT NULL THEN 'HAS_F_ORDER' ELSE c_mktsegment END AS segment
+FROM customer FULL OUTER JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F') f
+  ON c_custkey = f.o_custkey
+"""
+
+ORACLES["kv_upsert"] = """
+SELECT c_custkey, c_name,
+  CASE WHEN c_acctbal < 0 THEN 'OVERDRAWN' ELSE c_mktsegment END AS c_mktsegment,
+  CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal
+FROM customer
+"""
+
+# ---- offset ledger ------------------------------------------------------
+
+_REC = f"""
+WITH rec AS (
+  SELECT 'app_logs' AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+    ts, {_APP_LOG_JSON} AS value FROM events),
+hist AS (
+  SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) AS batch_ms,
+    partition, max("offset") + 1 AS until_offset
+  FROM rec WHERE ts < TIMESTAMP '2024-01-20' GROUP BY ALL),
+resolved AS (
+  SELECT coalesce(n.topic, c.topic) AS topic, coalesce(n.partition, c.partition) AS partition,
+    coalesce(n.until_offset, 0) AS from_offset
+  FROM (SELECT topic, partition, arg_max(until_offset, batch_ms) AS until_offset
+        FROM hist GROUP BY topic, partition) n
+  FULL OUTER JOIN (SELECT DISTINCT topic, partition FROM rec) c
+    ON n.topic = c.topic AND n.partition = c.partition)
+"""
+
+ORACLES["topic_partitions"] = _REC + """
+SELECT topic, partition, count(*) AS records FROM rec GROUP BY topic, partition
+"""
+
+ORACLES["last_per_partition"] = _REC + """
+SELECT topic, partition, max("offset") AS last_offset, arg_max(value, "offset") AS last_value
+FROM rec GROUP BY topic, partition
+"""
+
+ORACLES["offset_snapshot"] = _REC + """
+SELECT topic, partition, max("offset") + 1 AS until_offset, arg_max(value, "offset") AS data
+FROM rec GROUP BY topic, partition
+"""
+
+ORACLES["offset_history"] = _REC + """
+SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) AS batch_ms,
+  partition, max("offset") + 1 AS until_offset FROM rec GROUP BY ALL
+"""
+
+ORACLES["offsets_encode"] = _REC + """
+SELECT topic, group_id, batch_ms,
+  string_agg(topic || ':' || partition || ':' || until_offset, ',' ORDER BY partition) AS offsets
+FROM hist GROUP BY topic, group_id, batch_ms
+"""
+
+ORACLES["offsets_decode"] = _REC + """
+SELECT group_id, batch_ms, topic, partition, until_offset FROM hist
+"""
+
+ORACLES["offsets_from_batch"] = _REC + """
+SELECT topic, batch_ms,
+  string_agg(topic || ':' || partition || ':' || from_offset, ',' ORDER BY partition) AS offsets
+FROM (SELECT topic, epoch_ms(date_trunc('day', ts)) AS batch_ms, partition,
+        min("offset") AS from_offset FROM rec GROUP BY ALL)
+GROUP BY topic, batch_ms
+"""
+
+ORACLES["resolve_offsets"] = _REC + "SELECT topic, partition, from_offset FROM resolved"
+
+ORACLES["starting_offsets_json"] = _REC + """
+SELECT '{' || string_agg(j, ',' ORDER BY topic) || '}' AS starting_offsets FROM (
+  SELECT topic, '"' || topic || '":{' ||
+    string_agg('"' || partition || '":' || from_offset, ',' ORDER BY partition) || '}' AS j
+  FROM resolved GROUP BY topic)
+"""
+
+ORACLES["offset_payload_join"] = _REC + """
+SELECT p.topic, p.partition, coalesce(d.data, '') AS data
+FROM (SELECT DISTINCT topic, partition FROM rec) p
+LEFT JOIN (SELECT topic, partition, arg_max(value, "offset") AS data FROM rec
+           WHERE ts >= TIMESTAMP '2024-01-30' AND partition < 2 GROUP BY topic, partition) d
+  ON p.topic = d.topic AND p.partition = d.partition
+"""
+
+# ---- calendar, windows, interval and range joins -------------------------
+
+ORACLES["previous_month"] = """
+SELECT o_orderkey, strftime(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH, '%Y-%m') AS prev_month
+FROM orders
+"""
+
+_SPINE = """
+SELECT strftime(date_trunc('month', (SELECT max(o_orderdate) FROM orders)) - k * INTERVAL 1 MONTH,
+  '%Y-%m') AS month FROM range(0, 49) t(k)
+"""
+
+ORACLES["month_spine"] = _SPINE
+
+ORACLES["monthly_counts_filled"] = f"""
+SELECT s.month, coalesce(c.cnt, 0) AS cnt FROM ({_SPINE}) s
+LEFT JOIN (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS cnt FROM orders GROUP BY 1) c
+  ON s.month = c.month
+"""
+
+ORACLES["sliding_count"] = """
+SELECT s AS window_start, s + INTERVAL 10 MINUTE AS window_end, event_type, count(*) AS cnt
+FROM (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE AS s
+      FROM events, range(0, 2) t(k))
+GROUP BY ALL
+"""
+
+ORACLES["tumbling_count"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+  event_type, count(*) AS cnt FROM events GROUP BY ALL
+"""
+
+ORACLES["interval_join"] = """
+SELECT v.event_id AS view_id, c.event_id AS click_id, v.user_id
+FROM events v JOIN events c ON v.user_id = c.user_id AND c.event_type = 'click'
+  AND c.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR
+WHERE v.event_type = 'view'
+"""
+
+ORACLES["interval_left_join"] = """
+SELECT v.event_id AS view_id, c.event_id AS click_id, v.user_id
+FROM events v LEFT JOIN events c ON v.user_id = c.user_id AND c.event_type = 'click'
+  AND c.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR
+WHERE v.event_type = 'view'
+"""
+
+ORACLES["ip_range_join"] = f"""
+WITH g AS (
+  SELECT CAST(n_nationkey AS BIGINT) * 171798692 AS lo,
+    CAST(n_nationkey AS BIGINT) * 171798692 + 150000000 AS hi, n_name AS country, r_name AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT event_id, {_IP} AS ip, g.country, g.region
+FROM events LEFT JOIN g ON {_IPNUM} BETWEEN g.lo AND g.hi
+"""

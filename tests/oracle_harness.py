@@ -113,5 +113,5 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(master="local[8]", shuffle_partitions=8,
                           extra_conf={"spark.driver.memory": "8g"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("FATAL")
     compare(spark, sf, sys.argv[2:] or None)
