@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.json import parse, sorted_keys
 from lakeloom.operators import reshape
+from lakeloom.operators.kafka import parse_app_log
 from lakeloom.operators.kv import rows_as_map
 from lakeloom.plans import derived
 from lakeloom.plans.registry import query
-from lakeloom.schemas import APP_LOG_SCHEMA, CONTACT
+from lakeloom.schemas import CONTACT
 from lakeloom.tables import load
 
 
@@ -65,13 +66,7 @@ def q_contacts_table(spark, sf):
 @query("kafka_json_parse")
 def q_kafka_json_parse(spark, sf):
     """Kafka record → key/topic/offset as strings, app-log JSON flattened."""
-    rec = derived.kafka_records(spark, sf)
-    parsed = rec.select(
-        F.col("key").cast("string").alias("key"), F.col("topic"),
-        F.col("offset").cast("string").alias("offset"),
-        F.from_json(F.col("value").cast("string"), APP_LOG_SCHEMA).alias("value"))
-    return reshape.flatten(parsed, "value", ["create_time", "user_uuid", "ip", "imei"],
-                           keep=["key", "topic", "offset"], as_json=["events"])
+    return parse_app_log(derived.kafka_records(spark, sf))
 
 
 @query("flatten_struct")

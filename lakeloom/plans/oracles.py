@@ -468,3 +468,43 @@ WITH g AS (
 SELECT event_id, {_IP} AS ip, g.country, g.region
 FROM events LEFT JOIN g ON {_IPNUM} BETWEEN g.lo AND g.hi
 """
+
+# ---- streaming jobs (final sink contents) ---------------------------------
+
+ORACLES["stream_word_count"] = ORACLES["word_count"]
+
+ORACLES["stream_sliding_count"] = f"""
+SELECT * FROM ({ORACLES["sliding_count"]})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+"""
+
+ORACLES["stream_tumbling_count"] = ORACLES["tumbling_count"]
+
+ORACLES["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
+
+ORACLES["stream_dedup_watermark"] = "SELECT DISTINCT user_id, ts FROM events"
+
+ORACLES["stream_interval_join"] = ORACLES["interval_join"]
+
+ORACLES["stream_interval_left_join"] = ORACLES["interval_left_join"]
+
+ORACLES["stream_kafka_to_parquet"] = ORACLES["kafka_json_parse"]
+
+ORACLES["stream_filter"] = """
+SELECT CAST(user_id AS VARCHAR) AS device, value AS signal FROM events WHERE value > 10
+"""
+
+ORACLES["stream_group_count"] = """
+SELECT event_type AS deviceType, count(*) AS cnt FROM events GROUP BY event_type
+"""
+
+ORACLES["stream_device_avg"] = """
+SELECT event_type AS deviceType, round(avg(value), 6) AS avg_signal FROM events GROUP BY event_type
+"""
+
+ORACLES["stream_global_count"] = "SELECT count(*) AS n FROM events"
+
+ORACLES["stream_offset_ledger"] = _REC + """
+SELECT topic, partition, max("offset") + 1 AS until_offset, arg_max(value, "offset") AS data
+FROM rec GROUP BY topic, partition
+"""

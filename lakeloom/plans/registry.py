@@ -30,7 +30,7 @@ def all_queries() -> dict[str, QueryFn]:
         batch_offsets,
         batch_time,
         batch_io,
-        batch_stream,
+        streams,
     )
 
     return dict(_QUERIES)
