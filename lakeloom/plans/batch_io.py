@@ -1,3 +1,67 @@
-"""Registered queries."""
+"""Registered connector round trips: data written under the shared
+checkpoint root, read back and compared with the source table."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators import relational as rel
+from lakeloom.operators.text import word_count
+from lakeloom.plans.registry import query
+from lakeloom.session import scratch_path
+from lakeloom.sources import catalog, files
+from lakeloom.tables import load
+
+
+@query("scan_text")
+def q_scan_text(spark, sf):
+    """Documents written as text files, read back line by line, counted."""
+    path = scratch_path(spark, "docs-text")
+    files.write_text(load(spark, sf, "documents").select("text"), path)
+    return word_count(files.read_text(spark, path), "value")
+
+
+@query("scan_csv")
+def q_scan_csv(spark, sf):
+    ev = load(spark, sf, "events")
+    path = scratch_path(spark, "events-csv")
+    files.write_csv(ev, path, sep=";")
+    return files.read_csv(spark, path, ev.schema, sep=";")
+
+
+@query("roundtrip_json")
+def q_roundtrip_json(spark, sf):
+    ev = load(spark, sf, "events")
+    path = scratch_path(spark, "events-json")
+    files.write(ev, path, "json")
+    return files.read(spark, path, "json", ev.schema)
+
+
+@query("roundtrip_orc")
+def q_roundtrip_orc(spark, sf):
+    o = load(spark, sf, "orders")
+    path = scratch_path(spark, "orders-orc")
+    files.write(o, path, "orc")
+    return files.read(spark, path, "orc")
+
+
+@query("table_append_partitioned")
+def q_table_append_partitioned(spark, sf):
+    """Two appends of a union of per-type inputs into a partitioned catalog
+    table; the read filters one partition (PartitionFilters)."""
+    location = scratch_path(spark, "events-table")
+    name = "lakeloom_events_" + location.rsplit("-", 1)[-1]
+    ev = load(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
+    parts = [ev.where(F.col("event_type") == t) for t in ("view", "click", "purchase")]
+    for _ in range(2):
+        catalog.append_partitioned(rel.union_many(parts), name, ["event_type"], location)
+    catalog.refresh(spark, name)
+    return catalog.scan(spark, name).where(F.col("event_type") == "click") \
+        .select("event_id", "user_id", "value", "event_type")
+
+
+@query("empty_with_schema")
+def q_empty_with_schema(spark, sf):
+    """A typed empty placeholder unions cleanly with real inputs."""
+    o = load(spark, sf, "orders")
+    return rel.union_many([rel.empty_with_schema(spark, o.schema), o])

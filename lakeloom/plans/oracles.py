@@ -508,3 +508,16 @@ ORACLES["stream_offset_ledger"] = _REC + """
 SELECT topic, partition, max("offset") + 1 AS until_offset, arg_max(value, "offset") AS data
 FROM rec GROUP BY topic, partition
 """
+
+# ---- connector round trips -----------------------------------------------
+
+ORACLES["scan_text"] = ORACLES["word_count"]
+ORACLES["scan_csv"] = "SELECT * FROM events"
+ORACLES["roundtrip_json"] = "SELECT * FROM events"
+ORACLES["roundtrip_orc"] = "SELECT * FROM orders"
+ORACLES["table_append_partitioned"] = """
+SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'
+"""
+ORACLES["empty_with_schema"] = "SELECT * FROM orders"
