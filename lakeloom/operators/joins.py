@@ -59,7 +59,7 @@ def ip_to_long(ip: str | Column) -> Column:
     """Dotted IPv4 text → unsigned 32-bit value as bigint (null if malformed)."""
     c = F.col(ip) if isinstance(ip, str) else ip
     parts = F.split(c, r"\.")
-    octet = [F.element_at(parts, i).try_cast("bigint") for i in range(1, 5)]
+    octet = [F.try_element_at(parts, F.lit(i)).try_cast("bigint") for i in range(1, 5)]
     value = octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3]
     ok = (F.size(parts) == 4)
     for o in octet:

@@ -67,9 +67,9 @@ def decode_offsets(df: DataFrame, keys: Sequence[str], c: str,
     (an entry needs exactly topic:partition:offset with integer parts)."""
     e = df.select(*keys, F.explode(F.split(F.col(c), ",")).alias("_e"))
     parts = F.split(F.col("_e"), ":")
-    out = e.select(*keys, F.element_at(parts, 1).alias("topic"),
-                   F.element_at(parts, 2).try_cast("int").alias("partition"),
-                   F.element_at(parts, 3).try_cast("bigint").alias(offset_name),
+    out = e.select(*keys, F.try_element_at(parts, F.lit(1)).alias("topic"),
+                   F.try_element_at(parts, F.lit(2)).try_cast("int").alias("partition"),
+                   F.try_element_at(parts, F.lit(3)).try_cast("bigint").alias(offset_name),
                    F.size(parts).alias("_n"))
     return out.where((F.col("_n") == 3) & F.col("partition").isNotNull()
                      & F.col(offset_name).isNotNull() & (F.col("topic") != "")).drop("_n")
