@@ -117,3 +117,23 @@ def attach_payload(ranges: DataFrame, payload: DataFrame, default: str = "") ->
     """Offset ranges with the partition's last payload, ``default`` if none."""
     j = ranges.join(payload, ["topic", "partition"], "left")
     return j.withColumn("data", F.coalesce(F.col("data"), F.lit(default)))
+
+
+def kafka_start_options(ledger: DataFrame | None, current: DataFrame, topic: str,
+                        group_id: str) -> dict[str, str]:
+    """Kafka source options for a consumer that keeps its own ledger.
+
+    With a ledger: ``assign`` the resolved partitions and start from the
+    stored offsets (new partitions from 0). Without one: ``subscribe`` at
+    ``latest`` (the ledger is created by the first batch). Only the one
+    JSON row (one entry per partition) reaches the driver.
+    """
+    if ledger is None:
+        return {"subscribe": topic, "startingOffsets": "latest"}
+    resolved = resolve_offsets(ledger.where(F.col("topic") == topic),
+                               current.where(F.col("topic") == topic), group_id)
+    starting = starting_offsets_json(resolved).first()["starting_offsets"]
+    import json
+
+    parts = {t: sorted(int(p) for p in m) for t, m in json.loads(starting).items()}
+    return {"assign": json.dumps(parts), "startingOffsets": starting}

@@ -87,3 +87,27 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType |
 def empty_with_schema(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     """Typed empty relation — a usable placeholder that unions cleanly."""
     return spark.createDataFrame([], schema)
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Materialise ``df`` as a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (survives executor loss, unlike a local
+    checkpoint) and continue from it with a short plan."""
+    from lakeloom.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
+def union_many_checkpointed(parts: Iterable[DataFrame], every: int = 64,
+                            by_name: bool = False) -> DataFrame:
+    """Union of very many inputs; every ``every`` inputs the partial union
+    is checkpointed so the plan (and driver planning time) stays bounded."""
+    acc: DataFrame | None = None
+    for i, p in enumerate(parts, 1):
+        acc = p if acc is None else union_many([acc, p], by_name)
+        if i % every == 0:
+            acc = cut_lineage(acc)
+    if acc is None:
+        raise ValueError("union_many_checkpointed needs at least one input")
+    return acc

@@ -103,3 +103,20 @@ def test_snapshot_and_payload(spark):
     pay = off.offset_snapshot(rec).select("topic", "partition", "data")
     got = {r.partition: r.data for r in off.attach_payload(ranges, pay).collect()}
     assert got == {0: "b", 1: "c", 2: ""}
+
+
+def test_kafka_start_options(spark):
+    import json
+    cur = spark.createDataFrame([("t", 0), ("t", 1), ("t", 2)], "topic string, partition int")
+    assert off.kafka_start_options(None, cur, "t", "g") == {
+        "subscribe": "t", "startingOffsets": "latest"}
+    opts = off.kafka_start_options(ledger(spark, [(2, 0, 9), (2, 1, 8)]), cur, "t", "g")
+    assert json.loads(opts["assign"]) == {"t": [0, 1, 2]}
+    assert opts["startingOffsets"] == '{"t":{"0":9,"1":8,"2":0}}'
+
+
+def test_union_many_checkpointed(spark):
+    from lakeloom.operators.relational import union_many_checkpointed
+    parts = [spark.range(i * 10, i * 10 + 10) for i in range(7)]
+    out = union_many_checkpointed(parts, every=3)
+    assert sorted(r.id for r in out.collect()) == list(range(70))
