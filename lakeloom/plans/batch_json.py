@@ -114,9 +114,9 @@ def q_cell_codec(spark, sf):
 def q_rows_as_map(spark, sf):
     c = load(spark, sf, "customer").select(
         "c_custkey", F.col("c_name").alias("NAME"), F.col("c_mktsegment").alias("SEGMENT"),
-        derived.phone().alias("PHONE"))
+        derived.phone().alias("PHONE"), "c_acctbal")
     m = rows_as_map(c, ["c_custkey"], ["NAME", "SEGMENT", "PHONE"])
-    sel = c.where(F.col("PHONE") < "1400").select("c_custkey", m.alias("m"))
+    sel = c.where(F.col("c_acctbal") > 0).select("c_custkey", m.alias("m"))
     return sel.select("c_custkey", F.try_element_at("m", F.lit("NAME")).alias("name"),
                       F.try_element_at("m", F.lit("MISSING")).alias("missing"))
 

@@ -10,6 +10,7 @@ from lakeloom.plans.registry import query
 
 GROUP = "lakeloom-consumer"
 CUTOFF = "2024-01-20"  # history written by a consumer that stopped on this day
+LAST_BATCH = "2024-01-30 23:50:00"  # start of the final micro-batch
 
 
 def _records(spark, sf):
@@ -74,10 +75,10 @@ def q_starting_offsets_json(spark, sf):
 
 @query("offset_payload_join")
 def q_offset_payload_join(spark, sf):
-    """Ranges of every partition, payload of the last day's newest record."""
+    """Offset ranges of every partition for the final ten-minute micro-batch,
+    each with the newest payload it carried ('' for partitions without data)."""
     rec = _records(spark, sf)
     ranges = off.topic_partitions(rec).select("topic", "partition")
-    last_day = rec.where(F.col("timestamp") >= F.lit("2024-01-30").cast("timestamp"))
-    payload = off.offset_snapshot(last_day.where(F.col("partition") < 2)).select(
-        "topic", "partition", "data")
+    last_batch = rec.where(F.col("timestamp") >= F.lit(LAST_BATCH).cast("timestamp"))
+    payload = off.offset_snapshot(last_batch).select("topic", "partition", "data")
     return off.attach_payload(ranges, payload)

@@ -268,7 +268,7 @@ SELECT c_custkey, lpad(hex(c_custkey), 16, '0') AS key_hex, c_custkey AS key_bac
 
 ORACLES["rows_as_map"] = f"""
 SELECT c_custkey, c_name AS name, CAST(NULL AS VARCHAR) AS missing FROM customer
-WHERE {_PHONE} < '1400'
+WHERE c_acctbal > 0
 """
 
 ORACLES["json_to_cells"] = f"""
@@ -410,7 +410,7 @@ ORACLES["offset_payload_join"] = _REC + """
 SELECT p.topic, p.partition, coalesce(d.data, '') AS data
 FROM (SELECT DISTINCT topic, partition FROM rec) p
 LEFT JOIN (SELECT topic, partition, arg_max(value, "offset") AS data FROM rec
-           WHERE ts >= TIMESTAMP '2024-01-30' AND partition < 2 GROUP BY topic, partition) d
+           WHERE ts >= TIMESTAMP '2024-01-30 23:50:00' GROUP BY topic, partition) d
   ON p.topic = d.topic AND p.partition = d.partition
 """
 
