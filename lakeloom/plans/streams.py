@@ -177,17 +177,21 @@ def q_stream_global_count(spark, sf):
 @query("stream_offset_ledger")
 def q_stream_offset_ledger(spark, sf):
     """Per micro-batch, until-offset and newest payload of every partition
-    saved together (foreachBatch); the committed ledger is read back."""
+    saved together (foreachBatch). Records arrive in three drops; after each
+    drop the query restarts from its checkpoint, so every drop is its own
+    batch and recovery is exercised. The committed ledger is read back."""
     rec = derived.kafka_records(spark, sf).withColumn("value", F.col("value").cast("string"))
-    base = scratch_path(spark, "ledger-in")
-    days = [rec.where(F.col("timestamp") < F.lit("2024-01-11").cast("timestamp")),
-            rec.where(F.col("timestamp").between(F.lit("2024-01-11").cast("timestamp"),
-                                                 F.lit("2024-01-20 23:59:59.999999")
-                                                 .cast("timestamp"))),
-            rec.where(F.col("timestamp") >= F.lit("2024-01-21").cast("timestamp"))]
-    schema = rec.schema
-    glob = stage_files(days, base)
-    stream = file_stream(spark, glob, schema, max_files_per_trigger=1)
-    sink, _ = run_available_now(stream, None, "append", "ledger",
-                                foreach_batch=lambda p: sinks.offset_ledger_writer(p))
+    ts = F.col("timestamp")
+    drops = [rec.where(ts < F.lit("2024-01-11").cast("timestamp")),
+             rec.where((ts >= F.lit("2024-01-11").cast("timestamp"))
+                       & (ts < F.lit("2024-01-21").cast("timestamp"))),
+             rec.where(ts >= F.lit("2024-01-21").cast("timestamp"))]
+    inbox = scratch_path(spark, "ledger-in")
+    base = scratch_path(spark, "ledger")
+    sink = None
+    for i, drop in enumerate(drops):
+        drop.write.parquet(f"{inbox}/d{i}")
+        stream = file_stream(spark, f"{inbox}/d*", rec.schema)
+        sink, _ = run_available_now(stream, None, "append", "ledger", base=base,
+                                    foreach_batch=lambda p: sinks.offset_ledger_writer(p))
     return sinks.committed_offsets(spark.read.parquet(sink))

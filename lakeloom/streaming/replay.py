@@ -15,24 +15,33 @@ from lakeloom.session import scratch_path
 
 
 def stage_files(batches: list[DataFrame], path: str, fmt: str = "parquet",
-                pause_s: float = 0.0, **options) -> str:
+                pause_s: float = 0.0, single_file: bool = False, **options) -> str:
     """Write each frame to its own sub-folder ``b00000``, ``b00001``, ...
-    and return the glob that a file stream should watch. With
-    ``maxFilesPerTrigger=1`` and one file per frame, each frame is one
-    micro-batch; the source orders files by modification time, hence the
-    optional pause between frames."""
+    and return the glob a file stream should watch.
+
+    Frames are written in parallel (one file per task). ``single_file``
+    (small test fixtures only) writes one file per frame, so that with
+    ``maxFilesPerTrigger=1`` each frame is exactly one micro-batch; the
+    source orders files by modification time, hence the optional pause.
+    """
     for i, b in enumerate(batches):
         if i and pause_s:
             time.sleep(pause_s)
-        b.coalesce(1).write.format(fmt).options(**options).save(f"{path}/b{i:05d}")
+        (b.coalesce(1) if single_file else b).write.format(fmt).options(**options) \
+            .save(f"{path}/b{i:05d}")
     return f"{path}/b*"
 
 
-def run_available_now(stream: DataFrame, fmt: str, output_mode: str, label: str,
-                      foreach_batch=None, timeout_s: int = 600) -> tuple[str, object]:
-    """Start, wait for completion, return (sink path, query)."""
+def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, label: str,
+                      foreach_batch=None, timeout_s: int = 600,
+                      base: str | None = None) -> tuple[str, object]:
+    """Start, wait for completion, return (sink path, query).
+
+    Passing the same ``base`` again restarts the query from its checkpoint:
+    only files that arrived since the last run are processed.
+    """
     spark: SparkSession = stream.sparkSession
-    base = scratch_path(spark, label)
+    base = base or scratch_path(spark, label)
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
     if foreach_batch is not None:

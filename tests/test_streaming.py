@@ -16,7 +16,8 @@ def minutes(spark, ms):
 
 
 def late_run(spark, tmp, files):
-    glob = stage_files([minutes(spark, f) for f in files], f"{tmp}/in", pause_s=1.1)
+    glob = stage_files([minutes(spark, f) for f in files], f"{tmp}/in", pause_s=1.1,
+                       single_file=True)
     s = file_stream(spark, glob, SCHEMA, max_files_per_trigger=1)
     counts = ops.windowed_count(s, "timestamp", [], "10 minutes", "5 minutes", "10 minutes")
     sink, q = run_available_now(counts, "parquet", "append", "late")
@@ -40,7 +41,7 @@ def test_late_row_kept_when_watermark_not_yet_advanced(spark, tmp):
 def test_running_word_count_update_mode(spark, tmp):
     lines = spark.createDataFrame([("a b a",), ("b  c",)], "value string")
     glob = stage_files([lines.limit(1), lines.subtract(lines.limit(1))], f"{tmp}/in", fmt="text",
-                       pause_s=1.1)
+                       pause_s=1.1, single_file=True)
     w = ops.running_count(ops.split_words(line_stream(spark, glob)), ["word"])
     sink, q = run_available_now(w, None, "update", "wc", foreach_batch=sinks.batch_log_writer)
     final = {r.word: r.cnt for r in sinks.latest_revision(spark.read.parquet(sink), ["word"]).collect()}
@@ -94,7 +95,7 @@ def test_dedup_within_watermark(spark, tmp):
         [("g1", T0 + dt.timedelta(hours=5, minutes=1))],  # g1 again: emitted
     ]
     glob = stage_files([spark.createDataFrame(b, schema) for b in batches], f"{tmp}/in",
-                       pause_s=1.1)
+                       pause_s=1.1, single_file=True)
     s = file_stream(spark, glob, schema, max_files_per_trigger=1)
     d = ops.dedup_within_watermark(s, "eventTime", "10 minutes", ["guid"])
     sink, _ = run_available_now(d, "parquet", "append", "dww")
