@@ -521,3 +521,5 @@ UNION ALL
 SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'
 """
 ORACLES["empty_with_schema"] = "SELECT * FROM orders"
+ORACLES["stream_csv"] = "SELECT * FROM events"
+ORACLES["stream_line_word_count"] = ORACLES["word_count"]

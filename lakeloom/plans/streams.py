@@ -195,3 +195,34 @@ def q_stream_offset_ledger(spark, sf):
         sink, _ = run_available_now(stream, None, "append", "ledger", base=base,
                                     foreach_batch=lambda p: sinks.offset_ledger_writer(p))
     return sinks.committed_offsets(spark.read.parquet(sink))
+
+
+@query("stream_csv")
+def q_stream_csv(spark, sf):
+    """Events land as ';'-separated CSV files; a schema'd CSV file stream
+    ingests them into parquet."""
+    from lakeloom.sources import files
+    from lakeloom.streaming.sources import csv_stream
+
+    ev = load(spark, sf, "events")
+    inbox = scratch_path(spark, "csv-in")
+    files.write_csv(ev, f"{inbox}/d0", sep=";")
+    s = csv_stream(spark, f"{inbox}/d*", ev.schema, sep=";", **files.EXACT_TS)
+    sink, _ = run_available_now(s, "parquet", "append", "csvstream")
+    return spark.read.parquet(sink)
+
+
+@query("stream_line_word_count")
+def q_stream_line_word_count(spark, sf):
+    """Line stream (the file stand-in for a socket): documents arrive as
+    text files; words are counted with arrival timestamps attached."""
+    from lakeloom.sources import files
+    from lakeloom.streaming.sources import line_stream
+
+    inbox = scratch_path(spark, "lines-in")
+    files.write_text(load(spark, sf, "documents").select("text"), f"{inbox}/d0")
+    lines = line_stream(spark, f"{inbox}/d*", with_arrival_time=True)
+    counts = ops.running_count(ops.split_words(lines, "value"), ["word"])
+    sink, _ = run_available_now(counts, None, "update", "linewc",
+                                foreach_batch=sinks.batch_log_writer)
+    return sinks.latest_revision(spark.read.parquet(sink), ["word"])

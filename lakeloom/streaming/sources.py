@@ -26,8 +26,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
 
 
 def csv_stream(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";",
-               header: bool = False) -> DataFrame:
-    return file_stream(spark, path, schema, "csv", sep=sep, header=str(header).lower())
+               header: bool = False, **options: str) -> DataFrame:
+    return file_stream(spark, path, schema, "csv", sep=sep, header=str(header).lower(), **options)
 
 
 def line_stream(spark: SparkSession, path: str, with_arrival_time: bool = False) -> DataFrame:
