@@ -49,6 +49,14 @@ def set_by_key(df: DataFrame, key: Column, value: Column,
     return pairs.groupBy(key_name).agg(F.sort_array(F.collect_list("_v")).alias(value_name))
 
 
+def set_by_key_rows(df: DataFrame, key: Column, value: Column,
+                    key_name: str = "key", value_name: str = "val") -> DataFrame:
+    """The same sets in long form, one (key, value) row per member — for
+    value domains that grow with the data, where one array per key would
+    put an unbounded set into a single row."""
+    return df.select(key.alias(key_name), value.alias(value_name)).distinct()
+
+
 def avg_all_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_") -> DataFrame:
     """``groupBy(keys).avg()`` over every numeric non-key column, renamed."""
     nums = [f.name for f in df.schema.fields

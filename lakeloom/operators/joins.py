@@ -11,14 +11,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking the row count is ≤ ``max_rows``.
+# Assumed bytes per value when sizing a broadcast (strings: a generous average).
+_TYPE_BYTES = {"string": 48, "binary": 64, "boolean": 1, "byte": 1, "short": 2, "integer": 4,
+               "int": 4, "long": 8, "bigint": 8, "float": 4, "double": 8, "date": 4,
+               "timestamp": 8, "timestamp_ntz": 8}
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-    The check is ``limit(max_rows + 1).count()``, so a large input stops
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated in-memory bytes of one row (complex types count 256)."""
+    total = 16
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        total += _TYPE_BYTES.get(t, 24 if t.startswith("decimal") else 256)
+    return total
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int,
+                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only after proving the side is small.
+
+    The bound is ``min(max_rows, max_bytes / estimated row size)`` and the
+    proof is ``limit(bound + 1).count() <= bound``, so a large input stops
     scanning early. Above the bound the plain frame is returned and Spark
-    plans a shuffle join (or AQE broadcasts at runtime if it turns small).
+    plans a shuffle join (AQE may still broadcast it if it turns small).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    bound = max(0, min(max_rows, max_bytes // row_bytes(df)))
+    if df.limit(bound + 1).count() <= bound:
         return F.broadcast(df)
     return df
 

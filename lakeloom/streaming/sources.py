@@ -37,25 +37,35 @@ def line_stream(spark: SparkSession, path: str, with_arrival_time: bool = False)
     return df.withColumn("timestamp", F.current_timestamp()) if with_arrival_time else df
 
 
-def kafka_stream(spark: SparkSession, brokers: str, topic: str | None = None,
-                 assign_json: str | None = None, starting_offsets: str = "latest",
-                 **options: str) -> DataFrame:
-    """Kafka source: ``subscribe`` a topic, or ``assign`` partitions with
-    explicit ``startingOffsets`` JSON from the offset ledger. Needs the
-    spark-sql-kafka package on the cluster (absent here: untested)."""
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
-         .option("startingOffsets", assign_json if assign_json else starting_offsets))
+def kafka_source_options(brokers: str, topic: str | None = None,
+                         assign_json: str | None = None, starting_offsets: str = "latest",
+                         **options: str) -> dict[str, str]:
+    """Options for the Kafka source: ``subscribe`` a topic at
+    ``starting_offsets``, or ``assign`` the partitions of a
+    ``startingOffsets`` JSON from the offset ledger. Consumer properties
+    get the ``kafka.`` prefix they need."""
+    import json
+
+    opts = {"kafka.bootstrap.servers": brokers}
     if assign_json:
-        import json
-        parts = {t: [int(p) for p in ps] for t, ps in json.loads(assign_json).items()}
-        r = r.option("assign", json.dumps(parts))
+        parts = {t: sorted(int(p) for p in ps) for t, ps in json.loads(assign_json).items()}
+        opts.update({"assign": json.dumps(parts), "startingOffsets": assign_json})
     elif topic:
-        r = r.option("subscribe", topic)
+        opts.update({"subscribe": topic, "startingOffsets": starting_offsets})
     else:
         raise ValueError("give a topic or an assign JSON")
     for k, v in options.items():
-        r = r.option(k if k.startswith("kafka.") or k in KAFKA_SOURCE_KEYS else f"kafka.{k}", v)
-    return r.load()
+        opts[k if k.startswith("kafka.") or k in KAFKA_SOURCE_KEYS else f"kafka.{k}"] = v
+    return opts
+
+
+def kafka_stream(spark: SparkSession, brokers: str, topic: str | None = None,
+                 assign_json: str | None = None, starting_offsets: str = "latest",
+                 **options: str) -> DataFrame:
+    """Kafka source (needs the spark-sql-kafka package on the cluster;
+    absent here, so untested)."""
+    opts = kafka_source_options(brokers, topic, assign_json, starting_offsets, **options)
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 # Source options that are not consumer properties (everything else gets

@@ -63,3 +63,14 @@ def test_broadcast_if_small(spark):
     j1 = spark.range(100).join(joins.broadcast_if_small(small, 100), "id")
     j2 = spark.range(100).join(joins.broadcast_if_small(big, 100), "id")
     assert j1.count() == 10 and j2.count() == 100
+
+
+def test_broadcast_bound_uses_bytes(spark):
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    wide = spark.range(1000).selectExpr("id", "repeat('x', 10) AS s")
+    assert joins.row_bytes(wide) == 16 + 8 + 48
+    assert hinted(joins.broadcast_if_small(wide, 10_000))
+    # 1000 rows fit the row bound but not a 10 KB byte bound
+    assert not hinted(joins.broadcast_if_small(wide, 10_000, max_bytes=10_000))
