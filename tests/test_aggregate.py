@@ -79,3 +79,28 @@ def test_first_by_latest(spark):
     df = spark.createDataFrame([("p", 1, "x"), ("p", 3, "y"), ("q", 2, "z")], "k string, o int, v string")
     out = {r.k: r.v for r in agg.first_by(df, ["k"], ["o"], latest=True).collect()}
     assert out == {"p": "y", "q": "z"}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5),
+                           st.integers(0, 9)), max_size=25)
+
+
+@settings(max_examples=12, deadline=None)
+@given(_ROWS)
+def test_dedup_is_idempotent(spark, rows):
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    once = agg.dedup_keep_first(df, ["k"], ["t", "v"])
+    twice = agg.dedup_keep_first(once, ["k"], ["t", "v"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert once.count() == len({r[0] for r in rows})
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(_ROWS, min_size=1, max_size=5))
+def test_union_count_is_additive(spark, parts):
+    from lakeloom.operators.relational import union_many
+    dfs = [spark.createDataFrame(p, "k string, t int, v int") for p in parts]
+    assert union_many(dfs).count() == sum(len(p) for p in parts)
