@@ -20,7 +20,8 @@ def sorted_keys(c: str | Column) -> Column:
     return F.array_sort(F.map_keys(json_map(c)))
 
 
-def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000) -> T.StructType:
+def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
+                        sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
     """Schema of a column of flat JSON objects, inferred over *all* rows.
 
     Runs as one distributed aggregate: explode every object into
@@ -28,7 +29,10 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000) -> T.Stru
     boolean, an integer or a number; the driver receives one row per
     distinct key (bounded by ``max_keys``). Keys become fields in sorted
     order, as ``spark.read.json`` does; objects/arrays/mixed → string.
+    ``sample_fraction`` infers from a random sample (like ``samplingRatio``).
     """
+    if sample_fraction is not None:
+        df = df.sample(fraction=sample_fraction, seed=seed)
     kv = df.select(F.explode(json_map(c)).alias("k", "v")).where(F.col("v").isNotNull())
     v = F.col("v")
     stats = kv.groupBy("k").agg(

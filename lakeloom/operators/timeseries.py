@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.dates import month_offsets
-from lakeloom.operators.joins import broadcast_if_small
 
 
 def check_window(window: str, slide: str | None) -> None:
@@ -43,10 +42,17 @@ def month_spine(anchor_df: DataFrame, anchor_col: str, n: int = 48) -> DataFrame
 
 def monthly_counts_filled(df: DataFrame, ts: str, n: int = 48, name: str = "cnt") -> DataFrame:
     """Rows per month over the last ``n + 1`` months up to the newest row,
-    with 0 for empty months (calendar spine left-joined to the counts)."""
-    anchor = df.agg(F.max(ts).alias("anchor"))
-    spine = month_spine(anchor, "anchor", n)
-    counts = (df.groupBy(F.date_format(F.col(ts), "yyyy-MM").alias("month"))
-              .agg(F.count(F.lit(1)).alias(name)))
-    out = spine.join(broadcast_if_small(counts, 100_000), "month", "left")
-    return out.select("month", F.coalesce(F.col(name), F.lit(0)).alias(name))
+    with 0 for empty months.
+
+    One scan: the input is aggregated per month, the monthly counts (one
+    entry per calendar month, a bounded set) are packed into a single map
+    row with the newest month as anchor, and the calendar spine looks its
+    counts up in that map.
+    """
+    counts = (df.groupBy(F.trunc(F.col(ts).cast("date"), "MM").alias("m"))
+              .agg(F.count(F.lit(1)).alias("c")))
+    packed = counts.agg(F.max("m").alias("anchor"),
+                        F.map_from_entries(F.collect_list(F.struct("m", "c"))).alias("cm"))
+    spine = packed.select(F.explode(month_offsets("anchor", n)).alias("m"), "cm")
+    return spine.select(F.date_format("m", "yyyy-MM").alias("month"),
+                        F.coalesce(F.try_element_at("cm", F.col("m")), F.lit(0)).alias(name))

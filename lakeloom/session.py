@@ -19,23 +19,43 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for ~100 TB inputs on a large cluster (AQE coalesces the
+# initial shuffle partitions down to ~256 MB each and splits skewed ones).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def build_session(
     app_name: str = "lakeloom",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     hive: bool = False,
     extra_conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Builder with UTC session time, AQE (coalesce + skew join) and no UI.
 
     ``master`` and ``shuffle_partitions`` are left to the cluster when None.
     ``hive=True`` enables the Hive catalog (metastore URIs come from
     ``extra_conf``, e.g. ``{"hive.metastore.uris": "thrift://..."}``).
+    ``cluster=True`` applies ``CLUSTER_CONF`` (large-input partition sizing
+    and RocksDB state for streaming).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
