@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The mobile-number pattern of the reference (mainland China
-# numbering plan). The reference's class "[0-3,5-9]" also admits a literal
-# comma; the comma is dropped here on purpose.
+# The mobile-number pattern the jobs validate against
+# (mainland China numbering plan). A class written "[0-3,5-9]" would also
+# admit a literal comma; it is written "[0-35-9]" here on purpose.
 MOBILE_PATTERN = r"^(13[0-9]|14[579]|15[0-35-9]|16[6]|17[0135678]|18[0-9]|19[89])[0-9]{8}$"
 
 
