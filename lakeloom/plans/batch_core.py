@@ -12,6 +12,7 @@ from lakeloom.operators import aggregate as agg
 from lakeloom.operators import relational as rel
 from lakeloom.operators import text, windows
 from lakeloom.operators.joins import broadcast_if_small
+from lakeloom.plans import derived
 from lakeloom.plans.registry import query
 from lakeloom.tables import load
 
@@ -20,12 +21,6 @@ def as_double(c: Column) -> Column:
     return c.cast("double")
 
 
-def customer_phone() -> Column:
-    """Synthetic 11-digit mobile number per customer: '1', 30 + nation, custkey."""
-    return F.concat(F.lit("1"), (F.col("c_nationkey") + 30).cast("string"),
-                    F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
-
-
 @query("word_count")
 def q_word_count(spark: SparkSession, sf: str):
     return text.word_count(load(spark, sf, "documents"), "text")
@@ -222,13 +217,13 @@ def q_dedup_keep_first(spark, sf):
 
 @query("valid_mobile")
 def q_valid_mobile(spark, sf):
-    c = load(spark, sf, "customer").select("c_custkey", customer_phone().alias("phone"))
+    c = load(spark, sf, "customer").select("c_custkey", derived.phone().alias("phone"))
     return c.select("c_custkey", "phone", valid_mobile("phone").alias("is_valid"))
 
 
 @query("phone_prefix")
 def q_phone_prefix(spark, sf):
-    c = load(spark, sf, "customer").select("c_custkey", customer_phone().alias("phone"))
+    c = load(spark, sf, "customer").select("c_custkey", derived.phone().alias("phone"))
     return c.select("c_custkey", phone_prefix("phone", 7).alias("prefix"))
 
 

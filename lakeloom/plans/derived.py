@@ -50,6 +50,7 @@ def kafka_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def phone(custkey: str = "c_custkey", nationkey: str = "c_nationkey", base: int = 30) -> Column:
+    """Synthetic 11-digit mobile number: '1', base + nation, 8-digit key."""
     return F.concat(F.lit("1"), (F.col(nationkey) + base).cast("string"),
                     F.lpad(F.col(custkey).cast("string"), 8, "0"))
 

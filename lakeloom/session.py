@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,12 +89,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/lakeloom-scratch/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for tests that inspect files directly)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

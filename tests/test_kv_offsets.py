@@ -1,6 +1,5 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lakeloom.operators import kv
 from lakeloom.operators import offsets as off

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakeloom.streaming import ops, sinks
 from lakeloom.streaming.replay import run_available_now, stage_files
