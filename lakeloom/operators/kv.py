@@ -94,3 +94,22 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
 def rows_as_map(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Column:
     """Row as ``map<column name, value as string>``."""
     return F.create_map(*[x for c in cols for x in (F.lit(c), quoted(c).cast("string"))])
+
+
+def write_table(cells: DataFrame, path: str, num_partitions: int | None = None,
+                mode: str = "errorifexists") -> None:
+    """Store cells as a key-ordered parquet table: range-partitioned on
+    ``row_key`` and sorted within files, so each file and row group covers a
+    narrow key range and ``get``/``range_scan`` filters skip the rest via
+    parquet min/max statistics (the layout of a sorted key-value store)."""
+    keys = ["row_key", "family", "qualifier", "version"]
+    parts = (cells.repartitionByRange(num_partitions, "row_key") if num_partitions
+             else cells.repartitionByRange("row_key"))
+    parts.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+
+
+def read_table(spark, path: str) -> DataFrame:
+    return spark.read.schema(CELL_SCHEMA_DDL).parquet(path)
+
+
+CELL_SCHEMA_DDL = "row_key string, family string, qualifier string, version bigint, value string"

@@ -112,11 +112,16 @@ EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 @query("union_many")
 def q_union_many(spark, sf):
-    ev = load(spark, sf, "events")
-    parts = [ev.where(F.col("event_type") == t)
-             .select("event_id", "user_id", F.lit(t).alias("source"), "value")
-             for t in EVENT_TYPES]
-    return rel.union_many(parts)
+    """Five independently produced inputs with one positional shape
+    (key bigint, label string, amount double), unioned in one plan."""
+    parts = [
+        load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"),
+        load(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice"),
+        load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"),
+        load(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"),
+        load(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice"),
+    ]
+    return rel.union_many(parts).toDF("key", "label", "amount")
 
 
 @query("cast_all_to_string")

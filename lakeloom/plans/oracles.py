@@ -89,9 +89,13 @@ SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
 """
 
-ORACLES["union_many"] = " UNION ALL ".join(
-    f"SELECT event_id, user_id, '{t}' AS source, value FROM events WHERE event_type = '{t}'"
-    for t in ["view", "click", "purchase", "signup", "error"])
+ORACLES["union_many"] = """
+SELECT o_orderkey AS key, o_orderstatus AS label, o_totalprice AS amount FROM orders
+UNION ALL SELECT l_orderkey, l_returnflag, l_extendedprice FROM lineitem
+UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier
+UNION ALL SELECT p_partkey, p_brand, p_retailprice FROM part
+"""
 
 ORACLES["cast_all_to_string"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
