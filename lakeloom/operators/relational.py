@@ -111,3 +111,13 @@ def union_many_checkpointed(parts: Iterable[DataFrame], every: int = 64,
     if acc is None:
         raise ValueError("union_many_checkpointed needs at least one input")
     return acc
+
+
+def with_min_partitions(df: DataFrame, n: int | None) -> DataFrame:
+    """At least ``n`` partitions for CPU-heavy per-row work, like a text
+    read with a minimum partition count: a round-robin repartition happens
+    only when the input has fewer partitions (few large files); a large
+    input already split into many partitions is left untouched."""
+    if n and df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df

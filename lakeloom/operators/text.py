@@ -6,24 +6,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import java_split, lines
+from lakeloom.operators.relational import with_min_partitions
 
 
-def words(df: DataFrame, text_col: str = "text", sep: str = " ") -> DataFrame:
+def words(df: DataFrame, text_col: str = "text", sep: str = " ",
+          min_partitions: int | None = None) -> DataFrame:
     """One row per word of every line of ``text_col`` (flatMap of split)."""
+    df = with_min_partitions(df.select(text_col), min_partitions)
     return (
         df.select(F.explode(lines(text_col)).alias("line"))
         .select(F.explode(java_split("line", sep)).alias("word"))
     )
 
 
-def word_count(df: DataFrame, text_col: str = "text", sep: str = " ") -> DataFrame:
+def word_count(df: DataFrame, text_col: str = "text", sep: str = " ",
+               min_partitions: int | None = None) -> DataFrame:
     """Count of every word over whole texts.
 
     Plan: scan(text) → Generate → partial HashAggregate → Exchange(word) →
     final HashAggregate. The map-side partial aggregate bounds what a hot
     word ships through the shuffle to one row per map task.
     """
-    return words(df, text_col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return (words(df, text_col, sep, min_partitions)
+            .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
 
 
 def explode_split(df: DataFrame, keys: list[str], text_col: str, sep: str = " ") -> DataFrame:

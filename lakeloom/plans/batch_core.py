@@ -23,7 +23,8 @@ def as_double(c: Column) -> Column:
 
 @query("word_count")
 def q_word_count(spark: SparkSession, sf: str):
-    return text.word_count(load(spark, sf, "documents"), "text")
+    return text.word_count(load(spark, sf, "documents"), "text",
+                           min_partitions=spark.sparkContext.defaultParallelism)
 
 
 @query("split_tokens")
