@@ -48,7 +48,8 @@ def _epoch_seconds(ts: str | Column) -> Column:
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-                  lower_s: int, upper_s: int, how: str = "inner") -> DataFrame:
+                  lower_s: int, upper_s: int, how: str = "inner",
+                  bucket_s: int | None = None) -> DataFrame:
     """``right.ts BETWEEN left.ts + lower AND left.ts + upper`` on equal keys.
 
     Bucketing: the left side goes to bucket ``floor(ts / width)``; each right
@@ -56,8 +57,11 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     two when ``width = upper - lower``). Each pair is found exactly once, so
     ``inner`` and ``left`` outer both work directly. Column names of the two
     sides must be distinct except for ``key`` (taken from the left).
+    ``bucket_s`` (default ``upper - lower``) trades copies for group size:
+    a bucket k times wider copies a right row with probability about 1/k
+    but makes each (key, bucket) join group k times larger.
     """
-    width = max(upper_s - lower_s, 1)
+    width = max(bucket_s or (upper_s - lower_s), 1)
     lb = F.floor(_epoch_seconds(left_ts) / width).cast("bigint")
     rsec = _epoch_seconds(right_ts)
     rb_lo = F.floor((rsec - upper_s) / width).cast("bigint")

@@ -68,20 +68,19 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` (a shared file system such
-    as HDFS/S3). Only when nothing is configured (local runs and tests) a
-    private folder is created and registered as the checkpoint dir.
+    Uses the cluster's checkpoint directory (``spark.checkpoint.dir`` or one
+    set on the context), a shared file system such as HDFS or S3. Only when
+    nothing is configured (local runs and tests) is a private folder created.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-            "spark.checkpoint.dir", None
-        )
-    if not current:
-        current = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
+        configured = (spark.conf.get("spark.checkpoint.dir", None)
+                      or sc.getConf().get("spark.checkpoint.dir", None))
+        current = configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
         sc.setCheckpointDir(current)
-        spark.conf.set("spark.checkpoint.dir", current)
+        if not configured:
+            spark.conf.set("spark.checkpoint.dir", current)
     return current.rstrip("/")
 
 

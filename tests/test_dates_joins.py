@@ -32,6 +32,9 @@ def test_interval_join_matches_brute_force(spark):
             if ka == kb and ta <= tb <= ta + dt.timedelta(hours=1)}
     got = {(r.lid, r.rid) for r in joins.interval_join(L, R, "k", "lts", "rts", 0, 3600).collect()}
     assert got == want
+    for width in (600, 7200, 86400):  # any bucket width gives the same pairs
+        wide = joins.interval_join(L, R, "k", "lts", "rts", 0, 3600, bucket_s=width).collect()
+        assert sorted((r.lid, r.rid) for r in wide) == sorted(want)
     lo = joins.interval_join(L, R, "k", "lts", "rts", 0, 3600, "left").collect()
     matched = {a for a, _ in want}
     assert {(r.lid, r.rid) for r in lo if r.rid is not None} == want

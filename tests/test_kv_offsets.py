@@ -119,3 +119,8 @@ def test_union_many_checkpointed(spark):
     parts = [spark.range(i * 10, i * 10 + 10) for i in range(7)]
     out = union_many_checkpointed(parts, every=3)
     assert sorted(r.id for r in out.collect()) == list(range(70))
+
+
+def test_checkpoint_root_uses_configured_dir(spark, tmp):
+    from lakeloom.session import checkpoint_root
+    assert checkpoint_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
