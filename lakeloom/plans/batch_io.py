@@ -64,3 +64,27 @@ def q_empty_with_schema(spark, sf):
     """A typed empty placeholder unions cleanly with real inputs."""
     o = load(spark, sf, "orders")
     return rel.union_many([rel.empty_with_schema(spark, o.schema), o])
+
+
+def _orders_table(spark, sf):
+    location = scratch_path(spark, "orders-table")
+    name = "lakeloom_orders_" + location.rsplit("-", 1)[-1]
+    catalog.save_table(load(spark, sf, "orders"), name, location=location)
+    return name
+
+
+@query("scan_table")
+def q_scan_table(spark, sf):
+    """A catalog table read by name and queried with SQL."""
+    name = _orders_table(spark, sf)
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS max_key "
+                     f"FROM {name} GROUP BY o_orderstatus")
+
+
+@query("table_scan_pruned")
+def q_table_scan_pruned(spark, sf):
+    """Column list + WHERE predicate on a table: both reach the scan
+    (ReadSchema has three columns, PushedFilters holds the predicate)."""
+    t = catalog.scan(spark, _orders_table(spark, sf))
+    return t.select("o_orderkey", "o_custkey", "o_orderpriority") \
+        .where(F.col("o_orderpriority") == "1-URGENT")

@@ -527,3 +527,15 @@ SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'clic
 ORACLES["empty_with_schema"] = "SELECT * FROM orders"
 ORACLES["stream_csv"] = "SELECT * FROM events"
 ORACLES["stream_line_word_count"] = ORACLES["word_count"]
+ORACLES["scan_table"] = """
+SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS max_key FROM orders GROUP BY o_orderstatus
+"""
+ORACLES["table_scan_pruned"] = """
+SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'
+"""
+ORACLES["stream_parquet"] = "SELECT * FROM orders"
+ORACLES["stream_watermark_count"] = f"""
+SELECT * FROM ({ORACLES["tumbling_count"]})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+"""
+ORACLES["stream_late_drop"] = ORACLES["stream_sliding_count"]

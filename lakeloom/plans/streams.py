@@ -226,3 +226,40 @@ def q_stream_line_word_count(spark, sf):
     sink, _ = run_available_now(counts, None, "update", "linewc",
                                 foreach_batch=sinks.batch_log_writer)
     return sinks.latest_revision(spark.read.parquet(sink), ["word"])
+
+
+@query("stream_parquet")
+def q_stream_parquet(spark, sf):
+    """Default-format (parquet) file stream with a given schema → parquet sink."""
+    sink, _ = run_available_now(table_stream(spark, sf, "orders"), "parquet", "append",
+                                "parquetstream")
+    return spark.read.parquet(sink)
+
+
+@query("stream_watermark_count")
+def q_stream_watermark_count(spark, sf):
+    """Hourly windows with a 10-minute watermark in append mode: each window
+    is written once, after it closes; the still-open last one is withheld."""
+    counts = ops.windowed_count(events_stream(spark, sf), "ts", ["event_type"], "1 hour",
+                                watermark="10 minutes")
+    sink, _ = run_available_now(counts, "parquet", "append", "wmcount")
+    return spark.read.parquet(sink).withColumns(ntz("window_start", "window_end"))
+
+
+@query("stream_late_drop")
+def q_stream_late_drop(spark, sf):
+    """Late data: all events arrive in a first drop; a second drop repeats
+    the first day's events after the watermark has passed them. They are
+    dropped as late, so the sliding counts equal those of the events once."""
+    ev = load(spark, sf, "events")
+    first_day = ev.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
+    inbox = scratch_path(spark, "late-in")
+    base = scratch_path(spark, "late")
+    sink = None
+    for i, drop in enumerate([ev, first_day]):
+        drop.write.parquet(f"{inbox}/d{i}")
+        s = ops.event_time(file_stream(spark, f"{inbox}/d*", ev.schema), "ts")
+        counts = ops.windowed_count(s, "ts", ["event_type"], "10 minutes", "5 minutes",
+                                    watermark="10 minutes")
+        sink, _ = run_available_now(counts, "parquet", "append", "late", base=base)
+    return spark.read.parquet(sink).withColumns(ntz("window_start", "window_end"))
