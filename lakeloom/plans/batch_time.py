@@ -70,3 +70,15 @@ def q_ip_range_join(spark, sf):
     out = joins.range_join(pts, derived.geo_ranges(spark, sf), "ip_num", "lo", "hi",
                            bucket_bits=24)
     return out.select("event_id", "ip", "country", "region")
+
+
+@query("ip_visitors_bitmap")
+def q_ip_visitors_bitmap(spark, sf):
+    """Distinct visitor IPs per day with bitmaps: an IPv4 address is exactly
+    a 32-bit number, so bit positions need no hashing and the count is exact."""
+    from lakeloom.operators.aggregate import bitmap_count_distinct
+
+    ev = load(spark, sf, "events")
+    visits = ev.select(F.to_date("ts").alias("day"),
+                       joins.ip_to_long(joins.long_to_ip(derived.ip_long())).alias("ip_num"))
+    return bitmap_count_distinct(visits, ["day"], "ip_num", "visitors")

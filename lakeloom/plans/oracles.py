@@ -539,3 +539,6 @@ SELECT * FROM ({ORACLES["tumbling_count"]})
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
 """
 ORACLES["stream_late_drop"] = ORACLES["stream_sliding_count"]
+ORACLES["ip_visitors_bitmap"] = f"""
+SELECT CAST(ts AS DATE) AS day, count(DISTINCT {_IP}) AS visitors FROM events GROUP BY 1
+"""
