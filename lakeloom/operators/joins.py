@@ -27,15 +27,23 @@ def row_bytes(df: DataFrame) -> int:
     return total
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int,
-                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES,
+                       materialize: bool = True) -> DataFrame:
     """Broadcast hint only after proving the side is small.
 
     The bound is ``min(max_rows, max_bytes / estimated row size)`` and the
-    proof is ``limit(bound + 1).count() <= bound``, so a large input stops
-    scanning early. Above the bound the plain frame is returned and Spark
-    plans a shuffle join (AQE may still broadcast it if it turns small).
+    proof is ``limit(bound + 1).count() <= bound``. With ``materialize``
+    (default) the side is first written once as a reliable checkpoint in
+    the shared checkpoint directory, so an expensive side (say, an
+    aggregate over the whole input) is computed once — not once for the
+    check and again for the join — and survives executor loss. Above the
+    bound the checkpointed frame is returned unhinted and Spark plans a
+    shuffle join. ``materialize=False`` suits plain scans of small tables.
     """
+    if materialize:
+        from lakeloom.operators.relational import cut_lineage
+
+        df = cut_lineage(df)
     bound = max(0, min(max_rows, max_bytes // row_bytes(df)))
     if df.limit(bound + 1).count() <= bound:
         return F.broadcast(df)

@@ -245,7 +245,7 @@ def q_exact_decimal_sum(spark, sf):
 @query("max_by_groups")
 def q_max_by_groups(spark, sf):
     """Broadcast-checked lookup: nation names attached to customers."""
-    nation = broadcast_if_small(load(spark, sf, "nation"), 10_000)
+    nation = broadcast_if_small(load(spark, sf, "nation"), 10_000, materialize=False)
     c = load(spark, sf, "customer")
     return c.join(nation, c.c_nationkey == nation.n_nationkey).groupBy("n_name").agg(
         F.max_by("c_custkey", F.struct("c_acctbal", "c_custkey")).alias("top_custkey"))
