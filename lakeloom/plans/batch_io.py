@@ -88,3 +88,19 @@ def q_table_scan_pruned(spark, sf):
     t = catalog.scan(spark, _orders_table(spark, sf))
     return t.select("o_orderkey", "o_custkey", "o_orderpriority") \
         .where(F.col("o_orderpriority") == "1-URGENT")
+
+
+@query("observed_metrics")
+def q_observed_metrics(spark, sf):
+    """Metrics collected on the side of a write (the accumulator pattern):
+    rows and value in cents are observed while events are written, then
+    returned as one row."""
+    from pyspark.sql import Observation
+
+    obs = Observation("events_written")
+    ev = load(spark, sf, "events")
+    observed = ev.observe(obs, F.count(F.lit(1)).alias("n"),
+                          F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("value_cents"))
+    observed.write.parquet(scratch_path(spark, "observed"))
+    m = obs.get
+    return spark.createDataFrame([(m["n"], m["value_cents"])], "n bigint, value_cents bigint")

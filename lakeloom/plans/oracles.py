@@ -542,3 +542,6 @@ ORACLES["stream_late_drop"] = ORACLES["stream_sliding_count"]
 ORACLES["ip_visitors_bitmap"] = f"""
 SELECT CAST(ts AS DATE) AS day, count(DISTINCT {_IP}) AS visitors FROM events GROUP BY 1
 """
+ORACLES["observed_metrics"] = """
+SELECT count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents FROM events
+"""
