@@ -104,3 +104,19 @@ def q_observed_metrics(spark, sf):
     observed.write.parquet(scratch_path(spark, "observed"))
     m = obs.get
     return spark.createDataFrame([(m["n"], m["value_cents"])], "n bigint, value_cents bigint")
+
+
+@query("catalog_ops")
+def q_catalog_ops(spark, sf):
+    """DDL-created table, insert, refresh, existence and listing checks,
+    then a grouped read of the table."""
+    location = scratch_path(spark, "customer-ddl")
+    name = "lakeloom_customer_" + location.rsplit("-", 1)[-1]
+    catalog.create_table(spark, name, "c_custkey bigint, c_name string, c_mktsegment string",
+                         location)
+    load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment") \
+        .write.insertInto(name)
+    catalog.refresh(spark, name)
+    listed = catalog.exists(spark, name) and name in catalog.list_tables(spark)
+    return catalog.scan(spark, name).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(listed).alias("listed"))

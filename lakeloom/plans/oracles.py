@@ -545,3 +545,6 @@ SELECT CAST(ts AS DATE) AS day, count(DISTINCT {_IP}) AS visitors FROM events GR
 ORACLES["observed_metrics"] = """
 SELECT count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents FROM events
 """
+ORACLES["catalog_ops"] = """
+SELECT c_mktsegment, count(*) AS n, true AS listed FROM customer GROUP BY c_mktsegment
+"""
