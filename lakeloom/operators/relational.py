@@ -118,6 +118,10 @@ def with_min_partitions(df: DataFrame, n: int | None) -> DataFrame:
     read with a minimum partition count: a round-robin repartition happens
     only when the input has fewer partitions (few large files); a large
     input already split into many partitions is left untouched."""
-    if n and df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+    if not n:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a remote session)
+        return df
+    return df.repartition(n) if current < n else df

@@ -14,6 +14,7 @@ from lakeloom.operators import text, windows
 from lakeloom.operators.joins import broadcast_if_small
 from lakeloom.plans import derived
 from lakeloom.plans.registry import query
+from lakeloom.session import default_parallelism
 from lakeloom.tables import load
 
 
@@ -24,7 +25,7 @@ def as_double(c: Column) -> Column:
 @query("word_count")
 def q_word_count(spark: SparkSession, sf: str):
     return text.word_count(load(spark, sf, "documents"), "text",
-                           min_partitions=spark.sparkContext.defaultParallelism)
+                           min_partitions=default_parallelism(spark))
 
 
 @query("split_tokens")

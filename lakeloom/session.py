@@ -72,18 +72,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     set on the context), a shared file system such as HDFS or S3. Only when
     nothing is configured (local runs and tests) is a private folder created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a context handle)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
-        configured = (spark.conf.get("spark.checkpoint.dir", None)
-                      or sc.getConf().get("spark.checkpoint.dir", None))
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and sc is not None:
+            configured = sc.getConf().get("spark.checkpoint.dir", None)
         current = configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        sc.setCheckpointDir(current)
+        if sc is not None:
+            sc.setCheckpointDir(current)
         if not configured:
             spark.conf.set("spark.checkpoint.dir", current)
     return current.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int | None:
+    """Total task slots of the cluster (None when the session cannot tell)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark)

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.session import scratch_path
 
+# Progress of runs per label (for plan/state reports; cleared by the caller).
+LAST_PROGRESS: dict[str, list[dict]] = {}
+
 
 def stage_files(batches: list[DataFrame], path: str, fmt: str = "parquet",
                 pause_s: float = 0.0, single_file: bool = False, **options) -> str:
@@ -55,4 +58,5 @@ def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, labe
         raise TimeoutError(f"stream {label} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    LAST_PROGRESS.setdefault(label, []).extend(q.recentProgress)
     return sink, q
