@@ -73,10 +73,16 @@ def offset_ledger_writer(path: str, value_col: str = "value") -> Callable[[DataF
     until-offset together with the newest payload, in one write keyed by
     batch id (empty batches write nothing)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # One pass over the batch: reduce it to one row per partition, keep
+        # that small result for the emptiness guard and the write.
         snap = off.offset_snapshot(batch, value_col).withColumn("batch_id", F.lit(batch_id))
-        snap.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        snap = snap.persist()
+        try:
+            if snap.isEmpty():
+                return
+            snap.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            snap.unpersist()
     return write
 
 

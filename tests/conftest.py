@@ -18,8 +18,10 @@ def spark():
     s = build_session(master="local[4]", shuffle_partitions=8,
                       extra_conf={"spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("FATAL")
-    # Tests own their checkpoint root (a cluster provides spark.checkpoint.dir).
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-test-ckpt-"))
+    # Use the configured spark.checkpoint.dir; only when none is set do the
+    # tests create their own.
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakeloom-test-ckpt-"))
     yield s
 
 
