@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakeloom.functions.json import infer_object_schema, json_map, parse
 from lakeloom.operators.relational import quoted
 
+# The element-boundary marker inserted after "}," before splitting.
 ELEMENT_MARK = "^*^*"
 
 

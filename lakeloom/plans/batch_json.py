@@ -126,5 +126,6 @@ def q_json_to_cells(spark, sf):
     c = load(spark, sf, "customer").select(
         derived.phone().alias("phone"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
-    cells = reshape.unpivot_cells(c, F.col("phone"), "cf", ["name", "segment", "nation"])
+    cells = reshape.unpivot_cells(c, F.col("phone"), derived.CONTACT_FAMILY,
+                                  ["name", "segment", "nation"])
     return reshape.sorted_cells(cells).select("row_key", "family", "qualifier", "value")

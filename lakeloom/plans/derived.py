@@ -11,7 +11,10 @@ from lakeloom.operators.joins import long_to_ip
 from lakeloom.operators.reshape import unpivot_cells
 from lakeloom.tables import load
 
+# Topic name of the application-log stream and the column
+# family of the contact cells.
 TOPIC = "app_logs"
+CONTACT_FAMILY = "cf"
 N_PARTITIONS = 4
 MICROS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 IP_MULT = 2654435761  # Knuth's multiplicative hash constant
