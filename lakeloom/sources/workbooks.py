@@ -84,7 +84,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+    """Files are packed into partitions of at most ``maxPartitionBytes``,
+    which also bounds the bytes a task holds in one Arrow batch."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    # One file per Arrow batch keeps task memory at one workbook.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     return files.select("path", "content").mapInPandas(_parse_batches, SCHEMA)
