@@ -93,3 +93,19 @@ def committed_offsets(ledger: DataFrame) -> DataFrame:
     return (ledger.groupBy("topic", "partition")
             .agg(F.max("until_offset").alias("until_offset"),
                  F.max_by("data", "until_offset").alias("data")))
+
+
+def at_least_once_writer(ledger_path: str, process: Callable[[DataFrame, int], None]
+                         ) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that first records, per (topic, partition), the
+    offset the batch starts from, then processes it. A crash during
+    ``process`` leaves the ledger pointing at the batch start, so a consumer
+    resuming from the ledger replays the batch (at-least-once); the default
+    checkpointed path (``offset_ledger_writer``) is exactly-once instead."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        starts = (batch.groupBy("topic", "partition")
+                  .agg(F.min("offset").alias("from_offset"))
+                  .withColumn("batch_id", F.lit(batch_id)))
+        starts.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+        process(batch, batch_id)
+    return write

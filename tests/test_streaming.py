@@ -161,3 +161,25 @@ def test_foreach_batch_replay_after_crash_is_exactly_once(spark, tmp):
     run(log)  # restart from the checkpoint: batch 0 is replayed
     out = spark.read.parquet(sink)
     assert out.count() == 10 and out.select("id").distinct().count() == 10
+
+
+def test_at_least_once_writer_records_start_before_processing(spark, tmp):
+    schema = "topic string, partition int, offset bigint, value string"
+    rows = [("t", p, o, f"v{o}") for p in (0, 1) for o in range(p * 10, p * 10 + 5)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp}/in/d0")
+    seen = {}
+
+    def process(batch, batch_id):
+        seen["ledger_before"] = spark.read.parquet(f"{tmp}/ledger").count()
+        raise RuntimeError("crash while processing")
+
+    s = file_stream(spark, f"{tmp}/in/*", schema)
+    q = s.writeStream.foreachBatch(sinks.at_least_once_writer(f"{tmp}/ledger", process)) \
+        .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start()
+    try:
+        q.awaitTermination(120)
+    except Exception:  # noqa: BLE001
+        pass
+    assert seen["ledger_before"] == 2  # from-offsets were saved before processing
+    led = {r.partition: r.from_offset for r in spark.read.parquet(f"{tmp}/ledger").collect()}
+    assert led == {0: 0, 1: 10}
