@@ -170,6 +170,7 @@ def q_stream_global_count(spark, sf):
     c = spark.sql(f"SELECT count(*) AS n FROM {view}")
     sink, _ = run_available_now(c, None, "complete", "globalcount",
                                 foreach_batch=sinks.batch_log_writer)
+    spark.catalog.dropTempView(view)
     log = spark.read.parquet(sink)
     return log.agg(F.max_by("n", "batch_id").alias("n"))
 
