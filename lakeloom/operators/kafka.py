@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators.reshape import flatten
 from lakeloom.schemas import APP_LOG_SCHEMA
 
-FIELDS = ["create_time", "user_uuid", "ip", "imei"]
+FIELDS = [f.name for f in APP_LOG_SCHEMA.fields if f.name != "events"]
 
 
 def parse_app_log(records: DataFrame, fields=FIELDS) -> DataFrame:

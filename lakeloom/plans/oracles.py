@@ -244,10 +244,13 @@ SELECT c_custkey, c_name AS contacts_name, {_PHONE} AS contacts_phone FROM custo
 UNION ALL SELECT c_custkey, c_mktsegment, {_PHONE60} FROM customer
 """
 
+_NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in
+                   ["imei", "mac", "os_version", "bu", "app_version", "net", "gps"])
+
 ORACLES["kafka_json_parse"] = f"""
 SELECT CAST(user_id AS VARCHAR) AS key, 'app_logs' AS topic, CAST(event_id AS VARCHAR) AS "offset",
   {_TS6} AS create_time, CAST(user_id AS VARCHAR) AS user_uuid, {_IP} AS ip,
-  CAST(NULL AS VARCHAR) AS imei, {_EVENTS_JSON} AS events
+  {_NULLS}, {_EVENTS_JSON} AS events
 FROM events
 """
 
