@@ -33,20 +33,26 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     """
     if sample_fraction is not None:
         df = df.sample(fraction=sample_fraction, seed=seed)
-    kv = df.select(F.explode(json_map(c)).alias("k", "v")).where(F.col("v").isNotNull())
+    kv = df.select(F.explode(json_map(c)).alias("k", "v"))
     v = F.col("v")
+
+    def every(cond):  # over non-null values only; keys with only nulls → string
+        return F.bool_and(F.when(v.isNull(), F.lit(True)).otherwise(cond))
+
     stats = kv.groupBy("k").agg(
-        F.bool_and(F.lower(v).isin("true", "false")).alias("is_bool"),
-        F.bool_and(v.rlike(r"^-?[0-9]+$") & v.try_cast("bigint").isNotNull()).alias("is_long"),
-        F.bool_and(v.try_cast("double").isNotNull() & v.rlike(r"^-?[0-9.eE+-]+$")).alias("is_num"),
+        F.count(v).alias("n"),
+        every(F.lower(v).isin("true", "false")).alias("is_bool"),
+        every(v.rlike(r"^-?[0-9]+$") & v.try_cast("bigint").isNotNull()).alias("is_long"),
+        every(v.try_cast("double").isNotNull() & v.rlike(r"^-?[0-9.eE+-]+$")).alias("is_num"),
     )
     rows = stats.limit(max_keys + 1).collect()
     if len(rows) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
     fields = []
     for r in sorted(rows, key=lambda r: r["k"]):
-        t = (T.BooleanType() if r["is_bool"] else T.LongType() if r["is_long"]
-             else T.DoubleType() if r["is_num"] else T.StringType())
+        t = (T.StringType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
+             else T.LongType() if r["is_long"] else T.DoubleType() if r["is_num"]
+             else T.StringType())
         fields.append(T.StructField(r["k"], t))
     return T.StructType(fields)
 

@@ -37,11 +37,12 @@ def test_json_entries_and_malformed(spark):
 
 
 def test_infer_object_schema(spark):
-    df = spark.createDataFrame([('{"k": 1, "f": 1.5, "b": true}',), ('{"k": 2, "s": "x"}',)],
-                               "j string")
+    df = spark.createDataFrame([('{"k": 1, "f": 1.5, "b": true, "z": null}',),
+                                ('{"k": 2, "s": "x", "f": 2}',)], "j string")
     sch = infer_object_schema(df, "j")
     assert [(f.name, f.dataType) for f in sch.fields] == [
-        ("b", T.BooleanType()), ("f", T.DoubleType()), ("k", T.LongType()), ("s", T.StringType())]
+        ("b", T.BooleanType()), ("f", T.DoubleType()), ("k", T.LongType()), ("s", T.StringType()),
+        ("z", T.StringType())]
     out = reshape.infer_and_parse(df, [], "j").collect()
     assert out[1].s == "x" and out[0].s is None
 
