@@ -50,9 +50,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADC
     return df
 
 
-def _epoch_seconds(ts: str | Column) -> Column:
+def _epoch_micros(ts: str | Column) -> Column:
+    """Exact integer microseconds (fractional seconds as doubles would lose
+    the last digits and could misplace edge rows across bucket borders)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp")) / F.lit(1_000_000)
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def _floor_div(x: Column, d: int) -> Column:
+    # x and d are exact integers below 2**53, so the quotient is correctly
+    # rounded and its floor is the integer floor division.
+    return F.floor(x / F.lit(d)).cast("bigint")
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
@@ -69,11 +77,11 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     a bucket k times wider copies a right row with probability about 1/k
     but makes each (key, bucket) join group k times larger.
     """
-    width = max(bucket_s or (upper_s - lower_s), 1)
-    lb = F.floor(_epoch_seconds(left_ts) / width).cast("bigint")
-    rsec = _epoch_seconds(right_ts)
-    rb_lo = F.floor((rsec - upper_s) / width).cast("bigint")
-    rb_hi = F.floor((rsec - lower_s) / width).cast("bigint")
+    width_us = max(bucket_s or (upper_s - lower_s), 1) * 1_000_000
+    lb = _floor_div(_epoch_micros(left_ts), width_us)
+    rus = _epoch_micros(right_ts)
+    rb_lo = _floor_div(rus - F.lit(upper_s * 1_000_000), width_us)
+    rb_hi = _floor_div(rus - F.lit(lower_s * 1_000_000), width_us)
     l2 = left.withColumn("_bucket", lb)
     r2 = (right.withColumnRenamed(key, "_rkey")
           .withColumn("_bucket", F.explode(F.sequence(rb_lo, rb_hi))))
@@ -112,7 +120,7 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: st
     they touch. The exploded range table is broadcast after a checked row
     count, else shuffle-joined on the bucket.
     """
-    rb = ranges.withColumn("_bucket", F.explode(F.sequence(
+    rb = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_bucket", F.explode(F.sequence(
         F.shiftright(F.col(lo), bucket_bits), F.shiftright(F.col(hi), bucket_bits))))
     rb = broadcast_if_small(rb, max_broadcast_rows)
     p = points.withColumn("_bucket", F.shiftright(F.col(point), bucket_bits))

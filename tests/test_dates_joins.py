@@ -77,3 +77,18 @@ def test_broadcast_bound_uses_bytes(spark):
     assert hinted(joins.broadcast_if_small(wide, 10_000))
     # 1000 rows fit the row bound but not a 10 KB byte bound
     assert not hinted(joins.broadcast_if_small(wide, 10_000, max_bytes=10_000))
+
+
+def test_interval_join_edges_at_bucket_borders(spark):
+    # pairs exactly at the interval edges, with left times on bucket borders
+    base = dt.datetime(2024, 1, 1, 0, 0, 0)
+    us = dt.timedelta(microseconds=1)
+    left = [(1, 1, base), (2, 1, base - us), (3, 1, base + dt.timedelta(hours=1) - us)]
+    right = [(10, 1, base), (11, 1, base + dt.timedelta(hours=1)), (12, 1, base + dt.timedelta(hours=1) - us),
+             (13, 1, base + dt.timedelta(hours=2) - us), (14, 1, base + dt.timedelta(hours=2))]
+    L = spark.createDataFrame(left, "lid int, k int, lts timestamp")
+    R = spark.createDataFrame(right, "rid int, k int, rts timestamp")
+    want = {(a, b) for a, _, ta in left for b, _, tb in right
+            if ta <= tb <= ta + dt.timedelta(hours=1)}
+    got = {(r.lid, r.rid) for r in joins.interval_join(L, R, "k", "lts", "rts", 0, 3600).collect()}
+    assert got == want and (3, 13) in want and (1, 11) in want
