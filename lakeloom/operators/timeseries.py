@@ -10,13 +10,27 @@ from pyspark.sql import functions as F
 from lakeloom.functions.dates import month_offsets
 
 
+_UNIT_SECONDS = {"microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60,
+                 "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(text: str) -> float:
+    """Seconds in an interval string such as ``"1 minute 30 seconds"``."""
+    words = text.lower().replace("interval", "").split()
+    if not words or len(words) % 2:
+        raise ValueError(f"cannot parse duration {text!r}")
+    total = 0.0
+    for n, unit in zip(words[::2], words[1::2]):
+        unit = unit.rstrip("s")
+        if unit not in _UNIT_SECONDS:
+            raise ValueError(f"unknown unit in duration {text!r}")
+        total += float(n) * _UNIT_SECONDS[unit]
+    return total
+
+
 def check_window(window: str, slide: str | None) -> None:
     """Slide must be positive and no longer than the window."""
-    def seconds(s: str) -> float:
-        n, unit = s.split()[0], s.split()[1].rstrip("s")
-        mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit]
-        return float(n) * mult
-    if slide is not None and not (0 < seconds(slide) <= seconds(window)):
+    if slide is not None and not (0 < duration_seconds(slide) <= duration_seconds(window)):
         raise ValueError(f"slide {slide!r} must be > 0 and <= window {window!r}")
 
 

@@ -20,6 +20,10 @@ def test_slide_must_not_exceed_window():
     with pytest.raises(ValueError):
         timeseries.check_window("5 minutes", "10 minutes")
     timeseries.check_window("10 minutes", "5 minutes")
+    timeseries.check_window("1 minute 30 seconds", "500 milliseconds")
+    assert timeseries.duration_seconds("1 hour 30 minutes") == 5400
+    with pytest.raises(ValueError):
+        timeseries.duration_seconds("guid")
 
 
 def test_interval_join_matches_brute_force(spark):
