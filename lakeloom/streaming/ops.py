@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import java_split
-from lakeloom.operators.timeseries import check_window
+from lakeloom.operators.timeseries import check_window, duration_seconds
+
+
+def watermarked(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """``withWatermark`` after checking that ``delay`` is a duration."""
+    if duration_seconds(delay) < 0:
+        raise ValueError(f"negative watermark delay {delay!r}")
+    return df.withWatermark(ts, delay)
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:
@@ -43,7 +50,7 @@ def windowed_count(df: DataFrame, ts: str, keys: Sequence[str], window: str,
     """
     check_window(window, slide)
     if watermark:
-        df = df.withWatermark(ts, watermark)
+        df = watermarked(df, ts, watermark)
     w = F.window(F.col(ts), window, slide) if slide else F.window(F.col(ts), window)
     return (df.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -58,12 +65,12 @@ def dedup(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dedup_with_watermark(df: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """Dedup on keys that include the event time; state older than the
     watermark is evicted."""
-    return df.withWatermark(ts, delay).dropDuplicates([*keys, ts] if ts not in keys else list(keys))
+    return watermarked(df, ts, delay).dropDuplicates([*keys, ts] if ts not in keys else list(keys))
 
 
 def dedup_within_watermark(df: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """Drop repeats of a key arriving within ``delay`` of the first one."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    return watermarked(df, ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def interval_join(left: DataFrame, right: DataFrame, key_left: str, key_right: str,
@@ -72,8 +79,8 @@ def interval_join(left: DataFrame, right: DataFrame, key_left: str, key_right: s
     """``right.ts BETWEEN left.ts AND left.ts + upper`` on equal keys, both
     sides watermarked (the global watermark is the minimum). Left outer
     emits unmatched left rows once the watermark has passed them."""
-    lw = left.withWatermark(left_ts, left_delay)
-    rw = right.withWatermark(right_ts, right_delay)
+    lw = watermarked(left, left_ts, left_delay)
+    rw = watermarked(right, right_ts, right_delay)
     cond = F.expr(f"{key_right} = {key_left} AND {right_ts} >= {left_ts} "
                   f"AND {right_ts} <= {left_ts} + interval {upper}")
     return lw.join(rw, cond, how)

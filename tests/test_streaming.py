@@ -65,6 +65,12 @@ def test_checkpoint_resume_no_loss_no_duplicates(spark, tmp):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
+def test_watermark_delay_is_validated(spark):
+    df = spark.createDataFrame([("g", T0)], "guid string, eventTime timestamp")
+    with pytest.raises(ValueError):
+        ops.dedup_with_watermark(df, "eventTime", "guid", ["guid"])
+
+
 def test_trigger_and_sink_validation():
     with pytest.raises(ValueError):
         sinks.trigger_kwargs(processing_time="10 seconds", continuous="1 second")
