@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ def explode_json_text(df: DataFrame, keys: Sequence[str], c: str, out: str = "el
     """
     body = F.substring_index(F.substring_index(F.col(c), "[", -1), "]", 1)
     marked = F.regexp_replace(body, "},", "}" + ELEMENT_MARK)
-    return df.select(*keys, F.explode(F.split(marked, r"\^\*\^\*")).alias(out))
+    return df.select(*keys, F.explode(F.split(marked, re.escape(ELEMENT_MARK))).alias(out))
 
 
 def explode_json_array(df: DataFrame, keys: Sequence[str], c: str,
