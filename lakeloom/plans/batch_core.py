@@ -28,6 +28,12 @@ def q_word_count(spark: SparkSession, sf: str):
                            min_partitions=default_parallelism(spark))
 
 
+@query("conversation_word_count")
+def q_conversation_word_count(spark: SparkSession, sf: str):
+    return text.word_count(load(spark, sf, "conversations"), "text",
+                           min_partitions=default_parallelism(spark))
+
+
 @query("split_tokens")
 def q_split_tokens(spark, sf):
     return text.split_tokens(load(spark, sf, "conversations"), ["conv_id", "turn"], "text",

@@ -21,6 +21,12 @@ words AS (SELECT unnest({_JAVA_SPLIT.format(l='l')}) AS word FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """
 
+ORACLES["conversation_word_count"] = f"""
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM conversations),
+words AS (SELECT unnest({_JAVA_SPLIT.format(l='l')}) AS word FROM lines)
+SELECT word, count(*) AS cnt FROM words GROUP BY word
+"""
+
 ORACLES["split_tokens"] = """
 SELECT conv_id, turn,
   len(string_split(text, ',')) AS n_comma, string_split(text, ',')[1] AS first_comma,
