@@ -80,3 +80,23 @@ def q_kv_upsert(spark, sf):
         "c_custkey", "c_name", F.lit("OVERDRAWN").alias("c_mktsegment"),
         F.lit(0.0).alias("c_acctbal"))
     return kv.upsert(base, changes, ["c_custkey"])
+
+
+def _bucketed_cells(spark, sf, buckets: int = 8):
+    location = scratch_path(spark, "cells-bucketed")
+    name = "lakeloom_cells_" + location.rsplit("-", 1)[-1]
+    kv.save_bucketed(derived.customer_cells(spark, sf), name, buckets, location)
+    return spark.table(name)
+
+
+@query("cells_to_rows_bucketed")
+def q_cells_to_rows_bucketed(spark, sf):
+    """Rows from a bucketed cell table: the pivots and their join need no
+    shuffle, because the scan is already partitioned by row key."""
+    return _rows(_bucketed_cells(spark, sf))
+
+
+@query("kv_get_bucketed")
+def q_kv_get_bucketed(spark, sf):
+    """Point get on the bucketed table: only the key's bucket is read."""
+    return kv.latest_cells(kv.get(_bucketed_cells(spark, sf), "0000000042"))

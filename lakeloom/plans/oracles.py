@@ -557,3 +557,5 @@ SELECT count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS
 ORACLES["catalog_ops"] = """
 SELECT c_mktsegment, count(*) AS n, true AS listed FROM customer GROUP BY c_mktsegment
 """
+ORACLES["cells_to_rows_bucketed"] = ORACLES["cells_to_rows"]
+ORACLES["kv_get_bucketed"] = ORACLES["kv_get"]
