@@ -45,22 +45,20 @@ def test_group_totals_join_not_window(built):
     assert "Window" not in p.replace("WindowGroupLimit", "")
 
 
+def _formatted(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def test_bucketed_cells_need_no_shuffle(built):
     rows = built["cells_to_rows_bucketed"]
     rows.collect()
     assert "Exchange hashpartitioning" not in plan(rows)
     get = built["kv_get_bucketed"]
     get.collect()
-    p = plan(get)
-    assert "SelectedBucketsCount: 1 out of" in get._jdf.queryExecution().executedPlan() \
-        .toString() or "SelectedBucketsCount: 1 out of" in p or _formatted(get)
-    assert "Exchange" not in p
-
-
-def _formatted(df):
-    import io
-    import contextlib
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return "SelectedBucketsCount: 1 out of" in buf.getvalue()
+    assert "Exchange" not in plan(get)
+    assert "SelectedBucketsCount: 1 out of" in _formatted(get)
