@@ -104,3 +104,13 @@ def test_union_count_is_additive(spark, parts):
     from lakeloom.operators.relational import union_many
     dfs = [spark.createDataFrame(p, "k string, t int, v int") for p in parts]
     assert union_many(dfs).count() == sum(len(p) for p in parts)
+
+
+def test_people_json_inferred_like_read_json(spark):
+    from lakeloom.operators.reshape import infer_and_parse
+    raw = spark.createDataFrame([(p,) for p in PEOPLE], "value string")
+    df = infer_and_parse(raw, [], "value")
+    assert df.schema.simpleString() == "struct<age:bigint,name:string>"
+    rows = sorted((r.name, r.age) for r in df.collect() if r.age is not None)
+    assert len(df.collect()) == 9 and rows[0] == ("lisi", 20)
+    assert df.where("age IS NULL").first().name == "zhangsan"
