@@ -44,3 +44,18 @@ def test_range_join_inner_drops_unmatched(spark):
     P = spark.createDataFrame([(1, 15), (2, 25)], "id int, p bigint")
     got = [(r.id, r.name) for r in joins.range_join(P, R, "p", "lo", "hi", 2, how="inner").collect()]
     assert got == [(1, "A")]
+
+
+def test_ints_5_arith_and_even_filter(spark):
+    from lakeloom.operators.relational import where, with_exprs
+    df = spark.createDataFrame([(x,) for x in (1, 2, 3, 4, 100000000)], "x int")
+    assert [r.y for r in with_exprs(df, {"y": "x + 1"}).collect()] == [2, 3, 4, 5, 100000001]
+    assert [r.x for r in where(df, "x % 2 = 0").collect()] == [2, 4, 100000000]
+
+
+def test_skill_string_explodes_to_rows(spark):
+    from lakeloom.operators.text import explode_split
+    df = spark.createDataFrame([("2018-01-22 00:00:00", "Spark Hadoop Hbase Hive Kafka Storm", 3)],
+                               "date string, skill string, num int")
+    out = [r.token for r in explode_split(df, ["num"], "skill", " ").collect()]
+    assert out == ["Spark", "Hadoop", "Hbase", "Hive", "Kafka", "Storm"]
