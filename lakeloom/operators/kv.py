@@ -123,8 +123,12 @@ def save_bucketed(cells: DataFrame, name: str, num_buckets: int, location: str |
     grouping by key (rows from cells, newest versions) and joins on the key
     run without a shuffle, and an equality filter on ``row_key`` reads one
     bucket only. Choose ``num_buckets`` so a bucket file is ~256 MB-1 GB.
+    The rows are first hash-partitioned on ``row_key`` into ``num_buckets``
+    partitions (the same hash as bucketing), so each bucket is written by one
+    task as one file instead of one file per writing task and bucket.
     """
-    w = (cells.write.format("parquet").mode(mode).bucketBy(num_buckets, "row_key")
+    w = (cells.repartition(num_buckets, "row_key")
+         .write.format("parquet").mode(mode).bucketBy(num_buckets, "row_key")
          .sortBy("row_key", "family", "qualifier", "version"))
     if location:
         w = w.option("path", location)
