@@ -559,3 +559,8 @@ SELECT c_mktsegment, count(*) AS n, true AS listed FROM customer GROUP BY c_mkts
 """
 ORACLES["cells_to_rows_bucketed"] = ORACLES["cells_to_rows"]
 ORACLES["kv_get_bucketed"] = ORACLES["kv_get"]
+ORACLES["stream_ledger_resume"] = _REC + """
+SELECT '{"app_logs":{' || string_agg('"' || partition || '":' || u, ',' ORDER BY partition) || '}}'
+  AS starting_offsets
+FROM (SELECT partition, max("offset") + 1 AS u FROM rec GROUP BY partition)
+"""

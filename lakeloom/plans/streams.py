@@ -175,12 +175,10 @@ def q_stream_global_count(spark, sf):
     return log.agg(F.max_by("n", "batch_id").alias("n"))
 
 
-@query("stream_offset_ledger")
-def q_stream_offset_ledger(spark, sf):
-    """Per micro-batch, until-offset and newest payload of every partition
-    saved together (foreachBatch). Records arrive in three drops; after each
-    drop the query restarts from its checkpoint, so every drop is its own
-    batch and recovery is exercised. The committed ledger is read back."""
+def _run_ledger(spark, sf):
+    """Records arrive in three drops; after each drop the ledger query
+    restarts from its checkpoint, so every drop is its own micro-batch.
+    Returns the ledger log (one folder per batch id)."""
     rec = derived.kafka_records(spark, sf).withColumn("value", F.col("value").cast("string"))
     ts = F.col("timestamp")
     drops = [rec.where(ts < F.lit("2024-01-11").cast("timestamp")),
@@ -195,7 +193,33 @@ def q_stream_offset_ledger(spark, sf):
         stream = file_stream(spark, f"{inbox}/d*", rec.schema)
         sink, _ = run_available_now(stream, None, "append", "ledger", base=base,
                                     foreach_batch=lambda p: sinks.offset_ledger_writer(p))
-    return sinks.committed_offsets(spark.read.parquet(sink))
+    return spark.read.parquet(sink), rec
+
+
+@query("stream_offset_ledger")
+def q_stream_offset_ledger(spark, sf):
+    """Per micro-batch, until-offset and newest payload of every partition
+    saved together (foreachBatch); the committed ledger is read back."""
+    ledger, _ = _run_ledger(spark, sf)
+    return sinks.committed_offsets(ledger)
+
+
+@query("stream_ledger_resume")
+def q_stream_ledger_resume(spark, sf):
+    """Full cycle: the streaming ledger is written, then the start offsets
+    for a restarted consumer are resolved from it (new partitions from 0)
+    and rendered as the Kafka source's startingOffsets JSON."""
+    from lakeloom.operators import offsets as off
+
+    ledger, rec = _run_ledger(spark, sf)
+    history = ledger.select("topic", F.lit(LEDGER_GROUP).alias("group_id"),
+                            F.col("batch_id").cast("bigint").alias("batch_ms"),
+                            F.col("partition").cast("int").alias("partition"), "until_offset")
+    resolved = off.resolve_offsets(history, off.topic_partitions(rec), LEDGER_GROUP)
+    return off.starting_offsets_json(resolved)
+
+
+LEDGER_GROUP = "lakeloom-stream"
 
 
 @query("stream_csv")
