@@ -117,3 +117,12 @@ def test_kafka_source_options():
                  "startingOffsets": "latest", "kafka.group_id": "g", "maxOffsetsPerTrigger": "100"}
     a = kafka_source_options("b:9092", assign_json='{"t":{"1":5,"0":3}}')
     assert a["assign"] == '{"t": [0, 1]}' and a["startingOffsets"] == '{"t":{"1":5,"0":3}}'
+
+
+def test_save_table_errors_if_exists(spark, tmp):
+    df = spark.createDataFrame([(1,)], "id int")
+    catalog.save_table(df, "t_once", location=f"{tmp}/t_once")
+    with pytest.raises(Exception):
+        catalog.save_table(df, "t_once", location=f"{tmp}/t_once2")
+    catalog.save_table(df, "t_once", mode="overwrite", location=f"{tmp}/t_once")
+    assert catalog.scan(spark, "t_once").count() == 1

@@ -189,3 +189,12 @@ def test_at_least_once_writer_records_start_before_processing(spark, tmp):
     assert seen["ledger_before"] == 2  # from-offsets were saved before processing
     led = {r.partition: r.from_offset for r in spark.read.parquet(f"{tmp}/ledger").collect()}
     assert led == {0: 0, 1: 10}
+
+
+def test_console_sink_runs(spark, tmp):
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{tmp}/in/p0")
+    s = file_stream(spark, f"{tmp}/in/*", "id int, v string")
+    counts = ops.running_count(s, ["v"])
+    q = sinks.start(counts, "console", "complete", f"{tmp}/ck", available_now=True)
+    q.awaitTermination(120)
+    assert q.exception() is None and q.lastProgress["numInputRows"] >= 0
