@@ -1,3 +1,5 @@
+"""Shared Spark session (local, no UI) and paths to the driver's test tables."""
+
 import os
 import sys
 import tempfile

@@ -1,3 +1,5 @@
+"""Aggregations, top-N, group totals, bitmaps, dedup: goldens on the inline fixtures and properties."""
+
 from pyspark.sql import functions as F
 
 from lakeloom.operators import aggregate as agg

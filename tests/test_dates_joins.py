@@ -1,3 +1,5 @@
+"""Calendar helpers, window validation, interval and range joins against brute force, broadcast bounds."""
+
 import datetime as dt
 
 from pyspark.sql import functions as F

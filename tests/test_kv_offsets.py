@@ -1,3 +1,5 @@
+"""Key-value cells and the offset ledger: range scans, newest versions, upserts, the three resolution cases."""
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -1,3 +1,5 @@
+"""Further operator edge cases: global cell order, describe with nulls, windows, fixture goldens."""
+
 import datetime as dt
 
 from pyspark.sql import functions as F

@@ -1,3 +1,5 @@
+"""JSON explosion (text and robust), entries, inference, struct projection, cells round trip."""
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,3 +1,5 @@
+"""File round trips, catalog operations, observed metrics, JDBC predicates, presets, workbooks."""
+
 import io
 import zipfile
 

@@ -1,3 +1,5 @@
+"""Streaming replay: late data, update mode, resume, exactly-once replay, dedup, triggers and sinks."""
+
 import datetime as dt
 
 import pytest

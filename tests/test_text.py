@@ -1,3 +1,5 @@
+"""Java-style splitting, word count and the mobile-number pattern."""
+
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import java_split, phone_prefix, valid_mobile
