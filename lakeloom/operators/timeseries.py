@@ -63,7 +63,8 @@ def monthly_counts_filled(df: DataFrame, ts: str, n: int = 48, name: str = "cnt"
     row with the newest month as anchor, and the calendar spine looks its
     counts up in that map.
     """
-    counts = (df.groupBy(F.trunc(F.col(ts).cast("date"), "MM").alias("m"))
+    month = F.trunc(F.col(ts).cast("date"), "MM")
+    counts = (df.where(month.isNotNull()).groupBy(month.alias("m"))  # null time: no month
               .agg(F.count(F.lit(1)).alias("c")))
     packed = counts.agg(F.max("m").alias("anchor"),
                         F.map_from_entries(F.collect_list(F.struct("m", "c"))).alias("cm"))

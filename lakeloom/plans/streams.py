@@ -26,9 +26,10 @@ LEDGER_GROUP = "lakeloom-stream"
 
 
 def table_stream(spark, sf, name):
-    """The table's parquet file as a streaming source."""
+    """The table as a streaming source. The glob ``<name>.parquet*`` matches
+    both layouts: a single parquet file and a directory of part files."""
     schema = load(spark, sf, name).schema
-    return file_stream(spark, sf, schema, glob=f"{name}.parquet")
+    return file_stream(spark, f"{sf.rstrip('/')}/{name}.parquet*", schema)
 
 
 def events_stream(spark, sf):

@@ -68,24 +68,30 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's checkpoint directory (``spark.checkpoint.dir`` or one
+    Uses the cluster's checkpoint directory (``spark.checkpoint.dir``, or one
     set on the context), a shared file system such as HDFS or S3. Only when
-    nothing is configured (local runs and tests) is a private folder created.
+    nothing is configured (local runs and tests) is a private folder created
+    and registered on the context (``spark.checkpoint.dir`` itself is a
+    static setting and cannot be changed at run time).
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (sessions without a context handle)
         sc = None
     current = sc.getCheckpointDir() if sc is not None else None
-    if not current:
+    if current:
+        return current.rstrip("/")
+    configured = None
+    try:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured and sc is not None:
-            configured = sc.getConf().get("spark.checkpoint.dir", None)
-        current = configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(current)
-        if not configured:
-            spark.conf.set("spark.checkpoint.dir", current)
+    except Exception:  # noqa: BLE001
+        configured = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    current = configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(current)
+        current = sc.getCheckpointDir() or current
     return current.rstrip("/")
 
 

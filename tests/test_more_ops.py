@@ -61,3 +61,10 @@ def test_skill_string_explodes_to_rows(spark):
                                "date string, skill string, num int")
     out = [r.token for r in explode_split(df, ["num"], "skill", " ").collect()]
     assert out == ["Spark", "Hadoop", "Hbase", "Hive", "Kafka", "Storm"]
+
+
+def test_monthly_counts_ignore_null_times(spark):
+    df = spark.createDataFrame([("2024-01-05",), (None,), ("2024-03-01",)], "d string") \
+        .selectExpr("CAST(d AS TIMESTAMP) AS ts")
+    got = {r.month: r.cnt for r in timeseries.monthly_counts_filled(df, "ts", 2).collect()}
+    assert got == {"2024-03": 1, "2024-02": 0, "2024-01": 1}
