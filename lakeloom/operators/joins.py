@@ -11,41 +11,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Assumed bytes per value when sizing a broadcast (strings: a generous average).
-_TYPE_BYTES = {"string": 48, "binary": 64, "boolean": 1, "byte": 1, "short": 2, "integer": 4,
-               "int": 4, "long": 8, "bigint": 8, "float": 4, "double": 8, "date": 4,
-               "timestamp": 8, "timestamp_ntz": 8}
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
+                "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+_ROW_OVERHEAD = 16
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Estimated in-memory bytes of one row (complex types count 256)."""
-    total = 16
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        total += _TYPE_BYTES.get(t, 24 if t.startswith("decimal") else 256)
-    return total
+def _value_bytes(name: str, type_name: str) -> Column:
+    """Actual bytes of one value: lengths for strings/binary, JSON length for
+    nested values, the fixed width otherwise."""
+    c = F.col("`" + name.replace("`", "``") + "`")
+    if type_name in _FIXED_BYTES:
+        return F.lit(_FIXED_BYTES[type_name])
+    if type_name in ("string", "binary"):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if type_name.startswith(("struct", "array", "map")):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES,
                        materialize: bool = True) -> DataFrame:
     """Broadcast hint only after proving the side is small.
 
-    The bound is ``min(max_rows, max_bytes / estimated row size)`` and the
-    proof is ``limit(bound + 1).count() <= bound``. With ``materialize``
-    (default) the side is first written once as a reliable checkpoint in
-    the shared checkpoint directory, so an expensive side (say, an
-    aggregate over the whole input) is computed once — not once for the
-    check and again for the join — and survives executor loss. Above the
-    bound the checkpointed frame is returned unhinted and Spark plans a
-    shuffle join. ``materialize=False`` suits plain scans of small tables.
+    One probe over at most ``max_rows + 1`` rows counts them and sums their
+    actual sizes (string and binary lengths, JSON length of nested values);
+    the hint is given only if both ``max_rows`` and ``max_bytes`` hold. With
+    ``materialize`` (default) the side is first written once as a reliable
+    checkpoint in the shared checkpoint directory, so an expensive side (say,
+    an aggregate over the whole input) is computed once, not again for the
+    join, and survives executor loss. Above the bounds the frame is returned
+    unhinted and Spark plans a shuffle join. ``materialize=False`` suits
+    plain scans of small tables.
     """
     if materialize:
         from lakeloom.operators.relational import cut_lineage
 
         df = cut_lineage(df)
-    bound = max(0, min(max_rows, max_bytes // row_bytes(df)))
-    if df.limit(bound + 1).count() <= bound:
+    size = sum((_value_bytes(f.name, f.dataType.simpleString()) for f in df.schema.fields),
+               F.lit(_ROW_OVERHEAD))
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    if n <= max_rows and (total or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 

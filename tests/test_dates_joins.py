@@ -74,15 +74,15 @@ def test_broadcast_if_small(spark):
     assert j1.count() == 10 and j2.count() == 100
 
 
-def test_broadcast_bound_uses_bytes(spark):
+def test_broadcast_bound_uses_measured_bytes(spark):
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
-    wide = spark.range(1000).selectExpr("id", "repeat('x', 10) AS s")
-    assert joins.row_bytes(wide) == 16 + 8 + 48
+    wide = spark.range(1000).selectExpr("id", "repeat('x', 2000) AS s")  # ~2 MB of text
     assert hinted(joins.broadcast_if_small(wide, 10_000))
-    # 1000 rows fit the row bound but not a 10 KB byte bound
-    assert not hinted(joins.broadcast_if_small(wide, 10_000, max_bytes=10_000))
+    # 1000 rows fit the row bound, but 2 MB of strings exceed a 1 MB byte bound
+    assert not hinted(joins.broadcast_if_small(wide, 10_000, max_bytes=1_000_000))
+    assert not hinted(joins.broadcast_if_small(wide, 999))
 
 
 def test_interval_join_edges_at_bucket_borders(spark):
