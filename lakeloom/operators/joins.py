@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -56,11 +57,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADC
     return df
 
 
-def _epoch_micros(ts: str | Column) -> Column:
-    """Exact integer microseconds (fractional seconds as doubles would lose
-    the last digits and could misplace edge rows across bucket borders)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+def _epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Exact integer microseconds on the same clock as the join predicate.
+
+    TIMESTAMP (instant): ``unix_micros``. TIMESTAMP_NTZ (wall clock): days
+    and time of day of the wall-clock value, independent of the session
+    time zone (a cast to TIMESTAMP would shift values around DST changes
+    while the predicate compares wall-clock values). Integers, because
+    fractional seconds as doubles lose the last digits near bucket borders.
+    """
+    c = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        seconds = F.date_part(F.lit("SECOND"), c)  # decimal with microseconds
+        return (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+                + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * F.lit(1_000_000)
+                + (seconds * 1_000_000).cast("bigint"))
+    return F.unix_micros(c)
 
 
 def _floor_div(x: Column, d: int) -> Column:
@@ -84,8 +96,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     but makes each (key, bucket) join group k times larger.
     """
     width_us = max(bucket_s or (upper_s - lower_s), 1) * 1_000_000
-    lb = _floor_div(_epoch_micros(left_ts), width_us)
-    rus = _epoch_micros(right_ts)
+    lb = _floor_div(_epoch_micros(left, left_ts), width_us)
+    rus = _epoch_micros(right, right_ts)
     rb_lo = _floor_div(rus - F.lit(upper_s * 1_000_000), width_us)
     rb_hi = _floor_div(rus - F.lit(lower_s * 1_000_000), width_us)
     l2 = left.withColumn("_bucket", lb)

@@ -98,3 +98,16 @@ def test_interval_join_edges_at_bucket_borders(spark):
             if ta <= tb <= ta + dt.timedelta(hours=1)}
     got = {(r.lid, r.rid) for r in joins.interval_join(L, R, "k", "lts", "rts", 0, 3600).collect()}
     assert got == want and (3, 13) in want and (1, 11) in want
+
+
+def test_interval_join_ntz_ignores_session_dst(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        L = spark.createDataFrame([(1, 1, "2024-11-03 01:59:00")], "lid int, k int, s string") \
+            .selectExpr("lid", "k", "CAST(s AS TIMESTAMP_NTZ) AS lts")
+        R = spark.createDataFrame([(9, 1, "2024-11-03 02:50:00")], "rid int, k int, s string") \
+            .selectExpr("rid", "k", "CAST(s AS TIMESTAMP_NTZ) AS rts")
+        got = [(r.lid, r.rid) for r in joins.interval_join(L, R, "k", "lts", "rts", 0, 3600).collect()]
+        assert got == [(1, 9)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
