@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 # (mainland China numbering plan). A class written "[0-3,5-9]" would also
 # admit a literal comma; it is written "[0-35-9]" here on purpose.
 MOBILE_PATTERN = r"^(13[0-9]|14[579]|15[0-35-9]|16[6]|17[0135678]|18[0-9]|19[89])[0-9]{8}$"
+# Whole-string match: "$" would also accept a trailing line terminator.
+_MOBILE_FULL = MOBILE_PATTERN[:-1] + r"\z"
+# Line terminators of text files: LF, CR LF or CR.
+LINE_BREAK = r"\r\n|\r|\n"
 
 
 def _col(c: str | Column) -> Column:
@@ -26,7 +30,7 @@ def java_split(line: str | Column, sep: str = " ") -> Column:
         raise ValueError("java_split takes a single-character separator")
     line = _col(line)
     pattern = "\\" + sep if not sep.isalnum() else sep
-    trimmed = F.regexp_replace(line, pattern + "+$", "") if sep != " " else F.rtrim(line)
+    trimmed = F.regexp_replace(line, pattern + "+\\z", "") if sep != " " else F.rtrim(line)
     return (
         F.when(line == F.lit(""), F.array(F.lit("")))
         .when(trimmed == F.lit(""), F.array().cast("array<string>"))
@@ -35,13 +39,22 @@ def java_split(line: str | Column, sep: str = " ") -> Column:
 
 
 def lines(text: str | Column) -> Column:
-    """Text → array of lines (split on LF, as a text file is read)."""
-    return F.split(_col(text), "\n")
+    """Text → array of lines, as a text file is read: LF, CR LF and CR end a
+    line, a final terminator does not start another line, and empty text
+    has no lines."""
+    t = _col(text)
+    # Common case, no CR: single-character split (fast path) after dropping
+    # one final LF. Texts with CR take the regular-expression split.
+    lf_body = F.when(t.endswith("\n"), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)
+    any_body = F.regexp_replace(t, "(" + LINE_BREAK + ")\\z", "")
+    return (F.when(t == F.lit(""), F.array().cast("array<string>"))
+            .when(F.instr(t, "\r") > 0, F.split(any_body, LINE_BREAK))
+            .otherwise(F.split(lf_body, "\n")))
 
 
 def valid_mobile(phone: str | Column) -> Column:
     """Full-match test of an 11-digit mobile number."""
-    return _col(phone).rlike(MOBILE_PATTERN)
+    return _col(phone).rlike(_MOBILE_FULL)
 
 
 def phone_prefix(phone: str | Column, n: int = 7) -> Column:

@@ -13,16 +13,23 @@ _JAVA_SPLIT = (
     "ELSE string_split(rtrim({l}, ' '), ' ') END"
 )
 
+# Lines of a text as a text file is read (LF, CR LF, CR; no line after a
+# final terminator; empty text has no lines), written for DuckDB.
+_LINES = (
+    "CASE WHEN {t} = '' THEN []::VARCHAR[] ELSE regexp_split_to_array("
+    "regexp_replace({t}, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n') END"
+)
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["word_count"] = f"""
-WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM documents),
+WITH lines AS (SELECT unnest({_LINES.format(t='text')}) AS l FROM documents),
 words AS (SELECT unnest({_JAVA_SPLIT.format(l='l')}) AS word FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """
 
 ORACLES["conversation_word_count"] = f"""
-WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM conversations),
+WITH lines AS (SELECT unnest({_LINES.format(t='text')}) AS l FROM conversations),
 words AS (SELECT unnest({_JAVA_SPLIT.format(l='l')}) AS word FROM lines)
 SELECT word, count(*) AS cnt FROM words GROUP BY word
 """
