@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,19 +22,18 @@ def sorted_keys(c: str | Column) -> Column:
     return F.array_sort(F.map_keys(json_map(c)))
 
 
-def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
-                        sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
-    """Schema of a column of flat JSON objects, inferred over *all* rows.
-
-    Runs as one distributed aggregate: explode every object into
-    (key, value) pairs and, per key, test whether every non-null value is a
-    boolean, an integer or a number; the driver receives one row per
-    distinct key (bounded by ``max_keys``). Keys become fields in sorted
-    order, as ``spark.read.json`` does; objects/arrays/mixed → string.
-    ``sample_fraction`` infers from a random sample (like ``samplingRatio``).
-    """
-    if sample_fraction is not None:
-        df = df.sample(fraction=sample_fraction, seed=seed)
+def _variant_schema_to_ddl(schema: str) -> str:
+    """Variant schema text → Spark DDL with ``spark.read.json`` typing:
+    objects become structs, decimals doubles, null-only and mixed values
+    strings."""
+    ddl = schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    ddl = re.sub(r"\bVARIANT\b", "STRING", ddl)
+    return re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+
+
+def _lenient_types(df: DataFrame, c: str, max_keys: int) -> dict[str, T.DataType]:
+    """Per-key types of objects only a lenient parser accepts (single quotes
+    and the like): values are compared as text, one aggregate per key."""
     kv = df.select(F.explode(json_map(c)).alias("k", "v"))
     v = F.col("v")
 
@@ -48,13 +49,48 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     rows = stats.limit(max_keys + 1).collect()
     if len(rows) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
-    fields = []
-    for r in sorted(rows, key=lambda r: r["k"]):
-        t = (T.StringType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
-             else T.LongType() if r["is_long"] else T.DoubleType() if r["is_num"]
-             else T.StringType())
-        fields.append(T.StructField(r["k"], t))
-    return T.StructType(fields)
+    return {r["k"]: (T.StringType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
+                     else T.LongType() if r["is_long"] else T.DoubleType() if r["is_num"]
+                     else T.StringType()) for r in rows}
+
+
+def _widen(a: T.DataType, b: T.DataType) -> T.DataType:
+    if a == b:
+        return a
+    if {type(a), type(b)} <= {T.LongType, T.DoubleType}:
+        return T.DoubleType()
+    return T.StringType()
+
+
+def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
+                        sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
+    """Schema of a column of JSON objects, inferred over *all* rows.
+
+    One aggregate pass: ``schema_of_variant_agg`` merges the types of every
+    strictly valid object (strings stay strings even when they look like
+    numbers) and counts the rows only a lenient parser accepts. Only if such
+    rows exist (e.g. single-quoted JSON) a second pass types them from their
+    text; both are merged with ``spark.read.json`` widening (bigint+double →
+    double, anything else mixed → string). Fields come out in sorted order;
+    nested objects become structs. ``sample_fraction`` infers from a random
+    sample (like ``samplingRatio``). Only the schema reaches the driver.
+    """
+    if sample_fraction is not None:
+        df = df.sample(fraction=sample_fraction, seed=seed)
+    v = F.try_parse_json(F.col(c))
+    lenient = v.isNull() & json_map(c).isNotNull()
+    head = df.agg(F.schema_of_variant_agg(v).alias("s"),
+                  F.count_if(lenient).alias("n_lenient")).first()
+    fields: dict[str, T.DataType] = {}
+    if head["s"] and head["s"].startswith("OBJECT<"):
+        strict = T.DataType.fromDDL(_variant_schema_to_ddl(head["s"]))
+        fields = {f.name: f.dataType for f in strict.fields}
+    if head["n_lenient"]:
+        for k, t in _lenient_types(df.where(lenient), c, max_keys).items():
+            fields[k] = _widen(fields[k], t) if k in fields else t
+    if len(fields) > max_keys:
+        raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
+    return T.StructType([T.StructField(k, fields[k]) for k in sorted(fields)])
 
 
 def parse(c: str | Column, schema: T.StructType | str) -> Column:

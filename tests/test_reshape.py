@@ -81,3 +81,11 @@ def test_cells_rows_round_trip(spark, rows):
     back = kv.cells_to_rows(cells, "cf", ["name", "age"], {"age": "int"})
     want = {(f"{k:05d}", n, a) for k, n, a in rows if n is not None or a is not None}
     assert {tuple(r) for r in back.collect()} == want
+
+
+def test_inference_keeps_quoted_numbers_as_strings(spark):
+    df = spark.createDataFrame([('{"id":"007","flag":"True","n":{"a":1}}',), ("{'id':'8'}",)],
+                               "j string")
+    out = reshape.infer_and_parse(df, [], "j")
+    assert out.schema.simpleString() == "struct<flag:string,id:string,n:struct<a:bigint>>"
+    assert sorted(r.id for r in out.collect()) == ["007", "8"]
