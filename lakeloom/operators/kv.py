@@ -71,13 +71,16 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
            order: Sequence[str] | None = None, max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """Insert-or-replace rows of ``target`` by ``keys``.
 
-    ``changes`` is reduced to one row per key first (newest by ``order``,
-    via ``max_by`` with partial aggregation). Target rows whose key was
-    changed are removed with an anti join — broadcast when the change set
-    is checked to be small, so the big target is never shuffled — and the
-    changes are appended. Write the result to a new location and switch
-    readers to it; never overwrite the input being read.
+    ``changes`` is first reduced to one row per key: the newest by ``order``
+    (``max_by`` with partial aggregation), or an arbitrary one when no order
+    is given. The reduced change set is materialised once (checkpoint), its
+    keys remove the replaced target rows with an anti join — broadcast when
+    proven small, so the big target is never shuffled — and the changes are
+    appended. Write the result to a new location and switch readers to it;
+    never overwrite the input being read.
     """
+    from lakeloom.operators.relational import cut_lineage
+
     cols = target.columns
     if order:
         rest = [c for c in cols if c not in keys]
@@ -85,8 +88,11 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                    .agg(F.max_by(F.struct(*[quoted(c) for c in rest]),
                                  F.struct(*[quoted(c) for c in order])).alias("_r"))
                    .select(*keys, "_r.*"))
-    changes = changes.select(*cols)
-    changed_keys = broadcast_if_small(changes.select(*keys), max_broadcast_keys)
+    else:
+        changes = changes.dropDuplicates(list(keys))
+    changes = cut_lineage(changes.select(*cols))
+    changed_keys = broadcast_if_small(changes.select(*keys), max_broadcast_keys,
+                                      materialize=False)
     kept = target.join(changed_keys, list(keys), "left_anti")
     return kept.unionByName(changes)
 
@@ -103,8 +109,10 @@ def write_table(cells: DataFrame, path: str, num_partitions: int | None = None,
     narrow key range and ``get``/``range_scan`` filters skip the rest via
     parquet min/max statistics (the layout of a sorted key-value store)."""
     keys = ["row_key", "family", "qualifier", "version"]
-    parts = (cells.repartitionByRange(num_partitions, "row_key") if num_partitions
-             else cells.repartitionByRange("row_key"))
+    # Range bounds on the whole cell key keep the global order and let a row
+    # key with very many cells span several partitions.
+    parts = (cells.repartitionByRange(num_partitions, *keys) if num_partitions
+             else cells.repartitionByRange(*keys))
     parts.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 

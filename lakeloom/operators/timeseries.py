@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lakeloom.functions.dates import month_offsets
 
 
+# Month and year lengths are nominal: they only order and validate durations.
 _UNIT_SECONDS = {"microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60,
-                 "hour": 3600, "day": 86400, "week": 604800}
+                 "hour": 3600, "day": 86400, "week": 604800, "month": 2_592_000,
+                 "year": 31_536_000}
 
 
 def duration_seconds(text: str) -> float:

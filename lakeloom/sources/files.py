@@ -54,10 +54,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = False,
 
 
 def read_text(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One row (``value``) per line. ``min_partitions`` raises parallelism
-    by repartitioning (files are already split by size)."""
-    df = spark.read.text(path)
-    return df.repartition(min_partitions) if min_partitions else df
+    """One row (``value``) per line. ``min_partitions`` repartitions only
+    when the files yield fewer partitions (large inputs are left as split)."""
+    from lakeloom.operators.relational import with_min_partitions
+
+    return with_min_partitions(spark.read.text(path), min_partitions)
 
 
 def write_text(df: DataFrame, path: str, single_file: bool = False,

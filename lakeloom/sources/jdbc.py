@@ -66,7 +66,8 @@ def half_open_ranges(column: str, bounds: Sequence[str], include_null: bool = Tr
 
 def append(df: DataFrame, url: str, table: str, props: dict[str, str],
            max_connections: int = 10, batch_size: int = 10_000) -> None:
-    """Append with at most ``max_connections`` concurrent writers
-    (``coalesce`` lowers parallelism without a shuffle)."""
-    df.coalesce(max_connections).write.mode("append").jdbc(
+    """Append with at most ``max_connections`` concurrent writers. A
+    ``repartition`` (not ``coalesce``) caps the writers while the stages
+    before it keep their full parallelism."""
+    df.repartition(max_connections).write.mode("append").jdbc(
         url, table, properties={**props, "batchsize": str(batch_size)})

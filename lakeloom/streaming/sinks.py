@@ -103,9 +103,13 @@ def at_least_once_writer(ledger_path: str, process: Callable[[DataFrame, int], N
     resuming from the ledger replays the batch (at-least-once); the default
     checkpointed path (``offset_ledger_writer``) is exactly-once instead."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        starts = (batch.groupBy("topic", "partition")
-                  .agg(F.min("offset").alias("from_offset"))
-                  .withColumn("batch_id", F.lit(batch_id)))
-        starts.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
-        process(batch, batch_id)
+        batch = batch.persist()  # read the micro-batch once for both steps
+        try:
+            starts = (batch.groupBy("topic", "partition")
+                      .agg(F.min("offset").alias("from_offset"))
+                      .withColumn("batch_id", F.lit(batch_id)))
+            starts.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
+            process(batch, batch_id)
+        finally:
+            batch.unpersist()
     return write

@@ -68,7 +68,13 @@ def kafka_stream(spark: SparkSession, brokers: str, topic: str | None = None,
     return spark.readStream.format("kafka").options(**opts).load()
 
 
-# Source options that are not consumer properties (everything else gets
-# the "kafka." prefix consumer properties need).
-KAFKA_SOURCE_KEYS = {"failOnDataLoss", "maxOffsetsPerTrigger", "minPartitions",
-                     "includeHeaders", "groupIdPrefix", "kafkaConsumer.pollTimeoutMs"}
+# Source options of the Kafka source (everything else is a consumer
+# property and gets the "kafka." prefix).
+KAFKA_SOURCE_KEYS = {
+    "assign", "subscribe", "subscribePattern", "startingOffsets", "endingOffsets",
+    "startingOffsetsByTimestamp", "endingOffsetsByTimestamp", "startingTimestamp",
+    "endingTimestamp", "startingOffsetsByTimestampStrategy", "failOnDataLoss",
+    "kafkaConsumer.pollTimeoutMs", "fetchOffset.numRetries", "fetchOffset.retryIntervalMs",
+    "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay", "minPartitions",
+    "maxRecordsPerPartition", "groupIdPrefix", "includeHeaders",
+}

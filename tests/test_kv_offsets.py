@@ -126,3 +126,11 @@ def test_union_many_checkpointed(spark):
 def test_checkpoint_root_uses_configured_dir(spark, tmp):
     from lakeloom.session import checkpoint_root
     assert checkpoint_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_upsert_duplicate_changes_without_order_keep_one(spark):
+    target = spark.createDataFrame([(7, "old")], "k int, v string")
+    changes = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c")], "k int, v string")
+    out = kv.upsert(target, changes, ["k"]).collect()
+    assert sorted(r.k for r in out) == [7, 8]
+    assert {r.v for r in out if r.k == 7} <= {"a", "b"}
