@@ -35,13 +35,14 @@ def _stored_cells(spark, sf):
 
 @query("kv_range_scan")
 def q_kv_range_scan(spark, sf):
-    cells = kv.range_scan(_stored_cells(spark, sf), "0000000100", "0000000600")
+    cells = kv.range_scan(_stored_cells(spark, sf), derived.key_text(100),
+                          derived.key_text(600))
     return kv.cells_to_rows(cells, "info", INFO, TYPES).select("row_key", "name", "nation")
 
 
 @query("kv_get")
 def q_kv_get(spark, sf):
-    return kv.latest_cells(kv.get(_stored_cells(spark, sf), "0000000042"))
+    return kv.latest_cells(kv.get(_stored_cells(spark, sf), derived.key_text(42)))
 
 
 @query("kv_scan_family")
@@ -99,4 +100,4 @@ def q_cells_to_rows_bucketed(spark, sf):
 @query("kv_get_bucketed")
 def q_kv_get_bucketed(spark, sf):
     """Point get on the bucketed table: only the key's bucket is read."""
-    return kv.latest_cells(kv.get(_bucketed_cells(spark, sf), "0000000042"))
+    return kv.latest_cells(kv.get(_bucketed_cells(spark, sf), derived.key_text(42)))

@@ -53,7 +53,12 @@ def kafka_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def phone(custkey: str = "c_custkey", nationkey: str = "c_nationkey", base: int = 30) -> Column:
-    """Synthetic 11-digit mobile number: '1', base + nation, 8-digit key."""
+    """Synthetic 11-digit mobile number: '1', base + nation, 8-digit key.
+
+    Distinct per customer while keys stay below 10^8 (all test scales); an
+    11-digit number cannot be unique beyond that, so larger key spaces would
+    need a wider synthetic key (row keys use :func:`row_key`, which never
+    truncates)."""
     return F.concat(F.lit("1"), (F.col(nationkey) + base).cast("string"),
                     F.lpad(F.col(custkey).cast("string"), 8, "0"))
 
@@ -75,8 +80,16 @@ def contact_object_json(spark: SparkSession, sf: str) -> DataFrame:
         .alias("doc"))
 
 
+KEY_WIDTH = 20  # digits of any non-negative bigint, so padded keys never truncate
+
+
+def key_text(n: int) -> str:
+    """Row-key text of a customer key (same padding as :func:`row_key`)."""
+    return str(n).zfill(KEY_WIDTH)
+
+
 def row_key(custkey: str) -> Column:
-    return F.lpad(F.col(custkey).cast("string"), 10, "0")
+    return F.lpad(F.col(custkey).cast("string"), KEY_WIDTH, "0")
 
 
 def customer_cells(spark: SparkSession, sf: str) -> DataFrame:

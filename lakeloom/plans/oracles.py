@@ -302,7 +302,7 @@ UNPIVOT (value FOR qualifier IN (name, segment, nation))
 
 _CELLS = """
 WITH info AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, 'info' AS family, qualifier,
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS row_key, 'info' AS family, qualifier,
     CAST(0 AS BIGINT) AS version, value
   FROM (SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
           c_mktsegment AS segment,
@@ -310,7 +310,7 @@ WITH info AS (
         FROM customer)
   UNPIVOT (value FOR qualifier IN (name, nation, segment, acctbal_cents))),
 ord AS (
-  SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS row_key, 'orders' AS family, qualifier,
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 20, '0') AS row_key, 'orders' AS family, qualifier,
     o_orderkey AS version, value
   FROM (SELECT o_custkey, o_orderkey, CAST(o_orderkey AS VARCHAR) AS last_order,
           o_orderstatus AS last_status FROM orders)
@@ -321,7 +321,7 @@ latest AS (SELECT row_key, family, qualifier, arg_max(value, version) AS value,
 """
 
 _ROWS = """
-SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS row_key, c_name AS name,
+SELECT lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS row_key, c_name AS name,
   c_nationkey AS nation, c_mktsegment AS segment,
   CAST(round(c_acctbal * 100) AS BIGINT) AS acctbal_cents, o.last_order, o.last_status
 FROM customer LEFT JOIN (
@@ -333,10 +333,10 @@ ORACLES["cells_to_rows"] = _ROWS
 
 ORACLES["kv_range_scan"] = f"""
 SELECT row_key, name, nation FROM ({_ROWS})
-WHERE row_key >= '0000000100' AND row_key < '0000000600'
+WHERE row_key >= '00000000000000000100' AND row_key < '00000000000000000600'
 """
 
-ORACLES["kv_get"] = _CELLS + "SELECT * FROM latest WHERE row_key = '0000000042'"
+ORACLES["kv_get"] = _CELLS + "SELECT * FROM latest WHERE row_key = '00000000000000000042'"
 
 ORACLES["kv_scan_family"] = _CELLS + "SELECT * FROM latest WHERE family = 'orders'"
 
@@ -348,7 +348,7 @@ FROM latest GROUP BY row_key
 """
 
 ORACLES["kv_put"] = """
-SELECT lpad(CAST(coalesce(c_custkey, f.o_custkey) AS VARCHAR), 10, '0') AS row_key,
+SELECT lpad(CAST(coalesce(c_custkey, f.o_custkey) AS VARCHAR), 20, '0') AS row_key,
   CASE WHEN f.o_custkey IS NOT NULL THEN 'HAS_F_ORDER' ELSE c_mktsegment END AS segment
 FROM customer FULL OUTER JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F') f
   ON c_custkey = f.o_custkey
