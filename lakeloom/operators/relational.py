@@ -117,7 +117,8 @@ def with_min_partitions(df: DataFrame, n: int | None) -> DataFrame:
     """At least ``n`` partitions for CPU-heavy per-row work, like a text
     read with a minimum partition count: a round-robin repartition happens
     only when the input has fewer partitions (few large files); a large
-    input already split into many partitions is left untouched."""
+    input already split into many partitions is left untouched. Call it on
+    an input scan: counting partitions of a plan with shuffles would run them."""
     if not n:
         return df
     try:
