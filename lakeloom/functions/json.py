@@ -24,11 +24,30 @@ def sorted_keys(c: str | Column) -> Column:
 
 def _variant_schema_to_ddl(schema: str) -> str:
     """Variant schema text → Spark DDL with ``spark.read.json`` typing:
-    objects become structs, decimals doubles, null-only and mixed values
-    strings."""
-    ddl = schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    ddl = re.sub(r"\bVARIANT\b", "STRING", ddl)
-    return re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+    objects become structs, fractional decimals doubles, mixed values
+    strings; null-only values stay VOID until the merge is done. Only type
+    tokens are rewritten: back-quoted names are skipped and a token followed
+    by ``:`` is a field name, not a type."""
+    parts = schema.split("`")
+    for i in range(0, len(parts), 2):  # outside back quotes
+        seg = parts[i]
+        seg = re.sub(r"\bOBJECT<", "STRUCT<", seg)
+        seg = re.sub(r"\bVARIANT\b(?!\s*:)", "STRING", seg)
+        seg = re.sub(r"\bDECIMAL\((\d+),\s*0\)(?!\s*:)", r"DECIMAL(\1,0)", seg)
+        seg = re.sub(r"\bDECIMAL\(\d+,\s*[1-9]\d*\)(?!\s*:)", "DOUBLE", seg)
+        parts[i] = seg
+    return "`".join(parts)
+
+
+def _finalize(t: T.DataType) -> T.DataType:
+    """Null-only values (VOID) become strings, as ``spark.read.json`` does."""
+    if isinstance(t, T.NullType):
+        return T.StringType()
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _finalize(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_finalize(t.elementType))
+    return t
 
 
 def _lenient_types(df: DataFrame, c: str, max_keys: int) -> dict[str, T.DataType]:
@@ -49,7 +68,7 @@ def _lenient_types(df: DataFrame, c: str, max_keys: int) -> dict[str, T.DataType
     rows = stats.limit(max_keys + 1).collect()
     if len(rows) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
-    return {r["k"]: (T.StringType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
+    return {r["k"]: (T.NullType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
                      else T.LongType() if r["is_long"] else T.DoubleType() if r["is_num"]
                      else T.StringType()) for r in rows}
 
@@ -57,6 +76,10 @@ def _lenient_types(df: DataFrame, c: str, max_keys: int) -> dict[str, T.DataType
 def _widen(a: T.DataType, b: T.DataType) -> T.DataType:
     if a == b:
         return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(b, T.NullType):
+        return a
     if {type(a), type(b)} <= {T.LongType, T.DoubleType}:
         return T.DoubleType()
     return T.StringType()
@@ -77,8 +100,9 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     """
     if sample_fraction is not None:
         df = df.sample(fraction=sample_fraction, seed=seed)
-    v = F.try_parse_json(F.col(c))
-    lenient = v.isNull() & json_map(c).isNotNull()
+    is_object = F.ltrim(F.col(c)).startswith("{")  # arrays/scalars carry no fields
+    v = F.when(is_object, F.try_parse_json(F.col(c)))
+    lenient = is_object & v.isNull() & json_map(c).isNotNull()
     head = df.agg(F.schema_of_variant_agg(v).alias("s"),
                   F.count_if(lenient).alias("n_lenient")).first()
     fields: dict[str, T.DataType] = {}
@@ -90,7 +114,7 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
             fields[k] = _widen(fields[k], t) if k in fields else t
     if len(fields) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
-    return T.StructType([T.StructField(k, fields[k]) for k in sorted(fields)])
+    return T.StructType([T.StructField(k, _finalize(fields[k])) for k in sorted(fields)])
 
 
 def parse(c: str | Column, schema: T.StructType | str) -> Column:

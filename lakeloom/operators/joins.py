@@ -57,7 +57,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADC
     return df
 
 
-def _epoch_micros(df: DataFrame, ts: str) -> Column:
+def _epoch_micros(df: DataFrame, ts: str, wall_clock: bool) -> Column:
     """Exact integer microseconds on the same clock as the join predicate.
 
     TIMESTAMP (instant): ``unix_micros``. TIMESTAMP_NTZ (wall clock): days
@@ -67,12 +67,12 @@ def _epoch_micros(df: DataFrame, ts: str) -> Column:
     fractional seconds as doubles lose the last digits near bucket borders.
     """
     c = F.col(ts)
-    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+    if wall_clock:
         seconds = F.date_part(F.lit("SECOND"), c)  # decimal with microseconds
         return (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
                 + (F.hour(c) * 3600 + F.minute(c) * 60).cast("bigint") * F.lit(1_000_000)
                 + (seconds * 1_000_000).cast("bigint"))
-    return F.unix_micros(c)
+    return F.unix_micros(c.cast("timestamp"))
 
 
 def _floor_div(x: Column, d: int) -> Column:
@@ -81,6 +81,10 @@ def _floor_div(x: Column, d: int) -> Column:
     return F.floor(x / F.lit(d)).cast("bigint")
 
 
+_INTERVAL_HOWS = {"inner", "left", "left_outer", "leftouter", "left_semi", "leftsemi", "semi",
+                  "left_anti", "leftanti", "anti"}
+
+
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   lower_s: int, upper_s: int, how: str = "inner",
                   bucket_s: int | None = None) -> DataFrame:
@@ -95,9 +99,16 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     a bucket k times wider copies a right row with probability about 1/k
     but makes each (key, bucket) join group k times larger.
     """
+    if how not in _INTERVAL_HOWS:
+        raise ValueError(f"interval_join supports {sorted(_INTERVAL_HOWS)}, not {how!r} "
+                         "(right rows are copied to several buckets)")
+    # Wall-clock buckets only when both sides are wall-clock; otherwise both
+    # sides on the instant clock, as the predicate compares them.
+    wall = all(isinstance(d.schema[t].dataType, T.TimestampNTZType)
+               for d, t in ((left, left_ts), (right, right_ts)))
     width_us = max(bucket_s or (upper_s - lower_s), 1) * 1_000_000
-    lb = _floor_div(_epoch_micros(left, left_ts), width_us)
-    rus = _epoch_micros(right, right_ts)
+    lb = _floor_div(_epoch_micros(left, left_ts, wall), width_us)
+    rus = _epoch_micros(right, right_ts, wall)
     rb_lo = _floor_div(rus - F.lit(upper_s * 1_000_000), width_us)
     rb_hi = _floor_div(rus - F.lit(lower_s * 1_000_000), width_us)
     l2 = left.withColumn("_bucket", lb)

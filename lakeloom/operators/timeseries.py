@@ -70,6 +70,7 @@ def monthly_counts_filled(df: DataFrame, ts: str, n: int = 48, name: str = "cnt"
               .agg(F.count(F.lit(1)).alias("c")))
     packed = counts.agg(F.max("m").alias("anchor"),
                         F.map_from_entries(F.collect_list(F.struct("m", "c"))).alias("cm"))
-    spine = packed.select(F.explode(month_offsets("anchor", n)).alias("m"), "cm")
+    spine = packed.where(F.col("anchor").isNotNull()) \
+        .select(F.explode(month_offsets("anchor", n)).alias("m"), "cm")
     return spine.select(F.date_format("m", "yyyy-MM").alias("month"),
                         F.coalesce(F.try_element_at("cm", F.col("m")), F.lit(0)).alias(name))
