@@ -13,46 +13,54 @@ from pyspark.sql import types as T
 
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-_FIXED_BYTES = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
-                "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-_ROW_OVERHEAD = 16
+# In-memory layout of a broadcast row: a null bitmap, an 8-byte slot per
+# field, variable-length data padded to 8 bytes; the hashed relation built
+# from it roughly doubles that.
+_HASH_FACTOR = 2
 
 
-def _value_bytes(name: str, type_name: str) -> Column:
-    """Actual bytes of one value: lengths for strings/binary, JSON length for
-    nested values, the fixed width otherwise."""
+def _padded(n: Column) -> Column:
+    return ((n + 7) / 8).cast("bigint") * 8
+
+
+def _var_bytes(name: str, type_name: str) -> Column | None:
+    """Variable-length bytes of one value (None for fixed-width types)."""
     c = F.col("`" + name.replace("`", "``") + "`")
-    if type_name in _FIXED_BYTES:
-        return F.lit(_FIXED_BYTES[type_name])
+    if type_name in ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double",
+                     "date", "timestamp", "timestamp_ntz") or type_name.startswith("decimal"):
+        return None
     if type_name in ("string", "binary"):
-        return F.coalesce(F.octet_length(c), F.lit(0))
+        return _padded(F.coalesce(F.octet_length(c), F.lit(0)))
     if type_name.startswith(("struct", "array", "map")):
-        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
-    return F.coalesce(F.octet_length(c.cast("string")), F.lit(0))
+        return _padded(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 16)
+    return _padded(F.coalesce(F.octet_length(c.cast("string")), F.lit(0)))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES,
                        materialize: bool = True) -> DataFrame:
     """Broadcast hint only after proving the side is small.
 
-    One probe over at most ``max_rows + 1`` rows counts them and sums their
-    actual sizes (string and binary lengths, JSON length of nested values);
-    the hint is given only if both ``max_rows`` and ``max_bytes`` hold. With
+    One aggregate over the side (partial, no row shuffle) counts its rows
+    and sums their in-memory size: per row a null bitmap and an 8-byte slot
+    per field, plus the actual length of every string, binary or nested
+    value padded to 8 bytes, times two for the hashed relation. The hint is
+    given only if both ``max_rows`` and ``max_bytes`` hold. With
     ``materialize`` (default) the side is first written once as a reliable
-    checkpoint in the shared checkpoint directory, so an expensive side (say,
-    an aggregate over the whole input) is computed once, not again for the
-    join, and survives executor loss. Above the bounds the frame is returned
-    unhinted and Spark plans a shuffle join. ``materialize=False`` suits
-    plain scans of small tables.
+    checkpoint in the shared checkpoint directory, so an expensive side is
+    computed once (not again for the join) and survives executor loss.
+    Above the bounds the frame is returned unhinted and Spark plans a
+    shuffle join. ``materialize=False`` suits plain scans of small tables.
     """
     if materialize:
         from lakeloom.operators.relational import cut_lineage
 
         df = cut_lineage(df)
-    size = sum((_value_bytes(f.name, f.dataType.simpleString()) for f in df.schema.fields),
-               F.lit(_ROW_OVERHEAD))
-    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
-    if n <= max_rows and (total or 0) <= max_bytes:
+    fields = df.schema.fields
+    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    var = [e for f in fields if (e := _var_bytes(f.name, f.dataType.simpleString())) is not None]
+    size = sum(var, F.lit(fixed).cast("bigint"))
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    if n <= max_rows and (total or 0) * _HASH_FACTOR <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -31,6 +31,16 @@ def word_count(df: DataFrame, text_col: str = "text", sep: str = " ",
             .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def line_word_count(df: DataFrame, line_col: str = "value", sep: str = " ",
+                    min_partitions: int | None = None) -> DataFrame:
+    """Word count over input that is already one row per line (a text file
+    read line by line): no further line splitting, so a blank line still
+    yields the empty word, as splitting it would."""
+    df = with_min_partitions(df.select(line_col), min_partitions)
+    return (df.select(F.explode(java_split(line_col, sep)).alias("word"))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+
+
 def explode_split(df: DataFrame, keys: list[str], text_col: str, sep: str = " ") -> DataFrame:
     """Keep ``keys``, one row per token of ``split(text_col, sep)`` (regex sep).
 

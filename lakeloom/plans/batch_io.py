@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeloom.operators import relational as rel
-from lakeloom.operators.text import word_count
+from lakeloom.operators.text import line_word_count
 from lakeloom.plans.registry import query
 from lakeloom.session import scratch_path
 from lakeloom.sources import catalog, files
@@ -18,7 +18,7 @@ def q_scan_text(spark, sf):
     """Documents written as text files, read back line by line, counted."""
     path = scratch_path(spark, "docs-text")
     files.write_text(load(spark, sf, "documents").select("text"), path)
-    return word_count(files.read_text(spark, path), "value")
+    return line_word_count(files.read_text(spark, path), "value")
 
 
 @query("scan_csv")

@@ -26,10 +26,15 @@ LEDGER_GROUP = "lakeloom-stream"
 
 
 def table_stream(spark, sf, name):
-    """The table as a streaming source. The glob ``<name>.parquet*`` matches
-    both layouts: a single parquet file and a directory of part files."""
-    schema = load(spark, sf, name).schema
-    return file_stream(spark, f"{sf.rstrip('/')}/{name}.parquet*", schema)
+    """The table as a streaming source, for either layout: a directory of
+    part files is watched directly; a single parquet file is picked from its
+    folder by exact name (no glob in the path, so nothing else matches)."""
+    batch = load(spark, sf, name)
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    files = batch.inputFiles()
+    if len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet"):
+        return file_stream(spark, sf, batch.schema, glob=f"{name}.parquet")
+    return file_stream(spark, path, batch.schema)
 
 
 def events_stream(spark, sf):

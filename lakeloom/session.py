@@ -88,6 +88,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         configured = None
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                             "a driver-local folder is not visible to executors")
     current = configured or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(current)

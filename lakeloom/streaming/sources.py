@@ -54,8 +54,9 @@ def kafka_source_options(brokers: str, topic: str | None = None,
         opts.update({"subscribe": topic, "startingOffsets": starting_offsets})
     else:
         raise ValueError("give a topic or an assign JSON")
+    source_keys = {k.lower() for k in KAFKA_SOURCE_KEYS}  # options are case-insensitive
     for k, v in options.items():
-        opts[k if k.startswith("kafka.") or k in KAFKA_SOURCE_KEYS else f"kafka.{k}"] = v
+        opts[k if k.startswith("kafka.") or k.lower() in source_keys else f"kafka.{k}"] = v
     return opts
 
 

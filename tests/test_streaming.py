@@ -200,3 +200,14 @@ def test_console_sink_runs(spark, tmp):
     q = sinks.start(counts, "console", "complete", f"{tmp}/ck", available_now=True)
     q.awaitTermination(120)
     assert q.exception() is None and q.lastProgress["numInputRows"] >= 0
+
+
+def test_table_stream_reads_directory_layout_once(spark, tmp):
+    from tests.conftest import SF001
+    from lakeloom.plans.streams import table_stream
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.repartition(3).write.parquet(f"{tmp}/sf/events.parquet")        # directory of parts
+    ev.write.parquet(f"{tmp}/sf/events.parquet.bak")                  # sibling: ignored
+    s = table_stream(spark, f"{tmp}/sf", "events")
+    sink, _ = run_available_now(s, "parquet", "append", "dirlayout")
+    assert spark.read.parquet(sink).count() == ev.count()
