@@ -97,6 +97,9 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     double, anything else mixed → string). Fields come out in sorted order;
     nested objects become structs. ``sample_fraction`` infers from a random
     sample (like ``samplingRatio``). Only the schema reaches the driver.
+    Objects keyed by data (ids as keys) should be parsed as
+    ``map<string,...>`` instead: every distinct key becomes a field here, and
+    ``max_keys`` is checked once the merged schema is known.
     """
     if sample_fraction is not None:
         df = df.sample(fraction=sample_fraction, seed=seed)

@@ -34,6 +34,9 @@ def offset_snapshot(records: DataFrame, value: str = "value") -> DataFrame:
 
 
 def batch_ms(ts: str | Column, unit: str = "DAY") -> Column:
+    """Epoch milliseconds of the start of the ``unit`` containing ``ts``.
+    Wall-clock (TIMESTAMP_NTZ) input is read in the session time zone; the
+    registered jobs run with a UTC session, so batches are UTC days."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.unix_millis(F.date_trunc(unit, c.cast("timestamp")))
 
