@@ -134,3 +134,28 @@ def test_upsert_duplicate_changes_without_order_keep_one(spark):
     out = kv.upsert(target, changes, ["k"]).collect()
     assert sorted(r.k for r in out) == [7, 8]
     assert {r.v for r in out if r.k == 7} <= {"a", "b"}
+
+
+def test_checkpoint_root_refuses_local_fallback_on_clusters():
+    import pytest
+    from lakeloom.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())
