@@ -35,9 +35,14 @@ def offset_snapshot(records: DataFrame, value: str = "value") -> DataFrame:
 
 def batch_ms(ts: str | Column, unit: str = "DAY") -> Column:
     """Epoch milliseconds of the start of the ``unit`` containing ``ts``.
-    Wall-clock (TIMESTAMP_NTZ) input is read in the session time zone; the
-    registered jobs run with a UTC session, so batches are UTC days."""
+
+    Days are computed from the calendar date (``unix_date`` × 86,400,000):
+    for wall-clock (TIMESTAMP_NTZ) input this does not depend on the session
+    time zone and every day is 24 h long, also across DST changes. Other
+    units truncate the instant in the session time zone."""
     c = F.col(ts) if isinstance(ts, str) else ts
+    if unit.upper() == "DAY":
+        return F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000)
     return F.unix_millis(F.date_trunc(unit, c.cast("timestamp")))
 
 
