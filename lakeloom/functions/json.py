@@ -50,74 +50,34 @@ def _finalize(t: T.DataType) -> T.DataType:
     return t
 
 
-def _lenient_types(df: DataFrame, c: str, max_keys: int) -> dict[str, T.DataType]:
-    """Per-key types of objects only a lenient parser accepts (single quotes
-    and the like): values are compared as text, one aggregate per key."""
-    kv = df.select(F.explode(json_map(c)).alias("k", "v"))
-    v = F.col("v")
-
-    def every(cond):  # over non-null values only; keys with only nulls → string
-        return F.bool_and(F.when(v.isNull(), F.lit(True)).otherwise(cond))
-
-    stats = kv.groupBy("k").agg(
-        F.count(v).alias("n"),
-        every(F.lower(v).isin("true", "false")).alias("is_bool"),
-        every(v.rlike(r"^-?[0-9]+$") & v.try_cast("bigint").isNotNull()).alias("is_long"),
-        every(v.try_cast("double").isNotNull() & v.rlike(r"^-?[0-9.eE+-]+$")).alias("is_num"),
-    )
-    rows = stats.limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
-    return {r["k"]: (T.NullType() if r["n"] == 0 else T.BooleanType() if r["is_bool"]
-                     else T.LongType() if r["is_long"] else T.DoubleType() if r["is_num"]
-                     else T.StringType()) for r in rows}
-
-
-def _widen(a: T.DataType, b: T.DataType) -> T.DataType:
-    if a == b:
-        return a
-    if isinstance(a, T.NullType):
-        return b
-    if isinstance(b, T.NullType):
-        return a
-    if {type(a), type(b)} <= {T.LongType, T.DoubleType}:
-        return T.DoubleType()
-    return T.StringType()
-
-
 def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
                         sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
     """Schema of a column of JSON objects, inferred over *all* rows.
 
-    One aggregate pass: ``schema_of_variant_agg`` merges the types of every
-    strictly valid object (strings stay strings even when they look like
-    numbers) and counts the rows only a lenient parser accepts. Only if such
-    rows exist (e.g. single-quoted JSON) a second pass types them from their
-    text; both are merged with ``spark.read.json`` widening (bigint+double →
-    double, anything else mixed → string). Fields come out in sorted order;
-    nested objects become structs. ``sample_fraction`` infers from a random
-    sample (like ``samplingRatio``). Only the schema reaches the driver.
-    Objects keyed by data (ids as keys) should be parsed as
-    ``map<string,...>`` instead: every distinct key becomes a field here, and
-    ``max_keys`` is checked once the merged schema is known.
+    One aggregate pass: every object is read into a VARIANT with the
+    lenient JSON reader (single quotes accepted, value types kept — a quoted
+    "007" stays a string) and ``schema_of_variant_agg`` merges the types of
+    all rows with partial aggregation. Typing follows ``spark.read.json``:
+    bigint and double widen to double, other mixes to string, null-only
+    values become strings, nested objects structs; rows that are arrays,
+    scalars or malformed carry no fields. Fields come out sorted.
+    ``sample_fraction`` infers from a random sample (like ``samplingRatio``).
+    Only the schema reaches the driver. Objects keyed by data (ids as keys)
+    should be parsed as ``map<string,...>`` instead: every distinct key
+    becomes a field here, and ``max_keys`` is checked once the merged schema
+    is known.
     """
     if sample_fraction is not None:
         df = df.sample(fraction=sample_fraction, seed=seed)
     is_object = F.ltrim(F.col(c)).startswith("{")  # arrays/scalars carry no fields
-    v = F.when(is_object, F.try_parse_json(F.col(c)))
-    lenient = is_object & v.isNull() & json_map(c).isNotNull()
-    head = df.agg(F.schema_of_variant_agg(v).alias("s"),
-                  F.count_if(lenient).alias("n_lenient")).first()
-    fields: dict[str, T.DataType] = {}
-    if head["s"] and head["s"].startswith("OBJECT<"):
-        strict = T.DataType.fromDDL(_variant_schema_to_ddl(head["s"]))
-        fields = {f.name: f.dataType for f in strict.fields}
-    if head["n_lenient"]:
-        for k, t in _lenient_types(df.where(lenient), c, max_keys).items():
-            fields[k] = _widen(fields[k], t) if k in fields else t
-    if len(fields) > max_keys:
+    v = F.when(is_object, F.from_json(F.col(c), "variant"))
+    merged = df.agg(F.schema_of_variant_agg(v).alias("s")).first()["s"]
+    if not merged or not merged.startswith("OBJECT<"):
+        return T.StructType([])
+    schema = _finalize(T.DataType.fromDDL(_variant_schema_to_ddl(merged)))
+    if len(schema.fields) > max_keys:
         raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
-    return T.StructType([T.StructField(k, _finalize(fields[k])) for k in sorted(fields)])
+    return T.StructType(sorted(schema.fields, key=lambda f: f.name))
 
 
 def parse(c: str | Column, schema: T.StructType | str) -> Column:

@@ -89,3 +89,9 @@ def test_inference_keeps_quoted_numbers_as_strings(spark):
     out = reshape.infer_and_parse(df, [], "j")
     assert out.schema.simpleString() == "struct<flag:string,id:string,n:struct<a:bigint>>"
     assert sorted(r.id for r in out.collect()) == ["007", "8"]
+
+
+def test_single_quoted_values_keep_their_types(spark):
+    df = spark.createDataFrame([('{"a":true}',), ("{'a':'TRUE','b':'12'}",)], "j string")
+    from lakeloom.functions.json import infer_object_schema
+    assert infer_object_schema(df, "j").simpleString() == "struct<a:string,b:string>"
