@@ -22,3 +22,20 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.mixing import mix_report
 
     return mix_report(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import repair
+    from lakeloom.session import scratch_path
+
+    path = scratch_path(spark, "repair")
+    repair.write(load(spark, sf_dir, "documents"), path)
+    return repair.read(spark, path)
+
+
+@_query
+def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.packing import pack
+
+    return pack(load(spark, sf_dir, "documents"))
