@@ -39,3 +39,10 @@ def op7_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.packing import pack
 
     return pack(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.simhash import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "documents"))
