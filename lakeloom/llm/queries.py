@@ -46,3 +46,11 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.simhash import near_duplicates
 
     return near_duplicates(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm import toxicity
+
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
