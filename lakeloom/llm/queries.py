@@ -54,3 +54,12 @@ def op5_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = load(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
+@_query
+def op6_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.lines import judge
+
+    return judge(load(spark, sf_dir, "documents"))
+
+
