@@ -63,3 +63,10 @@ def op6_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(load(spark, sf_dir, "documents"))
 
 
+
+
+@_query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.licenses import scan
+
+    return scan(load(spark, sf_dir, "documents"))
