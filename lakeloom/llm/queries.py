@@ -70,3 +70,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.licenses import scan
 
     return scan(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.substrings import report
+
+    return report(load(spark, sf_dir, "documents"))
