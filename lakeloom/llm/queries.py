@@ -77,3 +77,41 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.substrings import report
 
     return report(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.covertree import top_k
+
+    return top_k(load(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op9_dual_tree_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, d.e), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
+  WHERE q.vec_id % 100 = 0
+),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+         vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_query
+def op3_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents marked as good quality, outside the held-out fold."""
+    from lakeloom.llm import xent
+
+    labels = load(spark, sf_dir, "labels").where("quality = 1")
+    return xent.score(load(spark, sf_dir, "documents"), labels.where(xent.training_fold(labels["doc_id"])))
