@@ -61,7 +61,7 @@ class HashedWords(dict):
     """word -> unsigned XXH64. Holds at most ``limit`` words, then starts anew,
     so its memory is bounded; the values do not depend on what it holds."""
 
-    def __init__(self, seed: int = 0, limit: int = 400_000):
+    def __init__(self, seed: int = 0, limit: int = 200_000):
         super().__init__()
         self.seed, self.limit = seed, limit
 

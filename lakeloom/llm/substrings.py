@@ -45,7 +45,7 @@ from pyspark.sql.window import Window
 from lakeloom.llm.common import HashedWords, columns, partitions, ship, text_bytes
 
 WINDOW, PIECE = 20, 8
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 400_000
 BUCKET_BYTES = 128 << 20
 MOST_PARTITIONS = 20_000
 _B = 0x9E3779B97F4A7C15
