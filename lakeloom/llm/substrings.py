@@ -226,8 +226,10 @@ def _rows(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
 
 
 def _input_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of the input's size (of files: their size)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size of the inputs it knows (files: their size)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)  # rows held in memory have no size
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
