@@ -10,8 +10,8 @@ own hash and is ranked by Pareto's ratio of odds
 with p its inclusion probability (the fractional copies of its source, times
 its weight where a weight column is given). The documents with the smallest
 Q are taken until their words reach the rest of the target. The sample size
-is fixed in words rather than drawn, and the last gap is closed with the one
-remaining document whose size fits it best.
+is fixed in words rather than drawn, and the last gap is closed with up to
+``FILLS`` of the remaining documents whose sizes fit it best.
 
 No source is ever sorted in one task: sums over 4,096 x 4,096 buckets of Q
 find where a source's running total crosses its target, and only the rows of
@@ -27,6 +27,8 @@ from pyspark.sql.window import Window
 from lakeloom.llm.common import WORD, columns, cut, null_safe
 
 BUCKETS = 4096
+MAX_BROADCAST = 10_000
+FILLS = 3
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float,
@@ -91,6 +93,14 @@ def _ratio(p: Column) -> Column:
     return q / (1 + q)
 
 
+def _beside_rows(per: DataFrame) -> DataFrame:
+    """A table of a row per source, to be joined to the documents: broadcast
+    once it is known to have at most ``MAX_BROADCAST`` rows, so that a source
+    with most of the documents stays spread; with more sources, Spark's own
+    join, which splits large ones."""
+    return F.broadcast(per) if per.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else per
+
+
 def _crossing(rows: DataFrame, bucket: Column) -> DataFrame:
     """Per source, the first bucket in which the running words pass ``rest``,
     and the words before it; a source whose rows all fit has no row here."""
@@ -108,16 +118,17 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float
     """(source, source_size, target, whole, p_rate, last, extra) per source.
 
     ``whole`` are the certain copies; a document is taken once more if its
-    rank value is at most ``last`` or equals ``extra``.
+    rank value is at most ``last`` or among ``extra``.
     """
     per = source_targets(sizes, weights, share, max_copies)
-    mean = sizes.groupBy("source").agg((F.sum(F.col("w") * F.col("size")) / F.sum("size")).alias("mean_w"))
+    mean = sizes.groupBy("source").agg(
+        F.try_divide(F.sum(F.col("w") * F.col("size")), F.sum("size")).alias("mean_w"))
     ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
     per = per.alias("s").join(mean.alias("m"), null_safe(F.col("s.source"), F.col("m.source")), "left").select(
         "s.source", "source_size", "target", F.floor(ratio).alias("whole"),
         (F.col("target") - F.floor(ratio) * F.col("source_size")).alias("rest"),
         ((ratio - F.floor(ratio)) / F.coalesce(F.nullif("mean_w", F.lit(0.0)), F.lit(1.0))).alias("p_rate"))
-    per = cut(per)
+    per = _beside_rows(cut(per))
 
     rows = ranked(sizes, per).where("rest > 0 AND size > 0").withColumn("before", F.lit(0).cast("bigint"))
     coarse = F.floor(F.col("v") * BUCKETS)
@@ -127,9 +138,9 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float
         return rows.drop("before").join(found, null_safe(F.col("source"), F.col("at"))).where(
             bucket == F.col("bucket"))
 
-    one = cut(_crossing(rows, coarse))
+    one = _beside_rows(cut(_crossing(rows, coarse)))
     in_one = inside(one, coarse).withColumn("before", F.col("passed")).drop("at", "bucket", "passed")
-    two = cut(_crossing(in_one, fine))
+    two = _beside_rows(cut(_crossing(in_one, fine)))
     last_rows = in_one.drop("before").join(two, null_safe(F.col("source"), F.col("at"))).where(
         fine == F.col("bucket"))
     # Equal rank values stand together: rows of one document repeated are taken or left alike.
@@ -147,23 +158,30 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float
     done = bound.join(inner.withColumnRenamed("at", "at3"), null_safe(F.col("at"), F.col("at3"))).select(
         "at", F.coalesce("t.v", "floor_v").alias("last"), F.col("t").isNull().alias("below"),
         F.coalesce("t.end", "passed").alias("got"))
-    done = cut(done)
-
-    # The gap that is left: the one further document that brings the words nearest.
-    later = rows.drop("before").join(done, null_safe(F.col("source"), F.col("at"))).where(
-        ~_taken("v", "last", "below"))
-    miss = F.abs(F.col("size") - (F.col("rest") - F.col("got")))
-    extra = later.groupBy("source").agg(
-        F.min_by(F.struct("v", miss.alias("miss"), (F.col("rest") - F.col("got")).alias("gap")),
-                 F.struct(miss, "v")).alias("e"))
-    extra = extra.where("e.miss < e.gap").select(F.col("source").alias("at4"), F.col("e.v").alias("extra"))
-    out = per.join(done, null_safe(F.col("source"), F.col("at")), "left").join(
-        extra, null_safe(F.col("source"), F.col("at4")), "left")
+    done = _beside_rows(cut(done))
+
+    # The gap that is left: further documents, each the largest that fits, the last one the nearest.
+    gaps = done.withColumn("extra", F.array().cast("array<double>"))
+    for step in range(FILLS):
+        later = rows.drop("before").join(gaps, null_safe(F.col("source"), F.col("at"))).where(
+            ~_taken("v", "last", "below") & ~F.array_contains("extra", F.col("v")))
+        gap = F.col("rest") - F.col("got")
+        miss = F.abs(F.col("size") - gap)
+        if step < FILLS - 1:
+            later = later.where(F.col("size") <= gap)
+        best = later.groupBy(F.col("source").alias("at4")).agg(
+            F.min_by(F.struct("v", "size", miss.alias("miss"), gap.alias("gap")), F.struct(miss, "v")).alias("e"))
+        best = best.where("e.miss < e.gap")
+        gaps = _beside_rows(cut(gaps.join(best, null_safe(F.col("at"), F.col("at4")), "left").select(
+            "at", "last", "below", (F.col("got") + F.coalesce("e.size", F.lit(0))).alias("got"),
+            F.when(F.col("e").isNull(), F.col("extra")).otherwise(
+                F.concat("extra", F.array("e.v"))).alias("extra"))))
+    out = per.join(gaps, null_safe(F.col("source"), F.col("at")), "left")
     whole_rest = F.when(F.col("rest") > 0, F.lit(2.0)).otherwise(F.lit(-1.0))  # no crossing: all or none
-    return cut(out.select("source", "source_size", "target", "whole", "p_rate", "rest",
+    return _beside_rows(cut(out.select("source", "source_size", "target", "whole", "p_rate", "rest",
                           F.coalesce("last", whole_rest).alias("last"),
                           F.coalesce("below", F.lit(False)).alias("below"),
-                          F.coalesce("extra", F.lit(-1.0)).alias("extra")))
+                          F.coalesce("extra", F.array().cast("array<double>")).alias("extra"))))
 
 
 def _taken(v: str, last: str, below: str) -> Column:
@@ -179,7 +197,7 @@ def ranked(sizes: DataFrame, per: DataFrame) -> DataFrame:
 
 def copies(sizes: DataFrame, chosen: DataFrame, max_copies: int = 2) -> DataFrame:
     """``sizes`` with source_size, target and the copies taken of each row."""
-    more = (_taken("v", "last", "below") | (F.col("v") == F.col("extra"))) & (F.col("rest") > 0)
+    more = (_taken("v", "last", "below") | F.array_contains("extra", F.col("v"))) & (F.col("rest") > 0)
     return ranked(sizes, chosen).withColumn("copies", F.least(
         F.lit(max_copies).cast("bigint"), F.col("whole") + more.cast("bigint")))
 
