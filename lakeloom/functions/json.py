@@ -50,8 +50,7 @@ def _finalize(t: T.DataType) -> T.DataType:
     return t
 
 
-def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
-                        sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
+def infer_object_schema(df: DataFrame, c: str, sample_fraction: float | None = None, seed: int = 42) -> T.StructType:
     """Schema of a column of JSON objects, inferred over *all* rows.
 
     One aggregate pass: every object is read into a VARIANT with the
@@ -64,8 +63,7 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     ``sample_fraction`` infers from a random sample (like ``samplingRatio``).
     Only the schema reaches the driver. Objects keyed by data (ids as keys)
     should be parsed as ``map<string,...>`` instead: every distinct key
-    becomes a field here, and ``max_keys`` is checked once the merged schema
-    is known.
+    becomes a field here.
     """
     if sample_fraction is not None:
         df = df.sample(fraction=sample_fraction, seed=seed)
@@ -75,8 +73,6 @@ def infer_object_schema(df: DataFrame, c: str, max_keys: int = 10_000,
     if not merged or not merged.startswith("OBJECT<"):
         return T.StructType([])
     schema = _finalize(T.DataType.fromDDL(_variant_schema_to_ddl(merged)))
-    if len(schema.fields) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct JSON keys in {c}")
     return T.StructType(sorted(schema.fields, key=lambda f: f.name))
 
 

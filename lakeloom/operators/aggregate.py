@@ -79,9 +79,18 @@ def agg_by_spec(df: DataFrame, keys: Sequence[str], spec: dict[str, str]) -> Dat
     return df.groupBy(*keys).agg(*aggs)
 
 
+def distinct_count(df: DataFrame, keys: Sequence[str], value: str,
+                   name: str = "n_distinct") -> DataFrame:
+    """Exact distinct count of non-null values: (keys, value) pairs are made
+    distinct, spread by value, then counted with partial aggregation, so a
+    hot key is never gathered in one task."""
+    pairs = df.where(quoted(value).isNotNull()).select(*[quoted(c) for c in (*keys, value)]).distinct()
+    return pairs.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
+
+
 def bitmap_count_distinct(df: DataFrame, keys: Sequence[str], value: str,
                           name: str = "n_distinct") -> DataFrame:
-    """Exact distinct count of an integral column with bitmaps.
+    """Exact distinct count of an integral column with bitmaps, for dense ids.
 
     Values are split into fixed-size buckets; each bucket's bitmap is built
     with partial aggregation (OR of bitmaps), then bit counts are summed.

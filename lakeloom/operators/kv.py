@@ -6,6 +6,8 @@ ASCII keys, so a range ``[start, stop)`` is a pushed-down string filter.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +38,10 @@ def scan_family(cells: DataFrame, family: str) -> DataFrame:
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
-    """Newest version of every cell (partial aggregation, no sort)."""
+    """Newest version of every cell (partial aggregation, no sort); of values
+    with the same version the greatest."""
     return cells.groupBy(*CELL_KEY).agg(
-        F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
+        F.max_by("value", F.struct("version", "value")).alias("value"), F.max("version").alias("version"))
 
 
 def cells_to_rows(cells: DataFrame, family: str, qualifiers: Sequence[str],
@@ -48,7 +51,7 @@ def cells_to_rows(cells: DataFrame, family: str, qualifiers: Sequence[str],
     distinct-values job; values are cast with ``try_cast`` (bad → null)."""
     types = types or {}
     wide = (scan_family(cells, family).groupBy("row_key")
-            .pivot("qualifier", list(qualifiers)).agg(F.max_by("value", "version")))
+            .pivot("qualifier", list(qualifiers)).agg(F.max_by("value", F.struct("version", "value"))))
     return wide.select(F.col("row_key").alias(key_name), *[
         (quoted(q).try_cast(types[q]) if q in types else quoted(q)).alias(q)
         for q in qualifiers])
@@ -68,12 +71,12 @@ def put(cells: DataFrame, new_cells: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
-           order: Sequence[str] | None = None, max_broadcast_keys: int = 5_000_000) -> DataFrame:
+           order: Sequence[str] = (), max_broadcast_keys: int = 5_000_000) -> DataFrame:
     """Insert-or-replace rows of ``target`` by ``keys``.
 
     ``changes`` is first reduced to one row per key: the newest by ``order``
-    (``max_by`` with partial aggregation), or an arbitrary one when no order
-    is given. The reduced change set is materialised once (checkpoint), its
+    (``max_by`` with partial aggregation; equal orders, or none, by the other columns).
+    A null key is a key like any other. The reduced change set is materialised once (checkpoint), its
     keys remove the replaced target rows with an anti join — broadcast when
     proven small, so the big target is never shuffled — and the changes are
     appended. Write the result to a new location and switch readers to it;
@@ -82,18 +85,17 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     from lakeloom.operators.relational import cut_lineage
 
     cols = target.columns
-    if order:
-        rest = [c for c in cols if c not in keys]
-        changes = (changes.groupBy(*keys)
-                   .agg(F.max_by(F.struct(*[quoted(c) for c in rest]),
-                                 F.struct(*[quoted(c) for c in order])).alias("_r"))
-                   .select(*keys, "_r.*"))
-    else:
-        changes = changes.dropDuplicates(list(keys))
+    rest = [c for c in cols if c not in keys]
+    changes = (changes.groupBy(*keys)
+               .agg(F.max_by(F.struct(*[quoted(c) for c in rest]),
+                             F.struct(*[quoted(c) for c in (*order, *rest)])).alias("_r"))
+               .select(*keys, "_r.*"))
     changes = cut_lineage(changes.select(*cols))
-    changed_keys = broadcast_if_small(changes.select(*keys), max_broadcast_keys,
-                                      materialize=False)
-    kept = target.join(changed_keys, list(keys), "left_anti")
+    names = {k: f"_changed{i}" for i, k in enumerate(keys)}
+    changed_keys = broadcast_if_small(changes.select(*keys).withColumnsRenamed(names),
+                                      max_broadcast_keys, materialize=False)
+    same = functools.reduce(operator.and_, [target[k].eqNullSafe(changed_keys[r]) for k, r in names.items()])
+    kept = target.join(changed_keys, same, "left_anti")
     return kept.unionByName(changes)
 
 

@@ -138,10 +138,13 @@ def kafka_start_options(ledger: DataFrame | None, current: DataFrame, topic: str
     """
     if ledger is None:
         return {"subscribe": topic, "startingOffsets": "latest"}
+    # No ledger entry and no partition known yet: nothing to assign.
     resolved = resolve_offsets(ledger.where(F.col("topic") == topic),
                                current.where(F.col("topic") == topic), group_id)
     starting = starting_offsets_json(resolved).first()["starting_offsets"]
     import json
 
-    parts = {t: sorted(int(p) for p in m) for t, m in json.loads(starting).items()}
+    parts = {t: sorted(int(p) for p in m) for t, m in json.loads(starting or "{}").items() if m}
+    if not parts:
+        return {"subscribe": topic, "startingOffsets": "latest"}
     return {"assign": json.dumps(parts), "startingOffsets": starting}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,21 +11,14 @@ from pyspark.sql import types as T
 from lakeloom.functions.json import infer_object_schema, json_map, parse
 from lakeloom.operators.relational import quoted
 
-# The element-boundary marker inserted after "}," before splitting.
-ELEMENT_MARK = "^*^*"
-
-
 def explode_json_text(df: DataFrame, keys: Sequence[str], c: str, out: str = "element") -> DataFrame:
-    """JSON array text → one row per element by text surgery.
+    """JSON array text → one row per element, each as its JSON text.
 
-    Takes the text after the last ``[`` and before the next ``]``, marks
-    element boundaries ``},`` and splits on the mark. Exact for flat
-    objects without brackets or ``},`` inside values; ``[]`` gives one
-    empty element and null gives no row. Prefer :func:`explode_json_array`.
+    The array is parsed, so brackets, commas and braces inside values or
+    nested elements are no boundaries. An empty array, a null and a text that
+    is no array give no row; a null element gives a null.
     """
-    body = F.substring_index(F.substring_index(F.col(c), "[", -1), "]", 1)
-    marked = F.regexp_replace(body, "},", "}" + ELEMENT_MARK)
-    return df.select(*keys, F.explode(F.split(marked, re.escape(ELEMENT_MARK))).alias(out))
+    return df.select(*keys, F.explode(F.from_json(F.col(c), "array<string>")).alias(out))
 
 
 def explode_json_array(df: DataFrame, keys: Sequence[str], c: str,
@@ -91,6 +83,17 @@ def unpivot_cells(df: DataFrame, row_key: Column, family: str, value_cols: Seque
         "row_key", F.lit(family).alias("family"), "qualifier", "version", "value")
 
 
+def json_cells(df: DataFrame, row_key: Column, c: str, family: str,
+               version: Column | None = None) -> DataFrame:
+    """JSON objects → one cell per entry with a non-null value; nested values
+    stay JSON text. A text that is no object has no cells."""
+    at = version if version is not None else F.lit(0)
+    long = df.select(row_key.alias("row_key"), at.cast("bigint").alias("version"),
+                     F.explode(json_map(c)).alias("qualifier", "value"))
+    return long.where(F.col("value").isNotNull()).select(
+        "row_key", F.lit(family).alias("family"), "qualifier", "version", "value")
+
+
 def sorted_cells(cells: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Cells globally ordered by (row_key, family, qualifier), as a sorted
     key-value file needs. Range partitioning spreads the sort over many

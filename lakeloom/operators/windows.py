@@ -39,13 +39,6 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Colu
     return df.join(totals, cond, "left").drop(*renamed.values())
 
 
-def window_total(df: DataFrame, keys: Sequence[str], order: str, aggs: dict[str, Column]) -> DataFrame:
-    """Literal window form (for small or pre-partitioned data)."""
-    w = (Window.partitionBy(*keys).orderBy(order)
-         .rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-
-
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                     rank_name: str = "rn") -> DataFrame:
     """Rows ranked 1..n per group by ``order`` (give a total order)."""

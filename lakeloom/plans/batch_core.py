@@ -205,9 +205,7 @@ def q_device_avg(spark, sf):
 
 @query("scan_parquet")
 def q_scan_parquet(spark, sf):
-    o = load(spark, sf, "orders")
-    return o.where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")) \
-            .select("o_orderkey", "o_totalprice", "o_orderdate")
+    return load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
 
 
 @query("literal_rows")

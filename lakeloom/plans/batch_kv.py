@@ -15,9 +15,10 @@ TYPES = {"nation": "int", "acctbal_cents": "bigint", "last_order": "bigint"}
 
 
 def _rows(cells):
+    """Both families side by side; a row key with one family only stays."""
     info = kv.cells_to_rows(cells, "info", INFO, TYPES)
     orders = kv.cells_to_rows(cells, "orders", ["last_order", "last_status"], TYPES)
-    return info.join(orders, "row_key", "left")
+    return info.join(orders, "row_key", "full")
 
 
 @query("cells_to_rows")
@@ -76,11 +77,18 @@ def q_kv_put(spark, sf):
 
 @query("kv_upsert")
 def q_kv_upsert(spark, sf):
+    """Overdrawn customers are replaced and suppliers inserted (as negative
+    keys); the result is written to a new place and read back."""
     base = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    changes = base.where(F.col("c_acctbal") < 0).select(
+    replaced = base.where(F.col("c_acctbal") < 0).select(
         "c_custkey", "c_name", F.lit("OVERDRAWN").alias("c_mktsegment"),
         F.lit(0.0).alias("c_acctbal"))
-    return kv.upsert(base, changes, ["c_custkey"])
+    inserted = load(spark, sf, "supplier").select(
+        (-F.col("s_suppkey") - 1).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        F.lit("SUPPLIER").alias("c_mktsegment"), F.col("s_acctbal").alias("c_acctbal"))
+    path = scratch_path(spark, "upserted")
+    kv.upsert(base, replaced.unionByName(inserted), ["c_custkey"], ["c_acctbal"]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _bucketed_cells(spark, sf, buckets: int = 8):

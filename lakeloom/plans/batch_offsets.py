@@ -17,6 +17,10 @@ def _records(spark, sf):
     return derived.kafka_records(spark, sf).withColumn("value", F.col("value").cast("string"))
 
 
+def _whole_history(spark, sf):
+    return off.offset_history(_records(spark, sf), GROUP, off.batch_ms("timestamp"))
+
+
 def _history(spark, sf):
     rec = _records(spark, sf).where(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp"))
     return off.offset_history(rec, GROUP, off.batch_ms("timestamp"))
@@ -44,13 +48,13 @@ def q_offset_history(spark, sf):
 
 @query("offsets_encode")
 def q_offsets_encode(spark, sf):
-    return off.encode_offsets(_history(spark, sf), ["topic", "group_id", "batch_ms"],
+    return off.encode_offsets(_whole_history(spark, sf), ["topic", "group_id", "batch_ms"],
                               "until_offset")
 
 
 @query("offsets_decode")
 def q_offsets_decode(spark, sf):
-    enc = off.encode_offsets(_history(spark, sf), ["topic", "group_id", "batch_ms"],
+    enc = off.encode_offsets(_whole_history(spark, sf), ["topic", "group_id", "batch_ms"],
                              "until_offset")
     return off.decode_offsets(enc.withColumnRenamed("topic", "t"), ["group_id", "batch_ms"],
                               "offsets", "until_offset")

@@ -23,7 +23,9 @@ RANGE_WIDTH = 150000000  # ranges leave gaps, so some addresses match nothing
 
 
 def ip_long(user_id: str = "user_id") -> Column:
-    return F.pmod(F.col(user_id) * F.lit(IP_MULT), F.lit(4294967296))
+    """A 32-bit address of a user. The id is reduced first, so the product of
+    any bigint id fits a bigint."""
+    return F.pmod(F.pmod(F.col(user_id), F.lit(1 << 31)) * F.lit(IP_MULT), F.lit(4294967296))
 
 
 def app_log(events: DataFrame) -> Column:
@@ -53,14 +55,11 @@ def kafka_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def phone(custkey: str = "c_custkey", nationkey: str = "c_nationkey", base: int = 30) -> Column:
-    """Synthetic 11-digit mobile number: '1', base + nation, 8-digit key.
-
-    Distinct per customer while keys stay below 10^8 (all test scales); an
-    11-digit number cannot be unique beyond that, so larger key spaces would
-    need a wider synthetic key (row keys use :func:`row_key`, which never
-    truncates)."""
+    """Synthetic 11-digit mobile number: '1', base + nation, the key modulo
+    10^8. A property of the customer, not an identity: several customers may
+    share a number, so nothing is keyed by it (see :func:`row_key`)."""
     return F.concat(F.lit("1"), (F.col(nationkey) + base).cast("string"),
-                    F.lpad(F.col(custkey).cast("string"), 8, "0"))
+                    F.lpad(F.pmod(F.col(custkey), F.lit(100_000_000)).cast("string"), 8, "0"))
 
 
 def contacts_json(spark: SparkSession, sf: str) -> DataFrame:

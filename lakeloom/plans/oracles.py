@@ -161,7 +161,7 @@ SELECT event_type AS device_type, round(avg(value), 6) AS avg_signal FROM events
 """
 
 ORACLES["scan_parquet"] = """
-SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+SELECT o_orderkey, o_totalprice, o_orderdate FROM orders
 """
 
 ORACLES["literal_rows"] = """
@@ -181,8 +181,9 @@ SELECT event_id, ts, user_id, event_type, value FROM (
   FROM events) WHERE rn = 1
 """
 
-_PHONE = "'1' || CAST(c_nationkey + 30 AS VARCHAR) || lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
+_PHONE = "'1' || CAST(c_nationkey + 30 AS VARCHAR) || lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0')"
 
+# Fixed value: the mobile-number pattern (see functions/text.py).
 ORACLES["valid_mobile"] = f"""
 SELECT c_custkey, {_PHONE} AS phone,
   regexp_full_match({_PHONE}, '(13[0-9]|14[579]|15[0-35-9]|16[6]|17[0135678]|18[0-9]|19[89])[0-9]{{8}}') AS is_valid
@@ -205,14 +206,14 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
 
 # ---- JSON and reshaping -------------------------------------------------
 
-_PHONE60 = "'1' || CAST(c_nationkey + 60 AS VARCHAR) || lpad(CAST(c_custkey AS VARCHAR), 8, '0')"
+_PHONE60 = "'1' || CAST(c_nationkey + 60 AS VARCHAR) || lpad(CAST(c_custkey % 100000000 AS VARCHAR), 8, '0')"
 _CONTACTS = (
     f"""'[{{"name":"' || c_name || '","phone":"' || {_PHONE} || '"}},{{"name":"' """
     f"""|| c_mktsegment || '","phone":"' || {_PHONE60} || '"}}]'"""
 )
 _TS6 = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 _CENTS = "CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)"
-_IPNUM = "((user_id * 2654435761) % 4294967296)"
+_IPNUM = "(((user_id % 2147483648) * 2654435761) % 4294967296)"
 _IP = (f"concat_ws('.', ({_IPNUM} >> 24) % 256, ({_IPNUM} >> 16) % 256, "
        f"({_IPNUM} >> 8) % 256, {_IPNUM} % 256)")
 _EVENTS_JSON = (
@@ -233,8 +234,8 @@ SELECT event_id, event_type, CAST(props->>'k' AS BIGINT) AS k FROM events
 ORACLES["json_tuple_fields"] = "SELECT event_id, props->>'k' AS k FROM events"
 
 ORACLES["json_object_entries"] = f"""
-SELECT phone, key, value FROM (
-  SELECT {_PHONE} AS phone, c_name AS name, c_mktsegment AS segment,
+SELECT c_custkey, key, value FROM (
+  SELECT c_custkey, c_name AS name, c_mktsegment AS segment,
     CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
 UNPIVOT (value FOR key IN (name, segment, nation))
 """
@@ -242,8 +243,7 @@ UNPIVOT (value FOR key IN (name, segment, nation))
 ORACLES["json_sorted_keys"] = "SELECT c_custkey, 'name,nation,phone,segment' AS keys FROM customer"
 
 ORACLES["explode_json_text"] = f"""
-SELECT c_custkey, unnest(string_split(replace(
-  string_split(string_split({_CONTACTS}, '[')[-1], ']')[1], '}},', '}}^*^*'), '^*^*')) AS contact
+SELECT c_custkey, unnest(CAST(json_extract({_CONTACTS}, '$[*]') AS VARCHAR[])) AS contact
 FROM customer
 """
 
@@ -292,10 +292,10 @@ WHERE c_acctbal > 0
 """
 
 ORACLES["json_to_cells"] = f"""
-SELECT phone AS row_key, 'cf' AS family, qualifier, value FROM (
-  SELECT {_PHONE} AS phone, c_name AS name, c_mktsegment AS segment,
-    CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
-UNPIVOT (value FOR qualifier IN (name, segment, nation))
+SELECT row_key, 'cf' AS family, qualifier, value FROM (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS row_key, c_name AS name, {_PHONE} AS phone,
+    c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS nation FROM customer)
+UNPIVOT (value FOR qualifier IN (name, phone, segment, nation))
 """
 
 # ---- key-value cells ------------------------------------------------------
@@ -321,10 +321,10 @@ latest AS (SELECT row_key, family, qualifier, arg_max(value, version) AS value,
 """
 
 _ROWS = """
-SELECT lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS row_key, c_name AS name,
+SELECT lpad(CAST(coalesce(c_custkey, o.o_custkey) AS VARCHAR), 20, '0') AS row_key, c_name AS name,
   c_nationkey AS nation, c_mktsegment AS segment,
   CAST(round(c_acctbal * 100) AS BIGINT) AS acctbal_cents, o.last_order, o.last_status
-FROM customer LEFT JOIN (
+FROM customer FULL JOIN (
   SELECT o_custkey, max(o_orderkey) AS last_order, arg_max(o_orderstatus, o_orderkey) AS last_status
   FROM orders GROUP BY o_custkey) o ON c_custkey = o.o_custkey
 """
@@ -359,6 +359,7 @@ SELECT c_custkey, c_name,
   CASE WHEN c_acctbal < 0 THEN 'OVERDRAWN' ELSE c_mktsegment END AS c_mktsegment,
   CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal
 FROM customer
+UNION ALL SELECT -s_suppkey - 1, s_name, 'SUPPLIER', s_acctbal FROM supplier
 """
 
 # ---- offset ledger ------------------------------------------------------
@@ -367,6 +368,10 @@ _REC = f"""
 WITH rec AS (
   SELECT 'app_logs' AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
     ts, {_APP_LOG_JSON} AS value FROM events),
+every AS (
+  SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) AS batch_ms,
+    partition, max("offset") + 1 AS until_offset
+  FROM rec GROUP BY ALL),
 hist AS (
   SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) AS batch_ms,
     partition, max("offset") + 1 AS until_offset
@@ -402,11 +407,11 @@ SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) A
 ORACLES["offsets_encode"] = _REC + """
 SELECT topic, group_id, batch_ms,
   string_agg(topic || ':' || partition || ':' || until_offset, ',' ORDER BY partition) AS offsets
-FROM hist GROUP BY topic, group_id, batch_ms
+FROM every GROUP BY topic, group_id, batch_ms
 """
 
 ORACLES["offsets_decode"] = _REC + """
-SELECT group_id, batch_ms, topic, partition, until_offset FROM hist
+SELECT group_id, batch_ms, topic, partition, until_offset FROM every
 """
 
 ORACLES["offsets_from_batch"] = _REC + """
@@ -536,9 +541,9 @@ ORACLES["scan_csv"] = "SELECT * FROM events"
 ORACLES["roundtrip_json"] = "SELECT * FROM events"
 ORACLES["roundtrip_orc"] = "SELECT * FROM orders"
 ORACLES["table_append_partitioned"] = """
-SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'
+SELECT event_id, user_id, value, event_type FROM events
 UNION ALL
-SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'
+SELECT event_id, user_id, value, event_type FROM events
 """
 ORACLES["empty_with_schema"] = "SELECT * FROM orders"
 ORACLES["stream_csv"] = "SELECT * FROM events"

@@ -19,9 +19,12 @@ DEFAULT_CONF = {
 
 
 # Starting points for ~100 TB inputs on a large cluster (AQE coalesces the
-# initial shuffle partitions down to ~256 MB each and splits skewed ones).
+# initial shuffle partitions down to ~256 MB each and splits skewed ones;
+# parallelismFirst would ignore that size). Streaming state is never
+# coalesced: see STREAM_CONF.
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.shuffle.partitions": "20000",
@@ -33,6 +36,11 @@ CLUSTER_CONF = {
 }
 
 
+# For sessions that run stateful streams: every shuffle partition holds a
+# state store of each stateful operator, fixed for the query's life.
+STREAM_CONF = {"spark.sql.shuffle.partitions": "1000"}
+
+
 def build_session(
     app_name: str = "lakeloom",
     master: str | None = None,
@@ -40,6 +48,7 @@ def build_session(
     hive: bool = False,
     extra_conf: dict[str, str] | None = None,
     cluster: bool = False,
+    streaming: bool = False,
 ) -> SparkSession:
     """Builder with UTC session time, AQE (coalesce + skew join) and no UI.
 
@@ -47,7 +56,8 @@ def build_session(
     ``hive=True`` enables the Hive catalog (metastore URIs come from
     ``extra_conf``, e.g. ``{"hive.metastore.uris": "thrift://..."}``).
     ``cluster=True`` applies ``CLUSTER_CONF`` (large-input partition sizing
-    and RocksDB state for streaming).
+    and RocksDB state for streaming); ``streaming=True`` lowers its shuffle
+    partitions to what stateful streams can keep open.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -55,6 +65,8 @@ def build_session(
     conf = dict(DEFAULT_CONF)
     if cluster:
         conf.update(CLUSTER_CONF)
+    if streaming:
+        conf.update(STREAM_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+# Fixed values below: format names and option keys are set by the connectors.
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter, SparkSession
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.session import scratch_path
 
-# Progress of runs per label (for plan/state reports; cleared by the caller).
+# Progress of the last run per label (for plan/state reports).
 LAST_PROGRESS: dict[str, list[dict]] = {}
 
 
@@ -36,10 +36,12 @@ def stage_files(batches: list[DataFrame], path: str, fmt: str = "parquet",
 
 
 def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, label: str,
-                      foreach_batch=None, timeout_s: int = 600,
+                      foreach_batch=None, timeout_s: int | None = None,
                       base: str | None = None) -> tuple[str, object]:
     """Start, wait for completion, return (sink path, query).
 
+    Waits as long as the data takes; a limit is the caller's to set.
+
     Passing the same ``base`` again restarts the query from its checkpoint:
     only files that arrived since the last run are processed.
     """
@@ -52,11 +54,12 @@ def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, labe
     else:
         w = w.format(fmt).option("path", sink)
     q = w.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream {label} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    LAST_PROGRESS.setdefault(label, []).extend(q.recentProgress)
+    LAST_PROGRESS[label] = list(q.recentProgress)
     return sink, q

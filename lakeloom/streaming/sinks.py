@@ -88,11 +88,11 @@ def offset_ledger_writer(path: str, value_col: str = "value") -> Callable[[DataF
 
 def committed_offsets(ledger: DataFrame) -> DataFrame:
     """Newest (until_offset, data) per partition from the ledger log."""
-    # Offsets only grow within a partition, so the newest commit is the one
-    # with the highest until-offset, whatever order batches were replayed in.
+    # The last batch decides, not the highest offset: after a rewind or a
+    # recreated topic the newest commit is the lower one.
     return (ledger.groupBy("topic", "partition")
-            .agg(F.max("until_offset").alias("until_offset"),
-                 F.max_by("data", "until_offset").alias("data")))
+            .agg(F.max_by(F.struct("until_offset", "data"), "batch_id").alias("_c"))
+            .select("topic", "partition", "_c.until_offset", "_c.data"))
 
 
 def at_least_once_writer(ledger_path: str, process: Callable[[DataFrame, int], None]

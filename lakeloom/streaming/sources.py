@@ -42,8 +42,9 @@ def kafka_source_options(brokers: str, topic: str | None = None,
                          **options: str) -> dict[str, str]:
     """Options for the Kafka source: ``subscribe`` a topic at
     ``starting_offsets``, or ``assign`` the partitions of a
-    ``startingOffsets`` JSON from the offset ledger. Consumer properties
-    get the ``kafka.`` prefix they need."""
+    ``startingOffsets`` JSON from the offset ledger. Consumer properties are
+    given with underscores for dots (``group_id``) and get their ``kafka.``
+    prefix."""
     import json
 
     opts = {"kafka.bootstrap.servers": brokers}
@@ -56,7 +57,8 @@ def kafka_source_options(brokers: str, topic: str | None = None,
         raise ValueError("give a topic or an assign JSON")
     source_keys = {k.lower() for k in KAFKA_SOURCE_KEYS}  # options are case-insensitive
     for k, v in options.items():
-        opts[k if k.startswith("kafka.") or k.lower() in source_keys else f"kafka.{k}"] = v
+        known = k.startswith("kafka.") or k.lower() in source_keys
+        opts[k if known else f"kafka.{k.replace('_', '.')}"] = v
     return opts
 
 

@@ -17,7 +17,19 @@ def test_explode_json_text_edges(spark):
     got = sorted((r.user_id, r.element) for r in
                  reshape.explode_json_text(df, ["user_id"], "contacts").collect())
     assert got == sorted([(1, '{"name":"a","phone":"1"}'), (1, '{"name":"b","phone":"2"}'),
-                          (2, ""), (4, "1,2"), (5, '{"n":"x"}'), (5, ' {"n":"y"}')])
+                          (4, '{"a":[1,2]}'), (4, '{"a":3}'), (5, '{"n":"x"}'), (5, '{"n":"y"}')])
+
+
+def test_json_cells(spark):
+    rows = [(300_000_001, '{"name":"a","age":3,"gone":null}'), (300_000_002, '{"name":"b","tags":[1,2]}'),
+            (3, "[]"), (4, None)]
+    df = spark.createDataFrame(rows, "id bigint, doc string")
+    from lakeloom.plans.derived import row_key
+    got = sorted(tuple(r) for r in reshape.json_cells(df, row_key("id"), "doc", "f").collect())
+    key = "00000000000300000001"
+    other = "00000000000300000002"  # keys beyond 10^8 stay apart
+    assert got == [(key, "f", "age", 0, "3"), (key, "f", "name", 0, "a"),
+                   (other, "f", "name", 0, "b"), (other, "f", "tags", 0, "[1,2]")]
 
 
 def test_explode_json_array_and_columns(spark):

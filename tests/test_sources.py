@@ -116,7 +116,7 @@ def test_kafka_source_options():
     from lakeloom.streaming.sources import kafka_source_options
     o = kafka_source_options("b:9092", topic="app_logs", group_id="g", maxOffsetsPerTrigger="100")
     assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "app_logs",
-                 "startingOffsets": "latest", "kafka.group_id": "g", "maxOffsetsPerTrigger": "100"}
+                 "startingOffsets": "latest", "kafka.group.id": "g", "maxOffsetsPerTrigger": "100"}
     a = kafka_source_options("b:9092", assign_json='{"t":{"1":5,"0":3}}')
     assert a["assign"] == '{"t": [0, 1]}' and a["startingOffsets"] == '{"t":{"1":5,"0":3}}'
 
