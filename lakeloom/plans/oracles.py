@@ -498,10 +498,8 @@ FROM events LEFT JOIN g ON {_IPNUM} BETWEEN g.lo AND g.hi
 
 ORACLES["stream_word_count"] = ORACLES["word_count"]
 
-ORACLES["stream_sliding_count"] = f"""
-SELECT * FROM ({ORACLES["sliding_count"]})
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
-"""
+ORACLES["stream_sliding_count"] = ORACLES["sliding_count"]
+ORACLES["stream_sliding_complete"] = ORACLES["sliding_count"]
 
 ORACLES["stream_tumbling_count"] = ORACLES["tumbling_count"]
 

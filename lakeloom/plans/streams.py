@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeloom.operators import offsets as off
 from lakeloom.operators.kafka import parse_app_log
 from lakeloom.operators.text import words
 from lakeloom.plans import derived
@@ -17,12 +18,14 @@ from lakeloom.plans.registry import query
 from lakeloom.schemas import KAFKA_SCHEMA
 from lakeloom.session import scratch_path
 from lakeloom.streaming import ops, sinks
-from lakeloom.streaming.replay import run_available_now, stage_files
+from lakeloom.sources.files import path_kind
+from lakeloom.streaming.replay import read_sink, run_available_now, run_in_drops, stage_files
 from lakeloom.streaming.sources import file_stream
 from lakeloom.tables import load
 
 SENTINEL_TS = "2999-01-01 00:00:00"
 LEDGER_GROUP = "lakeloom-stream"
+DROPS = 3  # micro-batches with data in which a table arrives
 
 
 def table_stream(spark, sf, name):
@@ -31,8 +34,7 @@ def table_stream(spark, sf, name):
     folder by exact name (no glob in the path, so nothing else matches)."""
     batch = load(spark, sf, name)
     path = f"{sf.rstrip('/')}/{name}.parquet"
-    files = batch.inputFiles()
-    if len(files) == 1 and files[0].rstrip("/").endswith(f"/{name}.parquet"):
+    if path_kind(spark, path) == "file":
         return file_stream(spark, sf, batch.schema, glob=f"{name}.parquet")
     return file_stream(spark, path, batch.schema)
 
@@ -41,47 +43,100 @@ def events_stream(spark, sf):
     return ops.event_time(table_stream(spark, sf, "events"), "ts")
 
 
+def time_drops(df, ts, n=DROPS):
+    """``df`` in ``n`` drops of equal time spans, oldest first, as it would
+    arrive; rows without a time come first. Only the span reaches the driver."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None or lo == hi:
+        return [df]
+    cuts = [F.lit(lo + (hi - lo) * k / n).cast(df.schema[ts].dataType) for k in range(1, n)]
+    t = F.col(ts)
+    first = [df.where(t.isNull() | (t < cuts[0]))]
+    inner = [df.where((t >= a) & (t < b)) for a, b in zip(cuts, cuts[1:])]
+    return first + inner + [df.where(t >= cuts[-1])]
+
+
+def event_drops(spark, sf):
+    return time_drops(load(spark, sf, "events"), "ts")
+
+
 def ntz(*cols):
     return {c: F.col(c).cast("timestamp_ntz") for c in cols}
 
 
 @query("stream_word_count")
 def q_stream_word_count(spark, sf):
-    counts = ops.running_count(words(table_stream(spark, sf, "documents"), "text"), ["word"])
-    sink, _ = run_available_now(counts, None, "update", "wordcount",
-                                foreach_batch=sinks.batch_log_writer)
-    return sinks.latest_revision(spark.read.parquet(sink), ["word"])
+    """Documents arrive in drops; each revises the counts of its words."""
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(DROPS))
+    log = run_in_drops([docs.where(part == i) for i in range(DROPS)],
+                       lambda s: ops.running_count(words(s, "text"), ["word"]),
+                       None, "update", "wordcount", sinks.batch_log_writer)
+    return sinks.latest_revision(log, ["word"])
 
 
 @query("stream_sliding_count")
 def q_stream_sliding_count(spark, sf):
-    counts = ops.windowed_count(events_stream(spark, sf), "ts", ["event_type"],
-                                "10 minutes", "5 minutes", watermark="10 minutes")
-    sink, _ = run_available_now(counts, "parquet", "append", "sliding")
-    return spark.read.parquet(sink).withColumns(ntz("window_start", "window_end"))
+    """Sliding counts in update mode with a watermark: state of closed windows
+    is evicted from drop to drop, open windows are in the log as well."""
+    log = run_in_drops(event_drops(spark, sf), _sliding, None, "update", "sliding", sinks.batch_log_writer)
+    return _newest_windows(log)
+
+
+def _sliding(stream):
+    return ops.windowed_count(ops.event_time(stream, "ts"), "ts", ["event_type"],
+                              "10 minutes", "5 minutes", watermark="10 minutes")
+
+
+def _newest_windows(log):
+    return sinks.latest_revision(log, ["window_start", "event_type"]).withColumns(
+        ntz("window_start", "window_end"))
+
+
+def _last_result(log):
+    """Complete mode: every batch writes the whole result; the last one holds."""
+    last = log.agg(F.max("batch_id").alias("last"))
+    return log.join(F.broadcast(last), F.col("batch_id") == F.col("last")).drop("batch_id", "last")
+
+
+@query("stream_sliding_complete")
+def q_stream_sliding_complete(spark, sf):
+    """Sliding counts in complete mode, ordered by window."""
+    log = run_in_drops(
+        event_drops(spark, sf),
+        lambda s: ops.windowed_count(ops.event_time(s, "ts"), "ts", ["event_type"], "10 minutes",
+                                     "5 minutes").orderBy("window_start"),
+        None, "complete", "slidingall", sinks.batch_log_writer)
+    return _last_result(log).withColumns(ntz("window_start", "window_end"))
 
 
 @query("stream_tumbling_count")
 def q_stream_tumbling_count(spark, sf):
-    counts = ops.windowed_count(events_stream(spark, sf), "ts", ["event_type"], "1 hour")
-    sink, _ = run_available_now(counts.orderBy("window_start"), None, "complete", "tumbling",
-                                foreach_batch=sinks.batch_log_writer)
-    final = sinks.latest_revision(spark.read.parquet(sink), ["window_start", "event_type"])
-    return final.withColumns(ntz("window_start", "window_end"))
+    log = run_in_drops(
+        event_drops(spark, sf),
+        lambda s: ops.windowed_count(ops.event_time(s, "ts"), "ts", ["event_type"], "1 hour")
+        .orderBy("window_start"), None, "complete", "tumbling", sinks.batch_log_writer)
+    return _last_result(log).withColumns(ntz("window_start", "window_end"))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark, sf):
-    d = ops.dedup(events_stream(spark, sf), ["user_id", "event_type"])
-    sink, _ = run_available_now(d.select("user_id", "event_type"), "parquet", "append", "dedup")
-    return spark.read.parquet(sink)
+    return run_in_drops(
+        event_drops(spark, sf),
+        lambda s: ops.dedup(s, ["user_id", "event_type"]).select("user_id", "event_type"),
+        "parquet", "append", "dedup")
 
 
 @query("stream_dedup_watermark")
 def q_stream_dedup_watermark(spark, sf):
-    d = ops.dedup_with_watermark(events_stream(spark, sf), "ts", "10 minutes", ["user_id"])
-    sink, _ = run_available_now(d.select("user_id", "ts"), "parquet", "append", "dedupwm")
-    return spark.read.parquet(sink).withColumns(ntz("ts"))
+    """A tenth of the events is delivered twice; each counts once."""
+    ev = load(spark, sf, "events").select("event_id", "user_id", "ts")
+    twice = ev.unionByName(ev.where("event_id % 10 = 0"))
+    out = run_in_drops(
+        time_drops(twice, "ts"),
+        lambda s: ops.dedup_with_watermark(ops.event_time(s, "ts"), "ts", "10 minutes", ["user_id"])
+        .select("user_id", "ts"), "parquet", "append", "dedupwm")
+    return out.withColumns(ntz("ts"))
 
 
 def _views_clicks(ev):
@@ -96,36 +151,30 @@ def _views_clicks(ev):
 
 @query("stream_interval_join")
 def q_stream_interval_join(spark, sf):
-    views, clicks = _views_clicks(events_stream(spark, sf))
+    return run_in_drops(event_drops(spark, sf), lambda s: _view_click_join(s, "inner"),
+                        "parquet", "append", "ijoin")
+
+
+def _view_click_join(stream, how):
+    views, clicks = _views_clicks(ops.event_time(stream, "ts"))
     j = ops.interval_join(views, clicks, "view_user", "click_user", "view_ts", "click_ts",
-                          "2 hours", "3 hours", "1 hour")
-    sink, _ = run_available_now(
-        j.select("view_id", "click_id", F.col("view_user").alias("user_id")),
-        "parquet", "append", "ijoin")
-    return spark.read.parquet(sink)
+                          "2 hours", "3 hours", "1 hour", how=how)
+    return j.select("view_id", "click_id", F.col("view_user").alias("user_id"))
 
 
 @query("stream_interval_left_join")
 def q_stream_interval_left_join(spark, sf):
     """Left outer: unmatched views are emitted when the watermark passes
-    them, so one far-future sentinel row per side is replayed with the
-    data and filtered from the output."""
+    them, so one far-future sentinel row per side arrives last and is
+    filtered from the output."""
     schema = load(spark, sf, "events").schema
-    base = scratch_path(spark, "sentinel")
     sentinel = spark.createDataFrame(
         [(-1, SENTINEL_TS, -1, "view", 0.0, None), (-2, SENTINEL_TS, -2, "click", 0.0, None)],
         "event_id bigint, ts string, user_id bigint, event_type string, value double, props string",
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*schema.names)
-    glob = stage_files([sentinel], base)
-    ev = ops.event_time(table_stream(spark, sf, "events").unionByName(
-        file_stream(spark, glob, schema)), "ts")
-    views, clicks = _views_clicks(ev)
-    j = ops.interval_join(views, clicks, "view_user", "click_user", "view_ts", "click_ts",
-                          "2 hours", "3 hours", "1 hour", how="left_outer")
-    sink, _ = run_available_now(
-        j.select("view_id", "click_id", F.col("view_user").alias("user_id")),
-        "parquet", "append", "iljoin")
-    return spark.read.parquet(sink).where("view_id >= 0")
+    out = run_in_drops([*event_drops(spark, sf), sentinel],
+                       lambda s: _view_click_join(s, "left_outer"), "parquet", "append", "iljoin")
+    return out.where("view_id >= 0")
 
 
 @query("stream_kafka_to_parquet")
@@ -139,7 +188,11 @@ def q_stream_kafka_to_parquet(spark, sf):
 
 
 def _device_stream(spark, sf):
-    ev = events_stream(spark, sf)
+    return _devices(table_stream(spark, sf, "events"))
+
+
+def _devices(stream):
+    ev = ops.event_time(stream, "ts")
     return ev.select(F.col("user_id").cast("string").alias("device"),
                      F.col("event_type").alias("deviceType"),
                      F.col("value").alias("signal"), F.col("ts").alias("time"))
@@ -154,10 +207,10 @@ def q_stream_filter(spark, sf):
 
 @query("stream_group_count")
 def q_stream_group_count(spark, sf):
-    c = ops.running_count(_device_stream(spark, sf), ["deviceType"])
-    sink, _ = run_available_now(c, None, "update", "groupcount",
-                                foreach_batch=sinks.batch_log_writer)
-    return sinks.latest_revision(spark.read.parquet(sink), ["deviceType"])
+    log = run_in_drops(event_drops(spark, sf),
+                       lambda s: ops.running_count(_devices(s), ["deviceType"]),
+                       None, "update", "groupcount", sinks.batch_log_writer)
+    return sinks.latest_revision(log, ["deviceType"])
 
 
 @query("stream_device_avg")
@@ -200,7 +253,8 @@ def _run_ledger(spark, sf):
         stream = file_stream(spark, f"{inbox}/d*", rec.schema)
         sink, _ = run_available_now(stream, None, "append", "ledger", base=base,
                                     foreach_batch=lambda p: sinks.offset_ledger_writer(p))
-    return spark.read.parquet(sink), rec
+    schema = off.offset_snapshot(rec).withColumn("batch_id", F.lit(0)).schema
+    return read_sink(spark, sink, schema), rec
 
 
 @query("stream_offset_ledger")
@@ -216,8 +270,6 @@ def q_stream_ledger_resume(spark, sf):
     """Full cycle: the streaming ledger is written, then the start offsets
     for a restarted consumer are resolved from it (new partitions from 0)
     and rendered as the Kafka source's startingOffsets JSON."""
-    from lakeloom.operators import offsets as off
-
     ledger, rec = _run_ledger(spark, sf)
     history = ledger.select("topic", F.lit(LEDGER_GROUP).alias("group_id"),
                             F.col("batch_id").cast("bigint").alias("batch_ms"),
@@ -270,10 +322,11 @@ def q_stream_parquet(spark, sf):
 def q_stream_watermark_count(spark, sf):
     """Hourly windows with a 10-minute watermark in append mode: each window
     is written once, after it closes; the still-open last one is withheld."""
-    counts = ops.windowed_count(events_stream(spark, sf), "ts", ["event_type"], "1 hour",
-                                watermark="10 minutes")
-    sink, _ = run_available_now(counts, "parquet", "append", "wmcount")
-    return spark.read.parquet(sink).withColumns(ntz("window_start", "window_end"))
+    out = run_in_drops(
+        event_drops(spark, sf),
+        lambda s: ops.windowed_count(ops.event_time(s, "ts"), "ts", ["event_type"], "1 hour",
+                                     watermark="10 minutes"), "parquet", "append", "wmcount")
+    return out.withColumns(ntz("window_start", "window_end"))
 
 
 @query("stream_late_drop")
@@ -283,13 +336,5 @@ def q_stream_late_drop(spark, sf):
     dropped as late, so the sliding counts equal those of the events once."""
     ev = load(spark, sf, "events")
     first_day = ev.where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz"))
-    inbox = scratch_path(spark, "late-in")
-    base = scratch_path(spark, "late")
-    sink = None
-    for i, drop in enumerate([ev, first_day]):
-        drop.write.parquet(f"{inbox}/d{i}")
-        s = ops.event_time(file_stream(spark, f"{inbox}/d*", ev.schema), "ts")
-        counts = ops.windowed_count(s, "ts", ["event_type"], "10 minutes", "5 minutes",
-                                    watermark="10 minutes")
-        sink, _ = run_available_now(counts, "parquet", "append", "late", base=base)
-    return spark.read.parquet(sink).withColumns(ntz("window_start", "window_end"))
+    return _newest_windows(run_in_drops([ev, first_day], _sliding, None, "update", "late",
+                                        sinks.batch_log_writer))

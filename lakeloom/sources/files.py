@@ -66,3 +66,13 @@ def write_text(df: DataFrame, path: str, single_file: bool = False,
     """One line per row of the single string column. ``single_file`` funnels
     everything through one task — only for small outputs."""
     write(df, path, "text", mode, num_files=1 if single_file else None)
+
+
+def path_kind(spark: SparkSession, path: str) -> str | None:
+    """``file``, ``folder`` or None for a path of any file system, from its
+    status alone (nothing is listed)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return "folder" if fs.getFileStatus(p).isDirectory() else "file"

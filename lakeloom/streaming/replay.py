@@ -10,8 +10,11 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakeloom.session import scratch_path
+from lakeloom.sources.files import path_kind
+from lakeloom.streaming.sources import file_stream
 
 # Progress of the last run per label (for plan/state reports).
 LAST_PROGRESS: dict[str, list[dict]] = {}
@@ -35,6 +38,32 @@ def stage_files(batches: list[DataFrame], path: str, fmt: str = "parquet",
     return f"{path}/b*"
 
 
+def run_in_drops(drops: list[DataFrame], build, fmt: str | None, output_mode: str, label: str,
+                 foreach_batch=None) -> DataFrame:
+    """Let ``drops`` arrive one after the other: each is written to the inbox
+    as parquet, then the query runs on from its checkpoint, so every drop is
+    a micro-batch of its own (state carried over, revisions, eviction by
+    watermark). ``build`` maps the file stream to the result stream; the sink
+    is read back, an empty one with the result's columns."""
+    spark = drops[0].sparkSession
+    inbox, base = scratch_path(spark, f"{label}-in"), scratch_path(spark, label)
+    sink, out = None, None
+    for i, drop in enumerate(drops):
+        drop.write.parquet(f"{inbox}/d{i:05d}")
+        out = build(file_stream(spark, f"{inbox}/d*", drop.schema))
+        sink, _ = run_available_now(out, fmt, output_mode, label, foreach_batch, base=base)
+    extra = ", batch_id int" if foreach_batch is not None else ""
+    return read_sink(spark, sink, T._parse_datatype_string(
+        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + extra))
+
+
+def read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A sink read back; no row if no batch has written to it."""
+    if path_kind(spark, path) is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, label: str,
                       foreach_batch=None, timeout_s: int | None = None,
                       base: str | None = None) -> tuple[str, object]:
