@@ -153,13 +153,39 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: st
                how: str = "left") -> DataFrame:
     """Each point joined to the ranges with ``lo <= point <= hi``.
 
-    Equi key ``point >> bucket_bits``; ranges are exploded over every bucket
-    they touch. The exploded range table is broadcast after a checked row
-    count, else shuffle-joined on the bucket.
+    Equi key ``(level, point >> level)``. A range's level is the least one, in
+    steps of eight bits from ``bucket_bits``, at which it touches at most 257
+    buckets, so no range explodes into more rows than that however wide it
+    is; a point gets one key for each level that occurs (at most eight, found
+    by one aggregate). The exploded range table is broadcast after a checked
+    row count, else shuffle-joined on the key. ``how`` is inner or left.
     """
-    rb = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_bucket", F.explode(F.sequence(
-        F.shiftright(F.col(lo), bucket_bits), F.shiftright(F.col(hi), bucket_bits))))
-    rb = broadcast_if_small(rb, max_broadcast_rows)
-    p = points.withColumn("_bucket", F.shiftright(F.col(point), bucket_bits))
-    cond = (p["_bucket"] == rb["_bucket"]) & (p[point] >= rb[lo]) & (p[point] <= rb[hi])
-    return p.join(rb, cond, how).drop("_bucket")
+    if how not in ("inner", "left"):
+        raise ValueError(f"range_join supports inner and left, not {how!r}")
+    steps = range(bucket_bits, 64, 8)
+    narrow = F.coalesce(*[F.when(F.try_subtract(F.shiftright(F.col(hi), s), F.shiftright(F.col(lo), s)) <= 256, s)
+                          for s in steps], F.lit(63))
+    rb = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_level", narrow)
+    levels = sorted(r["_level"] for r in rb.select("_level").distinct().collect())
+    at = lambda c: F.expr(f"shiftright(`{c}`, _level)")
+    rb = rb.withColumn("_bucket", F.explode(F.sequence(at(lo), at(hi))))
+    rb = broadcast_if_small(rb.withColumnsRenamed({"_level": "_rlevel", "_bucket": "_rbucket"}), max_broadcast_rows)
+
+    def matched(p: DataFrame, kind: str) -> DataFrame:
+        p = p.withColumn("_bucket", at(point))
+        cond = ((p["_level"] == rb["_rlevel"]) & (p["_bucket"] == rb["_rbucket"])
+                & (p[point] >= rb[lo]) & (p[point] <= rb[hi]))
+        return p.join(rb, cond, kind).drop("_level", "_bucket", "_rlevel", "_rbucket")
+
+    if len(levels) <= 1:
+        return matched(points.withColumn("_level", F.lit(levels[0] if levels else bucket_bits)), how)
+    every = F.explode(F.array(*[F.lit(s) for s in levels]))
+    if how == "inner":
+        return matched(points.withColumn("_level", every), "inner")
+    from lakeloom.operators.relational import cut_lineage
+
+    # Several levels: points without a match are those that no level matched.
+    named = cut_lineage(points.withColumn("_id", F.monotonically_increasing_id()))
+    found = matched(named.withColumn("_level", every), "inner")
+    missed = named.join(found.select(F.col("_id").alias("_found")), F.col("_id") == F.col("_found"), "left_anti")
+    return found.unionByName(missed, allowMissingColumns=True).drop("_id")

@@ -58,6 +58,20 @@ def q_table_append_partitioned(spark, sf):
     return catalog.scan(spark, name).select("event_id", "user_id", "value", "event_type")
 
 
+@query("union_append_partitioned")
+def q_union_append_partitioned(spark, sf):
+    """Many inputs, one plan: their union is appended to a partitioned table
+    in a single write and read back."""
+    location = scratch_path(spark, "union-table")
+    name = "lakeloom_union_" + location.rsplit("-", 1)[-1]
+    inputs = [("events", "event_id", "event_type", "event"), ("orders", "o_orderkey", "o_orderstatus", "order"),
+              ("customer", "c_custkey", "c_mktsegment", "customer")]
+    parts = [load(spark, sf, t).select(F.col(k).alias("event_id"), F.col(v).alias("label"), F.lit(kind).alias("kind"))
+             for t, k, v, kind in inputs]
+    catalog.append_partitioned(rel.union_many(parts), name, ["kind"], location)
+    return catalog.scan(spark, name).select("event_id", "label", "kind")
+
+
 @query("empty_with_schema")
 def q_empty_with_schema(spark, sf):
     """A typed empty placeholder unions cleanly with real inputs."""

@@ -16,8 +16,16 @@ from lakeloom.tables import load
 
 @query("json_infer")
 def q_json_infer(spark, sf):
-    ev = load(spark, sf, "events").select("event_id", "props")
-    return reshape.infer_and_parse(ev, ["event_id"], "props")
+    """Inferred over rows whose keys are missing, null, of one type or mixed:
+    integers with fractions are doubles, numbers with texts are strings."""
+    ev = load(spark, sf, "events")
+    kind = F.pmod("event_id", F.lit(4))
+    user = F.col("user_id").cast("string")
+    doc = F.when(kind == 0, F.concat(F.lit('{"k":'), user, F.lit(',"mix":"a"'))) \
+        .when(kind == 1, F.concat(F.lit('{"k":'), user, F.lit('.5,"mix":3'))) \
+        .when(kind == 2, F.lit('{"mix":null,"only":true')).otherwise(F.lit('{"k":null'))
+    doc = F.concat(doc, F.lit(',"props_k":'), F.get_json_object("props", "$.k"), F.lit("}"))
+    return reshape.infer_and_parse(ev.select("event_id", doc.alias("doc")), ["event_id"], "doc")
 
 
 @query("json_extract_typed")

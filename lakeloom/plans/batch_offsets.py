@@ -22,7 +22,9 @@ def _whole_history(spark, sf):
 
 
 def _history(spark, sf):
+    """What a consumer stored that stopped at the cutoff and never saw partition 3."""
     rec = _records(spark, sf).where(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp"))
+    rec = rec.where(F.col("partition") != 3)
     return off.offset_history(rec, GROUP, off.batch_ms("timestamp"))
 
 
@@ -79,10 +81,14 @@ def q_starting_offsets_json(spark, sf):
 
 @query("offset_payload_join")
 def q_offset_payload_join(spark, sf):
-    """Offset ranges of every partition for the final ten-minute micro-batch,
-    each with the newest payload it carried ('' for partitions without data)."""
+    """Offset range of every partition for the final ten-minute micro-batch,
+    with the newest payload it carried ('' for partitions without data)."""
     rec = _records(spark, sf)
-    ranges = off.topic_partitions(rec).select("topic", "partition")
-    last_batch = rec.where(F.col("timestamp") >= F.lit(LAST_BATCH).cast("timestamp"))
+    start = F.lit(LAST_BATCH).cast("timestamp")
+    after = F.col("offset") + 1
+    ranges = rec.groupBy("topic", "partition").agg(
+        F.coalesce(F.max(F.when(F.col("timestamp") < start, after)), F.lit(0).cast("bigint")).alias("from_offset"),
+        F.max(after).alias("until_offset"))
+    last_batch = rec.where(F.col("timestamp") >= start)
     payload = off.offset_snapshot(last_batch).select("topic", "partition", "data")
     return off.attach_payload(ranges, payload)

@@ -151,7 +151,7 @@ ORACLES["drop_null_rows"] = """
 SELECT c_custkey, c_mktsegment, n_orders FROM customer
 JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o
   ON c_custkey = o_custkey
-WHERE c_mktsegment IS NOT NULL
+WHERE c_mktsegment <> 'BUILDING'
 """
 
 ORACLES["device_signal_filter"] = "SELECT user_id AS device, event_id FROM events WHERE value > 10"
@@ -225,7 +225,14 @@ _APP_LOG_JSON = (
     f"""|| '","events":' || {_EVENTS_JSON} || '}}'"""
 )
 
-ORACLES["json_infer"] = "SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events"
+ORACLES["json_infer"] = """
+SELECT event_id,
+  CASE event_id % 4 WHEN 0 THEN CAST(user_id AS DOUBLE) WHEN 1 THEN user_id + 0.5 END AS k,
+  CASE event_id % 4 WHEN 0 THEN 'a' WHEN 1 THEN '3' END AS mix,
+  CASE WHEN event_id % 4 = 2 THEN true END AS "only",
+  CAST(props->>'k' AS BIGINT) AS props_k
+FROM events
+"""
 
 ORACLES["json_extract_typed"] = """
 SELECT event_id, event_type, CAST(props->>'k' AS BIGINT) AS k FROM events
@@ -375,7 +382,7 @@ every AS (
 hist AS (
   SELECT topic, 'lakeloom-consumer' AS group_id, epoch_ms(date_trunc('day', ts)) AS batch_ms,
     partition, max("offset") + 1 AS until_offset
-  FROM rec WHERE ts < TIMESTAMP '2024-01-20' GROUP BY ALL),
+  FROM rec WHERE ts < TIMESTAMP '2024-01-20' AND partition <> 3 GROUP BY ALL),
 resolved AS (
   SELECT coalesce(n.topic, c.topic) AS topic, coalesce(n.partition, c.partition) AS partition,
     coalesce(n.until_offset, 0) AS from_offset
@@ -432,8 +439,11 @@ SELECT '{' || string_agg(j, ',' ORDER BY topic) || '}' AS starting_offsets FROM
 """
 
 ORACLES["offset_payload_join"] = _REC + """
-SELECT p.topic, p.partition, coalesce(d.data, '') AS data
-FROM (SELECT DISTINCT topic, partition FROM rec) p
+SELECT p.topic, p.partition, coalesce(p.from_offset, 0) AS from_offset, p.until_offset,
+  coalesce(d.data, '') AS data
+FROM (SELECT topic, partition, max("offset") + 1 AS until_offset,
+        max(CASE WHEN ts < TIMESTAMP '2024-01-30 23:50:00' THEN "offset" + 1 END) AS from_offset
+      FROM rec GROUP BY topic, partition) p
 LEFT JOIN (SELECT topic, partition, arg_max(value, "offset") AS data FROM rec
            WHERE ts >= TIMESTAMP '2024-01-30 23:50:00' GROUP BY topic, partition) d
   ON p.topic = d.topic AND p.partition = d.partition
@@ -527,6 +537,17 @@ SELECT event_type AS deviceType, round(avg(value), 6) AS avg_signal FROM events
 
 ORACLES["stream_global_count"] = "SELECT count(*) AS n FROM events"
 
+ORACLES["stream_at_least_once"] = _REC + """
+SELECT topic, partition, min("offset") AS from_offset,
+  CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch_id
+FROM rec GROUP BY ALL
+"""
+ORACLES["union_append_partitioned"] = """
+SELECT event_id, event_type AS label, 'event' AS kind FROM events
+UNION ALL SELECT o_orderkey, o_orderstatus, 'order' FROM orders
+UNION ALL SELECT c_custkey, c_mktsegment, 'customer' FROM customer
+"""
+
 ORACLES["stream_offset_ledger"] = _REC + """
 SELECT topic, partition, max("offset") + 1 AS until_offset, arg_max(value, "offset") AS data
 FROM rec GROUP BY topic, partition

@@ -235,16 +235,18 @@ def q_stream_global_count(spark, sf):
     return log.agg(F.max_by("n", "batch_id").alias("n"))
 
 
+def _ledger_drops(rec):
+    a, b = (F.lit(d).cast("timestamp") for d in ("2024-01-11", "2024-01-21"))
+    ts = F.col("timestamp")
+    return [rec.where(ts < a), rec.where((ts >= a) & (ts < b)), rec.where(ts >= b)]
+
+
 def _run_ledger(spark, sf):
     """Records arrive in three drops; after each drop the ledger query
     restarts from its checkpoint, so every drop is its own micro-batch.
     Returns the ledger log (one folder per batch id)."""
     rec = derived.kafka_records(spark, sf).withColumn("value", F.col("value").cast("string"))
-    ts = F.col("timestamp")
-    drops = [rec.where(ts < F.lit("2024-01-11").cast("timestamp")),
-             rec.where((ts >= F.lit("2024-01-11").cast("timestamp"))
-                       & (ts < F.lit("2024-01-21").cast("timestamp"))),
-             rec.where(ts >= F.lit("2024-01-21").cast("timestamp"))]
+    drops = _ledger_drops(rec)
     inbox = scratch_path(spark, "ledger-in")
     base = scratch_path(spark, "ledger")
     sink = None
@@ -257,6 +259,20 @@ def _run_ledger(spark, sf):
     return read_sink(spark, sink, schema), rec
 
 
+@query("stream_at_least_once")
+def q_stream_at_least_once(spark, sf):
+    """The offsets each micro-batch starts from are recorded before it is
+    processed, so a consumer that resumes from the ledger replays it."""
+    processed = scratch_path(spark, "processed")
+
+    def process(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{processed}/batch_id={batch_id}")
+
+    return run_in_drops(_ledger_drops(derived.kafka_records(spark, sf)), lambda s: s, None, "append", "atleast",
+                        lambda path: sinks.at_least_once_writer(path, process),
+                        logged="topic string, partition int, from_offset bigint, batch_id int")
+
+
 @query("stream_offset_ledger")
 def q_stream_offset_ledger(spark, sf):
     """Per micro-batch, until-offset and newest payload of every partition

@@ -39,12 +39,13 @@ def stage_files(batches: list[DataFrame], path: str, fmt: str = "parquet",
 
 
 def run_in_drops(drops: list[DataFrame], build, fmt: str | None, output_mode: str, label: str,
-                 foreach_batch=None) -> DataFrame:
+                 foreach_batch=None, logged: str | None = None) -> DataFrame:
     """Let ``drops`` arrive one after the other: each is written to the inbox
     as parquet, then the query runs on from its checkpoint, so every drop is
     a micro-batch of its own (state carried over, revisions, eviction by
     watermark). ``build`` maps the file stream to the result stream; the sink
-    is read back, an empty one with the result's columns."""
+    is read back, an empty one with the result's columns (``logged``: those
+    that ``foreach_batch`` writes, where they differ)."""
     spark = drops[0].sparkSession
     inbox, base = scratch_path(spark, f"{label}-in"), scratch_path(spark, label)
     sink, out = None, None
@@ -52,9 +53,8 @@ def run_in_drops(drops: list[DataFrame], build, fmt: str | None, output_mode: st
         drop.write.parquet(f"{inbox}/d{i:05d}")
         out = build(file_stream(spark, f"{inbox}/d*", drop.schema))
         sink, _ = run_available_now(out, fmt, output_mode, label, foreach_batch, base=base)
-    extra = ", batch_id int" if foreach_batch is not None else ""
-    return read_sink(spark, sink, T._parse_datatype_string(
-        ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + extra))
+    schema = out.schema if foreach_batch is None else T.StructType([*out.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    return read_sink(spark, sink, T._parse_datatype_string(logged) if logged else schema)
 
 
 def read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -58,6 +58,20 @@ def test_range_join_matches_brute_force(spark):
     assert got == want
 
 
+def test_range_join_bounds_wide_ranges(spark):
+    """Ranges of any width explode into few rows; levels mix in one join."""
+    ranges = [(0, 99, "A"), (-5, 2**62, "wide"), (-2**63, 2**63 - 1, "all"), (70000, 200000, "C")]
+    pts = [(i, v) for i, v in enumerate([-2**63, -6, -5, 0, 99, 100, 70000, 2**62, 2**62 + 1, 2**63 - 1])]
+    R = spark.createDataFrame(ranges, "lo bigint, hi bigint, name string")
+    P = spark.createDataFrame(pts, "id int, p bigint")
+    got = sorted((r.id, r.name) for r in joins.range_join(P, R, "p", "lo", "hi", bucket_bits=8).collect())
+    assert got == sorted((i, n) for i, v in pts for lo, hi, n in ranges if lo <= v <= hi)
+    few = R.where("name IN ('A', 'wide')")
+    got = sorted((r.id, str(r.name)) for r in joins.range_join(P, few, "p", "lo", "hi", bucket_bits=8).collect())
+    want = [(i, n) for i, v in pts for lo, hi, n in ranges[:2] if lo <= v <= hi]
+    assert got == sorted(want + [(i, "None") for i, _ in pts if i not in {j for j, _ in want}])
+
+
 def test_ip_codec(spark):
     df = spark.createDataFrame([("59.39.129.163",), ("1.2.3",), ("256.1.1.1",), (None,)], "ip string")
     got = [r.n for r in df.select(joins.ip_to_long("ip").alias("n")).collect()]

@@ -106,6 +106,27 @@ def test_snapshot_and_payload(spark):
     assert got == {0: "b", 1: "c", 2: ""}
 
 
+def test_newest_commit_wins_after_a_rewind(spark):
+    from lakeloom.streaming.sinks import committed_offsets
+    rows = [("t", 0, 100, "late", 0), ("t", 0, 5, "rewound", 1), ("t", 1, 7, "x", 0)]
+    log = spark.createDataFrame(rows, "topic string, partition int, until_offset bigint, data string, batch_id int")
+    got = sorted((r.partition, r.until_offset, r.data) for r in committed_offsets(log).collect())
+    assert got == [(0, 5, "rewound"), (1, 7, "x")]
+
+
+def test_upsert_replaces_null_keys(spark):
+    target = spark.createDataFrame([(None, "old"), (1, "a")], "k int, v string")
+    changes = spark.createDataFrame([(None, "new")], "k int, v string")
+    assert sorted((str(r.k), r.v) for r in kv.upsert(target, changes, ["k"], ["v"]).collect()) == [
+        ("1", "a"), ("None", "new")]
+
+
+def test_kafka_start_options_without_any_partition(spark):
+    none = spark.createDataFrame([], "topic string, partition int")
+    assert off.kafka_start_options(ledger(spark, []), none, "t", "g") == {
+        "subscribe": "t", "startingOffsets": "latest"}
+
+
 def test_kafka_start_options(spark):
     import json
     cur = spark.createDataFrame([("t", 0), ("t", 1), ("t", 2)], "topic string, partition int")
