@@ -177,7 +177,8 @@ def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     ship(spark)
     own = columns(docs, doc_id=id_col, text=text_col)
     ids = columns(targets, of="doc_id").where("of IS NOT NULL").distinct()
-    marked = own.join(ids, F.col("doc_id") == F.col("of"), "left").select(
+    # Always a merge join: the ids grow with the corpus, so no plan that broadcasts them would last.
+    marked = own.join(ids.hint("merge"), F.col("doc_id") == F.col("of"), "left").select(
         "doc_id", "text", F.col("of").isNotNull().alias("mark"))
     tables = spark.sparkContext.broadcast(Tables(*counts(marked.select("text", "mark"))))
 
