@@ -33,10 +33,6 @@ def count_by_group(df: DataFrame, keys: Sequence[str], name: str = "cnt") -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def global_count(df: DataFrame, name: str = "n") -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias(name))
-
-
 def set_by_key(df: DataFrame, key: Column, value: Column,
                key_name: str = "key", value_name: str = "vals") -> DataFrame:
     """Set of distinct values per key, sorted (combineByKey into a Set).
@@ -127,9 +123,3 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``dropDuplicates(keys)`` with a deterministic survivor."""
     return first_by(df, keys, order, latest=False).select(*df.columns)
-
-
-def latest_by(df: DataFrame, keys: Sequence[str], value: str, order: str,
-              name: str | None = None) -> DataFrame:
-    """Value at the greatest ``order`` per key (last record / newest version)."""
-    return df.groupBy(*keys).agg(F.max_by(value, order).alias(name or value))

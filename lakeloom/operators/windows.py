@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.joins import broadcast_if_small
 
+SALTS = 32
+
 
 def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column],
                         max_broadcast_groups: int = 1_000_000) -> DataFrame:
@@ -41,6 +43,16 @@ def attach_group_totals(df: DataFrame, keys: Sequence[str], aggs: dict[str, Colu
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                     rank_name: str = "rn") -> DataFrame:
-    """Rows ranked 1..n per group by ``order`` (give a total order)."""
+    """Rows ranked 1..n per group by ``order`` (give a total order).
+
+    Spark ranks before the shuffle as well only up to a threshold (1000); for
+    a larger ``n`` each group is first cut to its n best in ``SALTS`` parts, so
+    a hot group is spread and its last task gets at most ``SALTS * n`` rows.
+    """
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        salt = F.pmod(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]), F.lit(SALTS))
+        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", salt).withColumn("_part", F.row_number().over(part))
+              .where(F.col("_part") <= n).drop("_salt", "_part"))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_name, F.row_number().over(w)).where(F.col(rank_name) <= n)

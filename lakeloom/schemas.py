@@ -42,6 +42,3 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType(), False),
     T.StructField("until_offset", T.LongType(), False),
 ])
-
-# Device readings and ad impressions/clicks used by the streaming jobs.
-DEVICE_SCHEMA = "device string, deviceType string, signal double, time timestamp"

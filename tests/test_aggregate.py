@@ -40,6 +40,21 @@ def test_set_by_key_golden(spark):
                    6: [0], 7: [0], 8: [0], 9: [0]}
 
 
+def test_set_by_key_in_long_form(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    got = sorted(tuple(map(str, r)) for r in agg.set_by_key_rows(df, F.col("k"), F.col("v")).collect())
+    assert got == [("None", "3"), ("a", "1"), ("a", "2")]
+
+
+def test_top_n_beyond_the_rank_limit(spark):
+    df = spark.range(0, 6000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 6007).alias("x"))
+    top = windows.top_n_per_group(df, ["g"], [F.asc("x")], 1500)
+    assert top.columns == ["g", "x", "rn"]
+    for g in (0, 1):
+        want = sorted(i * 7919 % 6007 for i in range(g, 6000, 2))[:1500]
+        assert [r.x for r in top.where(f"g = {g}").orderBy("rn").collect()] == want
+
+
 def test_whole_partition_totals(spark):
     df = spark.createDataFrame([(4, "x"), (9, "x"), (7, "y"), (2, None), (8, None)], "id int, category string")
     a = windows.attach_group_totals(df, ["category"], {"total": F.sum("id")})
