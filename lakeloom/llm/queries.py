@@ -88,14 +88,14 @@ def op9_dual_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op9_dual_tree_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 s AS (
   SELECT q.vec_id AS query_id, d.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.e, d.e), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id AND len(q.e) = len(d.e)
   WHERE q.vec_id % 100 = 0
 ),
@@ -115,3 +115,74 @@ def op3_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     labels = load(spark, sf_dir, "labels").where("quality = 1")
     return xent.score(load(spark, sf_dir, "documents"), labels.where(xent.training_fold(labels["doc_id"])))
+
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+k AS (
+  SELECT doc_id, s, array_to_string(ws[s + 1:s + 20], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - 19, 0))) AS s FROM w)
+),
+again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM k)
+  WHERE n > 1
+),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM again),
+kept AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS p FROM w) x
+  ANTI JOIN gone g ON x.doc_id = g.doc_id AND x.p = g.p
+  GROUP BY x.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+
+def _license_sql() -> str:
+    from lakeloom.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
+    values = lambda rows: ", ".join(f"('{label}', '{text}')" for label, text in rows)
+    return rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+phrases AS (SELECT label, string_split(phrase, ' ') AS ps FROM (VALUES {values((b, a) for a, b in PHRASES)}) t(label, phrase)),
+places AS (
+  SELECT doc_id, s, label
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws))) AS s FROM w) x JOIN phrases p ON ws[s + 1] = ps[1]
+  WHERE ws[s + 1:s + len(ps)] = ps
+),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM places GROUP BY doc_id
+),
+templates AS (
+  SELECT label, list_distinct(string_split(t, ' ')) AS ts FROM (VALUES {values(TEMPLATES)}) t(label, t)
+),
+blocks AS (
+  SELECT doc_id, list_distinct(ws[s + 1:s + 64]) AS b
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - 32), 32)) AS s FROM w WHERE len(ws) > 0)
+),
+noticed AS (
+  SELECT doc_id, label, max(CAST(len(list_intersect(b, ts)) AS DOUBLE) / len(ts)) AS share
+  FROM blocks, templates GROUP BY doc_id, label HAVING share >= {THRESHOLD - 1e-9!r}
+),
+every AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS best
+  FROM (SELECT doc_id, label, share FROM noticed UNION ALL SELECT doc_id, label, 1.0 FROM places)
+  GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(best, 0.0) AS score
+FROM w LEFT JOIN base ON w.doc_id = base.doc_id LEFT JOIN every ON w.doc_id = every.doc_id
+"""
+
+
+ORACLES["op8_license_scan"] = _license_sql()

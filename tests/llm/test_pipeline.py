@@ -74,6 +74,14 @@ def test_run_equals_its_stages_and_takes_an_empty_table(spark, planted, tmp_path
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_queries_match_their_sql(spark):
+    from tests.conftest import SF001
+    from tests.oracle_harness import compare
+
+    report = compare(spark, SF001, sorted(queries.ORACLES), verbose=False)
+    assert all(v.startswith("OK") for v in report.values()), report
+
+
 def test_every_operator_is_registered_once():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
