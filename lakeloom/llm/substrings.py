@@ -151,7 +151,8 @@ def chunk_edges(words: list[list[bytes]], keys: np.ndarray, crcs: np.ndarray, ha
 
     bits = np.add.reduceat(send.astype(np.int64) << (s - s[at][run]), at)
     go = np.flatnonzero(bits)
-    bucket = ((g >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    # Minimizers are small hashes: mixed once more, they spread evenly over the buckets.
+    bucket = ((_mix(g + np.uint64(_B)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     run_doc = doc[s[at]]
     out = []
     order = go[np.argsort(bucket[go], kind="stable")]
