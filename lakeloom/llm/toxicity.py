@@ -31,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import columns, ship, text_bytes
+from lakeloom.llm.common import columns, lean, ship, text_bytes
 
-MAX_ROWS = 20_000
+MAX_ROWS = 12_000
 BUCKETS = 1 << 22
 PAIRED, FACTORS, LEAST_G = 4096, 8, 12.0
 THRESHOLD = 0.3
@@ -99,29 +99,35 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int
     """
     y = labels.astype(np.float64)
     bias = float(np.log((y.sum() + 0.1) / (len(y) - y.sum() + 0.9)))
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    none = Model(bias, np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
+    if not sets or not 0 < y.sum() < len(y):
+        return none
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets).astype(np.int32, copy=False)
     buckets, count = np.unique(flat, return_counts=True)
-    buckets = buckets[count >= 2]
-    if not len(buckets) or not 0 < y.sum() < len(y):
-        return Model(bias, np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
+    buckets = buckets[count >= 3]
+    if not len(buckets):
+        return none
+    place = np.full(BUCKETS, -1, np.int32)
+    place[buckets] = np.arange(len(buckets), dtype=np.int32)
+    flat = place[flat]
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), sizes)[flat >= 0]
+    flat = flat[flat >= 0]
     # Rows of the model: terms that tell most about the label first (G-test with a half count).
-    place = lambda s: (p := np.searchsorted(buckets, s), buckets[np.minimum(p, len(buckets) - 1)] == s)
-    sets = [p[ok] for p, ok in map(place, sets)]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate(sets)
     n = np.bincount(flat, minlength=len(buckets)) + 1.0
-    k = np.bincount(flat, weights=np.repeat(y, sizes), minlength=len(buckets)) + 0.5
+    k = np.bincount(flat, weights=y[doc], minlength=len(buckets)) + 0.5
     base = (y.sum() + 0.5) / (len(y) + 1)
     g = 2 * (k * np.log(k / (n * base)) + (n - k) * np.log((n - k) / (n * (1 - base))))
     order = np.argsort(-g, kind="stable")
     order = order[:int((g >= least_g).sum())]
     if not len(order):
-        return Model(bias, np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
-    rank = np.full(len(buckets), -1, np.int64)
-    rank[order] = np.arange(len(order))
-    sizes = np.bincount(np.repeat(np.arange(len(y)), sizes)[rank[flat] >= 0], minlength=len(y))
-    buckets, flat = buckets[order], rank[flat]
-    flat = flat[flat >= 0]
+        return none
+    rank = np.full(len(buckets), -1, np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    flat = rank[flat]
+    doc, flat = doc[flat >= 0], flat[flat >= 0].astype(np.int64)
+    sizes = np.bincount(doc, minlength=len(y))
+    buckets = buckets[order].astype(np.int64)
     start = np.concatenate(([0], np.cumsum(sizes)))
 
     rng = np.random.default_rng(seed)
@@ -162,8 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold.
 
-    Repeated labels of a document count once (1 if any is 1); repeated
-    documents and null texts are rows like any other. With no labelled row,
+    Repeated labels of a document count once (1 if any is 1), and so do
+    repeated rows of a document (one of them), so no more than ``max_rows``
+    rows are gathered; null texts are rows without terms. With no labelled row,
     or one class only, every score is the smoothed share of label 1.
     """
     ship(docs.sparkSession)
@@ -183,10 +190,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows
 
     # The sample is at most max_rows pairs of numbers: small enough to broadcast.
     named = columns(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
-    rows = named.mapInArrow(run, "doc_id bigint, y int, terms binary").toPandas()
-    rows = rows.sort_values(["doc_id", "terms"], kind="stable").head(max_rows)
-    sets = [np.frombuffer(t, "<i4").astype(np.int64) for t in rows["terms"]]
-    return fit(sets, rows["y"].to_numpy() == 1)
+    rows = named.mapInArrow(lean(run), "doc_id bigint, y int, terms binary")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", "terms")).alias("r")).select("doc_id", "r.*").toPandas()
+    rows = rows.sort_values("doc_id", kind="stable")
+    return fit([np.frombuffer(t, "<i4") for t in rows["terms"]], rows["y"].to_numpy() == 1)
 
 
 def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
@@ -208,7 +215,7 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
                 names=["doc_id", "held_out", "score", "predicted"])
 
     return columns(docs, doc_id=id_col, text=text_col).mapInArrow(
-        run, "doc_id bigint, held_out boolean, score double, predicted int")
+        lean(run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -224,4 +231,4 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col:
             keep = [model.score(_terms(text_bytes(t.as_py()), lookup)) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
