@@ -8,11 +8,14 @@ sequence, so splitting the encoded text is the exact rule.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +75,27 @@ class HashedWords(dict):
         return h
 
 
+def release() -> None:
+    """Give freed memory back to the system. Python workers live on between
+    tasks, and what they keep counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run):
+    """``run`` (batches to batches), releasing its memory when a task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def partitions(spark: SparkSession) -> int:
     """Reduce-side partition count of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import HashedWords, columns, ship, text_bytes
+from lakeloom.llm.common import HashedWords, columns, lean, partitions, ship, text_bytes
 
 WORD_BITS, PAIR_BITS = 20, 22
 RANGE = 1 << 16
@@ -97,13 +98,20 @@ class Tables:
 
 
 def counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Target and background counts of (text, is_target) rows, all slots."""
+    """Target and background counts of (text, is_target) rows, all slots.
+
+    Partial tables are summed by range of slots in as many groups of scan
+    partitions as the session has room for, then the groups' sums by range.
+    """
+    groups = max(1, partitions(marked.sparkSession) * RANGE // _SIZE)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
         from lakeloom.llm.xent import _HEAD, slots
 
         hashes = HashedWords(17)
         total = np.zeros((2, _SIZE), np.int32)
+        group = TaskContext.get().partitionId() % groups
         held, most = 0, 1 << 30
 
         def flush() -> pa.RecordBatch:
@@ -116,8 +124,9 @@ def counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     data.append(b"".join((_HEAD.pack(len(i), len(j)), i.astype("<u2").tobytes(), j.astype("<u2").tobytes(),
                                           every[i].astype("<u4").tobytes(), own[j].astype("<u4").tobytes())))
             total[:] = 0
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(data, pa.binary())],
-                                              names=["range", "data"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int32()), pa.array([group] * len(names), pa.int32()), pa.array(data, pa.binary())],
+                names=["range", "part", "data"])
 
         for batch in batches:
             for text, mark in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -140,7 +149,7 @@ def counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for key, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(2)):
                 data = data.as_py()
                 ni, nj = _HEAD.unpack_from(data)
                 i = np.frombuffer(data, "<u2", ni, _HEAD.size)
@@ -150,14 +159,30 @@ def counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 table[1, i] += np.frombuffer(data, "<u4", ni, at)
                 table[0, j] += np.frombuffer(data, "<u4", nj, at + 4 * ni)
         for key, table in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key], pa.int32()), pa.array([table[0].astype("<f4").tobytes()], pa.binary()),
-                 pa.array([table[1].astype("<f4").tobytes()], pa.binary())], names=["range", "target", "every"])
+            yield row(key, table.astype("<f4" if groups == 1 else "<i8"))
+
+    def row(key: int, table: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key], pa.int32()), *[pa.array([t.tobytes()], pa.binary()) for t in table]],
+            names=["range", "target", "every"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, *own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                table = sums.setdefault(key, np.zeros((2, RANGE), np.int64))
+                table += np.stack([np.frombuffer(t.as_py(), "<i8") for t in own])
+        for key, table in sums.items():
+            yield row(key, table.astype("<f4"))
 
-    parts = marked.mapInArrow(count, "range int, data binary").repartition("range")
+    summed = "range int, target binary, every binary"
+    parts = marked.mapInArrow(lean(count), "range int, part int, data binary").repartition("range", "part")
+    parts = parts.mapInArrow(lean(add), summed)
+    if groups > 1:
+        parts = parts.repartition("range").mapInArrow(total, summed)
     target, every = np.zeros(_SIZE, np.float32), np.zeros(_SIZE, np.float32)
     # _SIZE / RANGE rows of two tables: 48 MB at any input size.
-    for r in parts.mapInArrow(add, "range int, target binary, every binary").toLocalIterator():
+    for r in parts.collect():
         a = r["range"] * RANGE
         target[a:a + RANGE] = np.frombuffer(r["target"], "<f4")
         every[a:a + RANGE] = np.frombuffer(r["every"], "<f4")
@@ -202,7 +227,7 @@ def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
                  pa.array([d is not None and d < 0 for d in diff], pa.bool_())],
                 names=["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"])
 
-    return marked.mapInArrow(run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
+    return marked.mapInArrow(lean(run), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
                                "score double, selected boolean")
 
 

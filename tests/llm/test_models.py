@@ -31,7 +31,7 @@ def test_machine_learns_a_pair_that_weights_cannot():
     s = [model.score(toxicity._terms(t.encode(), lookup)) for t in
          ("f1 f2 insultx groupx", "f1 f2 insultx", "f1 f2 groupx", "f1 f2", "")]
     assert s[0] > 0.9 and max(s[1:]) < 0.3
-    own = np.sort(np.concatenate(sets_of(["insultx", "groupx"])))
+    own = np.sort(np.concatenate(sets_of(["insultx", "groupx"])).astype(np.int64))
     rows = [int(np.flatnonzero(model.buckets == b)[0]) for b in own]
     pair = float(model.v[rows].sum(0) @ model.v[rows].sum(0) - (model.v[rows] ** 2).sum())
     assert pair > 1  # the pairs' factors, not the weights alone, carry it
@@ -106,7 +106,9 @@ def plain_losses(rows, targets):
     return out
 
 
-def test_losses_equal_plain_counting(spark):
+@pytest.mark.parametrize("groups", [1, 3])
+def test_losses_equal_plain_counting(spark, monkeypatch, groups):
+    monkeypatch.setattr(xent, "partitions", lambda _: groups * xent._SIZE // xent.RANGE)
     rows = [(r[0], r[1] if len(r[1] or "") < 2000 else r[1][:900]) for r in cases.documents()]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, score string")
     targets = [1, 2, 8, 12, 13, 20]
