@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import columns, ship, text_bytes
+from lakeloom.llm.common import columns, lean, ship, text_bytes
 
 BLOCK, STRIDE = 64, 32
 THRESHOLD = 0.9
@@ -154,7 +154,7 @@ def word_counts(docs: DataFrame, words: frozenset[bytes], text_col: str = "text"
         seen = np.flatnonzero(total[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["word", "n"])
 
-    sums = columns(docs, text=text_col).mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    sums = columns(docs, text=text_col).mapInArrow(lean(run), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     return {listed[r["word"]]: r["n"] for r in sums.collect()}  # a row per template word at most
 
 
@@ -190,4 +190,4 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
                 [batch.column(0).cast(pa.int64()), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
                 names=["doc_id", *names])
 
-    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(run, SCHEMA)
+    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(run), SCHEMA)

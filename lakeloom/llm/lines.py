@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeloom.llm.common import HashedWords, columns, ship, text_bytes
+from lakeloom.llm.common import HashedWords, columns, lean, ship, text_bytes
 
 MAX_LOSS = 0.4
 REPEAT_WORDS = 5
@@ -157,4 +157,4 @@ def judge(docs: DataFrame, max_loss: float = MAX_LOSS, with_text: bool = False,
                 [batch.column(0).cast(pa.int64()), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
                 names=["doc_id", *names])
 
-    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(run, SCHEMA + ", text string" * with_text)
+    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(run), SCHEMA + ", text string" * with_text)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lakeloom.llm.common import columns, ship, text_bytes
+from lakeloom.llm.common import columns, lean, ship, text_bytes
 
 CAPACITY, PIECE, WINDOWS = 4096, 1024, 192
 
@@ -151,4 +151,4 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         packer.flush()
         yield packer.take()
 
-    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(run, SCHEMA)
+    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(run), SCHEMA)

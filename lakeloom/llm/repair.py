@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import columns, partitions, ship, text_bytes
+from lakeloom.llm.common import columns, lean, partitions, ship, text_bytes
 
 SHARD_IDS = 4_000_000
 ROUNDS, PER_ROUND, LEAST = 4, 2048, 16
@@ -225,7 +225,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_
 
     df = columns(docs, doc_id=id_col, text=text_col)
     df = df.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    df.mapInArrow(run, SHARDS).write.parquet(path)
+    df.mapInArrow(lean(run), SHARDS).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -255,6 +255,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                      pa.array(np.full(shard.n_docs, row["part"]))],
                     names=["doc_id", "start", "n_tokens", "ids_crc32", "part"])
 
-    out = shards.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part bigint")
+    out = shards.mapInArrow(lean(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part bigint")
     return out.join(totals, F.col("part") == F.col("of")).select(
         "doc_id", (F.col("start") + F.col("ahead")).alias("start"), "n_tokens", "ids_crc32")

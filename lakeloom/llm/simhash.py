@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import columns, cut, ship, text_bytes
+from lakeloom.llm.common import columns, cut, lean, ship, text_bytes
 
 SHINGLE, MAX_BITS = 3, 3
 _SEED = 42
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))],
                                              names=["doc_id", "fp"])
 
-    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(run), "doc_id bigint, fp bigint")
 
 
 def _syndrome(v: Column) -> Column:
@@ -167,7 +167,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             yield edges(*(np.concatenate(x) for x in zip(*held)))
 
     met = anchors(fps).repartition("anchor").sortWithinPartitions("anchor")
-    return met.mapInArrow(run, "u bigint, v bigint")
+    return met.mapInArrow(lean(run), "u bigint, v bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -255,7 +255,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     out_schema = T.StructType([T.StructField("doc_id", T.LongType()),
                                T.StructField("row", whole.schema["row"].dataType),
                                T.StructField("fp", T.LongType())])
-    tagged = whole.mapInArrow(run, out_schema)
+    tagged = whole.mapInArrow(lean(run), out_schema)
     ranked = tagged.join(found, F.col("fp") == F.col("key")).withColumn("place", F.row_number().over(
         Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "fp", F.xxhash64("row"))))
     return ranked.where("place = 1").select("row.*")

@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import HashedWords, columns, partitions, ship, text_bytes
+from lakeloom.llm.common import HashedWords, columns, lean, partitions, ship, text_bytes
 
 WINDOW, PIECE = 20, 8
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 300_000
 BUCKET_BYTES = 128 << 20
 MOST_PARTITIONS = 20_000
 _B = 0x9E3779B97F4A7C15
@@ -299,11 +299,11 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         if blobs:
             yield _rows(bucket_pieces(blobs))
 
-    df = columns(docs, doc_id=id_col, text=text_col).mapInArrow(split, "part int, sub int, data binary")
+    df = columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(split), "part int, sub int, data binary")
     df = df.repartitionById(parts, F.col("part"))
     if subs > 1:
         df = df.sortWithinPartitions("sub")
-    return df.mapInArrow(gather, PIECES)
+    return df.mapInArrow(lean(gather), PIECES)
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,7 +364,7 @@ def _with_pieces(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     fields = [f for i, f in enumerate(docs.schema.fields) if i != text_at]
     fields += [T.StructField(key, T.LongType()), T.StructField(crc, T.LongType()), T.StructField(packed, T.BinaryType())]
     names = [f.name for f in fields]
-    own = docs.mapInArrow(pack, T.StructType(fields))
+    own = docs.mapInArrow(lean(pack), T.StructType(fields))
     per = pieces(docs, id_col, text_col).groupBy(F.col("key").alias("of_key"), F.col("crc").alias("of_crc")).agg(
         F.collect_list(F.struct("start", "stop")).alias(found))
     df = own.join(per, (F.col(key) == F.col("of_key")) & (F.col(crc) == F.col("of_crc")), "left")
@@ -402,7 +402,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                  pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return df.select("doc_id", packed, found).mapInArrow(
-        run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+        lean(run), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -429,4 +429,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)
 
     quoted = [F.col("`" + c.replace("`", "``") + "`") for c in others]
-    return df.select(*quoted, packed, found).mapInArrow(run, docs.schema)
+    return df.select(*quoted, packed, found).mapInArrow(lean(run), docs.schema)
