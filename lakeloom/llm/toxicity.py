@@ -31,9 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import columns, lean, ship, text_bytes
+from lakeloom.llm.common import columns, cut, lean, ship, text_bytes
 
-MAX_ROWS = 12_000
+MAX_ROWS = 20_000
 BUCKETS = 1 << 22
 PAIRED, FACTORS, LEAST_G = 4096, 8, 12.0
 THRESHOLD = 0.3
@@ -94,8 +94,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int
         decay: float = 2e-4, least_g: float = LEAST_G, seed: int = 7) -> Model:
     """Adagrad on the logistic loss. ``sets``: each row's sorted bucket ids.
 
-    In the G-test counts are smoothed by a half, so a term that two rows of
-    the sample hold never passes.
+    In the G-test counts are smoothed by a half. A term must be in two rows.
     """
     y = labels.astype(np.float64)
     bias = float(np.log((y.sum() + 0.1) / (len(y) - y.sum() + 0.9)))
@@ -105,7 +104,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int
     sizes = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets).astype(np.int32, copy=False)
     buckets, count = np.unique(flat, return_counts=True)
-    buckets = buckets[count >= 3]
+    buckets = buckets[count >= 2]
     if not len(buckets):
         return none
     place = np.full(BUCKETS, -1, np.int32)
@@ -158,7 +157,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, epochs: int = 8, batch: int
             used, inv = np.unique(pi, return_inverse=True)
             step = err[pd][:, None] * (sums[pd] - f)
             d = np.stack([np.bincount(inv, weights=step[:, j], minlength=len(used)) for j in range(FACTORS)], 1)
-            d += 10 * decay * v[used]
+            d = d + 10 * decay * v[used]  # whole numbers if the batch has no paired term
             gv[used] += d ** 2
             v[used] -= 0.1 * rate * d / np.sqrt(gv[used])
     return Model(bias, buckets, w.astype(np.float32), v.astype(np.float32))
@@ -191,9 +190,47 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows
     # The sample is at most max_rows pairs of numbers: small enough to broadcast.
     named = columns(docs, doc_id=id_col, text=text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
     rows = named.mapInArrow(lean(run), "doc_id bigint, y int, terms binary")
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", "terms")).alias("r")).select("doc_id", "r.*").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    return fit([np.frombuffer(t, "<i4") for t in rows["terms"]], rows["y"].to_numpy() == 1)
+    rows = cut(rows.groupBy("doc_id").agg(F.min(F.struct("y", "terms")).alias("r")).select("doc_id", "r.*"))
+    passed = _telling(rows)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(t.as_py(), "<i4") for t in batch.column(2)]
+            sets = [t[np.isin(t, passed)].tobytes() for t in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())],
+                                             names=["doc_id", "y", "terms"])
+
+    found = rows.mapInArrow(lean(thin), rows.schema).toPandas().sort_values("doc_id", kind="stable")
+    return fit([np.frombuffer(t, "<i4") for t in found["terms"]], found["y"].to_numpy() == 1)
+
+
+def _telling(rows: DataFrame) -> np.ndarray:
+    """Sorted buckets that pass the G-test over all rows of the sample.
+
+    Counted and tested in Spark: of the sample's many terms only these reach
+    the driver. ``fit`` tests them again, so the margin here decides nothing.
+    """
+    total, toxic = rows.select(F.count("*"), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0))).first()
+    if not 0 < toxic < total:
+        return np.zeros(0, np.int32)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(t.as_py(), "<i4") for t in batch.column(2)]
+            y = np.repeat(batch.column(1).to_numpy() == 1, [len(t) for t in sets])
+            buckets, inverse, n = np.unique(np.concatenate([np.zeros(0, "<i4"), *sets]), return_inverse=True,
+                                            return_counts=True)
+            k = np.bincount(inverse[y], minlength=len(buckets))
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(n, pa.int64()),
+                                              pa.array(k, pa.int64())], names=["bucket", "n", "k"])
+
+    base = (toxic + 0.5) / (total + 1)
+    own = rows.mapInArrow(lean(count), "bucket int, n bigint, k bigint").groupBy("bucket").agg(
+        F.sum("n").alias("rows"), (F.sum("n") + 1.0).alias("n"), (F.sum("k") + 0.5).alias("k"))
+    rest = F.col("n") - F.col("k")
+    g = 2 * (F.col("k") * F.log(F.col("k") / (F.col("n") * base)) + rest * F.log(rest / (F.col("n") * (1 - base))))
+    passed = own.where(F.col("rows") >= 2).where(g >= LEAST_G - 1e-6).select("bucket").toPandas()
+    return np.sort(passed["bucket"].to_numpy(np.int32))
 
 
 def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,

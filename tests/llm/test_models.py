@@ -55,6 +55,27 @@ def test_fold_is_never_learnt_and_edge_cases(spark):
     assert toxicity.clean(docs, model).count() == len(cases.documents())
 
 
+def test_a_term_of_two_toxic_rows_has_a_weight():
+    sets = sets_of([f"plain w{i} x{i % 7}" for i in range(198)] + ["zzq plain", "zzq other"])
+    model = toxicity.fit(sets, np.array([0] * 198 + [1] * 2))
+    assert model.w[list(model.buckets).index(toxicity.term_buckets(b"zzq")[0])] > 0
+
+
+def test_only_terms_that_pass_are_gathered(spark, monkeypatch):
+    """The model is that of all terms; those that tell nothing stay out of the driver."""
+    monkeypatch.setattr(toxicity, "fit", lambda sets, y, real=toxicity.fit: (sets, y, real(sets, y)))
+    assert toxicity.MAX_ROWS >= 20_000
+    texts = [(i, f"own{i} some w{i % 11} " + ("zzq" if i % 20 == 0 else "yes")) for i in range(400)]
+    y = [(i, int(i % 20 == 0)) for i, _ in texts]
+    sets, labels, model = toxicity.train(spark.createDataFrame(texts, "doc_id bigint, text string"),
+                                         spark.createDataFrame(y, "doc_id bigint, toxic int"))
+    kept = [(i, t) for i, t in texts if not toxicity.held_out(i)]
+    _, _, plain = toxicity.fit(sets_of([t for _, t in kept]), np.array([i % 20 == 0 for i, _ in kept]))
+    assert len(sets) == len(kept) and labels.sum() == sum(i % 20 == 0 for i, _ in kept)
+    assert set(np.concatenate(sets).tolist()) == set(plain.buckets.tolist()) == set(model.buckets.tolist())
+    assert (model.w == plain.w).all() and (model.v == plain.v).all() and model.bias == plain.bias
+
+
 def test_toxic_documents_are_found(spark):
     """Held-out rows of the driver's table."""
     docs, labels = load(spark, "/root/testdata/sf0.1", "documents"), load(spark, "/root/testdata/sf0.1", "labels")
