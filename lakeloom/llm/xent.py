@@ -1,7 +1,7 @@
 """Cross-entropy difference between a target and a background language model.
 
-Both models are bigram models over one vocabulary: words hashed into 2^20
-slots and word pairs into 2^22, the same slots for either model. The target
+Both models are bigram models over one vocabulary. Words and word pairs are
+counted under full 64-bit keys, so the tables grow with the text. The target
 model counts the documents marked as target; the background model counts all
 documents. Both smooth alike (Dirichlet, pairs over words over a uniform
 floor), and the background's counts are scaled to the target's total so that
@@ -12,68 +12,127 @@ A document's score is its mean loss per word under the target model minus
 that under the background model (nats). Below zero it reads more like the
 target than like the corpus.
 
-Counting gathers a partial table from every partition, in ranges of slots that
-are summed apart from each other. The summed tables have as many slots at any
-input size (48 MB in all), which is what bounds the broadcast. With the number of distinct pairs far beyond the slots, raise
-``PAIR_BITS``.
+Documents travel in chunks. A chunk sends each of its distinct words and pairs
+once, with their counts in it, to the bucket of their key; the bucket sums
+every key over all chunks and answers each chunk with the sums of its own keys.
+The chunk, joined by its answers, then scores its documents. No table is whole
+anywhere, and a frequent word or pair is one entry a chunk.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import HashedWords, columns, lean, partitions, ship, text_bytes
+from lakeloom.llm.common import HashedWords, columns, cut, lean, partitions, ship, text_bytes
+from lakeloom.llm.substrings import _input_bytes
 
 WORD_BITS, PAIR_BITS = 20, 22
 RANGE = 1 << 16
+CHUNK_WORDS, CHUNK_ROWS = 500_000, 50_000
+BUCKET_BYTES = 64 << 20
+MOST_PARTITIONS = 20_000
 MASS_PAIR, MASS_WORD, LEAST = 200.0, 1.0, 2
 _B = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0xD1B54A32D192ED03)  # stands before the first word
-_HEAD = struct.Struct("<II")
+_HEAD = struct.Struct("<qII")
+
+
+def _pairs(h: np.ndarray) -> np.ndarray:
+    pair = h[:-1] * _B + h[1:]
+    return (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def slots(words: list[bytes], hashes: HashedWords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: its slot, the slot of the word before it and the slot of
-    the pair. The document's start is a word of its own."""
+    """For each word: its key, the key of the word before it and that of the
+    pair, cut to slots of plain tables; only tests count by these. The
+    document's start is a word of its own."""
     h = np.empty(len(words) + 1, np.uint64)
     h[0] = _START
     h[1:] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    pair = h[:-1] * _B + h[1:]
-    pair = (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return word[1:], word[:-1], (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    return word[1:], word[:-1], (_pairs(h) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
 
-#: Tables one after the other: words, words as history, pairs.
+#: Plain tables one after the other: words, words as history, pairs.
 _BASES = (0, 1 << WORD_BITS, 2 << WORD_BITS)
 _SIZE = (2 << WORD_BITS) + (1 << PAIR_BITS)
 
 
+def chunk_keys(words: list[list[bytes]], hashes: HashedWords):
+    """Sorted distinct keys of the words (a document's start among them) and of
+    the pairs of a chunk, and for each word of it, document by document, the
+    places of the word, of the word before it and of the pair in them."""
+    size = np.array([len(w) for w in words], np.int64)
+    begin = np.cumsum(size + 1) - size - 1
+    h = np.empty(int(size.sum()) + len(words), np.uint64)
+    first = np.zeros(len(h), bool)
+    first[begin] = True
+    h[first] = _START
+    h[~first] = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(size.sum()))
+    at = np.flatnonzero(~first)
+    vocabulary, place = np.unique(h, return_inverse=True)
+    pairs, pair = np.unique(_pairs(h)[at - 1], return_inverse=True)
+    return vocabulary, pairs, place[at], place[at - 1], pair
+
+
+def _counts(n: int, at: np.ndarray, mark: np.ndarray) -> list[np.ndarray]:
+    return [np.bincount(at[mark], minlength=n), np.bincount(at, minlength=n)]
+
+
+def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Ranges of keys: sorted keys have their buckets in order."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _pack(chunk: int, words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray) -> bytes:
+    body = (words.astype("<u8"), pairs.astype("<u8"), word_counts.astype("<i8"), pair_counts.astype("<i8"))
+    return _HEAD.pack(chunk, len(words), len(pairs)) + b"".join(x.tobytes() for x in body)
+
+
+def _unpack(data: bytes):
+    """Chunk, word keys, pair keys, (4, words) and (2, pairs) counts."""
+    chunk, n, m = _HEAD.unpack_from(data)
+    keys = np.frombuffer(data, "<u8", n + m, _HEAD.size)
+    counts = np.frombuffer(data, "<i8", 4 * n + 2 * m, _HEAD.size + 8 * (n + m))
+    return chunk, keys[:n], keys[n:], counts[:4 * n].reshape(4, n), counts[4 * n:].reshape(2, m)
+
+
+def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sums by key over all parts, and each part's share of them."""
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros((counts[0].shape[0], len(distinct)), np.int64)
+    for row, own in zip(total, np.concatenate(counts, axis=1)):
+        np.add.at(row, inverse, own)
+    return total, [total[:, i] for i in np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])]
+
+
 class Tables:
-    """The two models' counts, smoothed as they are looked up.
+    """The two models' counts of a chunk's words, smoothed as they are looked up.
 
     The shared vocabulary is the words found ``LEAST`` times or more in the
     target documents; all others are one unknown word in either model, whose
     share in the target is that of the words seen once (Good and Turing). A
     document is scored without its own counts, so those that were counted
     as target and those that were not compare.
+
+    ``word``, ``history``, ``pair``: target and background counts in the whole
+    input; ``total``, ``unknown``: words, and words outside the vocabulary, of
+    either model; ``size``: words in the vocabulary, the unknown one among them.
     """
 
-    def __init__(self, target: np.ndarray, background: np.ndarray):
-        ends = (*_BASES, _SIZE)
-        part = lambda x, i: x[ends[i]:ends[i + 1]]
-        self.word, self.history, self.pair = ([part(x, i) for x in (target, background)] for i in range(3))
-        known = self.word[0] >= LEAST
-        self.total = [float(x.sum(dtype=np.float64)) for x in self.word]
-        self.unknown = [float(x[~known].sum(dtype=np.float64)) for x in self.word]
-        self.size = int(known.sum()) + 1
+    def __init__(self, word: np.ndarray, history: np.ndarray, pair: np.ndarray, total: list[float],
+                 unknown: list[float], size: int):
+        self.word, self.history, self.pair = word, history, pair
+        self.total, self.unknown, self.size = total, unknown, size
 
     def losses(self, word: np.ndarray, before: np.ndarray, pair: np.ndarray, is_target: bool) -> list[float]:
         """Mean loss per word under the target and the background model."""
@@ -97,96 +156,105 @@ class Tables:
         return out
 
 
-def counts(marked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Target and background counts of (text, is_target) rows, all slots.
-
-    Partial tables are summed by range of slots in as many groups of scan
-    partitions as the session has room for, then the groups' sums by range.
-    """
-    groups = max(1, partitions(marked.sparkSession) * RANGE // _SIZE)
+def _chunks(marked: DataFrame) -> DataFrame:
+    """chunk, bucket, data and the bucket's figures of (doc_id, packed, mark)
+    rows: a chunk's documents (bucket -1), then the answers to its keys in
+    their order; the figures of a bucket are a row without a chunk."""
+    session = partitions(marked.sparkSession)
+    want = max(session, -(-4 * _input_bytes(marked) // BUCKET_BYTES))
+    parts = min(want, max(session, MOST_PARTITIONS))
+    subs = -(-want // parts)
+    buckets = parts * subs
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
-        from lakeloom.llm.xent import _HEAD, slots
-
-        hashes = HashedWords(17)
-        total = np.zeros((2, _SIZE), np.int32)
-        group = TaskContext.get().partitionId() % groups
-        held, most = 0, 1 << 30
-
-        def flush() -> pa.RecordBatch:
-            names, data = [], []
-            for a in range(0, _SIZE, RANGE):
-                every, own = total[1, a:a + RANGE], total[0, a:a + RANGE]
-                i, j = np.flatnonzero(every), np.flatnonzero(own)
-                if len(i):
-                    names.append(a // RANGE)
-                    data.append(b"".join((_HEAD.pack(len(i), len(j)), i.astype("<u2").tobytes(), j.astype("<u2").tobytes(),
-                                          every[i].astype("<u4").tobytes(), own[j].astype("<u4").tobytes())))
-            total[:] = 0
+        from lakeloom.llm.xent import _bucket_of, _counts, _pack, chunk_keys
+
+        hashes, undo, press = HashedWords(17), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        top, made = TaskContext.get().partitionId() << 32, 0
+        rows, words, marks, held = [], [], [], 0
+
+        def close() -> pa.RecordBatch:
+            chunk = top + made
+            docs = pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("packed", pa.binary()),
+                                                               ("mark", pa.bool_())]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, docs.schema) as out:
+                out.write_batch(docs)
+            # The documents ride along to any bucket.
+            names, data, kinds = [chunk % buckets], [sink.getvalue().to_pybytes()], [chunk]
+            if words:
+                vocabulary, pairs, word, before, pair = chunk_keys(words, hashes)
+                mark = np.repeat(np.array(marks, bool), [len(w) for w in words])
+                n = len(vocabulary)
+                of_words = np.stack(_counts(n, word, mark) + _counts(n, before, mark))
+                of_pairs = np.stack(_counts(len(pairs), pair, mark))
+                v, p = _bucket_of(vocabulary, buckets), _bucket_of(pairs, buckets)
+                for b in np.union1d(v, p).tolist():
+                    i, j = (slice(*np.searchsorted(x, (b, b + 1))) for x in (v, p))
+                    names.append(b)
+                    data.append(press.compress(_pack(chunk, vocabulary[i], of_words[:, i], pairs[j], of_pairs[:, j])))
+                    kinds.append(None)
+            names = np.array(names, np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int32()), pa.array([group] * len(names), pa.int32()), pa.array(data, pa.binary())],
-                names=["range", "part", "data"])
+                [pa.array((names // subs).astype(np.int32)), pa.array((names % subs).astype(np.int32)),
+                 pa.array(kinds, pa.int64()), pa.array(data, pa.binary())], names=["part", "sub", "chunk", "data"])
 
         for batch in batches:
-            for text, mark in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = text_bytes(text.as_py()).split()
-                for at in range(0, len(words), 1 << 20):  # very long texts by parts; a part's first pair starts anew
-                    own = words[max(0, at - 1):at + (1 << 20)]
-                    word, before, pair = (x[at > 0:] for x in slots(own, hashes))
-                    every = np.concatenate((word, before + _BASES[1], pair + _BASES[2]))
-                    np.add.at(total[1], every, 1)
-                    if mark:
-                        np.add.at(total[0], every, 1)
-                    held += len(word)
-                    if held >= most:  # the partial counts stay within 32 bits
-                        yield flush()
-                        held = 0
-        yield flush()
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from lakeloom.llm.xent import _HEAD
-
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for key, data in zip(batch.column(0).to_pylist(), batch.column(2)):
-                data = data.as_py()
-                ni, nj = _HEAD.unpack_from(data)
-                i = np.frombuffer(data, "<u2", ni, _HEAD.size)
-                j = np.frombuffer(data, "<u2", nj, _HEAD.size + 2 * ni)
-                at = _HEAD.size + 2 * (ni + nj)
-                table = sums.setdefault(key, np.zeros((2, RANGE), np.int64))
-                table[1, i] += np.frombuffer(data, "<u4", ni, at)
-                table[0, j] += np.frombuffer(data, "<u4", nj, at + 4 * ni)
-        for key, table in sums.items():
-            yield row(key, table.astype("<f4" if groups == 1 else "<i8"))
-
-    def row(key: int, table: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([key], pa.int32()), *[pa.array([t.tobytes()], pa.binary()) for t in table]],
-            names=["range", "target", "every"])
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+            for doc_id, packed, mark in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append({"doc_id": doc_id, "packed": packed, "mark": mark})
+                own = undo.decompress(packed).split() if packed else []
+                if own:
+                    words.append(own)
+                    marks.append(mark)
+                    held += len(own)
+                if held >= CHUNK_WORDS or len(rows) >= CHUNK_ROWS:
+                    yield close()
+                    made += 1
+                    rows, words, marks, held = [], [], [], 0
+        if rows:
+            yield close()
+
+    names = ["chunk", "bucket", "data", "known", "target", "every", "target_unknown", "every_unknown"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * 5]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.xent import _HEAD, LEAST, _sums, _unpack
+
+        undo, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
+        held: list = []
+        last = None
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+
+        def close() -> Iterator[pa.RecordBatch]:
+            chunks, words, pairs, word_counts, pair_counts = zip(*held)
+            total, of_words = _sums(words, word_counts)
+            _, of_pairs = _sums(pairs, pair_counts)
+            few = total[0] < LEAST
+            yield row(None, None, None, int((~few).sum()), *[int(x.sum()) for x in (*total[:2], *total[:2, few])])
+            for chunk, w, p in zip(chunks, of_words, of_pairs):
+                data = _HEAD.pack(chunk, w.shape[1], p.shape[1]) + w.astype("<i8").tobytes() + p.astype("<i8").tobytes()
+                yield row(chunk, last[0] * subs + last[1], press.compress(data), *[None] * 5)
+
         for batch in batches:
-            for key, *own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                table = sums.setdefault(key, np.zeros((2, RANGE), np.int64))
-                table += np.stack([np.frombuffer(t.as_py(), "<i8") for t in own])
-        for key, table in sums.items():
-            yield row(key, table.astype("<f4"))
-
-    summed = "range int, target binary, every binary"
-    parts = marked.mapInArrow(lean(count), "range int, part int, data binary").repartition("range", "part")
-    parts = parts.mapInArrow(lean(add), summed)
-    if groups > 1:
-        parts = parts.repartition("range").mapInArrow(total, summed)
-    target, every = np.zeros(_SIZE, np.float32), np.zeros(_SIZE, np.float32)
-    # _SIZE / RANGE rows of two tables: 48 MB at any input size.
-    for r in parts.collect():
-        a = r["range"] * RANGE
-        target[a:a + RANGE] = np.frombuffer(r["target"], "<f4")
-        every[a:a + RANGE] = np.frombuffer(r["every"], "<f4")
-    return target, every
+            for part, sub, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if chunk is not None:
+                    yield row(chunk, -1, data, *[None] * 5)
+                    continue
+                if (part, sub) != last and held:
+                    yield from close()
+                    held = []
+                last = part, sub
+                held.append(_unpack(undo.decompress(data)))
+        if held:
+            yield from close()
+
+    df = marked.mapInArrow(lean(split), "part int, sub int, chunk bigint, data binary")
+    df = df.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "sub")
+    return df.mapInArrow(lean(gather), "chunk bigint, bucket int, data binary, known bigint, target bigint, every bigint, "
+                                       "target_unknown bigint, every_unknown bigint")
 
 
 def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,35 +268,73 @@ def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     ship(spark)
-    own = columns(docs, doc_id=id_col, text=text_col)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            raws = [text_bytes(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.int64()), pa.array([press.compress(r) if r else None for r in raws], pa.binary())],
+                names=["doc_id", "packed"])
+
+    own = columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(pack), "doc_id bigint, packed binary")
     ids = columns(targets, of="doc_id").where("of IS NOT NULL").distinct()
     # Always a merge join: the ids grow with the corpus, so no plan that broadcasts them would last.
     marked = own.join(ids.hint("merge"), F.col("doc_id") == F.col("of"), "left").select(
-        "doc_id", "text", F.col("of").isNotNull().alias("mark"))
-    tables = spark.sparkContext.broadcast(Tables(*counts(marked.select("text", "mark"))))
+        "doc_id", "packed", F.col("of").isNotNull().alias("mark"))
+    # In one order at any rerun: chunks then hold the same rows.
+    rows = cut(_chunks(marked.sortWithinPartitions("doc_id", "packed")))
+    figures = rows.where("chunk IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
+        "known", "target", "every", "target_unknown", "every_unknown")]).first()
+    total, unknown, size = [float(x) for x in figures[1:3]], [float(x) for x in figures[3:]], figures[0] + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
-        from lakeloom.llm.xent import slots
-
-        hashes, models = HashedWords(17), tables.value
-        for batch in batches:
-            n, target, every = [], [], []
-            for text, mark in zip(batch.column(1), batch.column(2).to_pylist()):
-                words = text_bytes(text.as_py()).split()
-                n.append(len(words))
-                t, b = models.losses(*slots(words, hashes), mark) if words else (None, None)
+        from lakeloom.llm.xent import _HEAD, Tables, chunk_keys
+
+        hashes, undo = HashedWords(17), zstandard.ZstdDecompressor()
+        docs, answers, last = None, [], None
+
+        def close() -> pa.RecordBatch:
+            own = pa.ipc.open_stream(docs).read_all().to_pydict()
+            texts = [undo.decompress(p).split() if p else [] for p in own["packed"]]
+            words = [w for w in texts if w]
+            if words:
+                _, _, word, before, pair = chunk_keys(words, hashes)
+                of_words, of_pairs = (np.concatenate(x, axis=1) for x in zip(*answers))
+                models = Tables(of_words[:2], of_words[2:], of_pairs, total, unknown, size)
+            n, target, every, at = [], [], [], 0
+            for w, mark in zip(texts, own["mark"]):
+                here = slice(at, at := at + len(w))
+                n.append(len(w))
+                t, b = models.losses(word[here], before[here], pair[here], mark) if w else (None, None)
                 target.append(t)
                 every.append(b)
             diff = [None if t is None else t - b for t, b in zip(target, every)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
+            return pa.RecordBatch.from_arrays(
+                [pa.array(own["doc_id"], pa.int64()), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
                  pa.array(every, pa.float64()), pa.array(diff, pa.float64()),
                  pa.array([d is not None and d < 0 for d in diff], pa.bool_())],
                 names=["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"])
 
-    return marked.mapInArrow(lean(run), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
-                               "score double, selected boolean")
+        for batch in batches:
+            for chunk, bucket, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket < 0:
+                    if last is not None:
+                        yield close()
+                    docs, answers, last = data, [], chunk
+                    continue
+                data = undo.decompress(data)
+                _, i, j = _HEAD.unpack_from(data)
+                counts = np.frombuffer(data, "<i8", offset=_HEAD.size)
+                answers.append((counts[:4 * i].reshape(4, i), counts[4 * i:].reshape(2, j)))
+        if last is not None:
+            yield close()
+
+    own = rows.where("chunk IS NOT NULL").select("chunk", "bucket", "data").repartition("chunk")
+    return own.sortWithinPartitions("chunk", "bucket").mapInArrow(
+        lean(run), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
+                   "score double, selected boolean")
 
 
 def training_fold(id_col: Column, fold: int = 2, folds: int = 4) -> Column:

@@ -143,6 +143,31 @@ def test_losses_equal_plain_counting(spark, monkeypatch, groups):
     assert none.count() == 0
 
 
+def test_words_that_share_a_slot_are_counted_apart(spark, monkeypatch):
+    """Losses by plain counting of the words themselves, over several chunks."""
+    monkeypatch.setattr(xent, "CHUNK_WORDS", 50)
+    hashes, seen = HashedWords(17), {}
+    for i in range(20_000):
+        slot = xent.slots([b"w%d" % i], hashes)[0][0]
+        if slot in seen:
+            break
+        seen[slot] = i
+    one, two = f"w{seen[slot]}", f"w{i}"
+    rows = [(k, f"{one} yes {one} no") for k in range(20)] + [(k, f"{two} yes no {two}") for k in range(20, 40)]
+    got = xent.score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2),
+                     spark.createDataFrame([(k,) for k in range(20)], "doc_id bigint")).collect()
+    # ``two`` is in no target document: unknown there, where ``one`` (38 left of 80 words) is known.
+    by = {r.doc_id: r for r in got}
+    assert len(by) == 40 and by[0].target_loss < by[20].target_loss - 1 and by[0].selected and not by[20].selected
+    word, unknown = (lambda c: -np.log((c + xent.MASS_WORD / 4) / (80 + xent.MASS_WORD))), 0.0
+    yes, no = 20, 20
+    p_yes, p_no, p_two = (np.exp(-word(c)) for c in (yes, no, unknown))
+    # start, two | two, yes | yes, no | no, two: only (yes, no) has both words known; no target pair holds it.
+    first = xent.MASS_PAIR * p_no / (yes + xent.MASS_PAIR)
+    expected = -np.log([p_two, p_yes, first, p_two]).mean()
+    assert by[20].target_loss == pytest.approx(expected, rel=1e-6)
+
+
 def test_scores_tell_low_quality_apart(spark):
     """Held-out documents marked as poor lie further from the good ones."""
     labels = load(spark, "/root/testdata/sf0.1", "labels")
