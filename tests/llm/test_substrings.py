@@ -97,3 +97,10 @@ def test_buckets_see_what_chunks_cannot():
     keys, _, start, stop, source, _, at = substrings.bucket_pieces(blobs)
     assert set(keys.tolist()) == {8} and set(source.tolist()) == {3}
     assert start.min() == 0 and stop.max() == 50 and (start == at).all()
+
+
+def test_windows_travel_with_their_whole_hash():
+    words = [w.encode() for w in cases.words(cases.passage("y", 60))]
+    data, _ = substrings.chunk_edges([words], np.array([1]), np.array([2]), HashedWords(11), 1)
+    h = np.array([HashedWords(11)[w] for w in words], np.uint64)
+    assert substrings._unpack([b for _, b in data])[7].tolist() == substrings._windows(h)[1].tolist()
