@@ -22,8 +22,11 @@ only as long as both sides advance word by word.
 
 Scale: windows that repeat within a chunk of a scan partition are settled
 there, and only the first travels, so a passage that a third of all documents
-share sends one row per chunk. Buckets grow in number with the input's size,
-so each fits in memory.
+share sends one row per chunk. Buckets grow in number with the input's size.
+A first pass counts runs by minimizer: windows of one with ``HEAVY_RUNS`` or
+more (a frequent line of 8 to 19 words between differing ones) travel one by
+one and are dealt by minimizer, place and hash, which keeps equal windows
+together and spreads the others over all buckets.
 """
 
 from __future__ import annotations
@@ -49,6 +52,7 @@ from lakeloom.llm.common import HashedWords, columns, lean, partitions, ship, te
 WINDOW, PIECE = 20, 8
 CHUNK_WORDS = 300_000
 BUCKET_BYTES = 128 << 20
+HEAVY_RUNS, HEAVY_IN_CHUNK = 50_000, 8
 MOST_PARTITIONS = 20_000
 _B = 0x9E3779B97F4A7C15
 _POW = {k: np.uint64(pow(_B, k, 1 << 64)) for k in (1, 2, 4, 8)}
@@ -109,25 +113,48 @@ def _rank(keys: np.ndarray, crcs: np.ndarray) -> np.ndarray:
 _HEAD = struct.Struct("<III")
 
 
-def chunk_edges(words: list[list[bytes]], keys: np.ndarray, crcs: np.ndarray, hashes: HashedWords, buckets: int):
-    """Runs of windows of some documents by bucket, as bytes, and the pieces
-    already known to repeat within these documents."""
+def _minimizers(words: list[list[bytes]], hashes: HashedWords):
+    """Hashes of pieces and windows, the document of each word and the places
+    of windows and of their minimizers; none if no text has a window."""
     size = np.array([len(w) for w in words], np.int64)
     n = int(size.sum())
-    none = _piece_rows(*(np.zeros(0, np.int64),) * 4, keys, crcs)
     if n < WINDOW:
-        return [], none
+        return None
     h = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, n)
     piece, win = _windows(h)
     doc = np.repeat(np.arange(len(size)), size)
-    begin = np.cumsum(size) - size
     s = np.flatnonzero(doc[:n - WINDOW + 1] == doc[WINDOW - 1:])
     if not len(s):
-        return [], none
+        return None
     spots = WINDOW - PIECE + 1
     p = np.argmin(np.lib.stride_tricks.sliding_window_view(piece, spots), axis=1)[s] + s
+    return piece, win, doc, np.cumsum(size) - size, s, p
+
+
+def chunk_heavy(words: list[list[bytes]], hashes: HashedWords) -> tuple[np.ndarray, np.ndarray]:
+    """Minimizers with several runs in a chunk, and how many."""
+    found = _minimizers(words, hashes)
+    if found is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    piece, p = found[0], found[-1]
+    g, n = np.unique(piece[p[np.diff(p, prepend=-1) != 0]], return_counts=True)
+    return g[n >= HEAVY_IN_CHUNK], n[n >= HEAVY_IN_CHUNK]
+
+
+def chunk_edges(words: list[list[bytes]], keys: np.ndarray, crcs: np.ndarray, hashes: HashedWords, buckets: int,
+                heavy: np.ndarray | None = None):
+    """Runs of windows of some documents by bucket, as bytes, and the pieces
+    already known to repeat within these documents. Windows of ``heavy``
+    minimizers are runs of their own."""
+    none = _piece_rows(*(np.zeros(0, np.int64),) * 4, keys, crcs)
+    found = _minimizers(words, hashes)
+    if found is None:
+        return [], none
+    piece, win, doc, begin, s, p = found
     new = np.ones(len(s), bool)
     new[1:] = p[1:] != p[:-1]  # a place is in one document only
+    alone = np.isin(piece[p], heavy) if heavy is not None and len(heavy) else np.zeros(len(s), bool)
+    new |= alone
     run = np.cumsum(new) - 1
     at = np.flatnonzero(new)
     g = piece[p[at]]
@@ -154,7 +181,9 @@ def chunk_edges(words: list[list[bytes]], keys: np.ndarray, crcs: np.ndarray, ha
     bits = np.add.reduceat(send.astype(np.int64) << (s - s[at][run]), at)
     go = np.flatnonzero(bits)
     # Minimizers are small hashes: mixed once more, they spread evenly over the buckets.
-    bucket = ((_mix(g + np.uint64(_B)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    place = (p[at] - s[at]).astype(np.uint64) * np.uint64(_B)
+    dealt = np.where(alone[at], _mix(g + place) ^ win[s[at]], g)
+    bucket = ((_mix(dealt + np.uint64(_B)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     run_doc = doc[s[at]]
     out = []
     order = go[np.argsort(bucket[go], kind="stable")]
@@ -233,6 +262,43 @@ def _input_bytes(df: DataFrame) -> int:
     return sum(n for n in sizes if n < 1 << 60)  # rows held in memory have no size
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]):
+    """Words, ids and text checks of the documents of a chunk that have a window."""
+    words, keys, crcs, held = [], [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = text_bytes(text.as_py())
+            own = raw.split()
+            if len(own) < WINDOW:
+                continue
+            words.append(own)
+            keys.append(NO_ID if doc_id is None else doc_id)
+            crcs.append(zlib.crc32(raw))
+            held += len(own)
+            if held >= CHUNK_WORDS:
+                yield words, keys, crcs
+                words, keys, crcs, held = [], [], [], 0
+    if words:
+        yield words, keys, crcs
+
+
+def heavy_minimizers(docs: DataFrame) -> np.ndarray:
+    """Minimizers with ``HEAVY_RUNS`` runs or more in (doc_id, text) rows, as
+    far as chunks that hold ``HEAVY_IN_CHUNK`` of them tell."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.common import HashedWords
+        from lakeloom.llm.substrings import _chunks, chunk_heavy
+
+        hashes = HashedWords(11)
+        for words, _, _ in _chunks(batches):
+            g, n = chunk_heavy(words, hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n, pa.int64())], names=["g", "n"])
+
+    df = docs.mapInArrow(lean(count), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
+    found = df.where(F.col("n") >= HEAVY_RUNS).select("g").toPandas()  # one in HEAVY_RUNS runs at most
+    return found["g"].to_numpy(np.int64).view(np.uint64)
+
+
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of repeated paths: words ``start`` to ``stop`` of a document
     (key: its id, crc: check of its text) stand at ``source_start`` of an
@@ -244,15 +310,17 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     parts = min(want, max(session, MOST_PARTITIONS))
     subs = -(-want // parts)
 
+    own = columns(docs, doc_id=id_col, text=text_col)
+    heavy = heavy_minimizers(own)
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
-        from lakeloom.llm.substrings import NO_ID, _rows, chunk_edges
+        from lakeloom.llm.substrings import _chunks, _rows, chunk_edges
 
         hashes = HashedWords(11)
-        words, keys, crcs, held = [], [], [], 0
-
-        def close() -> pa.RecordBatch:
-            blobs, local = chunk_edges(words, np.array(keys, np.int64), np.array(crcs, np.int64), hashes, parts * subs)
+        for words, keys, crcs in _chunks(batches):
+            blobs, local = chunk_edges(words, np.array(keys, np.int64), np.array(crcs, np.int64), hashes, parts * subs,
+                                       heavy)
             ids, data = [b for b, _ in blobs], [x for _, x in blobs]
             if len(local[0]):  # settled here; rides along to any bucket
                 sink = pa.BufferOutputStream()
@@ -261,26 +329,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 ids.append(crcs[0] % (parts * subs))
                 data.append(b"\0" * 12 + sink.getvalue().to_pybytes())
             ids = np.array(ids, np.int64)
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array((ids // subs).astype(np.int32)), pa.array((ids % subs).astype(np.int32)),
                  pa.array(data, pa.binary())], names=["part", "sub", "data"])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = text_bytes(text.as_py())
-                own = raw.split()
-                if len(own) < WINDOW:
-                    continue
-                words.append(own)
-                keys.append(NO_ID if doc_id is None else doc_id)
-                crcs.append(zlib.crc32(raw))
-                held += len(own)
-                if held >= CHUNK_WORDS:
-                    yield close()
-                    words, keys, crcs, held = [], [], [], 0
-        if words:
-            yield close()
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.substrings import _rows, bucket_pieces
 
@@ -299,7 +351,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         if blobs:
             yield _rows(bucket_pieces(blobs))
 
-    df = columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(split), "part int, sub int, data binary")
+    df = own.mapInArrow(lean(split), "part int, sub int, data binary")
     df = df.repartitionById(parts, F.col("part"))
     if subs > 1:
         df = df.sortWithinPartitions("sub")

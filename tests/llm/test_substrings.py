@@ -104,3 +104,37 @@ def test_windows_travel_with_their_whole_hash():
     data, _ = substrings.chunk_edges([words], np.array([1]), np.array([2]), HashedWords(11), 1)
     h = np.array([HashedWords(11)[w] for w in words], np.uint64)
     assert substrings._unpack([b for _, b in data])[7].tolist() == substrings._windows(h)[1].tolist()
+
+
+def lines_around(n):
+    """A line of 8 words (the minimizer of its windows) between differing ones,
+    in every text; some texts come again."""
+    hashes = HashedWords(11)
+    first = lambda t: substrings._windows(np.array([hashes[w.encode()] for w in t * 3], np.uint64))[0][0]
+    hot = min(([f"h{k}z{j}" for j in range(8)] for k in range(2_000)), key=first)
+    texts = [[f"{a}{i}x{k}" for k in range(14)] + hot + [f"{a}{i}y{k}" for k in range(14)] for i in range(n) for a in "ab"]
+    return texts + texts[:5]
+
+
+def test_windows_around_a_frequent_line_are_dealt_to_many_buckets():
+    texts = [[w.encode() for w in t] for t in lines_around(150)]
+    ids, crcs = np.arange(len(texts)), np.arange(len(texts))
+    g, n = substrings.chunk_heavy(texts, HashedWords(11))
+    heavy = g[n >= 100]
+    assert len(heavy) >= 1
+    data, _ = substrings.chunk_edges(texts, ids, crcs, HashedWords(11), 16, heavy)
+    runs = [int(np.isin(substrings._unpack([b])[3], heavy).sum()) for _, b in data]
+    assert len(runs) == 16 and min(runs) > 0 and max(runs) < 2 * sum(runs) / 16
+
+
+def test_heavy_minimizers_lose_no_repeat(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HEAVY_RUNS", 20)
+    monkeypatch.setattr(substrings, "CHUNK_WORDS", 2_000)
+    rows = [(i, " ".join(t)) for i, t in enumerate(lines_around(100))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert len(substrings.heavy_minimizers(df))
+    assert got(substrings.report(df)) == expected(rows)
+    docs = cases.frame(spark)
+    monkeypatch.setattr(substrings, "HEAVY_RUNS", 2)
+    monkeypatch.setattr(substrings, "HEAVY_IN_CHUNK", 1)
+    assert got(substrings.report(docs)) == expected([(r[0], r[1]) for r in cases.documents()])
