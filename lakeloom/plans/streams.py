@@ -215,23 +215,23 @@ def q_stream_group_count(spark, sf):
 
 @query("stream_device_avg")
 def q_stream_device_avg(spark, sf):
-    a = _device_stream(spark, sf).groupBy("deviceType").agg(
-        F.round(F.avg("signal"), 6).alias("avg_signal"))
-    sink, _ = run_available_now(a, None, "complete", "deviceavg",
-                                foreach_batch=sinks.batch_log_writer)
-    return sinks.latest_revision(spark.read.parquet(sink), ["deviceType"])
+    log = run_in_drops(event_drops(spark, sf),
+                       lambda s: _devices(s).groupBy("deviceType").agg(F.round(F.avg("signal"), 6).alias("avg_signal")),
+                       None, "complete", "deviceavg", sinks.batch_log_writer)
+    return sinks.latest_revision(log, ["deviceType"])
 
 
 @query("stream_global_count")
 def q_stream_global_count(spark, sf):
     """SQL over a streaming temp view."""
     view = f"updates_{scratch_path(spark, 'v').rsplit('-', 1)[-1]}"
-    events_stream(spark, sf).createOrReplaceTempView(view)
-    c = spark.sql(f"SELECT count(*) AS n FROM {view}")
-    sink, _ = run_available_now(c, None, "complete", "globalcount",
-                                foreach_batch=sinks.batch_log_writer)
+
+    def count(stream):
+        ops.event_time(stream, "ts").createOrReplaceTempView(view)
+        return spark.sql(f"SELECT count(*) AS n FROM {view}")
+
+    log = run_in_drops(event_drops(spark, sf), count, None, "complete", "globalcount", sinks.batch_log_writer)
     spark.catalog.dropTempView(view)
-    log = spark.read.parquet(sink)
     return log.agg(F.max_by("n", "batch_id").alias("n"))
 
 
@@ -313,16 +313,20 @@ def q_stream_csv(spark, sf):
 @query("stream_line_word_count")
 def q_stream_line_word_count(spark, sf):
     """Line stream (the file stand-in for a socket): documents arrive as
-    text files; words are counted with arrival timestamps attached."""
+    text files, in drops; words are counted with arrival timestamps attached."""
     from lakeloom.sources import files
     from lakeloom.streaming.sources import line_stream
 
     inbox = scratch_path(spark, "lines-in")
-    files.write_text(load(spark, sf, "documents").select("text"), f"{inbox}/d0")
-    lines = line_stream(spark, f"{inbox}/d*", with_arrival_time=True)
-    counts = ops.running_count(ops.split_words(lines, "value"), ["word"])
-    sink, _ = run_available_now(counts, None, "update", "linewc",
-                                foreach_batch=sinks.batch_log_writer)
+    base = scratch_path(spark, "linewc")
+    docs = load(spark, sf, "documents")
+    part = F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(DROPS))
+    for i in range(DROPS):
+        files.write_text(docs.where(part == i).select("text"), f"{inbox}/d{i}")
+        lines = line_stream(spark, f"{inbox}/d*", with_arrival_time=True)
+        counts = ops.running_count(ops.split_words(lines, "value"), ["word"])
+        sink, _ = run_available_now(counts, None, "update", "linewc",
+                                    foreach_batch=sinks.batch_log_writer, base=base)
     return sinks.latest_revision(spark.read.parquet(sink), ["word"])
 
 

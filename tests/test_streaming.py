@@ -211,3 +211,18 @@ def test_table_stream_reads_directory_layout_once(spark, tmp):
     s = table_stream(spark, f"{tmp}/sf", "events")
     sink, _ = run_available_now(s, "parquet", "append", "dirlayout")
     assert spark.read.parquet(sink).count() == ev.count()
+
+
+@pytest.mark.parametrize("name", ["stream_device_avg", "stream_global_count", "stream_line_word_count"])
+def test_aggregations_carry_state_over_drops(spark, monkeypatch, name):
+    import __spark_entry__
+    from lakeloom.plans import streams
+    from tests.conftest import SF001
+
+    paths = []
+    write = sinks.batch_log_writer
+    monkeypatch.setattr(streams.sinks, "batch_log_writer", lambda path: paths.append(path) or write(path))
+    out = __spark_entry__.queries()[name](spark, SF001)
+    assert out.count() > 0
+    assert len(paths) == streams.DROPS and len(set(paths)) == 1
+    assert spark.read.parquet(paths[0]).select("batch_id").distinct().count() >= streams.DROPS
