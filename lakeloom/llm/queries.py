@@ -63,8 +63,6 @@ def op6_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(load(spark, sf_dir, "documents"))
 
 
-
-
 @_query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakeloom.llm.licenses import scan
@@ -186,3 +184,53 @@ FROM w LEFT JOIN base ON w.doc_id = base.doc_id LEFT JOIN every ON w.doc_id = ev
 
 
 ORACLES["op8_license_scan"] = _license_sql()
+
+
+@_query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.secretscan import scan
+
+    return scan(load(spark, sf_dir, "documents"))
+
+
+def _secret_sql() -> str:
+    """The same rules as regular expressions: a text's pieces between matches
+    and the matches alternate, so their lengths add up to the places."""
+    import re
+
+    from lakeloom.llm.secretscan import ADDED, BASE
+
+    parts = []
+    for k, r in enumerate(BASE + ADDED):
+        head = re.sub(r"\((?!\?)", "(?:", r.head).replace("'", "''")
+        value = re.sub(r"\((?!\?)", "(?:", r.value)
+        if r.any_case:  # the ASCII letters alone: other alphabets' look-alikes do not count
+            head = re.sub(r"(?<![\\x0-9])[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", head)
+        pattern = f"{head}({value})"
+        parts.append(f"""
+  SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {r.least} AS least, string_split_regex(t, '{pattern}') AS between,
+    regexp_extract_all(t, '{pattern}', 0) AS hit, regexp_extract_all(t, '{pattern}', 1) AS val FROM d""")
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(parts)}
+),
+each AS (SELECT *, unnest(range(1, len(hit) + 1)) AS i FROM found),
+spans AS (
+  SELECT doc_id, k, kind, s, s + length(hit[i]) AS e
+  FROM (SELECT *, CAST(list_sum(list_transform(between[1:i], lambda x: length(x)))
+               + coalesce(list_sum(list_transform(hit[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM each)
+  WHERE length(val[i]) >= least
+),
+per AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < {len(BASE)}) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per ON d.doc_id = per.doc_id
+"""
+
+
+ORACLES["op11_secret_scan"] = _secret_sql()
