@@ -234,3 +234,45 @@ FROM d LEFT JOIN per ON d.doc_id = per.doc_id
 
 
 ORACLES["op11_secret_scan"] = _secret_sql()
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.lexical import rank
+
+    return rank(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = r"""
+WITH w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+q AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ws)) AS BIGINT) AS total FROM w WHERE len(ws) > 0),
+tf AS MATERIALIZED (
+  SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n, unnest(ws) AS term FROM w)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM tf, c GROUP BY term, docs
+),
+s AS (
+  SELECT q.item_id, tf.r, tf.doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf ON q.term = tf.term JOIN weights ON weights.term = tf.term, c
+  GROUP BY q.item_id, tf.r, tf.doc_id
+),
+k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
