@@ -276,3 +276,51 @@ k AS (
 )
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
 """
+
+
+@_query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakeloom.llm.phrases import collocations
+
+    return collocations(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+WITH p AS MATERIALIZED (
+  SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, m, phrase, CAST(count(*) AS BIGINT) AS a
+  FROM (SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda s: array_to_string(ws[s:s + m - 1], ' '))) AS phrase
+        FROM p, (SELECT unnest(range(1, 4)) AS m) WHERE len(ws) >= m)
+  GROUP BY ALL HAVING count(*) >= 10
+),
+cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:m], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM f WHERE m > 1)
+),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, h.a AS l, t.a AS r,
+    CAST((CAST(c.a AS HUGEINT) * c.a * 1000000) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
+  FROM cuts c JOIN f h ON c.lang = h.lang AND c.head = h.phrase JOIN f t ON c.lang = t.lang AND c.tail = t.phrase
+),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a
+  FROM (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m = 3)
+),
+around AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN around x ON b.lang = x.lang AND b.phrase = x.phrase
+  WHERE x.a IS NULL OR 100 * x.a < 50 * b.a
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, kept.a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN total ON kept.lang = total.lang QUALIFY rank <= 2000
+"""
