@@ -26,11 +26,11 @@ from __future__ import annotations
 
 import re
 import struct
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -49,7 +49,6 @@ SALTS = 8
 BITS = 48
 _B = 0x9E3779B97F4A7C15
 _BACK = pow(_B, -1, 1 << 64)
-_HEAD = struct.Struct("<qIB")
 
 # Separators become full stops, A-Z become a-z.
 _TABLE = bytes(0x2E if b in b".,;:!?\n\v\f\r" else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -128,14 +127,19 @@ class Chunk:
         at = np.flatnonzero(np.concatenate((x[:1] == x[:1], x[1:] != x[:-1])))
         return x[at], np.diff(np.append(at, len(x)))
 
-    def phrases(self, wanted: np.ndarray) -> Counter:
-        """(language, words, size) -> count of all n-grams with a fingerprint
-        of ``wanted`` (ascending)."""
-        out: Counter = Counter()
+    def phrases(self, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
+        """Size, languages by number, words and counts of the n-grams with a
+        fingerprint of ``wanted`` (ascending). All occurrences under one
+        fingerprint are compared with the first; those that differ come one by one."""
         if not len(wanted):
-            return out
+            return
+        words = pa.array(self.words, pa.binary())
+        near = np.zeros(1 << 22, bool)  # keeps most other fingerprints from being looked up
+        near[(wanted & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
         for size in range(1, LONGEST + 1):
             at, x = self.grams(size)
+            maybe = near[(x & np.uint64((1 << 22) - 1)).astype(np.int64)]
+            at, x = at[maybe], x[maybe]
             hit = wanted[np.minimum(np.searchsorted(wanted, x), len(wanted) - 1)] == x
             at, x = at[hit], x[hit]
             _, first, which = np.unique(x, return_index=True, return_inverse=True)
@@ -143,15 +147,11 @@ class Chunk:
             same = self.lang[at] == self.lang[model]
             for k in range(size):
                 same &= self.ids[at + k] == self.ids[model + k]
-            counts = np.bincount(which[same], minlength=len(first))
-            for a, n in zip(at[first].tolist(), counts.tolist()):
-                out[self._name(a, size)] += n
-            for a in at[~same].tolist():  # another n-gram under the fingerprint
-                out[self._name(a, size)] += 1
-        return out
-
-    def _name(self, at: int, size: int) -> tuple[str, bytes, int]:
-        return (self.languages[self.lang[at]], b" ".join([self.words[i] for i in self.ids[at:at + size]]), size)
+            counts = np.concatenate((np.bincount(which[same], minlength=len(first)), np.ones(int((~same).sum()), np.int64)))
+            at = np.concatenate((at[first], at[~same]))
+            text = [words.take(pa.array(self.ids[at + k])) for k in range(size)]
+            text = text[0] if size == 1 else pc.binary_join_element_wise(*text, b" ")
+            yield size, self.lang[at], text, counts
 
 
 def press(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -179,18 +179,27 @@ def ranges(keys: np.ndarray, n: int) -> np.ndarray:
     return (keys * np.uint64(n)) >> np.uint64(BITS)
 
 
-def add_up(blobs: list[tuple[int, bytes]], least: int) -> Iterator[tuple[int, np.ndarray]]:
-    """chunk -> those of its keys whose counts over all chunks reach ``least``."""
+def add_up(blobs: list[tuple[int, bytes]], least: int) -> Iterator[tuple[int, bytes]]:
+    """chunk -> a bit for each of its keys, in their order: whether the counts
+    of the key over all chunks reach ``least``. Chunks without one are left out."""
     parts = [(chunk, *unpress(data)) for chunk, data in blobs]
     _, which = np.unique(np.concatenate([k for _, k, _ in parts]), return_inverse=True)
     total = np.bincount(which, weights=np.concatenate([c for *_, c in parts]))
     keep = (total >= least)[which]
     at = 0
     for chunk, keys, _ in parts:
-        own = keys[keep[at:at + len(keys)]]
+        own = keep[at:at + len(keys)]
         at += len(keys)
-        if len(own):
-            yield chunk, own
+        if own.any():
+            yield chunk, np.packbits(own).tobytes()
+
+
+def marked(keys: np.ndarray, n_ranges: int, answers: list[tuple[int, bytes]]) -> np.ndarray:
+    """The keys of a chunk that its ``answers``, (range, bits), mark."""
+    edges = np.searchsorted(ranges(keys, n_ranges), np.array([r for r, _ in answers], np.uint64)[:, None]
+                            + np.array([0, 1], np.uint64)).tolist()
+    bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=j - i).view(bool) for (_, b), (i, j) in zip(answers, edges)]
+    return np.concatenate([keys[i:j][m] for m, (i, j) in zip(bits, edges)]) if answers else keys[:0]
 
 
 def _pack_rows(rows: list[tuple[str, bytes]]) -> bytes:
@@ -207,7 +216,7 @@ def _unpack_rows(data: bytes) -> list[tuple[str, bytes]]:
     return list(zip(table["lang"].to_pylist(), table["text"].to_pylist()))
 
 
-#: part, whether data are a chunk's texts, chunk, data
+#: part or range, whether data are a chunk's texts, chunk, data
 _SENT = "part int, texts boolean, chunk bigint, data binary"
 
 
@@ -263,9 +272,9 @@ def _deal(parts: int, subs: int):
                     yield _rows([(part, True, chunk, data)])
                     continue
                 keys, counts = unpress(data)
-                sub = (ranges(keys, parts * subs) - np.uint64(part * subs)).astype(np.int64)
-                edges = np.append(np.flatnonzero(np.diff(sub, prepend=-1)), len(sub))
-                yield _rows([(int(sub[i]), False, chunk, press(keys[i:j], counts[i:j])) for i, j in zip(edges, edges[1:])])
+                own = ranges(keys, parts * subs).astype(np.int64)
+                edges = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+                yield _rows([(int(own[i]), False, chunk, press(keys[i:j], counts[i:j])) for i, j in zip(edges, edges[1:])])
 
     return run
 
@@ -280,12 +289,12 @@ def _gather(least: int):
         last = None
 
         def close() -> pa.RecordBatch:
-            return _rows([(0, False, chunk, keys.astype("<u8").tobytes()) for chunk, keys in add_up(held, least)])
+            return _rows([(last, False, chunk, bits) for chunk, bits in add_up(held, least)])
 
         for batch in batches:
             for part, texts, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if texts:
-                    yield _rows([(0, True, chunk, data)])
+                    yield _rows([(part, True, chunk, data)])
                     continue
                 if part != last and held:
                     yield close()
@@ -298,36 +307,43 @@ def _gather(least: int):
     return run
 
 
-def _materialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _materialise(n_ranges: int):
     """The phrases of each chunk; words of each language have size 0."""
-    from lakeloom.llm.phrases import Chunk, _unpack_rows
-
-    texts, wanted, last = None, [], None
-
-    def close() -> Iterator[pa.RecordBatch]:
-        own = Chunk(_unpack_rows(texts))
-        found = own.phrases(np.sort(np.frombuffer(b"".join(wanted), "<u8")))
-        found.update({(lang, b"", 0): n for lang, n in own.totals.items()})
-        names = list(found)
-        for a in range(0, len(names), 100_000):
-            some = names[a:a + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in some], pa.string()), pa.array([x[2] for x in some], pa.int32()),
-                 pa.array([x[1] for x in some], pa.binary()).cast(pa.string()), pa.array([found[x] for x in some], pa.int64())],
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.phrases import Chunk, _unpack_rows, marked
+
+        texts, answers, last = None, [], None
+
+        def rows(lang: pa.Array, size: int, text: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [lang, pa.array(np.full(len(lang), size, np.int32)), text.cast(pa.string()), pa.array(counts, pa.int64())],
                 names=["lang", "size", "phrase", "n"])
 
-    for batch in batches:
-        for is_text, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
-            if chunk != last:
-                if last is not None:
-                    yield from close()
-                texts, wanted, last = None, [], chunk
-            if is_text:
-                texts = data
-            else:
-                wanted.append(data)
-    if last is not None:
-        yield from close()
+        def close() -> Iterator[pa.RecordBatch]:
+            own = Chunk(_unpack_rows(texts))
+            names = pa.array(own.languages, pa.string())
+            yield rows(names, 0, pa.array([b""] * len(names), pa.binary()), np.array([own.totals[x] for x in own.languages]))
+            wanted = marked(own.fingerprints()[0], n_ranges, sorted(answers))
+            for size, lang, text, counts in own.phrases(wanted):
+                for a in range(0, len(text), 100_000):
+                    part = slice(a, a + 100_000)
+                    yield rows(names.take(pa.array(lang[part])), size, text[part], counts[part])
+
+        for batch in batches:
+            for part, is_text, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if chunk != last:
+                    if last is not None:
+                        yield from close()
+                    texts, answers, last = None, [], chunk
+                if is_text:
+                    texts = data
+                else:
+                    answers.append((part, data))
+        if last is not None:
+            yield from close()
+
+    return run
 
 
 def frequent(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES,
@@ -349,8 +365,8 @@ def frequent(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES
     if subs > 1:
         df = df.mapInArrow(lean(_deal(parts, subs)), _SENT)
     df = df.sortWithinPartitions("texts", "part").mapInArrow(lean(_gather(least)), _SENT)
-    df = df.select("texts", "chunk", "data").repartition("chunk").sortWithinPartitions("chunk", "texts")
-    df = df.mapInArrow(lean(_materialise), "lang string, size int, phrase string, n bigint")
+    df = df.select("part", "texts", "chunk", "data").repartition("chunk").sortWithinPartitions("chunk", "texts")
+    df = df.mapInArrow(lean(_materialise(parts * subs)), "lang string, size int, phrase string, n bigint")
     return df.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("size") == 0))
 
 
@@ -373,17 +389,19 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, to
     found = cut(frequent(docs, least, lang_col=lang_col, text_col=text_col))
     words = found.where("size = 0").select(F.col("lang").alias("of"), F.col("n").alias("total"))
     named = found.where("size > 0").select("lang", "size", "phrase", F.col("n").alias("a"))
-    # Frequent words begin or end a large share of the phrases: such keys are salted.
-    salted = named.select("lang", "phrase", "a", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    phrases = named.where("size > 1").withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
-    cuts = phrases.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
+    # Frequent words begin or end a large share of the phrases: as parts, words are salted.
+    salts = F.sequence(F.lit(0), F.when(F.col("size") == 1, F.lit(SALTS - 1)).otherwise(F.lit(0)))
+    parts = named.select(F.col("lang").alias("part_lang"), F.col("phrase").alias("part"), F.col("a").alias("part_n"),
+                         F.explode(salts).alias("part_salt"))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
+    cuts = named.where("size > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.withColumn("head", F.expr("substring_index(phrase, ' ', k)"))
     cuts = cuts.withColumn("tail", F.expr("substring(phrase, length(head) + 2)"))
-    for side, count in (("head", "l"), ("tail", "r")):
-        part = salted.select(F.col("lang").alias("part_lang"), F.col("phrase").alias("part"), F.col("a").alias(count),
-                             F.col("salt").alias("part_salt"))
-        cuts = cuts.join(part, (F.col("lang") == F.col("part_lang")) & (F.col(side) == F.col("part"))
-                         & (F.col("salt") == F.col("part_salt"))).drop("part_lang", "part", "part_salt")
+    for side, count, words_in in (("head", "l", F.col("k")), ("tail", "r", F.col("size") - F.col("k"))):
+        cuts = cuts.withColumn("salt", F.when(words_in == 1, salt).otherwise(F.lit(0)))
+        cuts = cuts.join(parts, (F.col("lang") == F.col("part_lang")) & (F.col(side) == F.col("part"))
+                         & (F.col("salt") == F.col("part_salt"))).drop("part_lang", "part", "part_salt", "salt")
+        cuts = cuts.withColumnRenamed("part_n", count)
     cuts = cuts.withColumn("score", F.expr(exact_score("a", "l", "r")))
     scored = cuts.groupBy("lang", "phrase", "size", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
 
@@ -394,8 +412,12 @@ def collocations(docs: DataFrame, least: int = LEAST, covered: int = COVERED, to
     longer = longer.groupBy("lang", "inside").agg(F.max("a").alias("around")).withColumnRenamed("lang", "long_lang")
     kept = scored.join(longer, (F.col("lang") == F.col("long_lang")) & (F.col("phrase") == F.col("inside")), "left").where(
         F.col("around").isNull() | (100 * F.col("around") < covered * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language may hold most phrases: the best of each of its shares first, then the best of these.
+    best = [F.desc("best.score"), F.desc("a"), F.asc("phrase")]
+    share = F.pmod(F.xxhash64("phrase", F.lit(1)), F.lit(2 * SALTS))
+    ranked = kept.withColumn("share", share)
+    for keys in (["lang", "share"], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*best))).where(F.col("rank") <= top)
     return ranked.join(words, F.col("lang") == F.col("of")).select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "best.l", "best.r",
         F.col("total").alias("n"), "best.score")

@@ -87,16 +87,21 @@ def test_colliding_fingerprints_part(spark, monkeypatch):
     monkeypatch.setattr(phrases, "BITS", 4)
     rows = [("en", "a b c. a b d. x y z. y z a."), ("fr", "a b c, a b"), ("en", "q r s")] * 3
     wanted = np.arange(16, dtype=np.uint64)
-    found = phrases.Chunk([(lang, t.encode()) for lang, t in rows]).phrases(wanted)
+    chunk = phrases.Chunk([(lang, t.encode()) for lang, t in rows])
+    found = Counter()
+    for size, lang, text, counts in chunk.phrases(wanted):
+        for k, w, n in zip(lang.tolist(), text.to_pylist(), counts.tolist()):
+            assert len(w.split()) == size
+            found[chunk.languages[k], w.decode()] += n
     f, _ = plain_counts(rows)
-    assert {(lang, w.decode()): n for (lang, w, _), n in found.items()} == {(lang, " ".join(w)): n for (lang, w), n in f.items()}
+    assert found == {(lang, " ".join(w)): n for (lang, w), n in f.items()}
 
 
 def test_prefix_polynomials_are_the_fingerprints():
     text = b"one two three one two three, four one two"
     chunk = phrases.Chunk([("en", text), ("de", text)])
     at, x = chunk.grams(2)
-    names = [chunk._name(a, 2) for a in at.tolist()]
+    names = [(chunk.lang[a], *(chunk.words[i] for i in chunk.ids[a:a + 2])) for a in at.tolist()]
     assert len(names) == 14 and len(set(x.tolist())) == len(set(names)) == 8
     by_name = {}
     for name, value in zip(names, x.tolist()):
@@ -112,6 +117,21 @@ def test_pressed_keys_come_back():
         assert (got[0] == keys).all() and (got[1] == counts).all()
 
 
+def test_answers_point_into_a_chunks_order():
+    rng = np.random.default_rng(3)
+    chunks = [np.unique(rng.integers(0, 1 << 48, 400, dtype=np.uint64)) for _ in range(3)]
+    chunks = [np.unique(np.concatenate((c, chunks[0][:50]))) for c in chunks]
+    answers = {0: [], 1: [], 2: []}
+    for r in range(7):
+        own = [(n, phrases.press(k, np.full(len(k), 2))) for n, c in enumerate(chunks) if len(k := c[phrases.ranges(c, 7) == r])]
+        for chunk, bits in phrases.add_up(own, 6):
+            answers[chunk].append((r, bits))
+    shared = np.intersect1d(np.intersect1d(chunks[0], chunks[1]), chunks[2])
+    for n, c in enumerate(chunks):
+        assert (phrases.marked(c, 7, answers[n]) == shared).all()
+    assert len(phrases.marked(chunks[0], 7, [])) == 0
+
+
 def test_long_texts_are_cut_at_separators():
     text = b"aa bb. " * 1000 + b"c " * 5000
     parts = list(phrases.stretches(text, 100))
