@@ -3,8 +3,9 @@
 Each scan partition is packed on its own, so no text is shuffled. A document
 becomes its token ids and an end id; whole windows' worth of it fill windows
 of their own, and what is left is cut into pieces of at most ``piece`` tokens.
-Pieces gather until they fill ``windows`` windows; then the multiway
-differencing method splits them: every piece starts as a partial partition
+Pieces gather until they fill ``windows`` windows or are ``MOST_PIECES``, those
+of few tokens in bundles that stay together; then the multiway differencing
+method splits them: every piece or bundle starts as a partial partition
 with one filled window; the two partial partitions with the largest spread
 are merged again and again, the fullest window of one onto the emptiest of
 the other, so that opposing imbalances cancel. The number of windows starts
@@ -26,6 +27,8 @@ from pyspark.sql import DataFrame
 from lakeloom.llm.common import columns, lean, ship, text_bytes
 
 CAPACITY, PIECE, WINDOWS = 4096, 1024, 192
+#: Pieces below ``SMALL`` tokens are bundled up to ``BUNDLE`` tokens or more.
+SMALL, BUNDLE, MOST_PIECES = 128, 256, 50_000
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -81,9 +84,11 @@ class _Packer:
     def __init__(self, part: int, capacity: int, piece: int, windows: int):
         self.next = part << 32
         self.capacity, self.piece, self.full = capacity, piece, capacity * windows
+        self.small, self.bundle = min(SMALL, capacity // 32), min(BUNDLE, capacity // 16)
         self.rows: list[tuple] = []
-        self.pool: list[tuple] = []
-        self.held = 0
+        self.pool: list[tuple[int, list[tuple]]] = []
+        self.open: list[tuple] = []
+        self.held = self.open_size = self.pieces = 0
 
     def add(self, doc_id, ids: np.ndarray) -> None:
         n, cap = len(ids), self.capacity
@@ -97,23 +102,41 @@ class _Packer:
             parts = -(-rest // self.piece)
             cuts = [whole + rest * k // parts for k in range(parts + 1)]
             for a, b in zip(cuts, cuts[1:]):
-                self.pool.append((doc_id, a, b - a, zlib.crc32(wide[a:b]), n))
-            self.held += rest
-        if self.held >= self.full:
+                self._hold((doc_id, a, b - a, zlib.crc32(wide[a:b]), n))
+        if self.held >= self.full or self.pieces >= MOST_PIECES:
             self.flush()
 
+    def _hold(self, piece: tuple) -> None:
+        size = piece[2]
+        self.held += size
+        self.pieces += 1
+        if size >= self.small:
+            self.pool.append((size, [piece]))
+            return
+        self.open.append(piece)
+        self.open_size += size
+        if self.open_size >= self.bundle:
+            self._close()
+
+    def _close(self) -> None:
+        if self.open:
+            self.pool.append((self.open_size, self.open))
+        self.open, self.open_size = [], 0
+
     def flush(self) -> None:
+        self._close()
         if not self.pool:
             return
-        sizes = np.array([p[2] for p in self.pool], np.int64)
-        window = balance(sizes, self.capacity)
+        window = balance(np.array([size for size, _ in self.pool], np.int64), self.capacity)
         fill: dict[int, int] = {}
-        for p, w in zip(self.pool, window.tolist()):
+        for (size, pieces), w in zip(self.pool, window.tolist()):
             at = fill.get(w, 0)
-            self.rows.append((*p, self.next + w, at))
-            fill[w] = at + p[2]
+            fill[w] = at + size
+            for p in pieces:
+                self.rows.append((*p, self.next + w, at))
+                at += p[2]
         self.next += max(fill) + 1
-        self.pool, self.held = [], 0
+        self.pool, self.held, self.pieces = [], 0, 0
 
     def take(self) -> pa.RecordBatch:
         names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -143,12 +166,17 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         enc = encoder(tokenizer)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         packer = _Packer(TaskContext.get().partitionId(), capacity, piece, windows)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(enc.packed(text_bytes(text.as_py())) + end, dtype=enc.dtype)
-                packer.add(doc_id, ids)
+        try:
+            for batch in batches:
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    ids = np.frombuffer(enc.packed(text_bytes(text.as_py())) + end, dtype=enc.dtype)
+                    packer.add(doc_id, ids)
+                    if len(packer.rows) >= MOST_PIECES:
+                        yield packer.take()
+                yield packer.take()
+            packer.flush()
             yield packer.take()
-        packer.flush()
-        yield packer.take()
+        finally:
+            enc.rest()
 
     return columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(run), SCHEMA)

@@ -49,7 +49,8 @@ class _Recent(dict):
 
 
 class Encoder:
-    """``ids(text_bytes)``: the token ids of a whole UTF-8 text."""
+    """``ids(text_bytes)``: the token ids of a whole UTF-8 text. ``rest()``
+    ends a task: an idle worker keeps the latest parts of words only."""
 
     def __init__(self, path: str, words: int = 250_000, parts: int = 150_000):
         from tokenizers import Tokenizer
@@ -101,6 +102,11 @@ class Encoder:
     def ids(self, text: bytes) -> np.ndarray:
         return np.frombuffer(self.packed(text), dtype=self.dtype)
 
+    def rest(self) -> None:
+        if self.by_word:
+            self.parts.old, self.words.old = {}, {}
+            self.words.clear()
+
 
 _encoders: dict[str, Encoder] = {}
 
