@@ -2,9 +2,10 @@
 
 Documents are put in ascending id order (range partitions, sorted within) and
 cut into shards of whole documents. In each shard frequent pairs of symbols
-are replaced by nonterminals, round after round: a round counts all adjacent
-pairs, gives every pair that is frequent enough a new symbol and replaces its
-occurrences from left to right. No pair crosses a document's end. A shard
+are replaced by nonterminals, round after round, until none is frequent: a
+round counts adjacent pairs, gives every pair that is frequent enough a new
+symbol and replaces its occurrences from left to right. Rounds after the first
+count only pairs beside a new symbol. No pair crosses a document's end. A shard
 holds the rules, the expansion length of every symbol and each document's
 place among the symbols, so any range of ids is decoded from the few symbols
 that cover it.
@@ -18,7 +19,8 @@ n_docs, n_ids   documents and ids (end ids included)
 terminals       <u4, the token ids that the first symbols stand for
 left, right     <u4, the two symbols of each further symbol, in order
 lengths         <u4, expansion length of every symbol
-symbols         <u2 or <u4 (``width`` bytes), end ids left out
+symbols         ``width`` bytes each, end ids left out: <u2, <u4, or at three
+                bytes all lower halves (<u2) and then all upper bytes (u1)
 doc_symbols     <i8, symbols of each document
 doc_ids         <i8, the documents' ids; no_id: u1, 1 where the id is null
 ==============  ==========================================================
@@ -42,36 +44,66 @@ from pyspark.sql.window import Window
 from lakeloom.llm.common import columns, lean, partitions, ship, text_bytes
 
 SHARD_IDS = 4_000_000
-ROUNDS, PER_ROUND, LEAST = 4, 2048, 16
-_SLOTS = 1 << 20
+LEAST = 16
+_COUNT_BITS, _SLOT_BITS = 21, 19
+_FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
 
 SHARDS = ("part bigint, shard bigint, before bigint, n_docs bigint, n_ids bigint, width int, end_id bigint, "
           "terminals binary, left binary, right binary, lengths binary, symbols binary, "
           "doc_symbols binary, doc_ids binary, no_id binary")
 
 
-def _frequent(x: np.ndarray, stops: np.ndarray, k: int, top: int, least: int):
-    """Pair codes of adjacent symbols within documents, and the frequent ones."""
-    code = x[:-1].astype(np.uint64) * np.uint64(k) + x[1:]
-    inner = np.ones(len(code), bool)
-    cut = stops[(stops > 0) & (stops < len(x))]
-    inner[cut - 1] = False
-    s = np.sort(code[inner])
-    if not len(s):
-        return code, inner, s
-    at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    count = np.diff(np.append(at, len(s)))
-    keep = np.flatnonzero(count >= least)
-    if len(keep) > top:
-        keep = keep[np.argsort(-count[keep], kind="stable")[:top]]
-    else:
-        keep = keep[np.argsort(-count[keep], kind="stable")]
-    return code, inner, s[at[keep]]
-
-
-def compress(docs: list[np.ndarray], rounds: int = ROUNDS, per_round: int = PER_ROUND,
-             least: int = LEAST) -> dict[str, np.ndarray]:
-    """The Re-Pair grammar of a shard: ``docs`` are id arrays without end ids."""
+def _hash(codes: np.ndarray, factor: int, bits: int) -> np.ndarray:
+    return ((codes * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _frequent(codes: np.ndarray, least: int) -> np.ndarray:
+    """Codes that occur ``least`` times or more, ascending. Slots of a hash
+    table are counted first: only codes of slots that reach ``least`` are sorted."""
+    slot = _hash(codes, _FACTORS[0], _COUNT_BITS)
+    s = np.sort(codes[(np.bincount(slot, minlength=1 << _COUNT_BITS) >= least)[slot]])
+    at = np.flatnonzero(np.concatenate((s[:1] == s[:1], s[1:] != s[:-1])))
+    return s[at[np.diff(np.append(at, len(s))) >= least]]
+
+
+def _places(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each code among the distinct ``keys``, -1 if it is none. Keys
+    that share a slot of the hash table go on to another one."""
+    out = np.full(len(codes), -1, np.int64)
+    todo, left = None, np.arange(len(keys))
+    for factor in _FACTORS:
+        table = np.full(1 << _SLOT_BITS, -1, np.int64)
+        slot = _hash(keys[left], factor, _SLOT_BITS)
+        table[slot] = left
+        lost = table[slot] != left
+        mine = codes if todo is None else codes[todo]
+        where = _hash(mine, factor, _SLOT_BITS)
+        found = table[where]
+        hit = found >= 0
+        hit[hit] = keys[found[hit]] == mine[hit]
+        at = np.flatnonzero(hit)
+        out[at if todo is None else todo[at]] = found[at]
+        if not lost.any():
+            return out
+        shared = np.zeros(1 << _SLOT_BITS, bool)
+        shared[slot[lost]] = True
+        again = np.flatnonzero(shared[where] & ~hit)
+        todo, left = again if todo is None else todo[again], left[lost]
+    # Keys that shared a slot every time.
+    order = left[np.argsort(keys[left])]
+    at = np.minimum(np.searchsorted(keys[order], codes[todo]), len(order) - 1)
+    same = keys[order][at] == codes[todo]
+    out[todo[same]] = order[at[same]]
+    return out
+
+
+def compress(docs: list[np.ndarray], least: int = LEAST) -> dict[str, np.ndarray]:
+    """The Re-Pair grammar of a shard: ``docs`` are id arrays without end ids.
+
+    Rounds go on until no pair of neighbours occurs ``least`` times. After a
+    round that replaced every frequent pair only pairs with a new symbol can be
+    frequent, so only those are counted; the last word has a count of all.
+    """
     sizes = np.array([len(d) for d in docs], np.int64)
     ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
     seen = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
@@ -80,52 +112,58 @@ def compress(docs: list[np.ndarray], rounds: int = ROUNDS, per_round: int = PER_
     dense = np.zeros(len(seen), np.uint32)
     dense[terminals] = np.arange(len(terminals), dtype=np.uint32)
     x = dense[ids]
-    stops = np.cumsum(sizes)
+    last = np.zeros(len(x), bool)  # the last symbol of a document
+    last[np.cumsum(sizes)[sizes > 0] - 1] = True
     left, right = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-    k = len(terminals)
-    for _ in range(rounds):
-        if len(x) < 2:
-            break
-        code, inner, found = _frequent(x, stops, k, per_round, least)
+    lengths = [np.ones(len(terminals), np.uint32)]
+    k, base, complete = len(terminals), 0, True
+    while len(x) > 1:
+        inner = ~last[:-1]
+        if base:
+            new = x >= base
+            inner &= new[:-1] | new[1:]
+        at = np.flatnonzero(inner)
+        code = x[at].astype(np.uint64) * np.uint64(k) + x[at + 1]
+        found = _frequent(code, least)
         if not len(found):
-            break
-        # A small hash table finds a pair's rule; of pairs that share a slot
-        # the most frequent is replaced now, the others in a later round.
-        slot_of = lambda c: ((c * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        slot = slot_of(found)
-        _, first = np.unique(slot, return_index=True)
-        found = found[np.sort(first)]
-        slot = slot_of(found)
-        table = np.full(_SLOTS, np.iinfo(np.uint64).max, np.uint64)
-        rule = np.zeros(_SLOTS, np.uint32)
-        table[slot] = found
-        rule[slot] = np.arange(k, k + len(found), dtype=np.uint32)
-        where = slot_of(code)
-        hit = np.flatnonzero((table[where] == code) & inner)
-        if not len(hit):
-            break
+            if complete:
+                break
+            base, complete = 0, True
+            continue
+        place = _places(code, found)
+        hit = np.flatnonzero(place >= 0)
+        place, hit = place[hit], at[hit]
         # Overlapping occurrences: every other one of a run, from its left end.
-        new = np.concatenate(([True], np.diff(hit) > 1))
-        run = hit[new][np.cumsum(new) - 1]
-        hit = hit[((hit - run) & 1) == 0]
+        first = np.concatenate(([True], np.diff(hit) > 1))
+        take = ((hit - hit[first][np.cumsum(first) - 1]) & 1) == 0
+        place, hit = place[take], hit[take]
+        # A rule that its neighbours left fewer than two places is none.
+        uses = np.bincount(place, minlength=len(found))
+        rule = np.cumsum(uses > 1) - 1
+        good = uses[place] > 1
+        place, hit = place[good], hit[good]
+        found = found[uses > 1]
+        if not len(found):
+            if complete and not base:
+                break
+            base, complete = 0, True
+            continue
+        a, b = (found // np.uint64(k)).astype(np.uint32), (found % np.uint64(k)).astype(np.uint32)
+        left.append(a)
+        right.append(b)
+        own = np.concatenate(lengths)
+        lengths = [own, own[a] + own[b]]
         x = x.copy()
-        x[hit] = rule[where[hit]]
+        x[hit] = (k + rule[place]).astype(np.uint32)
+        last[hit] = last[hit + 1]
         keep = np.ones(len(x), bool)
         keep[hit + 1] = False
-        gone = np.zeros(len(x) + 1, np.int64)
-        np.cumsum(~keep, out=gone[1:])
-        stops = stops - gone[stops]
-        x = x[keep]
-        left.append((found // np.uint64(k)).astype(np.uint32))
-        right.append((found % np.uint64(k)).astype(np.uint32))
-        k += len(found)
-    left, right = np.concatenate(left), np.concatenate(right)
-    lengths = np.ones(k, np.uint32)
-    base = len(terminals)
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):  # a rule's symbols are older than it
-        lengths[base + i] = lengths[a] + lengths[b]
-    return {"terminals": terminals, "left": left, "right": right, "lengths": lengths, "symbols": x,
-            "doc_symbols": np.diff(np.concatenate(([0], stops)))}
+        x, last = x[keep], last[keep]
+        base, k, complete = k, k + len(found), False
+    doc_symbols = np.zeros(len(sizes), np.int64)
+    doc_symbols[sizes > 0] = np.diff(np.flatnonzero(last), prepend=-1)
+    return {"terminals": terminals, "left": np.concatenate(left), "right": np.concatenate(right),
+            "lengths": np.concatenate(lengths), "symbols": x, "doc_symbols": doc_symbols}
 
 
 def expansions(terminals: np.ndarray, left: np.ndarray, right: np.ndarray,
@@ -142,6 +180,19 @@ def expansions(terminals: np.ndarray, left: np.ndarray, right: np.ndarray,
     return flat, at
 
 
+def pack_symbols(symbols: np.ndarray, width: int) -> bytes:
+    if width == 3:
+        return (symbols & 0xFFFF).astype("<u2").tobytes() + (symbols >> 16).astype("u1").tobytes()
+    return symbols.astype(f"<u{width}").tobytes()
+
+
+def unpack_symbols(data: bytes, width: int) -> np.ndarray:
+    if width == 3:
+        n = len(data) // 3
+        return np.frombuffer(data, "<u2", n).astype(np.uint32) | np.frombuffer(data, "u1", n, 2 * n).astype(np.uint32) << 16
+    return np.frombuffer(data, f"<u{width}")
+
+
 class Shard:
     """A shard read back: whole documents, or any range of a document's ids."""
 
@@ -149,7 +200,7 @@ class Shard:
         u4 = lambda k: np.frombuffer(row[k], "<u4")
         self.lengths, self.end_id = u4("lengths"), row["end_id"]
         self.flat, self.at = expansions(u4("terminals"), u4("left"), u4("right"), self.lengths)
-        self.symbols = np.frombuffer(row["symbols"], "<u2" if row["width"] == 2 else "<u4")
+        self.symbols = unpack_symbols(row["symbols"], row["width"])
         self.stops = np.concatenate(([0], np.cumsum(np.frombuffer(row["doc_symbols"], "<i8"))))
         self.n_docs = row["n_docs"]
 
@@ -191,7 +242,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from lakeloom.llm.repair import compress
+        from lakeloom.llm.repair import compress, pack_symbols
         from lakeloom.llm.tokens import encoder
 
         enc = encoder(tokenizer)
@@ -200,10 +251,10 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_
 
         def close() -> pa.RecordBatch:
             g = compress(texts)
-            width = 2 if len(g["lengths"]) <= 1 << 16 else 4
+            width = 2 if len(g["lengths"]) <= 1 << 16 else 3 if len(g["lengths"]) <= 1 << 24 else 4
             row = {"part": part, "shard": shard, "before": before, "n_docs": len(ids), "n_ids": held,
                    "width": width, "end_id": end_id} | {k: g[k].astype("<u4").tobytes() for k in ("terminals", "left", "right", "lengths")}
-            row["symbols"] = g["symbols"].astype("<u2" if width == 2 else "<u4").tobytes()
+            row["symbols"] = pack_symbols(g["symbols"], width)
             row["doc_symbols"] = g["doc_symbols"].astype("<i8").tobytes()
             row["doc_ids"] = np.array([i or 0 for i in ids], "<i8").tobytes()
             row["no_id"] = bytes(i is None for i in ids)
@@ -211,17 +262,20 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_
                 [pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int32() if k == "width" else pa.int64())
                  for k, v in row.items()], names=list(row))
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = enc.ids(text_bytes(text.as_py()))
-                ids.append(doc_id)
-                texts.append(x)
-                held += len(x) + 1
-                if held >= shard_ids:
-                    yield close()
-                    ids, texts, held, shard, before = [], [], 0, shard + 1, before + held
-        if ids:
-            yield close()
+        try:
+            for batch in batches:
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    x = enc.ids(text_bytes(text.as_py()))
+                    ids.append(doc_id)
+                    texts.append(x)
+                    held += len(x) + 1
+                    if held >= shard_ids:
+                        yield close()
+                        ids, texts, held, shard, before = [], [], 0, shard + 1, before + held
+            if ids:
+                yield close()
+        finally:
+            enc.rest()
 
     df = columns(docs, doc_id=id_col, text=text_col)
     df = df.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first())

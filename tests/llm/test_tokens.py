@@ -72,6 +72,43 @@ def test_token_files(spark, library, shard_ids):
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
 
 
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(2)
+    passage = rng.permutation(2000).astype(np.uint32)
+    g = repair.compress([passage] * 400)
+    assert len(g["symbols"]) == 400 and g["lengths"].max() == 2000
+    words = rng.zipf(1.3, 200_000) % 5000
+    docs = np.split(words.astype(np.uint32), np.sort(rng.integers(0, len(words), 300))) + [passage[:700]] * 40
+    g = repair.compress(docs)
+    pairs = {}
+    stop = np.cumsum(g["doc_symbols"])
+    flat, at = repair.expansions(g["terminals"], g["left"], g["right"], g["lengths"])
+    for d, a, b in zip(docs, stop - g["doc_symbols"], stop):
+        own = g["symbols"][a:b].tolist()
+        assert [x for s in own for x in flat[at[s]:at[s + 1]].tolist()] == d.tolist()
+        taken = -1  # of a run of one symbol every other pair counts
+        for i, pair in enumerate(zip(own, own[1:])):
+            if pair[0] != pair[1] or i != taken:
+                pairs[pair] = pairs.get(pair, 0) + 1
+                taken = i + 1
+    assert max(pairs.values()) < 2 * repair.LEAST
+    assert sum(n >= repair.LEAST for (a, b), n in pairs.items() if a != b) == 0
+
+
+def test_keys_that_share_slots_are_found(monkeypatch):
+    monkeypatch.setattr(repair, "_SLOT_BITS", 3)
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 40, 60, dtype=np.uint64))
+    codes = np.concatenate((rng.choice(keys, 500), rng.integers(0, 1 << 40, 500, dtype=np.uint64)))
+    place = {int(k): i for i, k in enumerate(keys)}
+    assert repair._places(codes, keys).tolist() == [place.get(int(c), -1) for c in codes]
+
+
+def test_symbols_of_three_bytes():
+    x = np.array([0, 65535, 65536, (1 << 24) - 1], np.uint32)
+    assert repair.unpack_symbols(repair.pack_symbols(x, 3), 3).tolist() == x.tolist()
+
+
 def test_token_files_of_an_empty_table(spark):
     path = scratch_path(spark, "test-repair")
     repair.write(cases.frame(spark, []), path)
@@ -119,3 +156,39 @@ def test_packing_leaves_little_padding(spark):
     rows = packing.pack(load(spark, "/root/testdata/sf0.01", "documents")).groupBy("sequence_id").sum("length").collect()
     loads = [r[1] for r in rows]
     assert max(loads) <= 4096 and sum(loads) >= 0.985 * 4096 * len(loads)
+
+
+def test_a_million_empty_texts_need_little_memory():
+    import tracemalloc
+
+    def run():
+        packer = packing._Packer(0, packing.CAPACITY, packing.PIECE, packing.WINDOWS)
+        end, n, sequences, held = np.array([2], "<u2"), 0, set(), 0
+        for k in range(1_000_000):
+            packer.add(k, end)
+            if len(packer.rows) >= packing.MOST_PIECES:
+                out = packer.take()
+                n += out.num_rows
+                sequences.update(out["sequence_id"].unique().to_pylist())
+        packer.flush()
+        out = packer.take()
+        sequences.update(out["sequence_id"].unique().to_pylist())
+        return n + out.num_rows, len(sequences)
+
+    tracemalloc.start()
+    rows, sequences = run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1_000_000 and peak < 200 << 20
+    assert sequences <= 1.08 * 1_000_000 / packing.CAPACITY
+
+
+def test_encoder_rests_between_tasks():
+    path = str(public_tokenizers.path(FILE))
+    own, ref = Encoder(path), Tokenizer.from_file(path)
+    text = "The words that were met, and the words' parts."
+    want = ref.encode(text, add_special_tokens=False).ids
+    for _ in range(3):
+        assert own.ids(text.encode()).tolist() == want
+        own.rest()
+        assert not own.words and not own.words.old and not own.parts.old and own.parts
