@@ -18,14 +18,13 @@ frequent has a frequent fingerprint.
 Scale: what travels is a fingerprint per distinct n-gram and chunk (some four
 bytes) and twice the compressed text; a frequent n-gram is one entry a chunk.
 Ranges grow in number with the input: a chunk writes at most
-``MOST_PARTITIONS`` blobs, and each of those partitions deals its blobs out to
+``keyed.MOST_PARTITIONS`` blobs, and each of those partitions deals its blobs out to
 as many smaller ranges as it needs, through Spark's sort.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lakeloom.llm import keyed
 from lakeloom.llm.common import columns, cut, lean, partitions, ship, text_bytes
 from lakeloom.llm.substrings import _input_bytes
 
 LONGEST, LEAST, COVERED, TOP = 3, 10, 50, 2000
 CHUNK_WORDS, CHUNK_BYTES, CHUNK_ROWS = 1_500_000, 12 << 20, 50_000
 RANGE_BYTES = 48 << 20
-MOST_PARTITIONS = 20_000
 SALTS = 8
 BITS = 48
 _B = 0x9E3779B97F4A7C15
@@ -155,23 +154,12 @@ class Chunk:
 
 
 def press(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as differences, byte by byte of each, and the counts:
-    one byte each, those from 255 on once more in full."""
-    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
-    width = max(1, int(np.flatnonzero(gaps.any(axis=0))[-1]) + 1) if gaps.any() else 1
-    small = np.minimum(counts, 255).astype(np.uint8)
-    body = gaps[:, :width].T.tobytes() + small.tobytes() + counts[small == 255].astype("<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<IB", len(keys), width) + body)
+    return keyed.squeeze(keyed.press(keys, counts))
 
 
 def unpress(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(data)
-    n, width = struct.unpack_from("<IB", data)
-    gaps = np.zeros((n, 8), np.uint8)
-    gaps[:, :width] = np.frombuffer(data, np.uint8, n * width, 5).reshape(width, n).T
-    counts = np.frombuffer(data, np.uint8, n, 5 + n * width).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(data, "<i8", offset=5 + n * width + n)
-    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64), counts
+    keys, (counts,), _ = keyed.unpress(keyed.unsqueeze(data))
+    return keys, counts
 
 
 def ranges(keys: np.ndarray, n: int) -> np.ndarray:
@@ -357,10 +345,7 @@ def frequent(docs: DataFrame, least: int = LEAST, range_bytes: int = RANGE_BYTES
     """
     spark = docs.sparkSession
     ship(spark)
-    session = partitions(spark)
-    want = max(session, -(-4 * _input_bytes(docs) // range_bytes))
-    parts = min(want, max(session, MOST_PARTITIONS))
-    subs = -(-want // parts)
+    parts, subs = keyed.plan_ranges(partitions(spark), 4 * _input_bytes(docs), range_bytes)
     df = columns(docs, lang=lang_col, text=text_col).mapInArrow(lean(_split(parts)), _SENT).repartitionById(parts, F.col("part"))
     if subs > 1:
         df = df.mapInArrow(lean(_deal(parts, subs)), _SENT)

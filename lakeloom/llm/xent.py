@@ -12,16 +12,16 @@ A document's score is its mean loss per word under the target model minus
 that under the background model (nats). Below zero it reads more like the
 target than like the corpus.
 
-Documents travel in chunks. A chunk sends each of its distinct words and pairs
-once, with their counts in it, to the bucket of their key; the bucket sums
-every key over all chunks and answers each chunk with the sums of its own keys.
-The chunk, joined by its answers, then scores its documents. No table is whole
-anywhere, and a frequent word or pair is one entry a chunk.
+Documents are written once, in chunks. A chunk sends each of its distinct words
+and pairs once, with their counts in it, to the range of their key; the range
+sums every key over all chunks and answers each chunk with what the others add
+to its own counts, where they add anything. The chunk, joined by its answers,
+then scores its documents. No table is whole anywhere, and a frequent word or
+pair is one entry a chunk.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,18 +32,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm import keyed
 from lakeloom.llm.common import HashedWords, columns, cut, lean, partitions, ship, text_bytes
 from lakeloom.llm.substrings import _input_bytes
+from lakeloom.operators.joins import broadcast_if_small
 
-WORD_BITS, PAIR_BITS = 20, 22
-RANGE = 1 << 16
-CHUNK_WORDS, CHUNK_ROWS = 500_000, 50_000
-BUCKET_BYTES = 64 << 20
-MOST_PARTITIONS = 20_000
+CHUNK_WORDS, CHUNK_BYTES, CHUNK_ROWS = 1_000_000, 8 << 20, 50_000
+RANGE_BYTES = 48 << 20
 MASS_PAIR, MASS_WORD, LEAST = 200.0, 1.0, 2
+#: Target ids up to so many are broadcast, beyond them joined by a merge join.
+MOST_IDS = 2_000_000
+SALTS = 1024
 _B = np.uint64(0x9E3779B97F4A7C15)
 _START = np.uint64(0xD1B54A32D192ED03)  # stands before the first word
-_HEAD = struct.Struct("<qII")
 
 
 def _pairs(h: np.ndarray) -> np.ndarray:
@@ -51,22 +52,6 @@ def _pairs(h: np.ndarray) -> np.ndarray:
     return (pair ^ (pair >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def slots(words: list[bytes], hashes: HashedWords) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: its key, the key of the word before it and that of the
-    pair, cut to slots of plain tables; only tests count by these. The
-    document's start is a word of its own."""
-    h = np.empty(len(words) + 1, np.uint64)
-    h[0] = _START
-    h[1:] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    word = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    return word[1:], word[:-1], (_pairs(h) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-
-#: Plain tables one after the other: words, words as history, pairs.
-_BASES = (0, 1 << WORD_BITS, 2 << WORD_BITS)
-_SIZE = (2 << WORD_BITS) + (1 << PAIR_BITS)
-
-
 def chunk_keys(words: list[list[bytes]], hashes: HashedWords):
     """Sorted distinct keys of the words (a document's start among them) and of
     the pairs of a chunk, and for each word of it, document by document, the
@@ -88,22 +73,70 @@ def _counts(n: int, at: np.ndarray, mark: np.ndarray) -> list[np.ndarray]:
     return [np.bincount(at[mark], minlength=n), np.bincount(at, minlength=n)]
 
 
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Ranges of keys: sorted keys have their buckets in order."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def _pack(chunk: int, words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray) -> bytes:
-    body = (words.astype("<u8"), pairs.astype("<u8"), word_counts.astype("<i8"), pair_counts.astype("<i8"))
-    return _HEAD.pack(chunk, len(words), len(pairs)) + b"".join(x.tobytes() for x in body)
-
-
-def _unpack(data: bytes):
-    """Chunk, word keys, pair keys, (4, words) and (2, pairs) counts."""
-    chunk, n, m = _HEAD.unpack_from(data)
-    keys = np.frombuffer(data, "<u8", n + m, _HEAD.size)
-    counts = np.frombuffer(data, "<i8", 4 * n + 2 * m, _HEAD.size + 8 * (n + m))
-    return chunk, keys[:n], keys[n:], counts[:4 * n].reshape(4, n), counts[4 * n:].reshape(2, m)
+class Chunk:
+    """Distinct words and pairs of a chunk's documents with their counts:
+    target and all, of words also as history. ``rows``: (doc_id, text, mark)."""
+
+    def __init__(self, rows: list[tuple], hashes: HashedWords):
+        self.ids, self.marks = [r[0] for r in rows], [r[2] for r in rows]
+        self.texts = [(r[1] or b"").split() for r in rows]
+        words = [w for w in self.texts if w]
+        none = np.zeros(0, np.uint64)
+        self.keys = [none, none]
+        self.counts = [np.zeros((4, 0), np.int64), np.zeros((2, 0), np.int64)]
+        if words:
+            vocabulary, pairs, self.word, self.before, self.pair = chunk_keys(words, hashes)
+            mark = np.repeat(np.array([m for w, m in zip(self.texts, self.marks) if w], bool), [len(w) for w in words])
+            n = len(vocabulary)
+            self.keys = [vocabulary, pairs]
+            self.counts = [np.stack(_counts(n, self.word, mark) + _counts(n, self.before, mark)),
+                           np.stack(_counts(len(pairs), self.pair, mark))]
+
+    def blobs(self, n_ranges: int) -> Iterator[tuple[int, bytes]]:
+        """Range, and its words and pairs with their counts."""
+        yield from _by_range(self.keys, self.counts, n_ranges)
+
+    def add(self, n_ranges: int, answers: list[tuple[int, bytes]]) -> None:
+        """Put what the other chunks hold on top of the own counts."""
+        of = [ranges(k, n_ranges) for k in self.keys]
+        for r, data in answers:
+            at = 0
+            for keys, counts in zip(of, self.counts):
+                i, j = np.searchsorted(keys, (r, r + 1)).tolist()
+                bits = np.frombuffer(data, np.uint8, -(-(j - i) // 8), at)
+                which = np.flatnonzero(np.unpackbits(bits, count=j - i)) + i
+                at += len(bits)
+                for row in counts:
+                    more, at = keyed._unsmall(data, len(which), at)
+                    row[which] += more
+
+
+def ranges(keys: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges each key lies in: ascending for sorted keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def _by_range(keys: list[np.ndarray], counts: list[np.ndarray], n_ranges: int) -> Iterator[tuple[int, bytes]]:
+    of = [ranges(k, n_ranges) for k in keys]
+    for r in np.union1d(*of).tolist():
+        body = []
+        for k, c, o in zip(keys, counts, of):
+            i, j = np.searchsorted(o, (r, r + 1)).tolist()
+            # Words are history but at the end of a document: the difference is small.
+            rows = [c[0, i:j], c[1, i:j], *(c[:2, i:j] - c[2:, i:j])] if len(c) == 4 else [c[0, i:j], c[1, i:j]]
+            body.append(keyed.press(k[i:j], *rows))
+        yield r, keyed.squeeze(b"".join(body))
+
+
+def _unpack(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Words and pairs, and their (4, words) and (2, pairs) counts."""
+    data, at, keys, counts = keyed.unsqueeze(data), 0, [], []
+    for _ in range(2):
+        k, c, at = keyed.unpress(data, at)
+        c = np.stack(c)
+        keys.append(k)
+        counts.append(np.concatenate((c[:2], c[:2] - c[2:])) if len(c) == 4 else c)
+    return keys, counts
 
 
 def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -111,10 +144,31 @@ def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros((counts[0].shape[0], len(distinct)), np.int64)
     for row, own in zip(total, np.concatenate(counts, axis=1)):
-        np.add.at(row, inverse, own)
+        # In doubles, exact to 2^53 occurrences of one key.
+        row += np.bincount(inverse, weights=own, minlength=len(distinct)).astype(np.int64)
     return total, [total[:, i] for i in np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])]
 
 
+def add_up(blobs: list[tuple[int, bytes]]) -> tuple[list[int], list[tuple[int, bytes]]]:
+    """A range's figures (words in the vocabulary, target and all words, those
+    outside the vocabulary), and for each chunk what the others add to its counts."""
+    chunks = [c for c, _ in blobs]
+    parts = [_unpack(data) for _, data in blobs]
+    figures, answers = [], [[] for _ in chunks]
+    for kind in (0, 1):
+        own = [counts[kind] for _, counts in parts]
+        total, shares = _sums([keys[kind] for keys, _ in parts], own)
+        if not kind:
+            few = total[0] < LEAST
+            figures = [int((~few).sum()), *(int(x.sum()) for x in (*total[:2], *total[:2, few]))]
+        for out, share, mine in zip(answers, shares, own):
+            more = share - mine
+            at = more.any(axis=0)
+            out.append(np.packbits(at).tobytes() + b"".join(keyed._small(row[at]) for row in more))
+            out.append(at.any())
+    return figures, [(c, keyed.squeeze(a[0] + a[2])) for c, a in zip(chunks, answers) if a[1] or a[3]]
+
+
 class Tables:
     """The two models' counts of a chunk's words, smoothed as they are looked up.
 
@@ -156,183 +210,180 @@ class Tables:
         return out
 
 
-def _chunks(marked: DataFrame) -> DataFrame:
-    """chunk, bucket, data and the bucket's figures of (doc_id, packed, mark)
-    rows: a chunk's documents (bucket -1), then the answers to its keys in
-    their order; the figures of a bucket are a row without a chunk."""
-    session = partitions(marked.sparkSession)
-    want = max(session, -(-4 * _input_bytes(marked) // BUCKET_BYTES))
-    parts = min(want, max(session, MOST_PARTITIONS))
-    subs = -(-want // parts)
-    buckets = parts * subs
+_CHUNKS = "chunk bigint, part int, data binary"
+_FIGURES = ("known", "target", "every", "target_unknown", "every_unknown")
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.binary()))],
+                                      names=["chunk", "part", "data"])
+
+
+def _open(data: bytes) -> list[tuple]:
+    """A chunk's (doc_id, text, mark) rows."""
+    table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
+    return list(zip(*(c.to_pylist() for c in table.columns)))
+
+
+def _gather_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, mark) rows in chunks, each of them compressed as one."""
+    press = zstandard.ZstdCompressor(level=3)
+    top, made = TaskContext.get().partitionId() << 32, 0
+    rows, words, size = [], 0, 0
+
+    def close() -> pa.RecordBatch:
+        docs = pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+             pa.array([r[2] for r in rows], pa.bool_())], names=["doc_id", "text", "mark"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, docs.schema) as out:
+            out.write_batch(docs)
+        return _rows([(top + made, -1, press.compress(sink.getvalue()))])
+
+    for batch in batches:
+        for doc_id, text, mark in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            raw = text_bytes(text.as_py())
+            rows.append((doc_id, raw, mark))
+            words += raw.count(b" ") + 1
+            size += len(raw)
+            if words >= CHUNK_WORDS or size >= CHUNK_BYTES or len(rows) >= CHUNK_ROWS:
+                yield close()
+                made += 1
+                rows, words, size = [], 0, 0
+    if rows:
+        yield close()
+
+
+def _answers(chunks: DataFrame, parts: int, subs: int) -> DataFrame:
+    """chunk, part (the range), data: what the other chunks add to a chunk's
+    counts; figures of a range are in a row without a chunk."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
-        from lakeloom.llm.xent import _bucket_of, _counts, _pack, chunk_keys
+        from lakeloom.llm.xent import Chunk, _open
 
-        hashes, undo, press = HashedWords(17), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        top, made = TaskContext.get().partitionId() << 32, 0
-        rows, words, marks, held = [], [], [], 0
+        hashes = HashedWords(17)
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(2)):
+                yield _rows([(chunk, r, blob) for r, blob in Chunk(_open(data.as_py()), hashes).blobs(parts)])
 
-        def close() -> pa.RecordBatch:
-            chunk = top + made
-            docs = pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", pa.int64()), ("packed", pa.binary()),
-                                                               ("mark", pa.bool_())]))
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, docs.schema) as out:
-                out.write_batch(docs)
-            # The documents ride along to any bucket.
-            names, data, kinds = [chunk % buckets], [sink.getvalue().to_pybytes()], [chunk]
-            if words:
-                vocabulary, pairs, word, before, pair = chunk_keys(words, hashes)
-                mark = np.repeat(np.array(marks, bool), [len(w) for w in words])
-                n = len(vocabulary)
-                of_words = np.stack(_counts(n, word, mark) + _counts(n, before, mark))
-                of_pairs = np.stack(_counts(len(pairs), pair, mark))
-                v, p = _bucket_of(vocabulary, buckets), _bucket_of(pairs, buckets)
-                for b in np.union1d(v, p).tolist():
-                    i, j = (slice(*np.searchsorted(x, (b, b + 1))) for x in (v, p))
-                    names.append(b)
-                    data.append(press.compress(_pack(chunk, vocabulary[i], of_words[:, i], pairs[j], of_pairs[:, j])))
-                    kinds.append(None)
-            names = np.array(names, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array((names // subs).astype(np.int32)), pa.array((names % subs).astype(np.int32)),
-                 pa.array(kinds, pa.int64()), pa.array(data, pa.binary())], names=["part", "sub", "chunk", "data"])
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.xent import _by_range, _unpack
 
         for batch in batches:
-            for doc_id, packed, mark in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.append({"doc_id": doc_id, "packed": packed, "mark": mark})
-                own = undo.decompress(packed).split() if packed else []
-                if own:
-                    words.append(own)
-                    marks.append(mark)
-                    held += len(own)
-                if held >= CHUNK_WORDS or len(rows) >= CHUNK_ROWS:
-                    yield close()
-                    made += 1
-                    rows, words, marks, held = [], [], [], 0
-        if rows:
-            yield close()
-
-    names = ["chunk", "bucket", "data", "known", "target", "every", "target_unknown", "every_unknown"]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), *[pa.int64()] * 5]
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(2)):
+                yield _rows([(chunk, r, blob) for r, blob in _by_range(*_unpack(data.as_py()), parts * subs)])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from lakeloom.llm.xent import _HEAD, LEAST, _sums, _unpack
+        from lakeloom.llm.xent import add_up
 
-        undo, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        held: list = []
+        held: list[tuple[int, bytes]] = []
         last = None
 
-        def row(*values) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
-
-        def close() -> Iterator[pa.RecordBatch]:
-            chunks, words, pairs, word_counts, pair_counts = zip(*held)
-            total, of_words = _sums(words, word_counts)
-            _, of_pairs = _sums(pairs, pair_counts)
-            few = total[0] < LEAST
-            yield row(None, None, None, int((~few).sum()), *[int(x.sum()) for x in (*total[:2], *total[:2, few])])
-            for chunk, w, p in zip(chunks, of_words, of_pairs):
-                data = _HEAD.pack(chunk, w.shape[1], p.shape[1]) + w.astype("<i8").tobytes() + p.astype("<i8").tobytes()
-                yield row(chunk, last[0] * subs + last[1], press.compress(data), *[None] * 5)
+        def close() -> pa.RecordBatch:
+            figures, found = add_up(held)
+            return _rows([(None, last, np.array(figures, "<i8").tobytes())] + [(c, last, data) for c, data in found])
 
         for batch in batches:
-            for part, sub, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if chunk is not None:
-                    yield row(chunk, -1, data, *[None] * 5)
-                    continue
-                if (part, sub) != last and held:
-                    yield from close()
+            for chunk, part, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != last and held:
+                    yield close()
                     held = []
-                last = part, sub
-                held.append(_unpack(undo.decompress(data)))
+                last = part
+                held.append((chunk, data))
         if held:
-            yield from close()
+            yield close()
+
+    df = chunks.mapInArrow(lean(split), _CHUNKS).repartitionById(parts, F.col("part"))
+    if subs > 1:
+        df = df.mapInArrow(lean(deal), _CHUNKS)
+    return df.sortWithinPartitions("part").mapInArrow(lean(gather), _CHUNKS)
+
+
+def _figures(answers: DataFrame) -> list[int]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(_FIGURES), np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                total += np.frombuffer(data.as_py(), "<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(total[i:i + 1]) for i in range(len(total))], names=list(_FIGURES))
+
+    rows = answers.where("chunk IS NULL").select("data").mapInArrow(lean(run), ", ".join(f"{f} bigint" for f in _FIGURES))
+    return list(rows.agg(*[F.coalesce(F.sum(f), F.lit(0)) for f in _FIGURES]).first())
+
 
-    df = marked.mapInArrow(lean(split), "part int, sub int, chunk bigint, data binary")
-    df = df.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "sub")
-    return df.mapInArrow(lean(gather), "chunk bigint, bucket int, data binary, known bigint, target bigint, every bigint, "
-                                       "target_unknown bigint, every_unknown bigint")
+def _marked(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, mark: whether the id is one of the targets'."""
+    ids = columns(targets, of="doc_id").where("of IS NOT NULL").select(F.col("of").cast("bigint").alias("of")).distinct()
+    ids = broadcast_if_small(ids.withColumn("of_salt", F.lit(0)), MOST_IDS)
+    own = columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # Rows without an id have no partner: a salt spreads them where the join is by a shuffle.
+    own = own.withColumn("salt", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+                         .otherwise(F.lit(0)))
+    joined = own.join(ids, (F.col("doc_id") == F.col("of")) & (F.col("salt") == F.col("of_salt")), "left")
+    return joined.select("doc_id", "text", F.col("of").isNotNull().alias("mark"))
 
 
-def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score, selected.
 
     ``targets``: the ids of the target documents in column ``doc_id``. Null and
     empty texts have no word: losses and score are null and they are not
     selected. Repeated rows count as often as they occur and score alike. With
     no target document the target model is the smoothing alone. An empty
-    table gives no rows.
+    table gives no rows. A very long text is a chunk of its own and is scored
+    whole; memory is a few times the longest text. Other columns of either
+    input are not read, whatever their names.
     """
     spark = docs.sparkSession
     ship(spark)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            raws = [text_bytes(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array([press.compress(r) if r else None for r in raws], pa.binary())],
-                names=["doc_id", "packed"])
-
-    own = columns(docs, doc_id=id_col, text=text_col).mapInArrow(lean(pack), "doc_id bigint, packed binary")
-    ids = columns(targets, of="doc_id").where("of IS NOT NULL").distinct()
-    # Always a merge join: the ids grow with the corpus, so no plan that broadcasts them would last.
-    marked = own.join(ids.hint("merge"), F.col("doc_id") == F.col("of"), "left").select(
-        "doc_id", "packed", F.col("of").isNotNull().alias("mark"))
-    # In one order at any rerun: chunks then hold the same rows.
-    rows = cut(_chunks(marked.sortWithinPartitions("doc_id", "packed")))
-    figures = rows.where("chunk IS NULL").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
-        "known", "target", "every", "target_unknown", "every_unknown")]).first()
+    parts, subs = keyed.plan_ranges(partitions(spark), 3 * _input_bytes(docs), range_bytes)
+    chunks = cut(_marked(docs, targets, id_col, text_col).mapInArrow(lean(_gather_chunks), _CHUNKS))
+    answers = cut(_answers(chunks, parts, subs))
+    figures = _figures(answers)
     total, unknown, size = [float(x) for x in figures[1:3]], [float(x) for x in figures[3:]], figures[0] + 1
+    n_ranges = parts * subs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
-        from lakeloom.llm.xent import _HEAD, Tables, chunk_keys
+        from lakeloom.llm.xent import Chunk, Tables, _open, keyed
 
-        hashes, undo = HashedWords(17), zstandard.ZstdDecompressor()
+        hashes = HashedWords(17)
         docs, answers, last = None, [], None
 
         def close() -> pa.RecordBatch:
-            own = pa.ipc.open_stream(docs).read_all().to_pydict()
-            texts = [undo.decompress(p).split() if p else [] for p in own["packed"]]
-            words = [w for w in texts if w]
-            if words:
-                _, _, word, before, pair = chunk_keys(words, hashes)
-                of_words, of_pairs = (np.concatenate(x, axis=1) for x in zip(*answers))
-                models = Tables(of_words[:2], of_words[2:], of_pairs, total, unknown, size)
+            own = Chunk(_open(docs), hashes)
+            own.add(n_ranges, answers)
+            models = Tables(own.counts[0][:2], own.counts[0][2:], own.counts[1], total, unknown, size)
             n, target, every, at = [], [], [], 0
-            for w, mark in zip(texts, own["mark"]):
+            for w, mark in zip(own.texts, own.marks):
                 here = slice(at, at := at + len(w))
                 n.append(len(w))
-                t, b = models.losses(word[here], before[here], pair[here], mark) if w else (None, None)
+                t, b = models.losses(own.word[here], own.before[here], own.pair[here], mark) if w else (None, None)
                 target.append(t)
                 every.append(b)
             diff = [None if t is None else t - b for t, b in zip(target, every)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(own["doc_id"], pa.int64()), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
+                [pa.array(own.ids, pa.int64()), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
                  pa.array(every, pa.float64()), pa.array(diff, pa.float64()),
                  pa.array([d is not None and d < 0 for d in diff], pa.bool_())],
                 names=["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"])
 
         for batch in batches:
-            for chunk, bucket, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if bucket < 0:
+            for chunk, part, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if part < 0:
                     if last is not None:
                         yield close()
                     docs, answers, last = data, [], chunk
                     continue
-                data = undo.decompress(data)
-                _, i, j = _HEAD.unpack_from(data)
-                counts = np.frombuffer(data, "<i8", offset=_HEAD.size)
-                answers.append((counts[:4 * i].reshape(4, i), counts[4 * i:].reshape(2, j)))
+                answers.append((part, keyed.unsqueeze(data)))
         if last is not None:
             yield close()
 
-    own = rows.where("chunk IS NOT NULL").select("chunk", "bucket", "data").repartition("chunk")
-    return own.sortWithinPartitions("chunk", "bucket").mapInArrow(
+    rows = chunks.unionByName(answers.where("chunk IS NOT NULL")).repartition("chunk")
+    return rows.sortWithinPartitions("chunk", "part").mapInArrow(
         lean(run), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, "
                    "score double, selected boolean")
 

@@ -1,6 +1,7 @@
 """Toxicity (op5), language-model scores (op3) and vector search (op9)."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -86,54 +87,57 @@ def test_toxic_documents_are_found(spark):
 
 
 def plain_losses(rows, targets):
-    """The same models by plain counting."""
-    hashes, every = HashedWords(17), {}
-    table = np.zeros((2, xent._SIZE))
-    for n, (i, t) in enumerate(rows):
-        w = cases.words(t)
-        if w:
-            every[n] = [x.tolist() for x in xent.slots([x.encode() for x in w], hashes)]
-            for word, before, pair in zip(*every[n]):
-                for m in (0, 1):
-                    if m or i in targets:
-                        for at in (word, before + xent._BASES[1], pair + xent._BASES[2]):
-                            table[m, at] += 1
-    size = 1 << xent.WORD_BITS
-    known_all = table[0, :size] >= xent.LEAST
-    unknown = [table[m, :size][~known_all].sum() for m in (0, 1)]
-    total = [table[m, :size].sum() for m in (0, 1)]
+    """The same models by plain counting of words and pairs of words."""
+    word, history, pair = ([Counter(), Counter()] for _ in range(3))
+    texts = [(i, cases.words(t)) for i, t in rows]
+    for i, w in texts:
+        for m in (0, 1):
+            if m or i in targets:
+                word[m].update(w)
+                history[m].update([None, *w][:len(w)])
+                pair[m].update(zip([None, *w], w))
+    known_all = {w for w, n in word[0].items() if n >= xent.LEAST}
+    unknown = [sum(n for w, n in word[m].items() if w not in known_all) for m in (0, 1)]
+    total = [sum(word[m].values()) for m in (0, 1)]
     out = []
-    for n, (i, t) in enumerate(rows):
-        if n not in every:
+    for i, w in texts:
+        if not w:
             out.append((str(i), 0, None, None))
             continue
-        word, before, pair = every[n]
-        own = [i in targets, True]
-        left = [total[m] - len(word) * own[m] for m in (0, 1)]
+        own = [Counter(w), Counter([None, *w][:len(w)]), Counter(zip([None, *w], w))]
+        counted = [i in targets, True]
+        left = [total[m] - len(w) * counted[m] for m in (0, 1)]
         by = [1.0, left[0] / left[1] if left[0] > 0 and left[1] > 0 else 1.0]
         loss = [0.0, 0.0]
-        c = lambda m, base, at, x: max(table[m, base + at] - x.count(at) * own[m], 0)
-        for k in range(len(word)):
-            known = c(0, 0, word[k], word) >= xent.LEAST
-            both = known and (k == 0 or c(0, 0, word[k - 1], word) >= xent.LEAST)
+        c = lambda tables, kind, m, key: max(tables[m][key] - own[kind][key] * counted[m], 0)
+        for before, this in zip([None, *w], w):
+            known = c(word, 0, 0, this) >= xent.LEAST
+            both = known and (before is None or c(word, 0, 0, before) >= xent.LEAST)
             for m in (0, 1):
-                seen = (c(m, 0, word[k], word) if known else unknown[m]) * by[m]
-                p = (seen + xent.MASS_WORD / (known_all.sum() + 1)) / (max(left[m], 0) * by[m] + xent.MASS_WORD)
+                seen = (c(word, 0, m, this) if known else unknown[m]) * by[m]
+                p = (seen + xent.MASS_WORD / (len(known_all) + 1)) / (max(left[m], 0) * by[m] + xent.MASS_WORD)
                 if both:
-                    p = (c(m, xent._BASES[2], pair[k], pair) * by[m] + xent.MASS_PAIR * p) / (
-                        c(m, xent._BASES[1], before[k], before) * by[m] + xent.MASS_PAIR)
-                loss[m] -= np.log(p) / len(word)
-        out.append((str(i), len(word), *loss))
+                    p = (c(pair, 2, m, (before, this)) * by[m] + xent.MASS_PAIR * p) / (
+                        c(history, 1, m, before) * by[m] + xent.MASS_PAIR)
+                loss[m] -= np.log(p) / len(w)
+        out.append((str(i), len(w), *loss))
     return out
 
 
-@pytest.mark.parametrize("groups", [1, 3])
-def test_losses_equal_plain_counting(spark, monkeypatch, groups):
-    monkeypatch.setattr(xent, "partitions", lambda _: groups * xent._SIZE // xent.RANGE)
-    rows = [(r[0], r[1] if len(r[1] or "") < 2000 else r[1][:900]) for r in cases.documents()]
-    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, score string")
+@pytest.mark.parametrize("many", [False, True])
+def test_losses_equal_plain_counting(spark, monkeypatch, many):
+    """Nulls, copies, repeated rows and a long text; over few and many chunks and ranges, with
+    ids broadcast and joined."""
+    if many:
+        monkeypatch.setattr(xent, "_input_bytes", lambda docs: 1 << 20)
+        monkeypatch.setattr(xent.keyed, "MOST_PARTITIONS", 2)
+        monkeypatch.setattr(xent, "partitions", lambda spark: 2)
+        monkeypatch.setattr(xent, "MOST_IDS", 0)
+    rows = [(r[0], r[1]) for r in cases.documents()]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id bigint, text string, score string, mark int")
     targets = [1, 2, 8, 12, 13, 20]
-    got = xent.score(df.repartition(3), spark.createDataFrame([(t,) for t in targets] + [(None,), (1,)], "doc_id bigint"))
+    ids = spark.createDataFrame([(t, "x") for t in targets] + [(None, "y"), (1, "z")], "doc_id bigint, text string")
+    got = xent.score(df.repartition(3), ids, range_bytes=1 << (18 if many else 26))
     key = lambda r: (r[0], r[1], r[2] or 0.0)
     got = sorted(((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in got.collect()), key=key)
     expected = sorted(plain_losses(rows, set(targets)), key=key)
@@ -143,29 +147,30 @@ def test_losses_equal_plain_counting(spark, monkeypatch, groups):
     assert none.count() == 0
 
 
-def test_words_that_share_a_slot_are_counted_apart(spark, monkeypatch):
-    """Losses by plain counting of the words themselves, over several chunks."""
-    monkeypatch.setattr(xent, "CHUNK_WORDS", 50)
-    hashes, seen = HashedWords(17), {}
-    for i in range(20_000):
-        slot = xent.slots([b"w%d" % i], hashes)[0][0]
-        if slot in seen:
-            break
-        seen[slot] = i
-    one, two = f"w{seen[slot]}", f"w{i}"
-    rows = [(k, f"{one} yes {one} no") for k in range(20)] + [(k, f"{two} yes no {two}") for k in range(20, 40)]
-    got = xent.score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2),
-                     spark.createDataFrame([(k,) for k in range(20)], "doc_id bigint")).collect()
-    # ``two`` is in no target document: unknown there, where ``one`` (38 left of 80 words) is known.
-    by = {r.doc_id: r for r in got}
-    assert len(by) == 40 and by[0].target_loss < by[20].target_loss - 1 and by[0].selected and not by[20].selected
-    word, unknown = (lambda c: -np.log((c + xent.MASS_WORD / 4) / (80 + xent.MASS_WORD))), 0.0
-    yes, no = 20, 20
-    p_yes, p_no, p_two = (np.exp(-word(c)) for c in (yes, no, unknown))
-    # start, two | two, yes | yes, no | no, two: only (yes, no) has both words known; no target pair holds it.
-    first = xent.MASS_PAIR * p_no / (yes + xent.MASS_PAIR)
-    expected = -np.log([p_two, p_yes, first, p_two]).mean()
-    assert by[20].target_loss == pytest.approx(expected, rel=1e-6)
+def test_a_very_long_text_among_others(spark):
+    rng = np.random.default_rng(8)
+    words = [f"v{x}" for x in rng.zipf(1.4, 400_000) % 3000]
+    rows = [(0, " ".join(words))] + [(i, " ".join(words[i * 40:i * 40 + 40])) for i in range(1, 60)] + [(60, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = xent.score(df, spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id bigint"))
+    got = sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in got.collect())
+    for g, e in zip(got, sorted(plain_losses(rows, set(range(0, 60, 3)))), strict=True):
+        assert g[:2] == e[:2] and g[2:] == (pytest.approx(e[2:], rel=1e-5) if e[2] is not None else (None, None))
+
+
+def test_only_what_others_add_is_answered():
+    """Two chunks share one word: nothing else comes back."""
+    hashes = HashedWords(17)
+    chunks = [xent.Chunk([(0, b"a b c d", True)], hashes), xent.Chunk([(1, b"e f g a", False), (2, b"", True)], hashes)]
+    blobs = [(n, data) for n, c in enumerate(chunks) for r, data in c.blobs(1)]
+    figures, answers = xent.add_up(blobs)
+    assert figures == [0, 4, 8, 4, 8] and [c for c, _ in answers] == [0, 1]
+    for chunk, data in answers:
+        before = [c.copy() for c in chunks[chunk].counts]
+        chunks[chunk].add(1, [(0, xent.keyed.unsqueeze(data))])
+        changed = [np.flatnonzero((c != b).any(axis=0)) for c, b in zip(chunks[chunk].counts, before)]
+        assert len(changed[0]) == 2 and len(changed[1]) == 0  # the shared word and the start
+        assert chunks[chunk].counts[0][1].max() == 2
 
 
 def test_scores_tell_low_quality_apart(spark):

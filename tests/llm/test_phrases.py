@@ -74,7 +74,8 @@ def test_awkward_rows(spark, monkeypatch):
     assert phrases.collocations(cases.frame(spark, [])).count() == 0
     assert phrases.collocations(df.where("text IS NULL")).count() == 0
     # Many ranges a partition, as over a large input.
-    monkeypatch.setattr(phrases, "MOST_PARTITIONS", 1)
+    monkeypatch.setattr(phrases.keyed, "MOST_PARTITIONS", 1)
+    monkeypatch.setattr(phrases, "partitions", lambda spark: 1)
     monkeypatch.setattr(phrases, "_input_bytes", lambda docs: 60 << 20)
     every = phrases.frequent(df, 5, range_bytes=1 << 20).where("size > 0").collect()
     f, _ = plain_counts([(r[2], r[1]) for r in rows])
