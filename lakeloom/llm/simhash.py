@@ -19,6 +19,7 @@ so a dense group of n costs about n comparisons and n - 1 rows, not n^2.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from lakeloom.llm.common import columns, cut, lean, ship, text_bytes
+from lakeloom.operators.joins import broadcast_if_small
 
 SHINGLE, MAX_BITS = 3, 3
+#: Rows that go are broadcast up to so many (24 bytes each).
+MOST_ROWS = 1_000_000
 _SEED = 42
 _LOW31 = (1 << 31) - 1
 
@@ -235,12 +237,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every near-duplicate component: the smallest
-    id (null last), then the smallest fingerprint and text hash. All columns
-    stay as they are. The rank limit runs before the shuffle as well, so a
-    component of any size sends one row per task."""
+    id (null last), then the smallest fingerprint and hash of the row. Of rows
+    that repeat exactly one stays. All columns stay as they are, whatever their
+    names. Null and empty texts are one component, however many they are; a
+    very long text is fingerprinted whole; an empty table stays empty.
+
+    The choice is made on ids, fingerprints and 128-bit hashes of the rows;
+    texts meet only the list of rows that go, which is broadcast if it is
+    proven small.
+    """
     ship(docs.sparkSession)
-    row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
-    whole = columns(docs.withColumn("__row", row), doc_id=id_col, text=text_col, row="__row")
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    # A null leaves Spark's hash as it was: which columns are null is hashed beside them.
+    whole = [*quoted, *[c.isNull() for c in quoted]]
+    tag = uuid.uuid4().hex[:8]
+    h = [f"h1_{tag}", f"h2_{tag}"]
+    tagged = docs.withColumns({h[0]: F.xxhash64(*whole), h[1]: F.xxhash64(F.lit(1), *whole)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.simhash import fingerprint
@@ -248,14 +260,25 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
         for batch in batches:
             fp = np.array([fingerprint(text_bytes(t.as_py()), shingle) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(fp.view(np.int64))],
-                names=["doc_id", "row", "fp"])
-
-    found = groups(cut(fingerprints(docs, shingle, id_col, text_col)), max_bits)
-    out_schema = T.StructType([T.StructField("doc_id", T.LongType()),
-                               T.StructField("row", whole.schema["row"].dataType),
-                               T.StructField("fp", T.LongType())])
-    tagged = whole.mapInArrow(lean(run), out_schema)
-    ranked = tagged.join(found, F.col("fp") == F.col("key")).withColumn("place", F.row_number().over(
-        Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "fp", F.xxhash64("row"))))
-    return ranked.where("place = 1").select("row.*")
+                [batch.column(0).cast(pa.int64()), pa.array(fp.view(np.int64)), batch.column(2), batch.column(3)],
+                names=["doc_id", "fp", "h1", "h2"])
+
+    own = columns(tagged, doc_id=id_col, text=text_col, h1=h[0], h2=h[1])
+    fps = cut(own.mapInArrow(lean(run), "doc_id bigint, fp bigint, h1 bigint, h2 bigint"))
+    found = groups(fps.select("doc_id", "fp"), max_bits).select("key", "root")
+    # One row for each fingerprint and then for each component: no key is hot in the join.
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "h1", "h2"))
+    first = fps.groupBy(F.col("fp").alias("of")).agg(best.alias("row")).join(found, F.col("of") == F.col("key"))
+    chosen = first.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.h1").alias("c1"), F.col("row.h2").alias("c2"))
+    rows = fps.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    rows = cut(rows.join(chosen, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
+               .where(F.col("c1").isNull() | (F.col("n") > 1))
+               .select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("c1").isNotNull().alias("again")))
+    same = (F.col(h[0]) == F.col("g1")) & (F.col(h[1]) == F.col("g2"))
+    out = tagged.join(broadcast_if_small(rows, MOST_ROWS, materialize=False), same, "left_anti").select(*quoted)
+    again = rows.where("again")
+    if not again.isEmpty():
+        met = tagged.join(broadcast_if_small(again, MOST_ROWS, materialize=False), same, "left_semi")
+        met = met.groupBy(*h).agg(F.first(F.struct(*quoted)).alias("row"))
+        out = out.unionAll(met.select("row.*"))
+    return out

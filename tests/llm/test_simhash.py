@@ -112,3 +112,15 @@ def test_keep_one(spark):
         best = min(own, key=lambda r: (r[0] is None, r[0] or 0))[0]
         assert sum(r in own and r[0] == best for r in got_rows) == 1
     assert simhash.keep_one(cases.frame(spark, [])).count() == 0
+
+
+def test_rows_that_differ_in_their_nulls_stay_apart(spark, monkeypatch):
+    """Equal but for which of two columns is null; and exact repeats, with and without a broadcast."""
+    base = [(n, f"text number {n} of its own kind {n * n} {n * 7}", "x", None, n, 0, None, None) for n in range(12)]
+    twins = [(n, t, None, "x", c, s, f, p) for n, t, _, _, c, s, f, p in base[:6]]
+    rows = base + twins + base[6:] * 3 + [(None, None, None, None, None, None, None, None)] * 5
+    for most in (simhash.MOST_ROWS, 0):
+        monkeypatch.setattr(simhash, "MOST_ROWS", most)
+        got = simhash.keep_one(cases.frame(spark, rows).repartition(3))
+        assert sorted(r.doc_id for r in got.collect() if r.text) == list(range(12))
+        assert got.where("text IS NULL").count() == 1
