@@ -214,6 +214,17 @@ class Shard:
         body = self._expand(self.symbols[self.stops[i]:self.stops[i + 1]])
         return np.append(body, self.end_id).astype("<u4")
 
+    def documents(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all documents one after the other, and how many each has."""
+        before = np.concatenate(([0], np.cumsum(self.lengths[self.symbols], dtype=np.int64)))
+        n = before[self.stops[1:]] - before[self.stops[:-1]] + 1
+        out = np.empty(int(n.sum()), "<u4")
+        inner = np.ones(len(out), bool)
+        inner[np.cumsum(n) - 1] = False
+        out[inner] = self._expand(self.symbols)
+        out[~inner] = self.end_id
+        return out, n
+
     def slice(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of document ``i``, from the symbols that cover them."""
         own = self.symbols[self.stops[i]:self.stops[i + 1]]
@@ -299,11 +310,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 shard = Shard(row)
                 ids = np.frombuffer(row["doc_ids"], "<i8")
                 null = np.frombuffer(row["no_id"], "u1").astype(bool)
-                n, crc = np.zeros(shard.n_docs, np.int64), np.zeros(shard.n_docs, np.int64)
-                for i in range(shard.n_docs):
-                    x = shard.document(i)
-                    n[i], crc[i] = len(x), zlib.crc32(x)
-                start = row["before"] + np.cumsum(n) - n
+                own, n = shard.documents()
+                stops = np.cumsum(n)
+                crc = np.array([zlib.crc32(own[a:b]) for a, b in zip((stops - n).tolist(), stops.tolist())], np.int64)
+                start = row["before"] + stops - n
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64(), mask=null), pa.array(start), pa.array(n), pa.array(crc),
                      pa.array(np.full(shard.n_docs, row["part"]))],

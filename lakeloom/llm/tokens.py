@@ -1,9 +1,11 @@
 """Token ids of whole texts with a public tokenizer file.
 
 Tokenizers whose file normalises with NFC, white-space folding and lower case
-and whose pre-tokenizer drops white space encode each white-space-free word on
-its own, so a word's ids are computed once per worker and looked up after.
-Any other tokenizer file encodes each whole text directly.
+and whose pre-tokenizer drops white space encode each part that their splitting
+pattern finds on its own, so a part's ids are asked of the library once and
+looked up after. Texts of plain letters and signs are cut into parts in one
+pass; words with other characters are looked at one by one. Any other tokenizer
+file encodes each whole text directly.
 """
 
 from __future__ import annotations
@@ -19,7 +21,21 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Characters for which lower-casing is one to one and NFC changes nothing.
-_PLAIN = re.compile(r"[\x21-\x7e¡-įı-ſ]+")
+_SIGNS = r"\x21-\x7e¡-įı-ſ‐-‧‰-⁞€"
+_PLAIN = re.compile(f"[{_SIGNS}]+")
+_PLAIN_TEXT = re.compile(rf"[\x20\x09-\x0D{_SIGNS}]*")
+
+
+def _in_plain_text(pattern: str) -> re.Pattern | None:
+    """``pattern`` for plain texts alone: its classes of letters and numbers
+    written out, for the faster of the two matchers."""
+    every = [chr(c) for c in range(0x2060) if _PLAIN.fullmatch(chr(c))] + ["€"]
+    for kind in (r"\p{L}", r"\p{N}"):
+        pattern = pattern.replace(kind, "".join(re.escape(c) for c in every if regex.match(kind, c)))
+    try:
+        return re.compile(pattern)
+    except re.error:
+        return None
 
 
 def _byte_letters() -> dict[int, str]:
@@ -52,7 +68,7 @@ class Encoder:
     """``ids(text_bytes)``: the token ids of a whole UTF-8 text. ``rest()``
     ends a task: an idle worker keeps the latest parts of words only."""
 
-    def __init__(self, path: str, words: int = 250_000, parts: int = 150_000):
+    def __init__(self, path: str, words: int = 50_000, parts: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,6 +84,7 @@ class Encoder:
                         and not pre[1].get("use_regex", True) and not pre[1].get("add_prefix_space", True))
         if self.by_word:
             self.split = regex.compile(pre[0]["pattern"]["Regex"])
+            self.plain_split = _in_plain_text(pre[0]["pattern"]["Regex"])
             self.special = re.compile("|".join(
                 re.escape(t["content"]) for t in conf.get("added_tokens", [])) or r"(?!)")
             self.letters = _byte_letters()
@@ -79,7 +96,7 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         if not part.isascii():
-            part = part.encode().decode("latin-1").translate(self.letters)
+            part = "".join(map(self.letters.__getitem__, part.encode()))
         return array(self.code, [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
@@ -95,9 +112,13 @@ class Encoder:
 
     def packed(self, text: bytes) -> bytes:
         """Ids as consecutive little-endian values of ``dtype``."""
-        if self.by_word:
-            return b"".join(map(self.words.__getitem__, text.split()))
-        return self._whole(text.decode("utf-8", "surrogatepass"))
+        if not self.by_word:
+            return self._whole(text.decode("utf-8", "surrogatepass"))
+        if self.plain_split is not None:
+            own = text.decode("utf-8", "surrogatepass")
+            if _PLAIN_TEXT.fullmatch(own) and not self.special.search(own):
+                return b"".join(map(self.parts.__getitem__, self.plain_split.findall(own.lower())))
+        return b"".join(map(self.words.__getitem__, text.split()))
 
     def ids(self, text: bytes) -> np.ndarray:
         return np.frombuffer(self.packed(text), dtype=self.dtype)

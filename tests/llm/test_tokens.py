@@ -41,6 +41,8 @@ def test_grammar_round_trip_and_slices():
     row = {k: g[k].astype("<u4").tobytes() for k in ("terminals", "left", "right", "lengths", "symbols")}
     shard = repair.Shard(row | {"width": 4, "end_id": 1, "n_docs": len(docs),
                                 "doc_symbols": g["doc_symbols"].astype("<i8").tobytes()})
+    every, sizes = shard.documents()
+    assert every.tolist() == [x for d in docs for x in d.tolist() + [1]] and sizes.tolist() == [len(d) + 1 for d in docs]
     for i, d in enumerate(docs):
         whole = d.tolist() + [1]
         assert shard.document(i).tolist() == whole
