@@ -537,10 +537,13 @@ SELECT event_type AS deviceType, round(avg(value), 6) AS avg_signal FROM events
 
 ORACLES["stream_global_count"] = "SELECT count(*) AS n FROM events"
 
-ORACLES["stream_at_least_once"] = _REC + """
+# Records arrive in three drops of equal time; those without a time come first.
+ORACLES["stream_at_least_once"] = _REC + """,
+span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) - epoch_us(min(ts)) AS width FROM rec)
 SELECT topic, partition, min("offset") AS from_offset,
-  CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch_id
-FROM rec GROUP BY ALL
+  CASE WHEN ts IS NULL OR epoch_us(ts) < lo + CAST(round(width / 3.0) AS BIGINT) THEN 0
+       WHEN epoch_us(ts) < lo + CAST(round(width * 2 / 3.0) AS BIGINT) THEN 1 ELSE 2 END AS batch_id
+FROM rec, span GROUP BY ALL
 """
 ORACLES["union_append_partitioned"] = """
 SELECT event_id, event_type AS label, 'event' AS kind FROM events
@@ -595,3 +598,28 @@ SELECT '{"app_logs":{' || string_agg('"' || partition || '":' || u, ',' ORDER BY
   AS starting_offsets
 FROM (SELECT partition, max("offset") + 1 AS u FROM rec GROUP BY partition)
 """
+
+# ---- streams that are interrupted, lag behind or keep their own state -----
+
+ORACLES["stream_two_watermarks"] = ORACLES["interval_left_join"]
+
+ORACLES["stream_resume"] = ORACLES["stream_sliding_count"]
+
+ORACLES["stream_resume_sink"] = "SELECT event_id, user_id, event_type FROM events"
+
+ORACLES["stream_commit_ledger"] = ORACLES["stream_offset_ledger"]
+
+ORACLES["stream_processing_time"] = ORACLES["stream_group_count"]
+
+ORACLES["stream_offset_gaps"] = _REC + """,
+steps AS (
+  SELECT topic, partition, "offset", value, lag("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS before
+  FROM rec)
+SELECT 'gap' AS kind, topic, partition, before AS from_offset, "offset" AS to_offset, "offset" - before - 1 AS n_missing,
+  NULL AS data
+FROM steps WHERE "offset" - before > 1
+UNION ALL
+SELECT 'idle', topic, partition, max("offset"), max("offset"),
+  CAST(coalesce(sum("offset" - before - 1), 0) AS BIGINT), arg_max(value, "offset")
+FROM steps GROUP BY topic, partition
+"""

@@ -31,6 +31,7 @@ def all_queries() -> dict[str, QueryFn]:
         batch_time,
         batch_io,
         streams,
+        streams_kept,
     )
 
     return dict(_QUERIES)

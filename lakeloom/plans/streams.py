@@ -9,6 +9,7 @@ frame. Sinks and checkpoints live under the shared checkpoint root.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.operators import offsets as off
 from lakeloom.operators.kafka import parse_app_log
@@ -184,7 +185,7 @@ def q_stream_kafka_to_parquet(spark, sf):
     glob = stage_files([derived.kafka_records(spark, sf)], base)
     parsed = parse_app_log(file_stream(spark, glob, KAFKA_SCHEMA))
     sink, _ = run_available_now(parsed, "parquet", "append", "kafka")
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, parsed.schema)
 
 
 def _device_stream(spark, sf):
@@ -202,7 +203,7 @@ def _devices(stream):
 def q_stream_filter(spark, sf):
     d = _device_stream(spark, sf).where("signal > 10").select("device", "signal")
     sink, _ = run_available_now(d, "parquet", "append", "filter")
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, d.schema)
 
 
 @query("stream_group_count")
@@ -235,18 +236,12 @@ def q_stream_global_count(spark, sf):
     return log.agg(F.max_by("n", "batch_id").alias("n"))
 
 
-def _ledger_drops(rec):
-    a, b = (F.lit(d).cast("timestamp") for d in ("2024-01-11", "2024-01-21"))
-    ts = F.col("timestamp")
-    return [rec.where(ts < a), rec.where((ts >= a) & (ts < b)), rec.where(ts >= b)]
-
-
 def _run_ledger(spark, sf):
     """Records arrive in three drops; after each drop the ledger query
     restarts from its checkpoint, so every drop is its own micro-batch.
     Returns the ledger log (one folder per batch id)."""
     rec = derived.kafka_records(spark, sf).withColumn("value", F.col("value").cast("string"))
-    drops = _ledger_drops(rec)
+    drops = time_drops(rec, "timestamp")
     inbox = scratch_path(spark, "ledger-in")
     base = scratch_path(spark, "ledger")
     sink = None
@@ -268,7 +263,7 @@ def q_stream_at_least_once(spark, sf):
     def process(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{processed}/batch_id={batch_id}")
 
-    return run_in_drops(_ledger_drops(derived.kafka_records(spark, sf)), lambda s: s, None, "append", "atleast",
+    return run_in_drops(time_drops(derived.kafka_records(spark, sf), "timestamp"), lambda s: s, None, "append", "atleast",
                         lambda path: sinks.at_least_once_writer(path, process),
                         logged="topic string, partition int, from_offset bigint, batch_id int")
 
@@ -294,7 +289,6 @@ def q_stream_ledger_resume(spark, sf):
     return off.starting_offsets_json(resolved)
 
 
-
 @query("stream_csv")
 def q_stream_csv(spark, sf):
     """Events land as ';'-separated CSV files; a schema'd CSV file stream
@@ -307,7 +301,7 @@ def q_stream_csv(spark, sf):
     files.write_csv(ev, f"{inbox}/d0", sep=";")
     s = csv_stream(spark, f"{inbox}/d*", ev.schema, sep=";", **files.EXACT_TS)
     sink, _ = run_available_now(s, "parquet", "append", "csvstream")
-    return spark.read.parquet(sink)
+    return read_sink(spark, sink, ev.schema)
 
 
 @query("stream_line_word_count")
@@ -327,15 +321,16 @@ def q_stream_line_word_count(spark, sf):
         counts = ops.running_count(ops.split_words(lines, "value"), ["word"])
         sink, _ = run_available_now(counts, None, "update", "linewc",
                                     foreach_batch=sinks.batch_log_writer, base=base)
-    return sinks.latest_revision(spark.read.parquet(sink), ["word"])
+    log = read_sink(spark, sink, T.StructType([*counts.schema.fields, T.StructField("batch_id", T.IntegerType())]))
+    return sinks.latest_revision(log, ["word"])
 
 
 @query("stream_parquet")
 def q_stream_parquet(spark, sf):
     """Default-format (parquet) file stream with a given schema → parquet sink."""
-    sink, _ = run_available_now(table_stream(spark, sf, "orders"), "parquet", "append",
-                                "parquetstream")
-    return spark.read.parquet(sink)
+    orders = table_stream(spark, sf, "orders")
+    sink, _ = run_available_now(orders, "parquet", "append", "parquetstream")
+    return read_sink(spark, sink, orders.schema)
 
 
 @query("stream_watermark_count")

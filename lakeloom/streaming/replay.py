@@ -92,3 +92,52 @@ def run_available_now(stream: DataFrame, fmt: str | None, output_mode: str, labe
         raise RuntimeError(str(q.exception()))
     LAST_PROGRESS[label] = list(q.recentProgress)
     return sink, q
+
+
+def run_side_by_side(rounds: list[tuple[DataFrame | None, DataFrame | None]], build, output_mode: str, label: str,
+                     policy: str = "min", after_round=None) -> DataFrame:
+    """Two independent file streams that move at their own speeds. In each
+    round a side's drop arrives, or none, and the query runs on from its
+    checkpoint. ``build`` maps the two streams to the result; ``policy``
+    (``min`` or ``max``) makes one watermark of theirs; ``after_round(i, sink
+    frame)`` sees what has been written so far."""
+    from lakeloom.streaming.recovery import session_conf
+
+    samples = [next(r[k] for r in rounds if r[k] is not None) for k in (0, 1)]
+    spark = samples[0].sparkSession
+    inboxes = [scratch_path(spark, f"{label}-in{k}") for k in (0, 1)]
+    base, sink, out = scratch_path(spark, label), None, None
+    for inbox, sample in zip(inboxes, samples):
+        sample.limit(0).write.parquet(f"{inbox}/d_none")
+    with session_conf(spark, {"spark.sql.streaming.multipleWatermarkPolicy": policy}):
+        for i, sides in enumerate(rounds):
+            for inbox, drop in zip(inboxes, sides):
+                if drop is not None:
+                    drop.write.parquet(f"{inbox}/d{i:05d}")
+            out = build(*[file_stream(spark, f"{inbox}/d*", s.schema) for inbox, s in zip(inboxes, samples)])
+            sink, _ = run_available_now(out, "parquet", output_mode, label, base=base)
+            if after_round is not None:
+                after_round(i, read_sink(spark, sink, out.schema))
+    return read_sink(spark, sink, out.schema)
+
+
+def run_while_arriving(drops: list[DataFrame], build, output_mode: str, label: str, foreach_batch,
+                       processing_time: str = "200 milliseconds") -> DataFrame:
+    """One query that stays up on a processing-time trigger while ``drops``
+    arrive; it is stopped once everything is processed. The sink that
+    ``foreach_batch`` writes is read back."""
+    spark = drops[0].sparkSession
+    inbox, base = scratch_path(spark, f"{label}-in"), scratch_path(spark, label)
+    sink = f"{base}/sink"
+    drops[0].limit(0).write.parquet(f"{inbox}/d_none")
+    out = build(file_stream(spark, f"{inbox}/d*", drops[0].schema))
+    query = (out.writeStream.outputMode(output_mode).option("checkpointLocation", f"{base}/checkpoint")
+             .foreachBatch(foreach_batch(sink)).trigger(processingTime=processing_time).start())
+    try:
+        for i, drop in enumerate(drops):
+            drop.write.parquet(f"{inbox}/d{i:05d}")
+            query.processAllAvailable()
+        LAST_PROGRESS[label] = list(query.recentProgress)
+    finally:
+        query.stop()
+    return read_sink(spark, sink, T.StructType([*out.schema.fields, T.StructField("batch_id", T.IntegerType())]))
