@@ -102,6 +102,24 @@ def bitmap_count_distinct(df: DataFrame, keys: Sequence[str], value: str,
         F.sum(F.bitmap_count("_bm")).cast("bigint").alias(name))
 
 
+def bitmaps(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """keys, ``bucket``, ``bitmap``: the distinct values of an integral column
+    for each key as bitmaps of fixed size, to be stored and rolled up. Null
+    values are in none."""
+    v = F.col(value).cast("bigint")
+    return df.where(v.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(v).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bitmap"))
+
+
+def rolled_up(stored: DataFrame, keys: Sequence[Column], name: str = "n_distinct") -> DataFrame:
+    """Distinct values for coarser ``keys`` from stored bitmaps: those of one
+    bucket are joined by OR, then their bits are counted. No value is read again."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    merged = stored.select(*[k.alias(n) for k, n in zip(keys, names)], "bucket", "bitmap").groupBy(*names, "bucket").agg(
+        F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*names).agg(F.sum(F.bitmap_count("bitmap")).cast("bigint").alias(name))
+
+
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              latest: bool = False) -> DataFrame:
     """One surviving row per key: earliest (or latest) by ``order``.

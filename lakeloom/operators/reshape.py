@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakeloom.functions.json import infer_object_schema, json_map, parse
 from lakeloom.operators.relational import quoted
 
+
 def explode_json_text(df: DataFrame, keys: Sequence[str], c: str, out: str = "element") -> DataFrame:
     """JSON array text → one row per element, each as its JSON text.
 
@@ -21,6 +22,27 @@ def explode_json_text(df: DataFrame, keys: Sequence[str], c: str, out: str = "el
     return df.select(*keys, F.explode(F.from_json(F.col(c), "array<string>")).alias(out))
 
 
+def explode_json_marks(df: DataFrame, keys: Sequence[str], c: str, out: str = "element") -> DataFrame:
+    """JSON array of flat objects → one row per element, cut at text marks.
+
+    The text is not parsed: the outer brackets come off with a pattern, and the
+    rest is split between ``}`` and ``{``. Only for arrays of flat objects whose
+    values hold no ``},{``; ``explode_json_text`` takes any array. Null and
+    empty arrays give no row.
+    """
+    inner = F.regexp_replace(F.trim(quoted(c)), r"^\[\s*|\s*\]$", "")
+    marked = F.split(F.regexp_replace(inner, r"\}\s*,\s*\{", "}\n{"), "\n")
+    return df.select(*keys, F.explode(marked).alias(out)).where(F.col(out) != "")
+
+
+def field_by_marks(element: str | Column, name: str) -> Column:
+    """A string field of a flat JSON object by the text between its marks
+    (``substring_index`` from the left, then from the right); null without it."""
+    e = F.col(element) if isinstance(element, str) else element
+    mark = f'"{name}":"'
+    return F.when(F.instr(e, mark) > 0, F.substring_index(F.substring_index(e, mark, -1), '"', 1))
+
+
 def explode_json_array(df: DataFrame, keys: Sequence[str], c: str,
                        element: T.DataType | str) -> DataFrame:
     """JSON array text → one row per parsed element (robust form)."""

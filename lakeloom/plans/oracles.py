@@ -623,3 +623,49 @@ SELECT 'idle', topic, partition, max("offset"), max("offset"),
   CAST(coalesce(sum("offset" - before - 1), 0) AS BIGINT), arg_max(value, "offset")
 FROM steps GROUP BY topic, partition
 """
+
+# ---- reading and writing by parts ------------------------------------------
+
+ORACLES["stride_scan"] = """
+SELECT o_orderkey, o_custkey, o_totalprice,
+  CAST(CASE WHEN o_orderkey IS NULL THEN 0 ELSE len(list_filter(
+    list_transform(range(1, 10), lambda k: 1 + (5999 * k) // 10), lambda cut: cut <= o_orderkey)) END AS INTEGER) AS split
+FROM orders
+"""
+
+ORACLES["predicate_scan"] = """
+SELECT event_id, ts, event_type,
+  CASE WHEN ts IS NULL OR ts < TIMESTAMP '2024-01-10' THEN 0 WHEN ts < TIMESTAMP '2024-01-20' THEN 1 ELSE 2 END AS split
+FROM events
+"""
+
+ORACLES["bulk_cells"] = _CELLS + "SELECT row_key, family, qualifier, version, value FROM cells"
+
+ORACLES["cell_source_range"] = _CELLS + """
+SELECT row_key, family, qualifier, version, value FROM cells
+WHERE row_key >= '00000000000000000100' AND row_key < '00000000000000000600'
+"""
+
+ORACLES["ip_lookup_shipped"] = f"""
+WITH g AS (
+  SELECT CAST(n_nationkey AS BIGINT) * 171798692 AS lo,
+    CAST(n_nationkey AS BIGINT) * 171798692 + 150000000 AS hi, n_name AS country, r_name AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT CAST(r_regionkey AS BIGINT) * 858993459, CAST(r_regionkey AS BIGINT) * 858993459 + 858993458, '?', r_name FROM region)
+SELECT event_id, {_IP} AS ip, g.country, g.region
+FROM events LEFT JOIN g ON {_IPNUM} BETWEEN g.lo AND g.hi
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY hi - lo, lo, country, region) = 1
+"""
+
+ORACLES["bitmap_rollup"] = """
+SELECT 'day' AS span, CAST(ts AS DATE) AS start, count(DISTINCT user_id) AS visitors FROM events GROUP BY ALL
+UNION ALL SELECT 'week', CAST(date_trunc('week', ts) AS DATE), count(DISTINCT user_id) FROM events GROUP BY ALL
+UNION ALL SELECT 'all', CAST(NULL AS DATE), count(DISTINCT user_id) FROM events
+"""
+
+ORACLES["explode_json_marks"] = f"""
+WITH c AS (SELECT c_custkey, c_name AS name, {_PHONE} AS phone FROM customer
+UNION ALL SELECT c_custkey, c_mktsegment, {_PHONE60} FROM customer)
+SELECT *, string_split(name, '#')[1] AS kind, string_split(name, '#')[-1] AS number FROM c
+"""

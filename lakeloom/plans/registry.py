@@ -30,6 +30,7 @@ def all_queries() -> dict[str, QueryFn]:
         batch_offsets,
         batch_time,
         batch_io,
+        batch_parts,
         streams,
         streams_kept,
     )
