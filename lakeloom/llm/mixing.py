@@ -1,17 +1,20 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source gets a target number of words. A document is first taken in
-``floor(target / source_size)`` whole copies, which is certain. What is left
-of the target is sampled: every document draws a uniform number U from its
-own hash and is ranked by Pareto's ratio of odds
+Each source gets a target number of words. Within it documents weigh unequally:
+one of weight w is to be taken ``least(max_copies, level * w)`` times, with the
+level at which these copies add up to the source's target. The whole part of
+that number is certain and is taken first. The fraction p that is left is a
+probability: every document draws a uniform number U from its own hash and is
+ranked by Pareto's ratio of odds
 
     Q = (U / (1 - U)) / (p / (1 - p))
 
-with p its inclusion probability (the fractional copies of its source, times
-its weight where a weight column is given). The documents with the smallest
-Q are taken until their words reach the rest of the target. The sample size
-is fixed in words rather than drawn, and the last gap is closed with up to
-``FILLS`` of the remaining documents whose sizes fit it best.
+and the documents with the smallest Q are taken until their words reach the
+rest of the target. The sample size is fixed in words rather than drawn, and
+the last gap is closed with up to ``FILLS`` of the remaining documents whose
+sizes fit it best. Weights come from a column, or else from the size: longer
+documents weigh more (``size_weight``). They count in steps of an eighth of a
+power of two, so a source has few classes of weight.
 
 No source is ever sorted in one task: sums over 4,096 x 4,096 buckets of Q
 find where a source's running total crosses its target, and only the rows of
@@ -74,16 +77,59 @@ def _draw(seed: int) -> Column:
     return (bits.cast("double") + 0.5) / float(1 << 53)
 
 
+def size_weight(size: Column) -> Column:
+    """1 up to 31 words, then one more for each doubling, 5 from 512 words on."""
+    return F.least(F.greatest(F.log2(F.greatest(size, F.lit(1))) - 4, F.lit(1.0)), F.lit(5.0))
+
+
+def _steps(w: Column) -> Column:
+    """A weight rounded to an eighth of a power of two; 0 for null, NaN, 0 and below."""
+    w = F.greatest(F.least(w.cast("double"), F.lit(2.0 ** 64)), F.lit(2.0 ** -64))
+    return F.pow(F.lit(2.0), F.round(F.log2(w) * 8) / 8)
+
+
+def _row_figures(seed: int, weight_col: str | None) -> list[Column]:
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    if weight_col is None:
+        return [size.alias("size"), _draw(seed).alias("u"), _steps(size_weight(size)).alias("w")]
+    own = F.col("w").cast("double")
+    return [size.alias("size"), _draw(seed).alias("u"),
+            F.when((own > 0) & ~F.isnan(own), _steps(own)).otherwise(F.lit(0.0)).alias("w")]
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", weight_col: str | None = None, seed: int = 42) -> DataFrame:
     """(doc_id, source, size, u, w) of every document; a null text has size 0."""
     names = {"doc_id": id_col, "text": text_col, "source": source_col}
     df = columns(docs, **names, **({"w": weight_col} if weight_col else {}))
-    w = F.greatest(F.coalesce(F.col("w").cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.lit(1.0)
-    return df.select(
-        "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        _draw(seed).alias("u"), w.alias("w"))
+    return df.select("doc_id", "source", *_row_figures(seed, weight_col))
+
+
+def class_copies(sizes: DataFrame, targets: DataFrame, max_copies: int) -> DataFrame:
+    """(source, w, source_size, target, whole, p, rest): for each source and
+    weight the certain copies and the probability of one more, and the words of
+    the source's target that the certain copies leave. The level is found as in
+    ``source_targets``, among the classes of a source, heaviest first."""
+    per = sizes.groupBy("source", "w").agg(F.sum("size").alias("class_size"))
+    to = targets.withColumnRenamed("source", "of")
+    per = per.join(to, null_safe(F.col("source"), F.col("of"))).drop("of")
+    most = float(max_copies)
+    down = Window.partitionBy("source").orderBy(F.desc("w"))
+    per = per.select(
+        "*", F.row_number().over(down).alias("place"),
+        (F.col("target") - most * F.coalesce(F.sum("class_size").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+         ).alias("left"),
+        F.sum(F.col("w") * F.col("class_size")).over(down.rowsBetween(0, Window.unboundedFollowing)).alias("mass"))
+    per = per.withColumn("level", F.try_divide(F.col("left"), F.nullif(F.col("mass"), F.lit(0.0))))
+    source = Window.partitionBy("source")
+    per = per.withColumn("first", F.min(F.when(F.col("level") * F.col("w") <= most, F.col("place"))).over(source))
+    per = per.withColumn("common", F.max(F.when(F.col("place") == F.col("first"), F.col("level"))).over(source))
+    full = (F.col("first").isNull() | (F.col("place") < F.col("first"))) & (F.col("w") > 0)
+    times = F.when(full, F.lit(most)).otherwise(
+        F.least(F.lit(most), F.greatest(F.lit(0.0), F.coalesce(F.col("common"), F.lit(0.0)) * F.col("w"))))
+    per = per.withColumn("times", times).withColumn("whole", F.floor("times"))
+    return per.select("source", "w", "source_size", "target", "whole", (F.col("times") - F.col("whole")).alias("p"),
+                      (F.col("target") - F.sum(F.col("whole") * F.col("class_size")).over(source)).alias("rest"))
 
 
 def _ratio(p: Column) -> Column:
@@ -115,22 +161,17 @@ def _crossing(rows: DataFrame, bucket: Column) -> DataFrame:
 
 def plan(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5,
          max_copies: int = 2) -> DataFrame:
-    """(source, source_size, target, whole, p_rate, last, extra) per source.
+    """(source, w, source_size, target, whole, p, rest, last, below, extra) per
+    source and weight.
 
     ``whole`` are the certain copies; a document is taken once more if its
     rank value is at most ``last`` or among ``extra``.
     """
-    per = source_targets(sizes, weights, share, max_copies)
-    mean = sizes.groupBy("source").agg(
-        F.try_divide(F.sum(F.col("w") * F.col("size")), F.sum("size")).alias("mean_w"))
-    ratio = F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0))
-    per = per.alias("s").join(mean.alias("m"), null_safe(F.col("s.source"), F.col("m.source")), "left").select(
-        "s.source", "source_size", "target", F.floor(ratio).alias("whole"),
-        (F.col("target") - F.floor(ratio) * F.col("source_size")).alias("rest"),
-        ((ratio - F.floor(ratio)) / F.coalesce(F.nullif("mean_w", F.lit(0.0)), F.lit(1.0))).alias("p_rate"))
+    per = class_copies(sizes, source_targets(sizes, weights, share, max_copies), max_copies)
     per = _beside_rows(cut(per))
 
-    rows = ranked(sizes, per).where("rest > 0 AND size > 0").withColumn("before", F.lit(0).cast("bigint"))
+    rows = ranked(sizes, per).where(f"rest > 0 AND size > 0 AND whole < {int(max_copies)} AND w > 0").withColumn(
+        "before", F.lit(0).cast("bigint"))
     coarse = F.floor(F.col("v") * BUCKETS)
     fine = F.floor((F.col("v") * BUCKETS - F.floor(F.col("v") * BUCKETS)) * BUCKETS)
 
@@ -178,7 +219,7 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float
                 F.concat("extra", F.array("e.v"))).alias("extra"))))
     out = per.join(gaps, null_safe(F.col("source"), F.col("at")), "left")
     whole_rest = F.when(F.col("rest") > 0, F.lit(2.0)).otherwise(F.lit(-1.0))  # no crossing: all or none
-    return _beside_rows(cut(out.select("source", "source_size", "target", "whole", "p_rate", "rest",
+    return _beside_rows(cut(out.select("source", "w", "source_size", "target", "whole", "p", "rest",
                           F.coalesce("last", whole_rest).alias("last"),
                           F.coalesce("below", F.lit(False)).alias("below"),
                           F.coalesce("extra", F.array().cast("array<double>")).alias("extra"))))
@@ -190,14 +231,14 @@ def _taken(v: str, last: str, below: str) -> Column:
 
 
 def ranked(sizes: DataFrame, per: DataFrame) -> DataFrame:
-    per = per.withColumnRenamed("source", "of")
-    return sizes.join(per, null_safe(F.col("source"), F.col("of")), "left").drop("of").withColumn(
-        "v", _ratio(F.col("p_rate") * F.col("w")))
+    per = per.withColumnsRenamed({"source": "of", "w": "of_w"})
+    return sizes.join(per, null_safe(F.col("source"), F.col("of")) & (F.col("w") == F.col("of_w")), "left").drop(
+        "of", "of_w").withColumn("v", _ratio(F.col("p")))
 
 
 def copies(sizes: DataFrame, chosen: DataFrame, max_copies: int = 2) -> DataFrame:
     """``sizes`` with source_size, target and the copies taken of each row."""
-    more = (_taken("v", "last", "below") | F.array_contains("extra", F.col("v"))) & (F.col("rest") > 0)
+    more = (_taken("v", "last", "below") | F.array_contains("extra", F.col("v"))) & (F.col("rest") > 0) & (F.col("w") > 0)
     return ranked(sizes, chosen).withColumn("copies", F.least(
         F.lit(max_copies).cast("bigint"), F.col("whole") + more.cast("bigint")))
 
@@ -219,20 +260,17 @@ def mix_report(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: f
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5,
         max_copies: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
+        source_col: str = "source", weight_col: str | None = None) -> DataFrame:
     """``docs`` as mixed: its own columns, one row for each copy taken.
 
     Words are counted once to plan and once to apply the plan, so the texts
     themselves are never shuffled.
     """
     names = {"id_col": id_col, "text_col": text_col, "source_col": source_col}
-    chosen = plan(cut(sized(docs, seed=seed, **names)), weights, share, max_copies)
+    chosen = plan(cut(sized(docs, weight_col=weight_col, seed=seed, **names)), weights, share, max_copies)
     row = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
-    whole = columns(docs.withColumn("__row", row), doc_id=id_col, text=text_col, source=source_col, row="__row")
-    whole = whole.select(
-        "row", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        _draw(seed).alias("u"), F.lit(1.0).alias("w"))
+    names = {"doc_id": id_col, "text": text_col, "source": source_col, "row": "__row"} | ({"w": weight_col} if weight_col else {})
+    whole = columns(docs.withColumn("__row", row), **names).select("row", "source", *_row_figures(seed, weight_col))
     out = copies(whole, chosen, max_copies)
     out = out.where("copies > 0 AND size > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return out.select("row.*")
