@@ -14,16 +14,17 @@ all but the first in (document, start) order, and compacts neighbours whose
 sources advance in step. The paths' pieces are joined to their documents,
 where pieces that touch make up the whole span.
 
-A window is identified by the 64-bit hash of its minimizer, its place beside
-it and its own 64-bit hash; texts are not compared. Of different windows around
-one frequent piece only the latter differs: 10 million of them at one place
-give about 3e-6 false matches. Pieces keep their source coordinates; a piece holds
-only as long as both sides advance word by word.
+In the buckets a window is identified by the 64-bit hash of its minimizer, its
+place beside it and its own 64-bit hash. Pieces keep their source coordinates; a
+piece holds only as long as both sides advance word by word. Before anything is
+removed each piece visits its source document, which adds a 128-bit digest of
+the words that stand there, and then its own document, which removes the words
+only if theirs give the same digest.
 
 Scale: windows that repeat within a chunk of a scan partition are settled
 there, and only the first travels, so a passage that a third of all documents
 share sends one row per chunk. Buckets grow in number with the input's size.
-A first pass counts runs by minimizer: windows of one with ``HEAVY_RUNS`` or
+A first pass counts a sample of all runs by minimizer: windows of one with ``HEAVY_RUNS`` or
 more (a frequent line of 8 to 19 words between differing ones) travel one by
 one and are dealt by minimizer, place and hash, which keeps equal windows
 together and spreads the others over all buckets.
@@ -52,13 +53,16 @@ from lakeloom.llm.common import HashedWords, columns, lean, partitions, ship, te
 WINDOW, PIECE = 20, 8
 CHUNK_WORDS = 300_000
 BUCKET_BYTES = 128 << 20
-HEAVY_RUNS, HEAVY_IN_CHUNK = 50_000, 8
+#: Runs from which on a minimizer's windows travel alone, estimated from one run in ``SAMPLE``.
+HEAVY_RUNS, SAMPLE = 50_000, 16
 MOST_PARTITIONS = 20_000
 _B = 0x9E3779B97F4A7C15
 _POW = {k: np.uint64(pow(_B, k, 1 << 64)) for k in (1, 2, 4, 8)}
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 NO_ID = -(1 << 63)  # stands for a null id: before all others
 
+#: Pieces of one source travel together, so many in a row at most.
+TOGETHER = 10_000
 PIECES = "key bigint, crc bigint, start int, stop int, source_key bigint, source_crc bigint, source_start int"
 
 
@@ -131,14 +135,17 @@ def _minimizers(words: list[list[bytes]], hashes: HashedWords):
     return piece, win, doc, np.cumsum(size) - size, s, p
 
 
-def chunk_heavy(words: list[list[bytes]], hashes: HashedWords) -> tuple[np.ndarray, np.ndarray]:
-    """Minimizers with several runs in a chunk, and how many."""
+def chunk_heavy(words: list[list[bytes]], hashes: HashedWords, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimizers of one in ``sample`` runs of a chunk, drawn by window and
+    place, and an estimate of their runs."""
     found = _minimizers(words, hashes)
     if found is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    piece, p = found[0], found[-1]
-    g, n = np.unique(piece[p[np.diff(p, prepend=-1) != 0]], return_counts=True)
-    return g[n >= HEAVY_IN_CHUNK], n[n >= HEAVY_IN_CHUNK]
+    piece, win, _, _, s, p = found
+    runs = np.flatnonzero(np.diff(p, prepend=-1) != 0)
+    draw = _mix(win[s[runs]] + runs.astype(np.uint64) * np.uint64(_B))
+    g, n = np.unique(piece[p[runs[draw % np.uint64(sample) == 0]]], return_counts=True)
+    return g, n * sample
 
 
 def chunk_edges(words: list[list[bytes]], keys: np.ndarray, crcs: np.ndarray, hashes: HashedWords, buckets: int,
@@ -255,6 +262,36 @@ def _rows(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c).cast(k) for c, k in zip(cols, kinds)], names=names)
 
 
+_BLOB = (("key", "<i8"), ("crc", "<u4"), ("start", "<i4"), ("stop", "<i4"), ("source_start", "<i4"))
+
+
+def by_source(cols: tuple[np.ndarray, ...]) -> Iterator[tuple[int, int, bytes]]:
+    """Source key, check of the source's text, and its pieces as bytes."""
+    key, crc, start, stop, source_key, source_crc, source_start = cols
+    order = np.lexsort((source_crc, source_key))
+    k, c = source_key[order], source_crc[order]
+    new = np.flatnonzero(np.concatenate((k[:1] == k[:1], (k[1:] != k[:-1]) | (c[1:] != c[:-1]))))
+    for a, b in zip(new.tolist(), np.append(new[1:], len(order)).tolist()):
+        for i in range(a, b, TOGETHER):
+            at = order[i:min(b, i + TOGETHER)]
+            own = dict(zip(("key", "crc", "start", "stop", "source_start"), (key, crc, start, stop, source_start)))
+            yield int(k[a]), int(c[a]), struct.pack("<I", len(at)) + b"".join(
+                own[name][at].astype(kind).tobytes() for name, kind in _BLOB)
+
+
+def _of_source(data: bytes) -> list[np.ndarray]:
+    (n,), at, out = struct.unpack_from("<I", data), 4, []
+    for _, kind in _BLOB:
+        out.append(np.frombuffer(data, kind, n, at).astype(np.int64))
+        at += out[-1].size * np.dtype(kind).itemsize
+    return out
+
+
+def digest(words: list[bytes]) -> bytes:
+    """128 bits of the words of a span."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def _input_bytes(df: DataFrame) -> int:
     """The optimizer's size of the inputs it knows (files: their size)."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -283,15 +320,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]):
 
 
 def heavy_minimizers(docs: DataFrame) -> np.ndarray:
-    """Minimizers with ``HEAVY_RUNS`` runs or more in (doc_id, text) rows, as
-    far as chunks that hold ``HEAVY_IN_CHUNK`` of them tell."""
+    """Minimizers with ``HEAVY_RUNS`` runs or more in (doc_id, text) rows, as a
+    sample of all runs tells. They change how windows are dealt, not the result."""
+    sample = SAMPLE
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lakeloom.llm.common import HashedWords
         from lakeloom.llm.substrings import _chunks, chunk_heavy
 
         hashes = HashedWords(11)
         for words, _, _ in _chunks(batches):
-            g, n = chunk_heavy(words, hashes)
+            g, n = chunk_heavy(words, hashes, sample)
             yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n, pa.int64())], names=["g", "n"])
 
     df = docs.mapInArrow(lean(count), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
@@ -299,8 +338,9 @@ def heavy_minimizers(docs: DataFrame) -> np.ndarray:
     return found["g"].to_numpy(np.int64).view(np.uint64)
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of repeated paths: words ``start`` to ``stop`` of a document
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grouped: bool = False) -> DataFrame:
+    """Pieces of repeated paths, as far as hashes tell (``grouped``: as
+    ``by_source`` gives them): words ``start`` to ``stop`` of a document
     (key: its id, crc: check of its text) stand at ``source_start`` of an
     earlier place. Pieces of one span touch or overlap."""
     spark = docs.sparkSession
@@ -334,28 +374,36 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                  pa.array(data, pa.binary())], names=["part", "sub", "data"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from lakeloom.llm.substrings import _rows, bucket_pieces
+        from lakeloom.llm.substrings import _rows, bucket_pieces, by_source
+
+        def out(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            if not grouped:
+                return _rows(cols)
+            found = list(zip(*by_source(cols))) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, (pa.int64(), pa.int64(), pa.binary()))],
+                                              names=["source_key", "source_crc", "data"])
 
         blobs, sub = [], None
         for batch in batches:
             for own, data in zip(batch.column(1).to_pylist(), batch.column(2)):
                 data = data.as_py()
                 if data[:12] == b"\0" * 12:
-                    yield from pa.ipc.open_stream(data[12:])
+                    for rows in pa.ipc.open_stream(data[12:]):
+                        yield out(tuple(c.to_numpy().astype(np.int64) for c in rows.columns))
                     continue
                 if own != sub and blobs:
-                    yield _rows(bucket_pieces(blobs))
+                    yield out(bucket_pieces(blobs))
                     blobs = []
                 sub = own
                 blobs.append(data)
         if blobs:
-            yield _rows(bucket_pieces(blobs))
+            yield out(bucket_pieces(blobs))
 
     df = own.mapInArrow(lean(split), "part int, sub int, data binary")
     df = df.repartitionById(parts, F.col("part"))
     if subs > 1:
         df = df.sortWithinPartitions("sub")
-    return df.mapInArrow(lean(gather), PIECES)
+    return df.mapInArrow(lean(gather), "source_key bigint, source_crc bigint, data binary" if grouped else PIECES)
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,11 +421,15 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         (F.col("start") + F.col("step")).alias("source_start"))
 
 
-def _removed(n: int, found: list | None) -> np.ndarray:
+def _removed(words: list[bytes], found: list | None) -> np.ndarray:
+    """Marks of the words of pieces whose source holds the same words."""
+    n = len(words)
     step = np.zeros(n + 1, np.int64)
     for f in found or ():
-        step[min(f["start"], n)] += 1
-        step[min(f["stop"], n)] -= 1
+        a, b = f["start"], f["stop"]
+        if b <= n and digest(words[a:b]) == f["there"]:
+            step[a] += 1
+            step[b] -= 1
     return np.cumsum(step[:n]) > 0
 
 
@@ -395,7 +447,10 @@ def without(raw: bytes, gone: np.ndarray) -> bytes:
 
 def _with_pieces(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
     """``docs`` with its text packed and its pieces in two columns of new
-    names. A document's pieces are as many as its length allows at most."""
+    names. A document's pieces are as many as its length allows at most.
+
+    Pieces and documents are joined twice, by the source and by the document
+    itself, over one shuffle of the documents."""
     tag = uuid.uuid4().hex[:8]
     key, crc, packed, found = (f"{k}_{tag}" for k in ("key", "crc", "packed", "found"))
     id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
@@ -414,12 +469,37 @@ def _with_pieces(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     fields = [f for i, f in enumerate(docs.schema.fields) if i != text_at]
-    fields += [T.StructField(key, T.LongType()), T.StructField(crc, T.LongType()), T.StructField(packed, T.BinaryType())]
+    # Keys are never null, so that both joins below take the same shuffled rows.
+    fields += [T.StructField(key, T.LongType(), False), T.StructField(crc, T.LongType(), False),
+               T.StructField(packed, T.BinaryType())]
     names = [f.name for f in fields]
+    at_packed = len(names) - 1
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces with the digest of the words at their source."""
+        from lakeloom.llm.substrings import _of_source, digest
+
+        undo = zstandard.ZstdDecompressor()
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        for batch in batches:
+            last, words = None, []
+            for data, blob in zip(batch.column(at_packed), batch.column(batch.num_columns - 1)):
+                data = data.as_py()
+                if data != last:
+                    last, words = data, (undo.decompress(data) if data else b"").split()
+                to, check, start, stop, place = _of_source(blob.as_py())
+                there = [digest(words[p:p + n]) for p, n in zip(place.tolist(), (stop - start).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip((to, check, start, stop, there), kinds)],
+                    names=["of_key", "of_crc", "start", "stop", "there"])
+
     own = docs.mapInArrow(lean(pack), T.StructType(fields))
-    per = pieces(docs, id_col, text_col).groupBy(F.col("key").alias("of_key"), F.col("crc").alias("of_crc")).agg(
-        F.collect_list(F.struct("start", "stop")).alias(found))
-    df = own.join(per, (F.col(key) == F.col("of_key")) & (F.col(crc) == F.col("of_crc")), "left")
+    per = pieces(docs, id_col, text_col, grouped=True)
+    met = own.join(per.hint("merge"), (F.col(key) == F.col("source_key")) & (F.col(crc) == F.col("source_crc")))
+    met = met.drop("source_key", "source_crc").mapInArrow(
+        lean(look), "of_key bigint, of_crc bigint, start int, stop int, there binary")
+    met = met.groupBy("of_key", "of_crc").agg(F.collect_list(F.struct("start", "stop", "there")).alias(found))
+    df = own.join(met.hint("merge"), (F.col(key) == F.col("of_key")) & (F.col(crc) == F.col("of_crc")), "left")
     return df.drop(key, crc, "of_key", "of_crc"), packed, found
 
 
@@ -444,7 +524,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for data, own in zip(batch.column(1), batch.column(2).to_pylist()):
                 data = data.as_py()
                 words = (undo.decompress(data) if data else b"").split()
-                gone = _removed(len(words), own)
+                gone = _removed(words, own)
                 kept = [w for w, g in zip(words, gone.tolist()) if not g] if own else words
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
@@ -475,7 +555,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 data = data.as_py()
                 raw = None if data is None else undo.decompress(data)
                 if raw and own:
-                    raw = without(raw, _removed(len(raw.split()), own))
+                    raw = without(raw, _removed(raw.split(), own))
                 texts.append(None if raw is None else raw.decode("utf-8", "surrogatepass"))
             cols = dict(zip(others, batch.columns)) | {text_col: pa.array(texts, pa.string())}
             yield pa.RecordBatch.from_arrays([cols[c] for c in names], names=names)

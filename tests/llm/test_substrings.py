@@ -119,7 +119,7 @@ def lines_around(n):
 def test_windows_around_a_frequent_line_are_dealt_to_many_buckets():
     texts = [[w.encode() for w in t] for t in lines_around(150)]
     ids, crcs = np.arange(len(texts)), np.arange(len(texts))
-    g, n = substrings.chunk_heavy(texts, HashedWords(11))
+    g, n = substrings.chunk_heavy(texts, HashedWords(11), 1)
     heavy = g[n >= 100]
     assert len(heavy) >= 1
     data, _ = substrings.chunk_edges(texts, ids, crcs, HashedWords(11), 16, heavy)
@@ -129,6 +129,7 @@ def test_windows_around_a_frequent_line_are_dealt_to_many_buckets():
 
 def test_heavy_minimizers_lose_no_repeat(spark, monkeypatch):
     monkeypatch.setattr(substrings, "HEAVY_RUNS", 20)
+    monkeypatch.setattr(substrings, "SAMPLE", 4)
     monkeypatch.setattr(substrings, "CHUNK_WORDS", 2_000)
     rows = [(i, " ".join(t)) for i, t in enumerate(lines_around(100))]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
@@ -136,5 +137,34 @@ def test_heavy_minimizers_lose_no_repeat(spark, monkeypatch):
     assert got(substrings.report(df)) == expected(rows)
     docs = cases.frame(spark)
     monkeypatch.setattr(substrings, "HEAVY_RUNS", 2)
-    monkeypatch.setattr(substrings, "HEAVY_IN_CHUNK", 1)
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
     assert got(substrings.report(docs)) == expected([(r[0], r[1]) for r in cases.documents()])
+
+
+def test_a_sample_finds_what_is_spread_thinly():
+    """A line that each chunk holds once or twice is heavy over many chunks."""
+    texts = [[w.encode() for w in t] for t in lines_around(400)]
+    count = {}
+    for k in range(0, len(texts), 2):
+        for g, n in zip(*substrings.chunk_heavy(texts[k:k + 2], HashedWords(11), 4)):
+            count[int(g)] = count.get(int(g), 0) + int(n)
+    assert sorted(count.values())[-1] > 400 and sum(n > 200 for n in count.values()) <= 3
+
+
+def test_words_go_only_if_their_source_holds_the_same():
+    """A piece that only hashes vouch for keeps its words."""
+    words = [b"w%d" % i for i in range(40)]
+    true = {"start": 0, "stop": 25, "there": substrings.digest(words[:25])}
+    false = {"start": 10, "stop": 40, "there": substrings.digest(words[5:35])}
+    beyond = {"start": 30, "stop": 60, "there": substrings.digest(words[30:60])}
+    assert substrings._removed(words, [true, false, beyond]).tolist() == [True] * 25 + [False] * 15
+    assert not substrings._removed(words, None).any()
+
+
+def test_pieces_of_a_source_travel_in_bounded_rows(monkeypatch):
+    monkeypatch.setattr(substrings, "TOGETHER", 3)
+    cols = tuple(np.array(c) for c in zip(*[(k, k + 1, k + 2, k + 30, k % 2, 7, k + 3) for k in range(10)]))
+    rows = list(substrings.by_source(cols))
+    assert [r[:2] for r in rows] == [(0, 7)] * 2 + [(1, 7)] * 2
+    back = sorted(t for _, _, d in rows for t in zip(*(c.tolist() for c in substrings._of_source(d))))
+    assert back == [(k, k + 1, k + 2, k + 30, k + 3) for k in range(10)]
