@@ -5,7 +5,8 @@ document goes if too little of its text is left. A line fails as
 
 * navigation: three or more separators (``|``, ``>``, bullets) that make up a
   tenth or more of its tokens;
-* punctuation: 20 words or more without a sentence mark, or at least five
+* punctuation: 20 words or more without a mark of any script that ends or
+  divides sentences, unless the script has none (Thai and Lao); or at least five
   words of which a third or more end in symbols or repeated exclamation marks;
 * shouting: at least five words, and nine tenths of its letters are capitals;
 * monotony: at least ten words, and one word makes up over a third of them,
@@ -25,6 +26,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from lakeloom.llm.common import HashedWords, columns, lean, ship, text_bytes
@@ -41,7 +43,11 @@ BOILERPLATE = (
 )
 _PHRASES = re.compile("|".join(re.escape(p) for p in BOILERPLATE))
 _SEPARATORS = {"|", ">", ">>", "»", "•", "·", "›", "::", "||"}
-_MARKS = re.compile(r"[.!?…。！？;:]")
+# Marks by their Unicode property (planes 0 and 1), and letters of scripts without any.
+_MARKS = re.compile("[…" + "".join(re.escape(c) for c in regex.findall(
+    r"[\p{Sentence_Terminal}\p{Terminal_Punctuation}--,]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x12000)))),
+    regex.V1)) + "]")
+_NO_MARKS = re.compile("[\u0e01-\u0eff]")
 _NOISY = re.compile(r"(?:[#*$%&]{2,}|!{2,})$")
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -54,7 +60,7 @@ def line_fault(line: str) -> str | None:
     marks = sum(w in _SEPARATORS for w in words)
     if marks >= 3 and 10 * marks >= n:
         return "navigation"
-    if n >= 20 and not _MARKS.search(line):
+    if n >= 20 and not _MARKS.search(line) and not _NO_MARKS.search(line):
         return "punctuation"
     if n >= 5:
         if 3 * sum(_NOISY.search(w) is not None for w in words) >= n:
@@ -136,8 +142,10 @@ def judge(docs: DataFrame, max_loss: float = MAX_LOSS, with_text: bool = False,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Figures and verdict of every row, and with ``with_text`` the text left.
 
-    A null or empty text has no words and fails; repeated rows are judged
-    alike; an empty table gives no rows. Repeated windows are compared by
+    A null or empty text has no words and fails; a null id stays null; repeated
+    rows are judged alike; an empty table gives no rows; a very long text is
+    judged whole, in memory a few times its size; other columns are not read.
+    Repeated windows are compared by
     64-bit hashes within one text.
     """
     ship(docs.sparkSession)

@@ -52,6 +52,20 @@ def test_line_rules():
     assert kept == [prose, ""] and faults == {"repetition": 1, "navigation": 1}
 
 
+def test_paragraphs_of_other_scripts_stay(spark):
+    """Danda, Arabic question mark, Armenian and Ethiopic stops, full-width marks; Thai has none."""
+    words = {"hi": ("यह एक लंबा अनुच्छेद है जिसमें", "।"), "ar": ("هذه فقرة طويلة من النص العربي", "؟"),
+             "hy": ("սա երկար պարբերություն է որ", "։"), "am": ("ይህ ረጅም አንቀጽ ነው", "።"), "my": ("ဤသည် ရှည်လျားသော စာပိုဒ် ဖြစ်သည်", "။"),
+             "th": ("นี่คือ ย่อหน้า ยาว ของ ข้อความ ภาษา", ""), "el": ("αυτή είναι μια μεγάλη παράγραφος", ";")}
+    rows = []
+    for n, (own, mark) in enumerate(words.values()):
+        own = own.split()
+        rows.append((n, "\n".join(" ".join(own[(i * k + i) % len(own)] + str(i * k) for i in range(25)) + mark for k in range(1, 5))))
+    report = lines.judge(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all(r.kept and r.share_lost == 0 for r in report), report
+    assert lines.line_fault("word, " * 3 + " ".join(f"w{i}" for i in range(25))) == "punctuation"
+
+
 def test_documents_losing_too_much_go(spark):
     prose = [f"Sentence number {i} tells of place {i * 7} and of day {i * 3}." for i in range(8)]
     menu = [f"Home{i} | News{i} | Sport{i} | Contact{i}" for i in range(40)]
