@@ -1,20 +1,21 @@
 """License notices found by an exact set-similarity join.
 
-The texts are read as blocks of 64 words, one every 32 words, so any notice of
-up to 33 words lies whole in some block. A template matches a block that holds
-at least ``THRESHOLD`` of its distinct words. The join is exact and filters by
-the usual three bounds, with words in one global order, rarest first, by their
-counts over all documents:
+A template is a notice or a paragraph of a license text. It matches a document
+in which some block of consecutive words, twice as long as the template, holds
+at least ``THRESHOLD`` of its distinct words; blocks begin at every word, so a
+notice is found wherever it stands. The join is exact and filters by the usual
+three bounds, with words in one global order, rarest first, by their counts over
+all documents:
 
 * prefix: to hold c of a template's n words, a block must hold one of the
-  n - c + 1 rarest; templates are looked up by those words alone;
-* length: a block with fewer than c template words cannot match;
-* position: from the first word in common, what is left of template and block
-  after it must still reach c.
-
-The templates are a handful of short public notices, so their index travels
-with the code; documents are read twice (counts, then the join) and never
-shuffled.
+  n - c + 1 rarest; only documents with one of those words go on, and only
+  blocks around one;
+* length: words of the template in reach of it must be c or more;
+* position: from the rarest word in common, what is left of the template after
+  it must still reach c.
+
+The templates are public license texts, so their index travels with the code;
+documents are read twice (counts, then the join) and never shuffled.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import columns, lean, ship, text_bytes
 
-BLOCK, STRIDE = 64, 32
+STRETCH = 2
 THRESHOLD = 0.9
 
 # Phrases that name a license, and their labels.
@@ -39,7 +40,7 @@ PHRASES = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-# The short notices that the licenses' stewards publish.
+# Short notices and paragraphs of the licenses as their stewards publish them.
 TEMPLATES = (
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license"),
@@ -56,6 +57,34 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction including without limitation "
+            "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+            "permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to "
+            "the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the "
+            "authors or copyright holders be liable for any claim damages or other liability whether in an action of "
+            "contract tort or otherwise arising from out of or in connection with the software or the use or other "
+            "dealings in the software"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+               "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless "
+               "required by applicable law or agreed to in writing software distributed under the license is distributed "
+               "on an as is basis without warranties or conditions of any kind either express or implied see the license "
+               "for the specific language governing permissions and limitations under the license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+            "public license as published by the free software foundation either version 3 of the license or at your "
+            "option any later version"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the "
+            "implied warranty of merchantability or fitness for a particular purpose see the gnu general public license "
+            "for more details"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+            "following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission"),
 )
 
 # Bytes that are not part of a word become spaces; A-Z become a-z.
@@ -70,48 +99,64 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Index:
-    """Templates as sorted ranks of the global order, and their prefixes."""
+    """Templates as ranks of the global order, rarest first, and their prefixes."""
 
-    def __init__(self, templates, counts: dict[bytes, int], threshold: float):
-        sets = [(label, frozenset(words_of(text.encode()))) for label, text in templates]
-        order = sorted({w for _, s in sets for w in s}, key=lambda w: (counts.get(w, 0), w))
+    def __init__(self, templates, counts: dict[bytes, int], threshold: float, stretch: int = STRETCH):
+        texts = [(label, words_of(text.encode())) for label, text in templates]
+        order = sorted({w for _, t in texts for w in t}, key=lambda w: (counts.get(w, 0), w))
         self.rank = {w: i + 1 for i, w in enumerate(order)}  # 0: not a template word
         self.templates = []
-        self.by_word: dict[int, list[int]] = {}
-        for label, s in sets:
-            ranks = sorted(self.rank[w] for w in s)
-            need = math.ceil(threshold * len(ranks) - 1e-9)
-            for r in ranks[:len(ranks) - need + 1]:
-                self.by_word.setdefault(r, []).append(len(self.templates))
-            self.templates.append((label, ranks, frozenset(ranks), need))
         self.is_prefix = np.zeros(len(order) + 1, bool)
-        self.is_prefix[list(self.by_word)] = True
-
-    def match(self, block: np.ndarray) -> dict[int, float]:
-        """Template -> containment of those that the block holds well enough."""
-        held = sorted(set(block.tolist()) - {0})
+        for label, t in texts:
+            ranks = np.array(sorted({self.rank[w] for w in t}), np.int64)
+            need = math.ceil(threshold * len(ranks) - 1e-9)
+            prefix = np.zeros(len(order) + 1, bool)
+            prefix[ranks[:len(ranks) - need + 1]] = True
+            member = np.zeros(len(order) + 1, bool)
+            member[ranks] = True
+            self.is_prefix |= prefix
+            self.templates.append((label, ranks, member, prefix, need, stretch * len(t)))
+
+    def match(self, ranks: np.ndarray) -> dict[int, float]:
+        """Template -> its best containment in a block of a document's words,
+        for those that a block holds well enough."""
         out: dict[int, float] = {}
-        own = frozenset(held)
-        for j, r in enumerate(held):
-            for t in self.by_word.get(r, ()):
-                _, ranks, members, need = self.templates[t]
-                if t in out or len(held) < need:
-                    continue
-                if 1 + min(len(ranks) - 1 - ranks.index(r), len(held) - 1 - j) < need and not any(
-                        x in own for x in ranks[:ranks.index(r)]):
-                    continue
-                common = len(members & own)
-                if common >= need:
-                    out[t] = common / len(ranks)
+        found = np.zeros(len(self.is_prefix), bool)
+        found[ranks] = True
+        for k, (_, own, member, prefix, need, width) in enumerate(self.templates):
+            here = np.flatnonzero(found[own])
+            # Length, and position: what is left of the template from its rarest word here on.
+            if len(here) < need or len(own) - here[0] < need or not found[own[:len(own) - need + 1]].any():
+                continue
+            at = np.flatnonzero(member[ranks])
+            near = np.flatnonzero(prefix[ranks[at]])
+            # Only what a block with a prefix word can reach.
+            reach = np.zeros(len(at) + 1, np.int64)
+            np.add.at(reach, np.searchsorted(at, at[near] - width, "right"), 1)
+            np.add.at(reach, np.searchsorted(at, at[near] + width, "left"), -1)
+            at = at[np.cumsum(reach[:-1]) > 0]
+            most = _most_distinct(at.tolist(), ranks[at].tolist(), width)
+            if most >= need:
+                out[k] = most / len(own)
         return out
 
 
-def blocks(n: int, block: int = BLOCK, stride: int = STRIDE) -> range:
-    """Starts of the blocks of ``n`` words; the last one reaches the end."""
-    return range(0, max(1, n - block + stride), stride) if n else range(0)
+def _most_distinct(at: list[int], rank: list[int], width: int) -> int:
+    """Most different ranks within ``width`` consecutive words, over all starts."""
+    held: dict[int, int] = {}
+    best = first = 0
+    for place, r in zip(at, rank):
+        held[r] = held.get(r, 0) + 1
+        while at[first] <= place - width:
+            held[rank[first]] -= 1
+            if not held[rank[first]]:
+                del held[rank[first]]
+            first += 1
+        best = max(best, len(held))
+    return best
 
 
-def scan_text(text: bytes, index: Index, phrases, block: int = BLOCK, stride: int = STRIDE) -> tuple:
+def scan_text(text: bytes, index: Index, phrases) -> tuple:
     words = words_of(text)
     n = len(words)
     rank = index.rank.get
@@ -123,15 +168,10 @@ def scan_text(text: bytes, index: Index, phrases, block: int = BLOCK, stride: in
                 places.append(at)
                 base.add(label)
     labels, best = set(base), 1.0 if base else 0.0
-    hits = np.flatnonzero(index.is_prefix[ranks])
-    if len(hits):
-        found: set[int] = set()
-        for start in sorted({s for h in hits.tolist() for s in (h // stride * stride, h // stride * stride - stride) if s >= 0}):
-            if start < max(1, n - block + stride):
-                for t, share in index.match(ranks[start:start + block]).items():
-                    found.add(t)
-                    best = max(best, share)
-        labels |= {index.templates[t][0] for t in found}
+    if n and index.is_prefix[ranks].any():
+        for k, share in index.match(ranks).items():
+            labels.add(index.templates[k][0])
+            best = max(best, share)
     return (n, len(places), min(places) if places else None, max(places) if places else None,
             ",".join(sorted(base)), ",".join(sorted(labels)), best)
 
@@ -167,13 +207,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float
     """Licenses named or noticed in every row of ``docs``.
 
     score is 1 where a phrase stands, else the best containment among matching
-    templates, else 0. Null and empty texts have no words and no labels;
-    repeated rows get the same result; an empty table gives no rows.
+    templates, else 0. Null and empty texts have no words and no labels; a null
+    id stays null; repeated rows get the same result; an empty table gives no
+    rows; a very long text is scanned whole; other columns are not read.
     """
     ship(docs.sparkSession)
-    longest = max((len(t.split()) for _, t in templates), default=0)
-    if longest > BLOCK - STRIDE + 1:
-        raise ValueError(f"a template of {longest} words does not fit every block")
     known = frozenset(w for _, t in templates for w in words_of(t.encode()))
     index = Index(templates, word_counts(docs, known, text_col) if templates else {}, threshold)
     named = [(p.encode().split(), index.rank.get(p.split()[0].encode(), 0), label) for p, label in phrases]

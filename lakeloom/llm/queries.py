@@ -141,7 +141,7 @@ FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 
 
 def _license_sql() -> str:
-    from lakeloom.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+    from lakeloom.llm.licenses import PHRASES, STRETCH, TEMPLATES, THRESHOLD
 
     values = lambda rows: ", ".join(f"('{label}', '{text}')" for label, text in rows)
     return rf"""
@@ -162,15 +162,16 @@ base AS (
   FROM places GROUP BY doc_id
 ),
 templates AS (
-  SELECT label, list_distinct(string_split(t, ' ')) AS ts FROM (VALUES {values(TEMPLATES)}) t(label, t)
+  SELECT label, list_distinct(string_split(t, ' ')) AS ts, {STRETCH} * len(string_split(t, ' ')) AS width
+  FROM (VALUES {values(TEMPLATES)}) t(label, t)
 ),
-blocks AS (
-  SELECT doc_id, list_distinct(ws[s + 1:s + 64]) AS b
-  FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - 32), 32)) AS s FROM w WHERE len(ws) > 0)
+able AS (
+  SELECT doc_id, ws, label, ts, width FROM (SELECT *, list_distinct(ws) AS own FROM w) d, templates
+  WHERE len(list_intersect(own, ts)) >= {THRESHOLD - 1e-9!r} * len(ts)
 ),
 noticed AS (
-  SELECT doc_id, label, max(CAST(len(list_intersect(b, ts)) AS DOUBLE) / len(ts)) AS share
-  FROM blocks, templates GROUP BY doc_id, label HAVING share >= {THRESHOLD - 1e-9!r}
+  SELECT doc_id, label, max(CAST(len(list_intersect(list_distinct(ws[s + 1:s + width]), ts)) AS DOUBLE) / len(ts)) AS share
+  FROM (SELECT *, unnest(range(0, len(ws))) AS s FROM able) GROUP BY doc_id, label HAVING share >= {THRESHOLD - 1e-9!r}
 ),
 every AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS best
