@@ -2,15 +2,18 @@
 
 Vectors are turned into integers, so scores are exact. The data are dealt into
 blocks: every vector goes to the nearest of a bounded sample of pivots, and a
-pivot's vectors are cut into blocks of at most ``BLOCK`` rows, however many it
-has. Queries (a stated set) are dealt the same way. Every query block meets
-every data block once; each block is indexed by a cover tree, and the two
-trees are searched together. A pair of nodes is pruned when the largest inner
-product that their centres and covering radii allow,
+pivot's vectors are cut into blocks of about ``BLOCK`` rows, however many it
+has. Queries (a stated set) are dealt the same way. Each block is indexed by a
+cover tree, and the trees of a query block and a data block are searched
+together. A pair of nodes is pruned when the largest inner product that their
+centres and covering radii allow,
 
     <q, p> + |q| R_p + |p| R_q + R_q R_p,
 
-is below the worst kth score so far in the query node. A block's answer is at
+is below the worst kth score so far in the query node. The same bound holds for
+whole blocks: every query block first meets the data block with the largest
+bound, which gives each of its queries a kth score; then only those pairs of
+blocks are formed whose bound reaches the worst of them. A pair's answer is at
 most k rows per query; the k best of those are the result.
 """
 
@@ -29,6 +32,8 @@ from lakeloom.llm.common import columns, cut, ship
 SCALE = 1024.0
 BLOCK, QUERY_BLOCK = 4096, 1024
 LEAF, QUERY_LEAF = 512, 128
+#: Blocks whose centres and radii travel in a row together.
+SPOTS = 1024
 PIVOTS = 64
 EXACT = float(1 << 53)
 
@@ -126,8 +131,10 @@ class Best:
             self.score[q[r]], self.id[q[r]] = s[order], i[order]
 
 
-def search(queries: CoverTree, data: CoverTree, own: np.ndarray, ids: np.ndarray, best: Best) -> int:
-    """Fill ``best`` from one pair of trees; the number of node pairs scored."""
+def search(queries: CoverTree, data: CoverTree, own: np.ndarray, ids: np.ndarray, best: Best,
+           floor: float = -np.inf) -> int:
+    """Fill ``best`` from one pair of trees; the number of node pairs scored.
+    Scores below ``floor`` are not wanted."""
     def bound(a: int, b: int) -> float:
         ra, rb = queries.radius[a], data.radius[b]
         top = float(queries.center[a] @ data.center[b]) + queries.norm[a] * rb + data.norm[b] * ra + ra * rb
@@ -138,7 +145,7 @@ def search(queries: CoverTree, data: CoverTree, own: np.ndarray, ids: np.ndarray
     while pairs:
         top, a, b = pairs.pop()
         q = queries.points[a]
-        if top < best.worst(q):
+        if top < max(floor, best.worst(q)):
             continue
         ca, cb = queries.children[a], data.children[b]
         if not ca and not cb:
@@ -159,8 +166,10 @@ def _matrix(rows: list, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "<f8").reshape(len(rows), dim)
 
 
-def block_topk(qid: np.ndarray, q: np.ndarray, pid: np.ndarray, p: np.ndarray, k: int, tree: CoverTree | None = None):
-    """(query, id, score) of the k best of each query in one block pair."""
+def block_topk(qid: np.ndarray, q: np.ndarray, pid: np.ndarray, p: np.ndarray, k: int, tree: CoverTree | None = None,
+               floor: float = -np.inf):
+    """(query, id, score) of the k best of each query in one block pair, as far
+    as they reach ``floor``."""
     if not len(qid) or not len(pid):
         return [], [], []
     limit = float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * q.shape[1]
@@ -176,7 +185,7 @@ def block_topk(qid: np.ndarray, q: np.ndarray, pid: np.ndarray, p: np.ndarray, k
                 out[2].append(max(-(1 << 63), min((1 << 63) - 1, -s)))
         return out
     best = Best(len(qid), k)
-    search(CoverTree(q, QUERY_LEAF), tree or CoverTree(p), qid, pid, best)
+    search(CoverTree(q, QUERY_LEAF), tree or CoverTree(p), qid, pid, best, floor)
     row, col = np.nonzero(best.score > -np.inf)
     return qid[row].tolist(), best.id[row, col].tolist(), best.score[row, col].astype(np.int64).tolist()
 
@@ -206,7 +215,8 @@ def whole_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
 
 
 def _blocks(rows: DataFrame, size: int, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """(dim, pivot, salt, ids, data): vectors by nearest pivot, in blocks of about ``size``."""
+    """(dim, block, ids, data, centre, radius): vectors by nearest pivot, in
+    blocks of about ``size``, with their mean and covering radius."""
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = []
@@ -221,18 +231,93 @@ def _blocks(rows: DataFrame, size: int, pivots: dict[int, np.ndarray]) -> DataFr
     many = df.groupBy("dim", "pivot").agg(F.count(F.lit(1)).alias("n"))
     df = df.join(F.broadcast(many), ["dim", "pivot"])  # a row per pivot: at most PIVOTS for each dimension
     salt = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("n") / size).cast("bigint"))
-    return df.groupBy("dim", "pivot", salt.alias("salt")).agg(
+    df = df.groupBy("dim", (F.shiftleft(F.col("pivot").cast("bigint"), 40) + salt).alias("block")).agg(
         F.collect_list("vec_id").alias("ids"), F.collect_list("x").alias("data"))
 
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.covertree import _matrix
+
+        for batch in batches:
+            centre, radius = [], []
+            for dim, data in zip(batch.column(0).to_pylist(), batch.column(3)):
+                x = _matrix(data.as_py(), dim)
+                centre.append(x.mean(0))
+                d = x - centre[-1]
+                radius.append(float(np.sqrt((d * d).sum(1).max())))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([c.tobytes() for c in centre], pa.binary()), pa.array(radius, pa.float64())],
+                names=["dim", "block", "ids", "data", "centre", "radius"])
+
+    return df.mapInArrow(measure, "dim int, block bigint, ids array<bigint>, data array<binary>, centre binary, radius double")
+
+
+def block_bounds(q: np.ndarray, q_radius: float, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """No product of a vector around ``q`` with one around each centre is larger."""
+    own, norm = float(np.sqrt(q @ q)), np.sqrt((centres * centres).sum(1))
+    top = centres @ q + own * radii + norm * q_radius + radii * q_radius
+    return top + 1e-6 * (1.0 + np.abs(top)) + 1e-9 * own * norm  # above any rounding of the sums
+
+
+def _met(asked: DataFrame, spots: DataFrame, all_of_them: bool) -> DataFrame:
+    """(q_dim, q_block, block, bound) for each query block and row of ``spots``:
+    the data block of the largest bound, or all whose bound reaches the query
+    block's ``floor`` and that it has not met as its ``first``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.covertree import _matrix, block_bounds
+
+        for batch in batches:
+            for dim, q_block, q, q_radius, floor, first, listed in zip(*(c.to_pylist() for c in batch.columns)):
+                blocks = np.array([x["block"] for x in listed], np.int64)
+                top = block_bounds(np.frombuffer(q, "<f8"), q_radius, _matrix([x["centre"] for x in listed], dim),
+                                   np.array([x["radius"] for x in listed]))
+                top = np.where(np.isnan(top), np.inf, top)
+                if all_of_them:
+                    at = np.flatnonzero((blocks != first) & (top >= (-np.inf if floor is None else floor)))
+                else:
+                    at = np.array([int(top.argmax())])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), dim), pa.int32()), pa.array(np.full(len(at), q_block), pa.int64()),
+                     pa.array(blocks[at]), pa.array(top[at])], names=["q_dim", "q_block", "block", "bound"])
+
+    met = asked.join(spots, F.col("q_dim") == F.col("s_dim")).select(
+        "q_dim", "q_block", "q_centre", "q_radius", "floor", "first", "blocks")
+    return met.mapInArrow(run, "q_dim int, q_block bigint, block bigint, bound double")
+
+
+def _answers(pairs: DataFrame, asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """(q_dim, q_block, query_id, vec_id, score) of pairs of blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from lakeloom.llm.covertree import CoverTree, _matrix, block_topk
+
+        last, tree, pid = None, None, None
+        for batch in batches:
+            for r in range(batch.num_rows):
+                dim, q_block, block, floor, q_ids, q_data, ids, x = (c[r].as_py() for c in batch.columns)
+                if (dim, block) != last:  # a data block's tree serves all query blocks that come to this task
+                    last, pid, tree = (dim, block), np.array(ids), CoverTree(_matrix(x, dim))
+                query, found, score = block_topk(np.array(q_ids), _matrix(q_data, dim), pid, tree.x, k, tree,
+                                                 -np.inf if floor is None else floor)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(query), dim), pa.int32()), pa.array(np.full(len(query), q_block), pa.int64()),
+                     pa.array(query, pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.int64())],
+                    names=["q_dim", "q_block", "query_id", "vec_id", "score"])
+
+    to = data.select(F.col("dim").alias("d_dim"), F.col("block").alias("d_block"), "ids", "data")
+    full = pairs.join(asked.select("q_dim", "q_block", "floor", "q_ids", "q_data"), ["q_dim", "q_block"]).join(
+        to, (F.col("q_dim") == F.col("d_dim")) & (F.col("block") == F.col("d_block")))
+    return full.select("q_dim", "q_block", "block", "floor", "q_ids", "q_data", "ids", "data").mapInArrow(
+        run, "q_dim int, q_block bigint, query_id bigint, vec_id bigint, score bigint")
+
 
 def top_k(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10,
-          id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+          id_col: str = "vec_id", vector_col: str = "embedding", figures: dict | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest inner products.
 
     Ties go to the smaller id; a query with fewer candidates gets all of
     them. Only vectors of a query's own length are its candidates. Rows that
     share an id are one row (the first by content). Scores beyond a bigint
-    stop at its ends. An empty table gives no rows.
+    stop at its ends. An empty table gives no rows. Other columns are not
+    read. ``figures`` takes the pairs of blocks formed and those there are.
     """
     rows = whole_vectors(vectors, id_col, vector_col)
     rows = cut(rows.groupBy("vec_id").agg(F.min(F.struct("dim", "x")).alias("v")).select("vec_id", "v.dim", "v.x"))
@@ -248,32 +333,29 @@ def top_k(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10,
     def pivots(column: str, size: int) -> dict[int, np.ndarray]:
         return {d: _matrix(v[:max(1, -(-sizes[d][column] // size))], d) for d, v in sample.items()}
 
-    data = _blocks(rows, BLOCK, pivots("n", BLOCK)).select("dim", F.struct("pivot", "salt").alias("block"), "ids", "data")
-    data = cut(data)
-    asked = _blocks(rows.where(is_query), QUERY_BLOCK, pivots("n_queries", QUERY_BLOCK)).select(
-        F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    # A query block goes to every data block of its dimension.
-    spots = data.groupBy(F.col("dim").alias("s_dim")).agg(F.collect_list("block").alias("blocks"))
-    asked = asked.join(spots, F.col("q_dim") == F.col("s_dim")).select(
-        "q_dim", "q_ids", "q_data", F.explode("blocks").alias("q_block"))
-    pairs = asked.join(data, (F.col("q_dim") == F.col("dim")) & (F.col("q_block") == F.col("block")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from lakeloom.llm.covertree import CoverTree, _matrix, block_topk
-
-        last, tree, pid = None, None, None
-        for batch in batches:
-            for r in range(batch.num_rows):
-                dim, block, q_ids, q_data, ids, x = (c[r].as_py() for c in batch.columns)
-                if (dim, block) != last:  # a data block's tree serves all query blocks that come to this task
-                    last, pid, tree = (dim, block), np.array(ids), CoverTree(_matrix(x, dim))
-                query, found, score = block_topk(np.array(q_ids), _matrix(q_data, dim), pid, tree.x, k, tree)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query, pa.int64()), pa.array(found, pa.int64()), pa.array(score, pa.int64())],
-                    names=["query_id", "vec_id", "score"])
-
-    part = pairs.select("dim", "block", "q_ids", "q_data", "ids", "data").mapInArrow(
-        run, "query_id bigint, vec_id bigint, score bigint")
+    data = cut(_blocks(rows, BLOCK, pivots("n", BLOCK)))
+    asked = _blocks(rows.where(is_query), QUERY_BLOCK, pivots("n_queries", QUERY_BLOCK))
+    asked = cut(asked.toDF("q_dim", "q_block", "q_ids", "q_data", "q_centre", "q_radius"))
+    rows_of_spots = F.ceil(F.count(F.lit(1)) / SPOTS).cast("bigint")
+    parts = {r["dim"]: r["n"] for r in data.groupBy("dim").agg(rows_of_spots.alias("n")).collect()}
+    share = F.pmod(F.xxhash64("block"), F.lit(max(parts.values(), default=1)))
+    spots = cut(data.groupBy(F.col("dim").alias("s_dim"), share.alias("share")).agg(
+        F.collect_list(F.struct("block", "centre", "radius")).alias("blocks")))
+
+    # Each query block's most promising data block gives its queries a kth score each.
+    none = asked.withColumn("floor", F.lit(None).cast("double")).withColumn("first", F.lit(None).cast("bigint"))
+    first = cut(_met(none, spots, False).groupBy("q_dim", "q_block").agg(F.max_by("block", F.struct("bound", "block")).alias("block")))
+    seeds = cut(_answers(first, none, data, k))
+    kth = seeds.groupBy("q_dim", "q_block", "query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+    # Scores that stopped at the lower end of a bigint bound nothing.
+    full = (F.col("n") >= k) & (F.col("kth") > -(1 << 63))
+    kth = kth.groupBy("q_dim", "q_block").agg(F.count_if(full).alias("able"), F.min("kth").alias("kth"))
+    known = asked.join(first.withColumnRenamed("block", "first"), ["q_dim", "q_block"]).join(kth, ["q_dim", "q_block"], "left")
+    known = cut(known.withColumn("floor", F.when(F.col("able") == F.size("q_ids"), F.col("kth").cast("double"))).drop("able", "kth"))
+    rest = cut(_met(known, spots, True).drop("bound"))
+    if figures is not None:
+        figures |= {"pairs": first.count() + rest.count(), "all": asked.join(data, F.col("q_dim") == F.col("dim")).count()}
+    part = seeds.unionByName(_answers(rest, known, data, k))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -211,6 +211,26 @@ def test_search_edge_cases(spark):
     assert covertree.top_k(df.limit(0)).count() == 0
 
 
+def test_blocks_that_cannot_answer_are_not_shipped(spark, monkeypatch):
+    """On clustered vectors few pairs of blocks are formed; the result is that of all."""
+    monkeypatch.setattr(covertree, "BLOCK", 60)
+    monkeypatch.setattr(covertree, "QUERY_BLOCK", 8)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(24, 8))
+    rows = [(i, (centres[i % 24] * 4 + rng.normal(size=8) * 0.05).astype(np.float32).tolist()) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(4)
+    figures = {}
+    found = sorted(tuple(r) for r in covertree.top_k(df, "vec_id % 20 = 0", figures=figures).collect())
+    x = np.floor(np.array([r[1] for r in rows], np.float32).astype(np.float64) * 1024)
+    plain = []
+    for q in range(0, 2400, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        plain += [(q, n + 1, int(i), int(s[i])) for n, i in enumerate(np.lexsort((np.arange(2400), -s))[:10])]
+    assert found == sorted(plain)
+    assert figures["pairs"] < 0.5 * figures["all"], figures
+
+
 def test_large_components_stay_exact():
     q = np.array([[2.0 ** 40, 1.0], [1.0, 1.0]])
     p = np.array([[2.0 ** 40, 3.0], [2.0 ** 40, 2.0], [5.0, 5.0]])
