@@ -8,7 +8,10 @@ reads it back, so a lost executor costs no more than the running stage.
 Nulls, empty texts, ties and repeated rows follow the operators' docstrings.
 In short: null and empty texts pass the first three stages (one of them, as
 near duplicates of each other) and are not taken by the mix, which counts
-words. An empty table passes through as an empty table.
+words. An empty table passes through as an empty table. Very long texts are
+worked on whole in every stage: scored, fingerprinted, cut, counted and packed
+(their full windows fill sequences of their own). Further columns, whatever
+their names, go along to the last stage.
 """
 
 from __future__ import annotations

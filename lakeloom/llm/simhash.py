@@ -228,6 +228,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     Null and empty texts have fingerprint zero and link like any other. Rows
     that repeat appear as often as they occur. component_id is the smallest
     non-null id reachable, null if there is none. An empty table gives no rows.
+    A very long text is fingerprinted whole, 65,536 shingles at a time; other
+    columns are not read, whatever their names.
     """
     fps = cut(fingerprints(docs, shingle, id_col, text_col))
     out = fps.join(groups(fps, max_bits), F.col("fp") == F.col("key"))

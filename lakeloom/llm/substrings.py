@@ -510,7 +510,9 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     empty texts, and texts under 20 words, lose nothing. Rows that repeat
     exactly are one document and get the same result; rows that share an id
     but not the text are documents of their own, in the order of their text's
-    check; null ids come before all others. An empty table gives no rows.
+    check; null ids come before all others. An empty table gives no rows. A very
+    long text is a chunk of its own and is worked on whole, in memory some ten
+    times its size; other columns are not read, whatever their names.
     """
     ship(docs.sparkSession)
     df, packed, found = _with_pieces(columns(docs, doc_id=id_col, text=text_col), "doc_id", "text")

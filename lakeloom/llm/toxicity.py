@@ -236,7 +236,9 @@ def _telling(rows: DataFrame) -> np.ndarray:
 def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row. A null or empty text
-    has no terms and scores the bias alone; a null id is not held out."""
+    has no terms and scores the bias alone; a null id is not held out; repeated
+    rows score alike; an empty table gives no rows. A very long text is scored
+    by all its distinct terms; other columns are not read."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +258,8 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
 
 
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns
+    stay, whatever their names. See ``scores`` for nulls and long texts."""
     ship(docs.sparkSession)
     at = docs.columns.index(text_col)
 

@@ -62,6 +62,24 @@ def test_a_term_of_two_toxic_rows_has_a_weight():
     assert model.w[list(model.buckets).index(toxicity.term_buckets(b"zzq")[0])] > 0
 
 
+def test_scores_are_the_explicit_sum_over_pairs():
+    """The machine's formula term by term and pair by pair, with and without factors, and a very long text."""
+    rng = np.random.default_rng(3)
+    words = [b"t%d" % i for i in range(60)]
+    buckets = np.unique(np.concatenate([toxicity.term_buckets(w) for w in words]))
+    v = (rng.normal(size=(len(buckets) // 2, toxicity.FACTORS)) * 0.2).astype(np.float32)
+    model = toxicity.Model(-0.7, buckets, (rng.normal(size=len(buckets)) * 0.3).astype(np.float32), v)
+    lookup = model.lookup()
+    texts = [b" ".join(rng.choice(words, n)) for n in (0, 1, 2, 7, 40)] + [b" ".join(rng.choice(words, 300_000)) + b" unknown"]
+    for text in texts:
+        rows = toxicity._terms(text, lookup)
+        own = sorted({i for w in set(text.split()) for b in toxicity.term_buckets(w) for i in np.flatnonzero(buckets == b).tolist()})
+        assert rows.tolist() == own
+        z = model.bias + sum(float(model.w[i]) for i in own)
+        z += sum(float(v[i].astype(float) @ v[j].astype(float)) for n, i in enumerate(own) for j in own[n + 1:] if j < len(v))
+        assert model.score(rows) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-4)
+
+
 def test_only_terms_that_pass_are_gathered(spark, monkeypatch):
     """The model is that of all terms; those that tell nothing stay out of the driver."""
     monkeypatch.setattr(toxicity, "fit", lambda sets, y, real=toxicity.fit: (sets, y, real(sets, y)))
