@@ -1,5 +1,7 @@
 """Split scans, region files, the cell source, shipped lookups, stored bitmaps, arrays cut at marks."""
 
+import bisect
+import collections
 import random
 
 import pytest
@@ -66,6 +68,34 @@ def test_region_files_keep_their_borders_and_order(spark, tmp):
         assert own == sorted(own)
 
 
+def test_regions_are_found_among_thousands_of_splits(spark):
+    """Keys at, between and beyond the splits, and none; thousands of hot spans in one round."""
+    every = [f"{i:05d}" for i in range(20_000)] + ["é", "\U0001F600", '"\\']
+    keys = spark.createDataFrame([(k,) for k in every + [None]], "row_key string")
+    for splits_ in ([], ["00007"], every[3::5], sorted(every)):
+        got = keys.select("row_key", bulk.region_of(F.col("row_key"), splits_).alias("r")).collect()
+        assert all(r.r == (0 if r.row_key is None else bisect.bisect_right(splits_, r.row_key)) for r in got)
+    counts = spark.createDataFrame([(k, 1) for k in every[:20_000]], "row_key string, n bigint")
+    cuts = bulk.hot_splits(counts, [], 5)
+    held = collections.Counter(bisect.bisect_right(cuts, k) for k in every[:20_000])
+    assert set(held.values()) == {5} and len(held) == len(cuts) + 1 == 4000
+
+
+def test_cells_are_read_twice_however_many_rounds_the_cuts_take(spark, tmp):
+    """Once for the counts of the keys, once for the files."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    cells = _cells(spark, [f"k{i % 500:05d}" for i in range(1000)])
+    manifest = bulk.write(cells.mapInArrow(count, cells.schema), f"{tmp}/r", [], max_cells=100)
+    assert manifest.agg(F.sum("cells")).first()[0] == 1000 and manifest.count() >= 10
+    assert seen.value <= 2 * 1000
+
+
 def test_bulk_inputs_that_cannot_be_placed_raise(spark, tmp):
     with pytest.raises(ValueError):
         bulk.write(_cells(spark, ["a", None]), f"{tmp}/n", ["b"])
