@@ -80,6 +80,33 @@ def _processor(idle_ms: int, ttl_ms: int | None):
     return Gaps()
 
 
+def _front():
+    # Defined here so that it travels with the plan; workers need no copy of this package.
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            n = batch.num_rows
+            topic, partition = (batch.column(i).dictionary_encode() for i in (0, 1))
+            code = topic.indices.to_numpy().astype(np.int64) * len(partition.dictionary) + partition.indices.to_numpy()
+            offset = batch.column(2).to_numpy()
+            at = np.unique(batch.column(3).cast(pa.int64()).to_numpy(), return_inverse=True)[1]
+            order = np.lexsort((-offset, code))
+            code, offset = code[order], offset[order]
+            own = np.cumsum(np.append(0, code[1:] != code[:-1])) * n + at[order]
+            # The newest time of the greater offsets: what precedes the records of this offset.
+            first = np.append(True, (code[1:] != code[:-1]) | (offset[1:] != offset[:-1]))
+            start = np.maximum.accumulate(np.where(first, np.arange(n), 0)) if n else np.zeros(0, np.int64)
+            newest = np.append(-1, np.maximum.accumulate(own))[start]
+            needed = np.empty(n, bool)
+            needed[order] = newest < own
+            yield batch.set_column(5, "data", pc.if_else(pa.array(needed), batch.column(5), pa.scalar(None, batch.column(5).type)))
+
+    return run
+
+
 def offset_gaps(records: DataFrame, ts: str = "timestamp", delay: str = "10 minutes",
                 idle_ms: int = 3_600_000, ttl_ms: int | None = None) -> DataFrame:
     """Gap and idle rows of a stream of (topic, partition, offset, ``ts``, data).
@@ -97,11 +124,14 @@ def offset_gaps(records: DataFrame, ts: str = "timestamp", delay: str = "10 minu
     the offsets (8 bytes each) of one partition's records of one batch.
     """
     own = records.where(F.col("offset").isNotNull() & F.col(ts).isNotNull())
-    if ttl_ms is None:
-        own = own.withWatermark(ts, delay)
     # Keys of state functions are never null: a letter stands before what there is.
     keys = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")).alias(f"{c}_key") for c in ("topic", "partition")]
-    own = own.select(*keys, "offset", F.col(ts).alias("at"), F.unix_millis(ts).alias("at_ms"), "data")
+    own = own.select(*keys, F.col("offset").cast("bigint"), F.col(ts).alias("at"), F.unix_millis(ts).alias("at_ms"), "data")
+    # Only the last record's payload is shown. One that a greater offset of the same time or a
+    # later one outdoes is never last, whatever the watermark leaves out.
+    own = own.mapInArrow(_front(), own.schema)
+    if ttl_ms is None:
+        own = own.withWatermark("at", delay)
     out = own.groupBy("topic_key", "partition_key").transformWithStateInPandas(
         _processor(idle_ms if ttl_ms is None else -1, ttl_ms), _KEYED, "Append",
         "EventTime" if ttl_ms is None else "ProcessingTime")

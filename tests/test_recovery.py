@@ -1,6 +1,7 @@
 """Interrupted streams, sides that lag, per-partition state, the committing sink."""
 
 import datetime as dt
+import random
 import time
 
 import pytest
@@ -112,6 +113,48 @@ def test_offset_gaps_over_batches_and_restarts(spark):
         ("gap", 0, 10, 12, 1, None), ("idle", 0, 12, 12, 4, "f"), ("idle", 1, 50, 50, 0, "z")], key=str)
 
 
+def test_only_payloads_that_may_be_last_go_to_the_state_function(spark):
+    """Of a batch of records few payloads are kept: those that no greater offset outdoes in time."""
+    rng = random.Random(4)
+    schema = "topic_key string, partition_key string, offset bigint, at timestamp, at_ms bigint, data string"
+    at = [T0 + dt.timedelta(seconds=i) for i in range(400)]
+    for spread in (0, 1, 30, 400):
+        rows = [("=t", f"={rng.randrange(3)}", i // 2, t, 0, f"p{i}")
+                for i, t in ((i, at[min(399, max(0, i + rng.randint(-spread, spread)))]) for i in range(400))]
+        rng.shuffle(rows)
+        got = spark.createDataFrame(rows, schema).coalesce(1).mapInArrow(stateful._front(), schema).collect()
+        assert [tuple(r)[:5] for r in got] == [r[:5] for r in rows]
+        for r, g in zip(rows, got):
+            outdone = any(o[1] == r[1] and o[2] > r[2] and o[3] >= r[3] for o in rows)
+            assert g.data == (None if outdone else r[5])
+    assert spark.createDataFrame([], schema).mapInArrow(stateful._front(), schema).count() == 0
+
+
+def test_offset_gaps_send_few_payloads_to_the_state_function(spark, monkeypatch):
+    """Ten thousand records of four partitions: all are counted, a few payloads are sent."""
+    sent = spark.sparkContext.accumulator(0)
+    processor = stateful._processor
+
+    def counting(*args):
+        inner = processor(*args)
+        handle = inner.handleInputRows
+
+        def rows_seen(key, rows, timers):
+            def each():
+                for part in rows:
+                    sent.add(int(part["data"].notna().sum()))
+                    yield part
+            return handle(key, each(), timers)
+        inner.handleInputRows = rows_seen
+        return inner
+
+    monkeypatch.setattr(stateful, "_processor", counting)
+    rows = [(i % 4, i, i, f"p{i}") for i in range(10_000)]
+    got = _gaps(spark, [rows, [(9, 0, 10_000_000, "end")]], delay="1 minute", idle_ms=3_600_000)
+    assert [g for g in got if g[0] == "idle"] == [("idle", p, 9996 + p, 9996 + p, 3 * 2499, f"p{9996 + p}") for p in range(4)]
+    assert len(got) == 4 + 4 * 2499 and sent.value <= 400
+
+
 def test_state_runs_out_by_its_time_to_live(spark, tmp):
     """Long-lived state links two batches of a query; state that has run out does not."""
     found = {}
