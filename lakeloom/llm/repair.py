@@ -36,64 +36,57 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeloom.llm.common import columns, lean, partitions, ship, text_bytes
+from lakeloom.llm.common import columns, gather, lean, partitions, ship
 
 SHARD_IDS = 4_000_000
 LEAST = 16
-_COUNT_BITS, _SLOT_BITS = 21, 19
-_FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
+_SLOT_BITS = 19
 
 SHARDS = ("part bigint, shard bigint, before bigint, n_docs bigint, n_ids bigint, width int, end_id bigint, "
           "terminals binary, left binary, right binary, lengths binary, symbols binary, "
           "doc_symbols binary, doc_ids binary, no_id binary")
 
 
-def _hash(codes: np.ndarray, factor: int, bits: int) -> np.ndarray:
-    return ((codes * np.uint64(factor)) >> np.uint64(64 - bits)).astype(np.int64)
+def _slots(codes: np.ndarray) -> np.ndarray:
+    slots = codes.astype(np.uint64)
+    slots *= np.uint64(0x9E3779B97F4A7C15)
+    slots >>= np.uint64(64 - _SLOT_BITS)
+    return slots.view(np.int64)
+
+
+def _codes(x: np.ndarray, k: int, at: np.ndarray) -> np.ndarray:
+    """The pairs that begin at places ``at``, each as one number."""
+    kind = np.uint32 if k <= 1 << 16 else np.uint64
+    if 4 * len(at) < len(x):
+        return x[at].astype(kind) * kind(k) + x[at + 1]
+    every = x[:-1].astype(kind)
+    every *= kind(k)
+    every += x[1:]
+    return every if len(at) == len(every) else every[at]
 
 
 def _frequent(codes: np.ndarray, least: int) -> np.ndarray:
-    """Codes that occur ``least`` times or more, ascending. Slots of a hash
-    table are counted first: only codes of slots that reach ``least`` are sorted."""
-    slot = _hash(codes, _FACTORS[0], _COUNT_BITS)
-    s = np.sort(codes[(np.bincount(slot, minlength=1 << _COUNT_BITS) >= least)[slot]])
+    """Codes that occur ``least`` times or more, ascending."""
+    s = np.sort(codes)
     at = np.flatnonzero(np.concatenate((s[:1] == s[:1], s[1:] != s[:-1])))
     return s[at[np.diff(np.append(at, len(s))) >= least]]
 
 
 def _places(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each code among the distinct ``keys``, -1 if it is none. Keys
-    that share a slot of the hash table go on to another one."""
-    out = np.full(len(codes), -1, np.int64)
-    todo, left = None, np.arange(len(keys))
-    for factor in _FACTORS:
-        table = np.full(1 << _SLOT_BITS, -1, np.int64)
-        slot = _hash(keys[left], factor, _SLOT_BITS)
-        table[slot] = left
-        lost = table[slot] != left
-        mine = codes if todo is None else codes[todo]
-        where = _hash(mine, factor, _SLOT_BITS)
-        found = table[where]
-        hit = found >= 0
-        hit[hit] = keys[found[hit]] == mine[hit]
-        at = np.flatnonzero(hit)
-        out[at if todo is None else todo[at]] = found[at]
-        if not lost.any():
-            return out
-        shared = np.zeros(1 << _SLOT_BITS, bool)
-        shared[slot[lost]] = True
-        again = np.flatnonzero(shared[where] & ~hit)
-        todo, left = again if todo is None else todo[again], left[lost]
-    # Keys that shared a slot every time.
-    order = left[np.argsort(keys[left])]
-    at = np.minimum(np.searchsorted(keys[order], codes[todo]), len(order) - 1)
-    same = keys[order][at] == codes[todo]
-    out[todo[same]] = order[at[same]]
+    """Place of each code among the distinct ``keys``, -1 if it is none. Only
+    codes that share a slot of a hash table with a key are looked up."""
+    taken = np.zeros(1 << _SLOT_BITS, bool)
+    taken[_slots(keys)] = True
+    at = np.flatnonzero(taken[_slots(codes)])
+    out = np.full(len(codes), -1, np.int32)
+    found = pc.index_in(pa.array(codes[at]), value_set=pa.array(keys.astype(codes.dtype)))
+    out[at] = found.fill_null(-1).to_numpy()
     return out
 
 
@@ -123,7 +116,7 @@ def compress(docs: list[np.ndarray], least: int = LEAST) -> dict[str, np.ndarray
             new = x >= base
             inner &= new[:-1] | new[1:]
         at = np.flatnonzero(inner)
-        code = x[at].astype(np.uint64) * np.uint64(k) + x[at + 1]
+        code = _codes(x, k, at)
         found = _frequent(code, least)
         if not len(found):
             if complete:
@@ -133,9 +126,10 @@ def compress(docs: list[np.ndarray], least: int = LEAST) -> dict[str, np.ndarray
         place = _places(code, found)
         hit = np.flatnonzero(place >= 0)
         place, hit = place[hit], at[hit]
+        found = found.astype(np.uint64)
         # Overlapping occurrences: every other one of a run, from its left end.
         first = np.concatenate(([True], np.diff(hit) > 1))
-        take = ((hit - hit[first][np.cumsum(first) - 1]) & 1) == 0
+        take = ((hit - np.maximum.accumulate(hit * first)) & 1) == 0
         place, hit = place[take], hit[take]
         # A rule that its neighbours left fewer than two places is none.
         uses = np.bincount(place, minlength=len(found))
@@ -153,11 +147,11 @@ def compress(docs: list[np.ndarray], least: int = LEAST) -> dict[str, np.ndarray
         right.append(b)
         own = np.concatenate(lengths)
         lengths = [own, own[a] + own[b]]
-        x = x.copy()
         x[hit] = (k + rule[place]).astype(np.uint32)
         last[hit] = last[hit + 1]
         keep = np.ones(len(x), bool)
         keep[hit + 1] = False
+        keep = np.flatnonzero(keep)
         x, last = x[keep], last[keep]
         base, k, complete = k, k + len(found), False
     doc_symbols = np.zeros(len(sizes), np.int64)
@@ -171,12 +165,15 @@ def expansions(terminals: np.ndarray, left: np.ndarray, right: np.ndarray,
     """All symbols' ids in one array, and where each symbol's begin."""
     at = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
     flat = np.zeros(int(at[-1]), np.uint32)
-    base = len(terminals)
+    base, done = len(terminals), 0
     flat[:base] = terminals
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):
-        o, n = int(at[base + i]), int(lengths[a])
-        flat[o:o + n] = flat[at[a]:at[a] + n]
-        flat[o + n:at[base + i + 1]] = flat[at[b]:at[b + 1]]
+    # Rules that use only symbols before them are expanded at once.
+    needs = np.maximum.accumulate(np.maximum(left, right))
+    while done < len(left):
+        upto = int(np.searchsorted(needs, base + done))
+        both = np.stack((left[done:upto], right[done:upto]), 1).ravel()
+        flat[at[base + done]:at[base + upto]] = gather(flat, at[both], lengths[both])
+        done = upto
     return flat, at
 
 
@@ -205,10 +202,7 @@ class Shard:
         self.n_docs = row["n_docs"]
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        n = self.lengths[symbols].astype(np.int64)
-        stop = np.cumsum(n)
-        shift = self.at[symbols] - (stop - n)
-        return self.flat[np.repeat(shift, n) + np.arange(int(stop[-1]) if len(stop) else 0)]
+        return gather(self.flat, self.at[symbols], self.lengths[symbols])
 
     def document(self, i: int) -> np.ndarray:
         body = self._expand(self.symbols[self.stops[i]:self.stops[i + 1]])
@@ -216,14 +210,12 @@ class Shard:
 
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all documents one after the other, and how many each has."""
-        before = np.concatenate(([0], np.cumsum(self.lengths[self.symbols], dtype=np.int64)))
-        n = before[self.stops[1:]] - before[self.stops[:-1]] + 1
-        out = np.empty(int(n.sum()), "<u4")
-        inner = np.ones(len(out), bool)
-        inner[np.cumsum(n) - 1] = False
-        out[inner] = self._expand(self.symbols)
-        out[~inner] = self.end_id
-        return out, n
+        # The end id as one more symbol behind each document's own.
+        symbols = np.insert(self.symbols.astype(np.uint32), self.stops[1:], len(self.lengths))
+        n = np.append(self.lengths, np.uint32(1))[symbols]
+        out = gather(np.append(self.flat, np.uint32(self.end_id)), self.at[symbols], n)
+        ends = np.cumsum(n, dtype=np.int64)[self.stops[1:] + np.arange(len(self.stops) - 1)]
+        return out.astype("<u4", copy=False), np.diff(ends, prepend=0)
 
     def slice(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of document ``i``, from the symbols that cover them."""
@@ -275,8 +267,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json", end_
 
         try:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    x = enc.ids(text_bytes(text.as_py()))
+                for doc_id, x in zip(batch.column(0).to_pylist(), enc.many(t.as_py() for t in batch.column(1))):
                     ids.append(doc_id)
                     texts.append(x)
                     held += len(x) + 1

@@ -1,5 +1,6 @@
 """Token files (op2) and packing (op7) against the tokenizers library itself."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from lakeloom.llm import packing, repair
+from lakeloom.llm import packing, repair, tokens
 from lakeloom.llm.tokens import Encoder
 from lakeloom.session import scratch_path
 from tests.llm import cases
@@ -33,6 +34,44 @@ def test_encoder_equals_the_library(name):
         assert own.ids(t.encode()).tolist() == ref.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("chunk, parts", [(8_000_000, 150_000), (200, 3), (5, 1)])
+def test_many_texts_equal_the_library(library, monkeypatch, chunk, parts):
+    monkeypatch.setattr(tokens, "CHUNK", chunk)
+    rng = random.Random(5)
+    plain = [*"abcsStTmdDrReEvVlL''''..,<|>  \n\t\x0b09²½ªºßÄéſŉı—“€…°", "'ll", "'re", "'s", "'ve", "x'd"]
+    odd = [*plain, "<|endoftext|>", "中", "\u0301", "İ"]
+    texts = ["".join(rng.choices(odd if i % 5 else plain, k=rng.randrange(60))) for i in range(800)]
+    texts += [None, "", "'", "a'", " ".join(texts[::5]), "x" * 300, *(t for _, t, *_ in cases.documents())]
+    own = Encoder(str(public_tokenizers.path(FILE)), parts=parts)
+    for _ in range(2):  # the second time with parts that are known
+        got = [x.tolist() for x in own.many(texts)]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(own.known) <= 2 * parts
+
+
+def test_a_part_of_many_texts_is_asked_for_once(monkeypatch):
+    own, asked = Encoder(str(public_tokenizers.path(FILE))), []
+    new = own._new_parts
+    monkeypatch.setattr(own, "_new_parts", lambda parts: asked.extend(parts.to_pylist()) or new(parts))
+    for _ in range(2):
+        assert [len(x) for x in own.many(["The cat's hat, the CAT"] * 500)] == [7] * 500
+    assert sorted(asked) == ["'s", ",", "cat", "hat", "the"]
+    assert not own.parts  # no text was taken part by part
+
+
+def test_grammars_of_more_than_65536_symbols():
+    rng = np.random.default_rng(6)
+    x = rng.permutation(70_000).astype(np.uint32)
+    docs = [x, x[:40_000], x[30_000:]] * 3
+    g = repair.compress(docs, least=3)
+    assert len(g["symbols"]) < 100
+    flat, at = repair.expansions(g["terminals"], g["left"], g["right"], g["lengths"])
+    assert [i for s in g["symbols"].tolist() for i in flat[at[s]:at[s + 1]].tolist()] == np.concatenate(docs).tolist()
+    for i in range(len(g["left"])):
+        s, a, b = len(g["terminals"]) + i, g["left"][i], g["right"][i]
+        assert flat[at[s]:at[s + 1]].tolist() == [*flat[at[a]:at[a + 1]], *flat[at[b]:at[b + 1]]]
+
+
 def test_grammar_round_trip_and_slices():
     rng = np.random.default_rng(1)
     docs = [rng.integers(0, 5, n).astype("<u2") for n in (0, 1, 2, 500, 3000, 0, 7)] + [np.full(4001, 9, "<u2")]
